@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from statledger.functions.text import collapse_whitespace, first_regex_value, strip_ordinals
+from statledger.functions.text import collapse_whitespace, first_regex_value, let, strip_ordinals
 
 # Fixed value: publication strings below this are not believed.
 MIN_PLAUSIBLE_PUBLICATION = "20100101T000000"
@@ -33,112 +33,116 @@ _SHORT_MONTH = "(?:" + "|".join(m[:3] for m in MONTHS) + ")"
 
 
 def month_number(name: Column) -> Column:
-    """1-12 from the first three letters of a month name, any case."""
+    """1-12 from the first three letters of a month name, any case; the caller has checked that it is one."""
     short = F.lower(F.substring(name, 1, 3))
-    pairs = [F.lit(part) for i, m in enumerate(MONTHS) for part in (m[:3], i + 1)]
-    return F.try_element_at(F.create_map(*pairs), short)
+    return ((F.instr(F.lit("".join(m[:3] for m in MONTHS)), short) + 2) / 3).cast("int")
 
 
 def days_in_month(year: Column, month: Column) -> Column:
     """Days of a month 1-12; NULL for another month number."""
     leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
-    february = F.when(leap, F.lit(29)).otherwise(F.lit(28))
-    lengths = [F.lit(31), february] + [F.lit(n) for n in (31, 30, 31, 30, 31, 31, 30, 31, 30, 31)]
-    return F.get(F.array(*lengths), month - 1)
-
-
-def _digits(number: Column, width: int) -> Column:
-    return F.lpad(number.cast("string"), width, "0")
+    common = F.get(F.expr("array(31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31)"), month - 1)
+    return F.when((month == 2) & leap, F.lit(29)).otherwise(common)
 
 
 def _int(text: Column) -> Column:
     return text.try_cast("int")
 
 
-def compact_datetime(
-    year: Column, month: Column, day: Column, hour: Column | None = None, minute: Column | None = None,
-    second: Column | None = None,
-) -> Column:
-    """``YYYYMMDDTHHMMSS`` of the parts (all int); NULL for an impossible date or time."""
-    zero = F.lit(0)
-    hour, minute, second = (F.coalesce(part, zero) if part is not None else zero for part in (hour, minute, second))
-    possible = (
-        year.between(1, 9999)
-        & day.between(1, days_in_month(year, month))
-        & hour.between(0, 23)
-        & minute.between(0, 59)
-        & second.between(0, 59)
-    )
-    return F.when(
-        possible,
-        F.concat(
-            _digits(year, 4), _digits(month, 2), _digits(day, 2), F.lit("T"),
-            _digits(hour, 2), _digits(minute, 2), _digits(second, 2),
-        ),
-    )
-
-
-def _numeric_datetime(text: Column) -> Column:
+def _parts(year: Column, month: Column, *rest: Column) -> Column:
+    """[year, month, day, hour, minute, second] as ints; what is not given is the first day or zero."""
+    defaults = [F.lit(1), F.lit(0), F.lit(0), F.lit(0)]
+    return F.array(year, month, *rest, *defaults[len(rest) :])
+
+
+def compact_datetime(parts: Column) -> Column:
+    """``YYYYMMDDTHHMMSS`` of six int parts; NULL for an impossible date or time."""
+
+    def written(p: Column) -> Column:
+        year, month, day, hour, minute, second = (p[i] for i in range(6))
+        hour, minute, second = (F.coalesce(c, F.lit(0)) for c in (hour, minute, second))
+        possible = (
+            year.between(1, 9999)
+            & day.between(1, days_in_month(year, month))
+            & hour.between(0, 23)
+            & minute.between(0, 59)
+            & second.between(0, 59)
+        )
+        return F.when(possible, F.format_string("%04d%02d%02dT%02d%02d%02d", year, month, day, hour, minute, second))
+
+    return let(parts, written)
+
+
+def _numeric_parts(text: Column) -> Column:
     """``yyyyMMdd``, ISO date, ISO datetime with or without seconds."""
-    digits = F.translate(text, "-:T", "")
-    shaped = text.rlike(r"^(?:\d{8}|\d{4}-\d{2}-\d{2}(?:T\d{2}:\d{2}(?::\d{2})?)?)$")
+    shape = r"^(?:\d{8}|\d{4}-\d{2}-\d{2}(?:T\d{2}:\d{2}(?::\d{2})?)?)$"
 
-    def part(at: int, width: int) -> Column:
-        return _int(F.substring(digits, at, width))
+    def of_digits(digits: Column) -> Column:
+        spans = [(1, 4), (5, 2), (7, 2), (9, 2), (11, 2), (13, 2)]
+        return F.array(*[_int(F.substring(digits, at, width)) for at, width in spans])
 
-    return F.when(shaped, compact_datetime(part(1, 4), part(5, 2), part(7, 2), part(9, 2), part(11, 2), part(13, 2)))
+    return F.when(text.rlike(shape), let(F.translate(text, "-:T", ""), of_digits))
 
 
-def fiscal_month_date(text: Column) -> Column:
-    """``2025-26_march``: January to March fall into the second calendar year of the fiscal year."""
-    spaced = F.translate(text, "_-", "  ")
+def _fiscal_parts(text: Column) -> Column:
     pattern = rf"(?i)^(\d{{4}})\s+\d{{2}}\s+({_SHORT_MONTH})"
-    month = month_number(F.regexp_extract(spaced, pattern, 2))
-    year = _int(F.regexp_extract(spaced, pattern, 1)) + F.when(month <= 3, F.lit(1)).otherwise(F.lit(0))
-    return F.when(spaced.rlike(pattern), compact_datetime(year, month, F.lit(1)))
 
+    def of_spaced(spaced: Column) -> Column:
+        month = month_number(F.regexp_extract(spaced, pattern, 2))
+        second_year = F.when(month <= 3, F.lit(1)).otherwise(F.lit(0))
+        year = _int(F.regexp_extract(spaced, pattern, 1)) + second_year
+        return F.when(spaced.rlike(pattern), _parts(year, month))
 
-def _written_datetime(text: Column) -> Column:
+    return let(F.translate(text, "_-", "  "), of_spaced)
+
+
+def _written_parts(text: Column) -> Column:
     """``[d] Month yyyy`` with an optional time; ``_`` and ``-`` read as spaces."""
-    spaced = F.trim(F.translate(text, "_-", "  "))
-    parts = F.split(spaced, r"[\s:]+")
-    with_day = spaced.rlike(
-        rf"(?i)^\d{{1,2}}\s+{_FULL_OR_SHORT_MONTH}\s+\d{{4}}(?:\s+\d{{1,2}}:\d{{1,2}}(?::\d{{1,2}})?)?$"
-    )
-    without_day = spaced.rlike(rf"(?i)^{_FULL_OR_SHORT_MONTH}\s+\d{{4}}$")
+    with_day = rf"(?i)^\d{{1,2}}\s+{_FULL_OR_SHORT_MONTH}\s+\d{{4}}(?:\s+\d{{1,2}}:\d{{1,2}}(?::\d{{1,2}})?)?$"
+    without_day = rf"(?i)^{_FULL_OR_SHORT_MONTH}\s+\d{{4}}$"
+
+    def of_words(words: Column) -> Column:
+        at = [F.get(words, F.lit(i)) for i in range(6)]
+        return _parts(_int(at[2]), month_number(at[1]), _int(at[0]), _int(at[3]), _int(at[4]), _int(at[5]))
 
-    def part(i: int) -> Column:
-        return F.get(parts, F.lit(i))
+    def of_spaced(spaced: Column) -> Column:
+        dated = F.when(spaced.rlike(with_day), spaced).when(spaced.rlike(without_day), F.concat(F.lit("1 "), spaced))
+        return let(F.split(dated, r"[\s:]+"), lambda words: F.when(words.isNotNull(), of_words(words)))
 
-    return F.when(
-        with_day,
-        compact_datetime(
-            _int(part(2)), month_number(part(1)), _int(part(0)), _int(part(3)), _int(part(4)), _int(part(5))
-        ),
-    ).when(without_day, compact_datetime(_int(part(1)), month_number(part(0)), F.lit(1)))
+    return let(F.trim(F.translate(text, "_-", "  ")), of_spaced)
+
+
+def _compact_month_parts(text: Column) -> Column:
+    pattern = rf"(?i)^({_SHORT_MONTH}|sept)(\d{{2}}|\d{{4}})$"
+
+    def of_packed(packed: Column) -> Column:
+        year = _int(F.regexp_extract(packed, pattern, 2))
+        full_year = F.when(packed.rlike(r"\D\d\d$"), year + 2000).otherwise(year)
+        return F.when(packed.rlike(pattern), _parts(full_year, month_number(packed)))
+
+    return let(F.translate(text, " _-", ""), of_packed)
+
+
+def fiscal_month_date(text: Column) -> Column:
+    """``2025-26_march``: January to March fall into the second calendar year of the fiscal year."""
+    return compact_datetime(_fiscal_parts(text))
 
 
 def compact_month_date(text: Column) -> Column:
     """``Mar26``, ``Sept2026``: first day of the month; a two-digit year is 20yy."""
-    packed = F.translate(text, " _-", "")
-    pattern = rf"(?i)^({_SHORT_MONTH}|sept)(\d{{2}}|\d{{4}})$"
-    year_text = F.regexp_extract(packed, pattern, 2)
-    year = F.when(F.length(year_text) == 2, _int(year_text) + 2000).otherwise(_int(year_text))
-    return F.when(
-        packed.rlike(pattern), compact_datetime(year, month_number(F.regexp_extract(packed, pattern, 1)), F.lit(1))
-    )
+    return compact_datetime(_compact_month_parts(text))
 
 
 def normalize_datetime(value: Column) -> Column:
     """Free text to ``YYYYMMDDTHHMMSS``; NULL when no known shape fits."""
-    text = strip_ordinals(collapse_whitespace(F.translate(value, ",", " ")))
-    return F.coalesce(
-        F.when(text.rlike(r"^\d{8}T\d{6}$"), text),
-        _numeric_datetime(text),
-        fiscal_month_date(text),
-        _written_datetime(text),
-        compact_month_date(text),
-    )
+    cleaned = strip_ordinals(collapse_whitespace(F.translate(value, ",", " ")))
+
+    def of_cleaned(text: Column) -> Column:
+        shapes = [_numeric_parts(text), _fiscal_parts(text), _written_parts(text), _compact_month_parts(text)]
+        already = F.when(text.rlike(r"^\d{8}T\d{6}$"), text)
+        return F.coalesce(already, compact_datetime(F.coalesce(*shapes)))
+
+    return let(cleaned, of_cleaned)
 
 
 def subject_period_yyyymm(value: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statledger.functions.dates import days_in_month, month_number, normalize_datetime
-from statledger.functions.text import MONTH_WORD
+from statledger.functions.text import MONTH_WORD, let
 from statledger.functions.urls import url_filename
 
 # Order in which the evidence is tried.
@@ -41,36 +41,42 @@ def month_start(yyyymm: Column) -> Column:
 
 def month_end(yyyymm: Column) -> Column:
     """``YYYYMMddT235959`` with the last day of an int month."""
-    last_day = days_in_month(F.floor(yyyymm / 100).cast("int"), (yyyymm % 100).cast("int"))
-    return F.concat(F.lpad(yyyymm.cast("string"), 6, "0"), last_day.cast("string"), F.lit("T235959"))
 
+    def ended(month: Column) -> Column:
+        last_day = days_in_month(F.floor(month / 100).cast("int"), (month % 100).cast("int"))
+        return F.concat(F.lpad(month.cast("string"), 6, "0"), last_day.cast("string"), F.lit("T235959"))
 
-def coverage(start: Column, end: Column, kind: Column | str, method: Column | str, source: str, confidence: Column | str) -> Column:
+    return let(yyyymm, ended)
+
+
+def coverage(start: Column, end: Column, kind: Column | str, method: Column, source: Column, confidence: Column | str) -> Column:
     """Coverage struct; every branch of the inference has this type."""
-    values = [start, end, kind, method, source, confidence]
-    columns = [v if isinstance(v, Column) else F.lit(v) for v in values]
+    columns = [v if isinstance(v, Column) else F.lit(v) for v in (start, end, kind, method, source, confidence)]
     return F.struct(*[c.alias(name) for c, name in zip(columns, COVERAGE_COLUMNS)])
 
 
+def _method(kind: str, source: Column) -> Column:
+    return F.concat(F.lit(f"{kind}_from_"), source)
+
+
 def unknown_coverage() -> Column:
-    return coverage(F.lit(""), F.lit(""), "unknown", "not_inferred", "none", "low")
+    return coverage(F.lit(""), F.lit(""), "unknown", F.lit("not_inferred"), F.lit("none"), "low")
 
 
 def coverage_yyyymm_hint(hint: Column) -> Column:
     """A six-digit hint with a real month number is trusted most."""
-    text = F.trim(hint)
-    month = text.try_cast("int")
-    real = text.rlike(r"^\d{6}$") & (month % 100).between(1, 12)
-    return F.when(
-        real,
-        coverage(
-            month_start(month), month_end(month), "single_month", "subject_period_rule_yyyymm", "subject_period_hint", "high"
-        ),
-    )
 
+    def hinted(text: Column) -> Column:
+        month = text.try_cast("int")
+        real = text.rlike(r"^\d{6}$") & (month % 100).between(1, 12)
+        method, source = F.lit("subject_period_rule_yyyymm"), F.lit("subject_period_hint")
+        return F.when(real, coverage(month_start(month), month_end(month), "single_month", method, source, "high"))
+
+    return let(F.trim(hint), hinted)
 
-def coverage_single_or_range(tokens: Column, source: str) -> Column:
-    """First to last month mentioned."""
+
+def coverage_single_or_range(tokens: Column, source: Column) -> Column:
+    """First to last month mentioned; NULL without a mention."""
     first, last = F.array_min(tokens), F.array_max(tokens)
     single = first == last
     return F.when(
@@ -79,62 +85,67 @@ def coverage_single_or_range(tokens: Column, source: str) -> Column:
             month_start(first),
             month_end(last),
             F.when(single, "single_month").otherwise("month_range"),
-            F.when(single, f"single_month_from_{source}").otherwise(f"range_from_{source}"),
+            F.when(single, _method("single_month", source)).otherwise(_method("range", source)),
             source,
             F.when(single, "high").otherwise("medium"),
         ),
     )
 
 
-def coverage_ytd(text: Column, tokens: Column, source: str, fiscal_start: Column) -> Column:
+def coverage_ytd(text: Column, tokens: Column, source: Column, fiscal_start: Column) -> Column:
     """Year to date: from the fiscal or calendar year start to the last month mentioned."""
-    last = F.array_max(tokens)
-    year, month = F.floor(last / 100).cast("int"), last % 100
-    fiscal_year = F.when(month >= fiscal_start, year).otherwise(year - 1)
-    return F.when(
-        (F.size(tokens) > 0) & text.rlike("(?i)fiscal|fytd"),
-        coverage(
-            month_start(fiscal_year * 100 + fiscal_start), month_end(last), "fiscal_ytd", f"fiscal_ytd_from_{source}", source, "medium"
-        ),
-    ).when(
-        (F.size(tokens) > 0) & text.rlike("(?i)year to date|ytd"),
-        coverage(month_start(year * 100 + 1), month_end(last), "calendar_ytd", f"calendar_ytd_from_{source}", source, "medium"),
-    )
+
+    def up_to(last: Column) -> Column:
+        year, month = F.floor(last / 100).cast("int"), last % 100
+        fiscal_year = F.when(month >= fiscal_start, year).otherwise(year - 1)
+        fiscal = F.when(text.rlike("(?i)fiscal|fytd"), F.lit("fiscal_ytd"))
+        kind = F.coalesce(fiscal, F.when(text.rlike("(?i)year to date|ytd"), F.lit("calendar_ytd")))
+        start = F.when(kind == "fiscal_ytd", fiscal_year * 100 + fiscal_start).otherwise(year * 100 + 1)
+        method = F.concat(kind, F.lit("_from_"), source)
+        return F.when(
+            last.isNotNull() & kind.isNotNull(), coverage(month_start(start), month_end(last), kind, method, source, "medium")
+        )
+
+    return let(F.array_max(tokens), up_to)
 
 
-def coverage_rolling_12(text: Column, tokens: Column, source: str) -> Column:
+def coverage_rolling_12(text: Column, tokens: Column, source: Column) -> Column:
     """Twelve months up to the last month mentioned."""
     last = F.array_max(tokens)
     # Eleven months earlier: the next month of the year before, or January of the same year for December.
     start = F.when(last % 100 == 12, last - 11).otherwise(last - 99)
     return F.when(
-        (F.size(tokens) > 0) & text.rlike("(?i)rolling 12|12 month rolling"),
-        coverage(month_start(start), month_end(last), "rolling_12_month", f"rolling_12_from_{source}", source, "medium"),
+        last.isNotNull() & text.rlike("(?i)rolling 12|12 month rolling"),
+        coverage(month_start(start), month_end(last), "rolling_12_month", _method("rolling_12", source), source, "medium"),
     )
 
 
-def coverage_daily(text: Column, source: str) -> Column:
+def coverage_daily(text: Column, source: Column) -> Column:
     """The whole text is one date."""
-    day = F.substring(normalize_datetime(text), 1, 8)
-    return F.when(
-        day.isNotNull(),
-        coverage(F.concat(day, F.lit("T000000")), F.concat(day, F.lit("T235959")), "daily", f"daily_from_{source}", source, "low"),
-    )
+
+    def dated(day: Column) -> Column:
+        start, end = F.concat(day, F.lit("T000000")), F.concat(day, F.lit("T235959"))
+        return F.when(day.isNotNull(), coverage(start, end, "daily", _method("daily", source), source, "low"))
+
+    return let(F.substring(normalize_datetime(text), 1, 8), dated)
 
 
 def link_subject_period(link_text: Column, url: Column) -> Column:
     """(from, to, method) from the months in the link text, else in the URL."""
 
     def by(text: Column, source: str) -> Column:
-        tokens = month_tokens(text)
-        return F.when(
-            F.size(tokens) > 0,
-            F.struct(
-                month_start(F.array_min(tokens)).alias("period_from"),
-                month_end(F.array_max(tokens)).alias("period_to"),
-                F.when(F.size(tokens) > 1, f"range_from_{source}").otherwise(f"single_month_from_{source}").alias("method"),
-            ),
-        )
+        def found(tokens: Column) -> Column:
+            method = F.when(F.size(tokens) > 1, f"range_from_{source}").otherwise(f"single_month_from_{source}")
+            return F.when(
+                F.size(tokens) > 0,
+                F.struct(
+                    month_start(F.array_min(tokens)).alias("period_from"),
+                    month_end(F.array_max(tokens)).alias("period_to"),
+                    method.alias("method"),
+                ),
+            )
+
+        return let(month_tokens(text), found)
 
     nothing = F.struct(F.lit("").alias("period_from"), F.lit("").alias("period_to"), F.lit("not_inferred").alias("method"))
     return F.coalesce(by(link_text, "link_text"), by(url, "url"), nothing)
@@ -154,46 +165,54 @@ def infer_period_coverage(
     """Add the six coverage columns.
 
     Order: month hint; then, where the target declares a rolling or year-to-date file, that reading of every
-    source; then per source rolling, year to date, months, single day; else unknown. Month mentions are found once
-    per source in a projection of their own, so the branches below share them.
+    source; then per source rolling, year to date, months, single day; else unknown. The four sources are an array
+    in that order, read by one expression; the first reading that is not NULL counts.
     """
     duration_type = duration_type if duration_type is not None else F.lit("unknown")
     duration_value = duration_value if duration_value is not None else F.lit(None).cast("int")
     duration_unit = duration_unit if duration_unit is not None else F.lit(None).cast("string")
     fiscal = F.coalesce(F.nullif(fiscal_start_month, F.lit(0)), F.lit(4)) if fiscal_start_month is not None else F.lit(4)
 
-    evidence = {
-        "file_name": url_filename(source_url),
-        "link_text": link_text,
-        "source_url": source_url,
-        "page_text": page_text,
-    }
-    texts = {s: F.col(f"__text_{s}") for s in EVIDENCE_SOURCES}
-    tokens = {s: F.col(f"__months_{s}") for s in EVIDENCE_SOURCES}
-    df = df.withColumns({f"__text_{s}": F.coalesce(evidence[s], F.lit("")) for s in EVIDENCE_SOURCES})
-    df = df.withColumns({f"__months_{s}": month_tokens(texts[s]) for s in EVIDENCE_SOURCES})
-
-    rolling = {s: coverage_rolling_12(texts[s], tokens[s], s) for s in EVIDENCE_SOURCES}
-    ytd = {s: coverage_ytd(texts[s], tokens[s], s, fiscal) for s in EVIDENCE_SOURCES}
-
-    declared_rolling = (duration_type == "rolling") & (duration_value == 12) & (duration_unit == "month")
-    declared_ytd = duration_type.isin("calendar_ytd", "fiscal_ytd")
-    kind = "_SUBJECT_PERIOD_COVERAGE_TYPE"
-    # A declared fiscal file does not accept a calendar reading.
-    accepted_ytd = [F.when((duration_type != "fiscal_ytd") | (ytd[s][kind] == "fiscal_ytd"), ytd[s]) for s in EVIDENCE_SOURCES]
-
-    candidates = [coverage_yyyymm_hint(hint)]
-    candidates.append(F.when(declared_rolling, F.coalesce(*rolling.values())))
-    candidates.append(F.when(declared_ytd, F.coalesce(*accepted_ytd)))
-    for s in EVIDENCE_SOURCES:
-        candidates += [
-            rolling[s],
-            ytd[s],
-            coverage_single_or_range(tokens[s], s),
-            coverage_daily(texts[s], s),
+    evidence = [url_filename(source_url), link_text, source_url, page_text]
+    sources = F.array(
+        *[
+            F.struct(F.lit(name).alias("source"), F.coalesce(text, F.lit("")).alias("text"))
+            for name, text in zip(EVIDENCE_SOURCES, evidence)
         ]
+    )
+
+    def readings(e: Column) -> Column:
+        def of_months(months: Column) -> Column:
+            return F.struct(
+                coverage_rolling_12(e.text, months, e.source).alias("rolling"),
+                coverage_ytd(e.text, months, e.source, fiscal).alias("ytd"),
+                coverage_single_or_range(months, e.source).alias("months"),
+                F.when(F.size(months) == 0, coverage_daily(e.text, e.source)).alias("day"),
+            )
+
+        return let(month_tokens(e.text), of_months)
+
+    def first(values: Column) -> Column:
+        return F.get(F.filter(values, lambda v: v.isNotNull()), F.lit(0))
+
+    # A declared fiscal file does not accept a calendar reading.
+    def declared(r: Column) -> Column:
+        fits = (duration_type != "fiscal_ytd") | (r.ytd["_SUBJECT_PERIOD_COVERAGE_TYPE"] == "fiscal_ytd")
+        return F.when(fits, r.ytd)
+
+    def conclude(read: Column) -> Column:
+        rolling_declared = (duration_type == "rolling") & (duration_value == 12) & (duration_unit == "month")
+        ytd_declared = duration_type.isin("calendar_ytd", "fiscal_ytd")
+        return F.coalesce(
+            coverage_yyyymm_hint(hint),
+            F.when(rolling_declared, first(F.transform(read, lambda r: r.rolling))),
+            F.when(ytd_declared, first(F.transform(read, declared))),
+            first(F.transform(read, lambda r: F.coalesce(r.rolling, r.ytd, r.months, r.day))),
+            unknown_coverage(),
+        )
+
     return (
-        df.withColumn("__coverage", F.coalesce(*candidates, unknown_coverage()))
+        df.withColumn("__coverage", let(F.transform(sources, readings), conclude))
         .withColumns({name: F.col(f"__coverage.{name}") for name in COVERAGE_COLUMNS})
-        .drop("__coverage", *[f"__text_{s}" for s in EVIDENCE_SOURCES], *[f"__months_{s}" for s in EVIDENCE_SOURCES])
+        .drop("__coverage")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -20,6 +21,14 @@ MONTH_WORD = (
 _WORD_BREAK = "(?<=[A-Z])(?=[A-Z][a-z])|(?<=[a-z0-9])(?=[A-Z])|[^A-Za-z0-9]+"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however often ``body`` mentions it.
+
+    Keeps nested expressions small: without it every mention repeats the whole input expression in the plan.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def collapse_whitespace(text: Column) -> Column:
     """Runs of whitespace become one space; the ends are trimmed."""
     return F.trim(F.regexp_replace(text, r"\s+", " "))
@@ -118,9 +127,12 @@ def first_regex_value(text: Column, pattern: str) -> Column:
     """
     insensitive = f"(?i){pattern}"
     groups = re.compile(pattern).groups
-    parts = [F.nullif(F.regexp_extract(text, insensitive, i), F.lit("")) for i in range(1, groups + 1)]
-    joined = F.nullif(F.concat_ws("_", *parts), F.lit("")) if parts else F.lit(None)
-    return F.when(text.rlike(insensitive), F.coalesce(joined, F.regexp_extract(text, insensitive, 0)))
+
+    def of_match(match: Column) -> Column:
+        parts = [F.nullif(F.regexp_extract(match, insensitive, i), F.lit("")) for i in range(1, groups + 1)]
+        return F.coalesce(F.nullif(F.concat_ws("_", *parts), F.lit("")), F.regexp_extract(match, insensitive, 0))
+
+    return F.when(text.rlike(insensitive), let(text, of_match))
 
 
 def unescape_entities(text: Column) -> Column:
