@@ -19,10 +19,11 @@ def latest_sidecar_record(
 
 
 def anti_unchanged_headers(
-    discovered: DataFrame, sidecar: DataFrame, url: str = "source_url", etag: str = "etag", last_modified: str = "last_modified"
-) -> DataFrame:
+    discovered: DataFrame, sidecar: DataFrame, url: str = "source_url", etag: str = "etag",
+    last_modified: str = "last_modified", tiebreak: Sequence[str] = ("_FILE_CONTENT_KEY",),
+) -> DataFrame:
     """Files to fetch: not those whose latest record has the same ETag, or the same Last-Modified."""
-    latest = latest_sidecar_record(sidecar).select(
+    latest = latest_sidecar_record(sidecar, tiebreak=tiebreak).select(
         F.col("_SOURCE_FILE_PATH").alias("__url"), F.col("_SOURCE_ETAG").alias("__etag"),
         F.col("_SOURCE_LAST_MODIFIED").alias("__modified"),
     )

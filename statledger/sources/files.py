@@ -9,7 +9,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,20 +96,16 @@ def scan_csv_strings(
     sep: str = ",",
     encoding: str = "utf-8",
     multi_line: bool = False,
-    trim_blank_null: bool = False,
+    trim: bool = False,
     positions: bool = False,
 ) -> DataFrame:
     """Headered CSV files, every column text, files with different headers stacked by name.
 
     ``columns``: the header all files share, if known; it saves the header scan. Otherwise files are grouped by
     header and each group is one read, because one read maps columns by position. ``multi_line`` is for fields with
-    line breaks inside; it makes a file unsplittable. ``trim_blank_null`` trims fields and reads empty ones as NULL.
+    line breaks inside; it makes a file unsplittable. Empty fields read NULL; ``trim`` also trims every field first.
     """
-    dialect = (
-        {"ignoreLeadingWhiteSpace": True, "ignoreTrailingWhiteSpace": True, "nullValue": "", "emptyValue": ""}
-        if trim_blank_null
-        else {"nullValue": "\u0000", "emptyValue": ""}
-    )
+    dialect = {"nullValue": "", "emptyValue": "", "ignoreLeadingWhiteSpace": trim, "ignoreTrailingWhiteSpace": trim}
 
     def read(group: Sequence[str], names: Sequence[str]) -> DataFrame:
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -183,8 +179,6 @@ def file_row_number(df: DataFrame, name: str = "_FILE_ROW_NUMBER") -> DataFrame:
     A row's number is its place in its block plus the rows of the file's earlier blocks. Read order is consecutive
     within a block, so only one row per block is aggregated and joined back.
     """
-    from pyspark.sql import Window
-
     blocks = df.groupBy(FILE_PATH, BLOCK_START).agg(F.min(READ_ORDER).alias("__first"), F.count("*").alias("__rows"))
     earlier = Window.partitionBy(FILE_PATH).orderBy(BLOCK_START).rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(
@@ -263,28 +257,33 @@ def scan_landed_files(spark: SparkSession, root: str, pattern: str = "*.csv") ->
     return listed.filter(F.col("file_path").contains("downloaded_at=")).withColumn("relative_path", relative_path(F.col("file_path"), root))
 
 
-def scan_manual_drop(
-    spark: SparkSession, root: str, series_id: str, sub_dataset_id: str, publication_pattern: str,
+def scan_manual_drop(spark: SparkSession, root: str, series_id: str, sub_dataset_id: str) -> DataFrame:
+    """(source_url) of everything dropped by hand for one target; contents are not read."""
+    folder = f"{root.rstrip('/')}/{series_id}/{sub_dataset_id}"
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return listed.select(F.col("path").alias("source_url"))
+
+
+def manual_candidates(
+    listed: DataFrame, series_id: str, sub_dataset_id: str, publication_pattern: str,
     period_rules: Sequence[tuple[str, str]] = (),
 ) -> DataFrame:
-    """Files dropped by hand for one target, with date and period read from their names."""
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(f"{root.rstrip('/')}/{series_id}/{sub_dataset_id}")
-        .select(F.col("path").alias("source_url"))
-    )
+    """Loadable files of a manual drop, with date and period read from their names."""
     name = F.element_at(F.split("source_url", "/"), -1)
     wanted = F.lower(F.col("source_url")).rlike(r"\.(?:" + "|".join(s[1:] for s in LANDED_SUFFIXES) + ")$")
     usable = [rule for rule in period_rules if rule[0] in ("file_name", "filename", "url_segment")]
     none = F.lit(None).cast("string")
-    return listed.filter(wanted).select(
-        F.lit(series_id).alias("series_id"),
-        F.lit(sub_dataset_id).alias("sub_dataset_id"),
-        "source_url",
-        name.alias("link_text"),
-        extract_by_pattern(name, publication_pattern).alias("publication_date"),
-        subject_period_rules(usable, none, F.col("source_url"), none, name).alias("subject_period_hint"),
+    return (
+        listed.filter(wanted)
+        .select("source_url", name.alias("link_text"))
+        .select(
+            F.lit(series_id).alias("series_id"),
+            F.lit(sub_dataset_id).alias("sub_dataset_id"),
+            "source_url",
+            "link_text",
+            extract_by_pattern(F.col("link_text"), publication_pattern).alias("publication_date"),
+            subject_period_rules(usable, none, F.col("source_url"), none, F.col("link_text")).alias("subject_period_hint"),
+        )
     )
 
 
@@ -343,11 +342,15 @@ def member_rows(members: DataFrame) -> DataFrame:
     return members.filter(F.col("file_type") == "csv").select("path", "member", "content").mapInPandas(_member_rows, MEMBER_ROW_SCHEMA)
 
 
-def skip_bad_files(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+def skip_bad_files(
+    spark: SparkSession, paths: Sequence[str], columns: Sequence[str], multi_line: bool = False, header: bool = True, glob: str = "*.csv"
+) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejected rows): rows that do not fit the header are set aside with their text, the rest loads."""
     schema = T.StructType([*[T.StructField(c, T.StringType()) for c in columns], T.StructField(CORRUPT, T.StringType())])
     rows = (
-        _csv_reader(spark, ",", "utf-8", multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=True)
+        _csv_reader(
+            spark, ",", "utf-8", multi_line, header, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, pathGlobFilter=glob
+        )
         .schema(schema)
         .csv(list(paths))
         .select("*", F.col("_metadata.file_path").alias("file_path"))
@@ -367,11 +370,14 @@ def load_tables(spark: SparkSession, tables: Mapping[str, Sequence[str]], **opti
     return loaded, spark.createDataFrame(failures, "table_name string, paths string, error string")
 
 
-def scan_sidecar_json(spark: SparkSession, path: str) -> DataFrame:
-    """Metadata documents, one per file, as the typed sidecar table; documents that do not parse are left out."""
+def scan_sidecar_json(spark: SparkSession, path: str, document_per_file: bool = False) -> DataFrame:
+    """Metadata documents as the typed sidecar table; documents that do not parse are left out.
+
+    The metadata dataset has one document per line; ``document_per_file`` reads indented documents, one per file.
+    """
     documents = (
         spark.read.schema(SIDECAR_DOCUMENT_SCHEMA)
-        .option("multiLine", True)
+        .option("multiLine", document_per_file)
         .option("mode", "DROPMALFORMED")
         .option("recursiveFileLookup", True)
         .json(path)

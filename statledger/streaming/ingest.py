@@ -85,16 +85,23 @@ def stream_ingest_csv(
     return start_batches(stream_csv(spark, root, columns, multi_line), checkpoint, write, once)
 
 
+def read_ingest(spark: SparkSession, out: str) -> DataFrame:
+    """The ingest table a stream has written so far."""
+    return spark.read.parquet(out).drop("batch")
+
+
 def _append_parquet(stream: DataFrame, out: str, checkpoint: str, once: bool) -> StreamingQuery:
     writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()
 
 
-def stream_ingest_sidecar(spark: SparkSession, root: str, out: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+def stream_ingest_sidecar(
+    spark: SparkSession, root: str, out: str, checkpoint: str, once: bool = True, document_per_file: bool = False
+) -> StreamingQuery:
     """Metadata documents to the sidecar table; the file sink's log makes it exactly once."""
     documents = (
         spark.readStream.schema(SIDECAR_DOCUMENT_SCHEMA)
-        .option("multiLine", True)
+        .option("multiLine", document_per_file)
         .option("mode", "DROPMALFORMED")
         .option("recursiveFileLookup", True)
         .json(root)
