@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statledger.functions.dates import plausible_publication, publication_source_flag
+from statledger.functions.dates import MIN_PLAUSIBLE_PUBLICATION, plausible_publication, publication_source_flag
 from statledger.functions.paths import load_id, partition_values, stage_relative_path
 from statledger.schemas import SIDECAR_COLUMNS
 
@@ -24,14 +24,16 @@ def join_array_text(values: Column) -> Column:
     return F.concat_ws(",", values)
 
 
-def sidecar_records(files: DataFrame, contract_version: str = "1.0") -> DataFrame:
+def sidecar_records(
+    files: DataFrame, contract_version: str = "1.0", minimum_publication: str = MIN_PLAUSIBLE_PUBLICATION
+) -> DataFrame:
     """Metadata documents of files about to land.
 
     ``files``: source_url, target_path, path_prefix, content_hash, publication_date, downloaded_at, ingested_at,
     series_id, sub_dataset_id, acquisition_method, fallback_reason, the six coverage columns, duration_type,
     duration_value, duration_unit, fiscal_year_start_month, breakdown_granularity (array), etag, last_modified.
     """
-    publication = plausible_publication(F.col("publication_date"))
+    publication = plausible_publication(F.col("publication_date"), minimum_publication)
 
     def text(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit(""))
