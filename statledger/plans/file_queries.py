@@ -14,10 +14,12 @@ from statledger.operators.quality import agg_csv_row_count
 from statledger.plans.fixtures import CTES, PAYLOAD, REQUIRES, f_discovered, f_ingest, f_sidecar, f_telemetry, table, with_ctes
 from statledger.plans.registry import query
 from statledger.schemas import SIDECAR_COLUMNS
-from statledger.session import scratch_path
+from statledger.session import scratch_path, ship_by_value
 from statledger.sources import files, sinks
 from statledger.streaming import ingest as streams
 
+ship_by_value(__name__)
+
 
 def _payload(spark, sf_dir):
     return f_ingest(spark, sf_dir).select(*[f"`{c}`" for c in PAYLOAD])

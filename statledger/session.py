@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 RUNTIME_CONF = {
@@ -55,3 +57,8 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, never reused path below the shared folder."""
     return os.path.join(shared_dir(spark), "statledger", f"{label}-{uuid.uuid4().hex}")
+
+
+def ship_by_value(module_name: str) -> None:
+    """Send a module's functions to Python workers as code, so that executors need not have this package installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])

@@ -24,6 +24,9 @@ from statledger.schemas import (
     SIDECAR_DOCUMENT_SCHEMA,
     SIDECAR_LONG_COLUMNS,
 )
+from statledger.session import ship_by_value
+
+ship_by_value(__name__)
 
 FILE_PATH, FILE_NAME, BLOCK_START, READ_ORDER = "__file_path", "__file_name", "__block_start", "__read_order"
 CORRUPT = "_corrupt_record"
