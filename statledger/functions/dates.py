@@ -46,7 +46,8 @@ def days_in_month(year: Column, month: Column) -> Column:
 
 
 def _int(text: Column) -> Column:
-    return text.try_cast("int")
+    # An absent part is '' or NULL: it is kept away from the cast, whose failure path is slow.
+    return F.nullif(text, F.lit("")).try_cast("int")
 
 
 def _parts(year: Column, month: Column, *rest: Column) -> Column:
@@ -68,7 +69,11 @@ def compact_datetime(parts: Column) -> Column:
             & minute.between(0, 59)
             & second.between(0, 59)
         )
-        return F.when(possible, F.format_string("%04d%02d%02dT%02d%02d%02d", year, month, day, hour, minute, second))
+        date, time = year * 10000 + month * 100 + day, hour * 10000 + minute * 100 + second
+        return F.when(
+            possible,
+            F.concat(F.lpad(date.cast("string"), 8, "0"), F.lit("T"), F.lpad(time.cast("string"), 6, "0")),
+        )
 
     return let(parts, written)
 
@@ -142,7 +147,8 @@ def normalize_datetime(value: Column) -> Column:
         already = F.when(text.rlike(r"^\d{8}T\d{6}$"), text)
         return F.coalesce(already, compact_datetime(F.coalesce(*shapes)))
 
-    return let(cleaned, of_cleaned)
+    # Every shape has a digit; most texts that are not dates have none.
+    return F.when(value.rlike(r"\d"), let(cleaned, of_cleaned))
 
 
 def subject_period_yyyymm(value: Column) -> Column:

@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statledger.functions.text import collapse_whitespace, unescape_entities
+from statledger.functions.text import collapse_whitespace, let, unescape_entities
 from statledger.functions.urls import url_resolve
 
-_HIDDEN = r"<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
-_TAG = "<[^>]*>"
-_ANCHOR = r"(?is)<a(\s[^>]*)>(.*?)</a\s*>"
+# One leading "<" for all alternatives: other characters are passed over without trying any of them.
+_HIDDEN = r"!--.*?--|script\b[^>]*>.*?</script\s*|style\b[^>]*>.*?</style\s*"
+_MARKUP = rf"(?is)<(?:{_HIDDEN}|[^>]*)>"
+_HIDDEN_OR_ANCHOR = rf"(?is)<(?:{_HIDDEN}|a\s[^>]*>.*?</a\s*)>"
+_ATTRIBUTES = r"(?is)^<a(\s[^>]*)>"
 _HREF = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
 def html_page_text(html: Column) -> Column:
     """Visible text: comments, scripts, styles and tags removed, references decoded, whitespace collapsed."""
-    return collapse_whitespace(unescape_entities(F.regexp_replace(html, f"(?is){_HIDDEN}|{_TAG}", " ")))
+    return collapse_whitespace(unescape_entities(F.regexp_replace(html, _MARKUP, " ")))
 
 
 def html_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -24,18 +26,29 @@ def html_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
     The page body is dropped as soon as its links are exploded, so later shuffles carry links only.
     """
-    visible = F.regexp_replace(F.col(html), f"(?is){_HIDDEN}", " ")
-    anchors = F.arrays_zip(
-        F.regexp_extract_all("__visible", F.lit(_ANCHOR), F.lit(1)).alias("attributes"),
-        F.regexp_extract_all("__visible", F.lit(_ANCHOR), F.lit(2)).alias("body"),
-    )
-    attributes = F.col("anchor.attributes")
-    href = F.coalesce(*[F.nullif(F.regexp_extract(attributes, _HREF, i), F.lit("")) for i in (1, 2, 3)])
-    text = collapse_whitespace(unescape_entities(F.regexp_replace(F.col("anchor.body"), f"(?is){_TAG}", " ")))
+    # Hidden sections are matched as well, so that anchors inside them are not: one pass over the page.
+    found = F.regexp_extract_all(F.col(html), F.lit(_HIDDEN_OR_ANCHOR), F.lit(0))
+    anchors = F.filter(found, lambda piece: F.lower(F.substring(piece, 1, 2)) == "<a")
+
+    def parsed(anchor: Column) -> Column:
+        def href_in(attributes: Column) -> Column:
+            values = [F.nullif(F.regexp_extract(attributes, _HREF, i), F.lit("")) for i in (1, 2, 3)]
+            return F.trim(unescape_entities(F.coalesce(*values)))
+
+        def link(href: Column) -> Column:
+            return F.struct(
+                href.alias("href"),
+                html_page_text(anchor).alias("link_text"),
+                url_resolve(F.col(url), href).alias("link_url"),
+            )
+
+        return let(let(F.regexp_extract(anchor, _ATTRIBUTES, 1), href_in), link)
+
+    # Everything about a link is worked out before the explode: filters on links then stay above it instead of being
+    # pushed into, and repeating, these expressions. The outer form keeps the page from being matched a second time
+    # only to test for links.
     return (
-        pages.select(F.col(url).alias("page_url"), visible.alias("__visible"))
-        .select("page_url", F.posexplode(anchors).alias("position", "anchor"))
-        .select("page_url", "position", F.trim(unescape_entities(href)).alias("href"), text.alias("link_text"))
+        pages.select(F.col(url).alias("page_url"), F.posexplode_outer(F.transform(anchors, parsed)).alias("position", "link"))
+        .select("page_url", "position", "link.*")
         .filter(F.col("href") != "")
-        .withColumn("link_url", url_resolve(F.col("page_url"), F.col("href")))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -181,38 +183,42 @@ def infer_period_coverage(
         ]
     )
 
-    def readings(e: Column) -> Column:
-        def of_months(months: Column) -> Column:
-            return F.struct(
-                coverage_rolling_12(e.text, months, e.source).alias("rolling"),
-                coverage_ytd(e.text, months, e.source, fiscal).alias("ytd"),
-                coverage_single_or_range(months, e.source).alias("months"),
-                F.when(F.size(months) == 0, coverage_daily(e.text, e.source)).alias("day"),
-            )
+    nothing_yet = F.lit(None).cast("struct<" + ",".join(f"{c}:string" for c in COVERAGE_COLUMNS) + ">")
 
-        return let(month_tokens(e.text), of_months)
-
-    def first(values: Column) -> Column:
-        return F.get(F.filter(values, lambda v: v.isNotNull()), F.lit(0))
-
-    # A declared fiscal file does not accept a calendar reading.
-    def declared(r: Column) -> Column:
-        fits = (duration_type != "fiscal_ytd") | (r.ytd["_SUBJECT_PERIOD_COVERAGE_TYPE"] == "fiscal_ytd")
-        return F.when(fits, r.ytd)
-
-    def conclude(read: Column) -> Column:
-        rolling_declared = (duration_type == "rolling") & (duration_value == 12) & (duration_unit == "month")
-        ytd_declared = duration_type.isin("calendar_ytd", "fiscal_ytd")
-        return F.coalesce(
-            coverage_yyyymm_hint(hint),
-            F.when(rolling_declared, first(F.transform(read, lambda r: r.rolling))),
-            F.when(ytd_declared, first(F.transform(read, declared))),
-            first(F.transform(read, lambda r: F.coalesce(r.rolling, r.ytd, r.months, r.day))),
-            unknown_coverage(),
+    def first_reading(read: Callable[[Column, Column], Column]) -> Column:
+        """The first source ``read`` makes something of; the sources after it are not looked at."""
+        return F.aggregate(
+            sources,
+            nothing_yet,
+            lambda found, e: F.coalesce(found, let(month_tokens(e.text), lambda months: read(e, months))),
         )
 
+    def rolling(e: Column, months: Column) -> Column:
+        return coverage_rolling_12(e.text, months, e.source)
+
+    def ytd(e: Column, months: Column) -> Column:
+        return coverage_ytd(e.text, months, e.source, fiscal)
+
+    def accepted_ytd(e: Column, months: Column) -> Column:
+        # A declared fiscal file does not accept a calendar reading.
+        fits = lambda c: (duration_type != "fiscal_ytd") | (c["_SUBJECT_PERIOD_COVERAGE_TYPE"] == "fiscal_ytd")
+        return let(ytd(e, months), lambda c: F.when(fits(c), c))
+
+    def any_kind(e: Column, months: Column) -> Column:
+        day = F.when(F.size(months) == 0, coverage_daily(e.text, e.source))
+        return F.coalesce(rolling(e, months), ytd(e, months), coverage_single_or_range(months, e.source), day)
+
+    rolling_declared = (duration_type == "rolling") & (duration_value == 12) & (duration_unit == "month")
+    ytd_declared = duration_type.isin("calendar_ytd", "fiscal_ytd")
+    chosen = F.coalesce(
+        coverage_yyyymm_hint(hint),
+        F.when(rolling_declared, first_reading(rolling)),
+        F.when(ytd_declared, first_reading(accepted_ytd)),
+        first_reading(any_kind),
+        unknown_coverage(),
+    )
     return (
-        df.withColumn("__coverage", let(F.transform(sources, readings), conclude))
+        df.withColumn("__coverage", chosen)
         .withColumns({name: F.col(f"__coverage.{name}") for name in COVERAGE_COLUMNS})
         .drop("__coverage")
     )

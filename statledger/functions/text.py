@@ -158,9 +158,8 @@ def unescape_entities(text: Column) -> Column:
             F.concat(F.lit("&"), piece)
         )
 
-    pieces = F.split(text, "&")
-    decoded = F.concat(
-        F.element_at(pieces, 1),
-        F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), decode), ""),
-    )
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    def decode_all(pieces: Column) -> Column:
+        references = F.transform(F.slice(pieces, 2, F.size(pieces)), decode)
+        return F.concat(F.element_at(pieces, 1), F.array_join(references, ""))
+
+    return let(text, lambda t: F.when(t.contains("&"), let(F.split(t, "&"), decode_all)).otherwise(t))

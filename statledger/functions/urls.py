@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from statledger.functions.text import let
+
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 _ORIGIN = r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)"
 _PATH = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
@@ -52,11 +54,9 @@ def url_resolve(page_url: Column, href: Column) -> Column:
     base_no_fragment = F.regexp_extract(page_url, r"^([^#]*)", 1)
     href_path = F.regexp_extract(href, r"^([^?#]*)", 1)
     href_tail = F.substr(href, F.length(href_path) + 1)
-    directory = F.concat(F.regexp_extract(base_path, r"^(.*/)", 1))
-    joined = F.when(href.startswith("/"), href_path).otherwise(
-        F.concat(F.when(directory == "", F.lit("/")).otherwise(directory), href_path)
-    )
-    resolved = F.when(joined.rlike(r"/\.{1,2}(?:/|$)"), _remove_dot_segments(joined)).otherwise(joined)
+    directory = F.coalesce(F.nullif(F.regexp_extract(base_path, r"^(.*/)", 1), F.lit("")), F.lit("/"))
+    joined = F.when(href.startswith("/"), href_path).otherwise(F.concat(directory, href_path))
+    resolved = let(joined, lambda path: F.when(path.rlike(r"/\.{1,2}(?:/|$)"), _remove_dot_segments(path)).otherwise(path))
     return (
         F.when(href.rlike(_SCHEME), href)
         .when(href == "", page_url)

@@ -231,41 +231,47 @@ def cap_discovered(
 
 
 def best_link_for_example(examples: DataFrame, links: DataFrame, prefix_length: int = 24) -> DataFrame:
-    """Link text on the same page for each example file: the first link that ends in its file name, else contains it.
-
-    ``examples`` has page_url and example_url, ``links`` page_url, position, href and link_text. A link is keyed by
-    its own substrings of the file-name lengths that occur (a bounded set of ints), so containment is an equi-join on
-    exact matches; the first match per page and name is aggregated before it meets the examples.
-    Output: page_url, example_url, link_text.
+    """Link text on the same page for each example file: the first link that ends in its file name, else contains it
+    (or ends in the name's first ``prefix_length`` characters).
+
+    ``examples`` has page_url and example_url, ``links`` page_url, position, href and link_text. Both sides meet on
+    (page, key): a name's key are its last 1, 2, 4, 8 … characters, as many as fit, a link's keys its own substrings
+    of the lengths in use. A link that contains a name contains its key, so nothing is missed, and as the key is more
+    than half of the name few meetings fail the test that follows. The first match per page and name is aggregated
+    before it meets the examples. Output: page_url, example_url, link_text.
     """
     tail = F.lower(F.regexp_extract(url_path(F.col("example_url")), r"([^/]*)$", 1))
     wanted = examples.select("page_url", "example_url", tail.alias("tail")).filter(F.col("tail") != "")
     tails = wanted.select("page_url", "tail").distinct()
-    lengths = sorted(r[0] for r in tails.select(F.length("tail")).distinct().collect())
-    heads = sorted({min(n, prefix_length) for n in lengths})
-    low = links.select("page_url", "position", "link_text", F.lower(F.col("href")).alias("href"))
-
-    def ends(sizes: Sequence[int]) -> Column:
-        fitting = F.filter(F.lit(list(sizes)).cast("array<int>"), lambda n: n <= F.length("href"))
-        return F.transform(fitting, lambda n: F.substr(F.col("href"), F.length("href") - n + 1, n))
-
-    def parts(sizes: Sequence[int]) -> Column:
-        fitting = F.filter(F.lit(list(sizes)).cast("array<int>"), lambda n: n <= F.length("href"))
-        starts = lambda n: F.sequence(F.lit(1), F.length("href") - n + 1)
-        return F.array_distinct(
-            F.flatten(F.transform(fitting, lambda n: F.transform(starts(n), lambda at: F.substr(F.col("href"), at, n))))
-        )
-
-    def keyed(keys: Column, looseness: int, source: DataFrame) -> DataFrame:
-        return source.select("page_url", F.explode(keys).alias("key"), F.lit(looseness).alias("looseness"), "position", "link_text")
-
-    whole = keyed(ends(lengths), 0, low.filter(F.col("link_text") != "")).unionByName(keyed(parts(lengths), 1, low))
-    start = keyed(ends(heads), 1, low)
-    columns = ["page_url", "tail", "looseness", "position", "link_text"]
-    by_head = tails.withColumn("key", F.substring("tail", 1, prefix_length))
-    matches = (
-        whole.join(tails.withColumn("key", F.col("tail")), ["page_url", "key"]).select(columns)
-        .unionByName(start.join(by_head, ["page_url", "key"]).select(columns))
-    )
-    best = matches.groupBy("page_url", "tail").agg(F.min_by("link_text", F.struct("looseness", "position")).alias("link_text"))
+    lengths = [r[0] for r in tails.select(F.length("tail")).distinct().collect()]
+    sizes = sorted({1 << (min(n, m).bit_length() - 1) for n in lengths for m in (n, prefix_length)})
+
+    def size_of(text: Column) -> Column:
+        return F.pow(F.lit(2), F.floor(F.log2(F.length(text)))).cast("int")
+
+    def entry(part: str, text: Column) -> Column:
+        return F.struct(F.lit(part).alias("part"), F.right(text, size_of(text)).alias("key"))
+
+    head = F.substring("tail", 1, prefix_length)
+    parts = F.array(entry("whole", F.col("tail")), entry("head", head))
+    named = tails.select("page_url", "tail", head.alias("head"), F.explode(parts).alias("k")).select("page_url", "tail", "head", "k.*")
+
+    href = F.col("href")
+    fitting = F.filter(F.expr(f"cast(array({', '.join(map(str, sizes))}) as array<int>)"), lambda n: n <= F.length(href))
+    pieces = F.transform(
+        fitting, lambda n: F.transform(F.sequence(F.lit(1), F.length(href) - n + 1), lambda at: F.substr(href, at, n))
+    )
+    keyed = links.select("page_url", "position", "link_text", F.lower("href").alias("href")).withColumn(
+        "key", F.explode_outer(F.array_distinct(F.flatten(pieces)))
+    )
+    whole = (F.col("part") == "whole") & href.contains(F.col("tail"))
+    start = (F.col("part") == "head") & href.endswith(F.col("head"))
+    exact = whole & href.endswith(F.col("tail")) & (F.col("link_text") != "")
+    rank = F.struct(F.when(exact, 0).otherwise(1), F.col("position"))
+    best = (
+        keyed.join(named, ["page_url", "key"])
+        .filter(whole | start)
+        .groupBy("page_url", "tail")
+        .agg(F.min_by("link_text", rank).alias("link_text"))
+    )
     return wanted.join(best, ["page_url", "tail"]).select("page_url", "example_url", "link_text")

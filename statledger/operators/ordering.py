@@ -58,10 +58,13 @@ def running_sum(
 ) -> DataFrame:
     """Running sum of ``value`` within each key, the row itself included; ``order`` must be total.
 
-    The largest group is counted first (with partial aggregation). If it fits one task, this is a window. If not, the
-    rows are range-partitioned by key and order, written once so that the slices stay the same however often they are
-    read, summed per slice, and every row adds the sum of its key's earlier slices.
+    The input is checkpointed, so that what leads to it runs once, and its largest group is counted. If that group
+    fits one task, this is a window. If not, the rows are range-partitioned by key and order, written once so that the
+    slices stay the same however often they are read, summed per slice, and every row adds the sum of its key's
+    earlier slices.
     """
+    shared_dir(df.sparkSession)
+    df = df.checkpoint()
     counts = df.groupBy(*keys).count() if keys else df.agg(F.count("*").alias("count"))
     largest = counts.agg(F.max("count")).first()[0] or 0
     running = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -73,9 +76,7 @@ def running_sum(
 def _running_sum_by_slices(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, name: str
 ) -> DataFrame:
-    spark = df.sparkSession
-    shared_dir(spark)
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sliced = (
         df.withColumn("__value", value)
         .repartitionByRange(slices, *[F.col(k) for k in keys], *order)

@@ -80,28 +80,25 @@ def column_profile(df: DataFrame, table_name: str, approximate: bool = False, me
     """
     skipped = {c.upper() for c in metadata_columns}
     columns = [c for c in df.columns if c.upper() not in skipped]
-    known = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
-    pairs = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns])
-        ).alias("pair")
-    ).select("pair.*")
+    known = df.sparkSession.createDataFrame(list(enumerate(columns)), "place int, column_name string")
+    values = F.array(*[F.col(f"`{c}`").cast("string") for c in columns])
+    pairs = df.select(F.posexplode(values).alias("place", "value"))
     if approximate:
-        counted = pairs.groupBy("column_name").agg(
+        counted = pairs.groupBy("place").agg(
             F.count("*").alias("row_count"),
             F.count_if(F.col("value").isNull()).alias("null_count"),
             F.approx_count_distinct("value").alias("distinct_value_count"),
         )
     else:
-        per_value = pairs.groupBy("column_name", "value").agg(F.count("*").alias("n"))
-        counted = per_value.groupBy("column_name").agg(
+        per_value = pairs.groupBy("place", "value").agg(F.count("*").alias("n"))
+        counted = per_value.groupBy("place").agg(
             F.sum("n").alias("row_count"),
             F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("null_count"),
             F.count("value").alias("distinct_value_count"),
         )
     zero = F.lit(0).cast("long")
     row_count, null_count = F.coalesce("row_count", zero), F.coalesce("null_count", zero)
-    return known.join(counted, "column_name", "left").select(
+    return known.join(counted, "place", "left").select(
         F.lit(table_name).alias("raw_table_name"),
         "column_name",
         row_count.alias("row_count"),

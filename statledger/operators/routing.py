@@ -70,6 +70,8 @@ def output_hash_rule(outputs: DataFrame) -> DataFrame:
     Outputs are counted on (source) alone and joined back, so contents are not gathered per source.
     """
     counts = outputs.groupBy("source").agg(F.count("*").alias("__outputs"))
+    # Hashed before the join: where the content itself is not asked for, only its hash is shuffled.
+    hashed = outputs.withColumn("__own_hash", content_hash(F.col("content")))
     own = F.col("is_archive") | (F.col("__outputs") > 1)
-    chosen = F.when(own, content_hash(F.col("content"))).otherwise(F.col("source_hash"))
-    return outputs.join(counts, "source").withColumn("content_hash", chosen).drop("__outputs")
+    chosen = F.when(own, F.col("__own_hash")).otherwise(F.col("source_hash"))
+    return hashed.join(counts, "source").withColumn("content_hash", chosen).drop("__outputs", "__own_hash")

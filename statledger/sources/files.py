@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import zipfile
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -293,20 +293,38 @@ def manual_candidates(
 ZIP_SCHEMA = "path string, member string, file_name string, file_type string, content binary"
 
 
+# A batch for the JVM is full at this many rows or bytes.
+BATCH_ROWS, BATCH_BYTES = 2_000, 8_000_000
+
+
+def _in_batches(rows: Iterator[tuple], columns: list[str], size_of: Callable[[tuple], int]) -> Iterator[pd.DataFrame]:
+    batch: list[tuple] = []
+    size = 0
+    for row in rows:
+        batch.append(row)
+        size += size_of(row)
+        if len(batch) >= BATCH_ROWS or size >= BATCH_BYTES:
+            yield pd.DataFrame(batch, columns=columns)
+            batch, size = [], 0
+    if batch:
+        yield pd.DataFrame(batch, columns=columns)
+
+
 def _zip_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                for member in archive.namelist():
-                    suffix = "." + member.rsplit(".", 1)[-1].lower()
-                    if member.endswith("/") or suffix not in (".csv", ".xlsx", ".xls", ".ods"):
-                        continue
-                    row = (path, member, member.rsplit("/", 1)[-1], suffix[1:], archive.read(member))
-                    yield pd.DataFrame([row], columns=["path", "member", "file_name", "file_type", "content"])
+    def members() -> Iterator[tuple]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    for member in archive.namelist():
+                        suffix = "." + member.rsplit(".", 1)[-1].lower()
+                        if not member.endswith("/") and suffix in (".csv", ".xlsx", ".xls", ".ods"):
+                            yield path, member, member.rsplit("/", 1)[-1], suffix[1:], archive.read(member)
+
+    return _in_batches(members(), ["path", "member", "file_name", "file_type", "content"], lambda row: len(row[4]))
 
 
 def scan_zip_members(archives: DataFrame) -> DataFrame:
-    """One row per usable archive member; one member is in memory at a time. Input: (path, content) binary rows."""
+    """One row per usable archive member; members leave in batches of bounded size. Input: (path, content) rows."""
     return archives.select("path", "content").mapInPandas(_zip_members, ZIP_SCHEMA)
 
 
@@ -319,17 +337,15 @@ MEMBER_ROW_SCHEMA = "path string, member string, row_number long, fields array<s
 
 
 def _member_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, member, content in zip(batch["path"], batch["member"], batch["content"]):
-            text = io.TextIOWrapper(io.BytesIO(content), encoding="utf-8-sig" if _is_utf8(content) else "latin-1", newline="")
-            rows: list[tuple] = []
-            for number, fields in enumerate(csv.reader(text)):
-                rows.append((path, member, number, fields))
-                if len(rows) == 10_000:
-                    yield pd.DataFrame(rows, columns=["path", "member", "row_number", "fields"])
-                    rows = []
-            if rows:
-                yield pd.DataFrame(rows, columns=["path", "member", "row_number", "fields"])
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            for path, member, content in zip(batch["path"], batch["member"], batch["content"]):
+                encoding = "utf-8-sig" if _is_utf8(content) else "latin-1"
+                text = io.TextIOWrapper(io.BytesIO(content), encoding=encoding, newline="")
+                for number, fields in enumerate(csv.reader(text)):
+                    yield path, member, number, fields
+
+    return _in_batches(rows(), ["path", "member", "row_number", "fields"], lambda row: sum(map(len, row[3])))
 
 
 def _is_utf8(content: bytes) -> bool:
