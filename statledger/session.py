@@ -19,13 +19,19 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Settings that only a new session takes.
+STATIC_CONF = {
+    # Column expressions are built without recording a Python stack trace each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def build_session(app_name: str = "statledger", master: str | None = None, **conf: str) -> SparkSession:
     """Create or reuse a session with the library's settings; ``conf`` overrides them."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**RUNTIME_CONF, **STATIC_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

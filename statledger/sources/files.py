@@ -35,6 +35,10 @@ CORRUPT = "_corrupt_record"
 CP1252_UNDEFINED = ["81", "8D", "8F", "90", "9D"]
 _C1 = bytes(b for b in range(0x80, 0xA0) if f"{b:02X}" not in CP1252_UNDEFINED)
 
+CP1252_NAMES = ("cp1252", "windows-1252")
+# What the reader makes of those bytes as ISO-8859-1, and what they mean.
+_CP1252_PAIR = (_C1.decode("latin-1"), _C1.decode("cp1252"))
+
 LANDED_SUFFIXES = [".csv", ".zip", ".xlsx", ".xls", ".ods"]
 
 
@@ -52,15 +56,23 @@ def _csv_reader(spark: SparkSession, sep: str, encoding: str, multi_line: bool,
     return reader.options(**options)
 
 
-def _with_position(df: DataFrame) -> DataFrame:
-    """Payload columns plus where each row was read from."""
-    return df.select(
-        "*",
-        F.col("_metadata.file_path").alias(FILE_PATH),
-        F.col("_metadata.file_name").alias(FILE_NAME),
+def plain_path(encoded: Column) -> Column:
+    """A path from the ``_metadata`` column, which is %-encoded, as it is written."""
+    return F.coalesce(F.try_url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B"))), encoded)
+
+
+def position_columns() -> list[Column]:
+    """Where a row was read from: file path, file name, start of the block."""
+    return [
+        plain_path(F.col("_metadata.file_path")).alias(FILE_PATH),
+        plain_path(F.col("_metadata.file_name")).alias(FILE_NAME),
         F.col("_metadata.file_block_start").alias(BLOCK_START),
-        F.monotonically_increasing_id().alias(READ_ORDER),
-    )
+    ]
+
+
+def _with_position(df: DataFrame) -> DataFrame:
+    """Payload columns plus where, and in which order, each row was read."""
+    return df.select("*", *position_columns(), F.monotonically_increasing_id().alias(READ_ORDER))
 
 
 def scan_headers(spark: SparkSession, paths: Sequence[str], sep: str = ",", encoding: str = "utf-8") -> DataFrame:
@@ -74,16 +86,19 @@ def scan_headers(spark: SparkSession, paths: Sequence[str], sep: str = ",", enco
         .text(list(paths))
         .select(
             "value",
-            F.col("_metadata.file_path").alias("file_path"),
+            plain_path(F.col("_metadata.file_path")).alias("file_path"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("read_order"),
         )
         .filter(F.col("block") == 0)
     )
     first = lines.groupBy("file_path").agg(F.min_by("value", "read_order").alias("line"))
-    text = F.regexp_replace(F.col("line"), "^\\ufeff|\\r$", "")
-    if encoding.lower() != "utf-8":
-        text = F.decode(F.col("line").cast("binary"), encoding)
+    text = F.col("line")
+    if encoding.lower() in CP1252_NAMES:
+        text = F.translate(F.decode(text.cast("binary"), "ISO-8859-1"), *_CP1252_PAIR)
+    elif encoding.lower() != "utf-8":
+        text = F.decode(text.cast("binary"), encoding)
+    text = F.regexp_replace(text, "^\\ufeff|\\r$", "")
     # One parsed record of unknown width: quoted fields may hold the separator.
     field = f'("(?:[^"]|"")*"|[^{sep}"]*)(?:{sep}|$)'
     raw = F.regexp_extract_all(text, F.lit(field), F.lit(1))
@@ -112,7 +127,7 @@ def scan_csv_strings(
 
     def read(group: Sequence[str], names: Sequence[str]) -> DataFrame:
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        if encoding.lower() in ("cp1252", "windows-1252"):
+        if encoding.lower() in CP1252_NAMES:
             df = decode_cp1252(_csv_reader(spark, sep, "ISO-8859-1", multi_line, **dialect).schema(schema).csv(list(group)))
         else:
             df = _csv_reader(spark, sep, encoding, multi_line, **dialect).schema(schema).csv(list(group))
@@ -134,7 +149,7 @@ def scan_csv_strings(
 
 def decode_cp1252(df: DataFrame) -> DataFrame:
     """Text read as ISO-8859-1 to windows-1252: they differ in 27 characters only, so this is one translate per column."""
-    latin, windows = _C1.decode("latin-1"), _C1.decode("cp1252")
+    latin, windows = _CP1252_PAIR
     return df.select(
         *[
             F.translate(F.col(f"`{f.name}`"), latin, windows).alias(f.name.translate(str.maketrans(latin, windows)))
@@ -148,9 +163,8 @@ def decode_cp1252(df: DataFrame) -> DataFrame:
 def repair_cp1252(text_as_latin1: Column) -> Column:
     """windows-1252 with undefined bytes replaced by U+FFFD."""
     undefined = bytes(int(h, 16) for h in CP1252_UNDEFINED).decode("latin-1")
-    return F.translate(
-        text_as_latin1, _C1.decode("latin-1") + undefined, _C1.decode("cp1252") + "�" * len(undefined)
-    )
+    latin, windows = _CP1252_PAIR
+    return F.translate(text_as_latin1, latin + undefined, windows + "\ufffd" * len(undefined))
 
 
 def detect_encoding(spark: SparkSession, paths: Sequence[str], candidates: Sequence[str] = ("utf-8", "cp1252", "latin-1")) -> DataFrame:
@@ -162,7 +176,7 @@ def detect_encoding(spark: SparkSession, paths: Sequence[str], candidates: Seque
     lines = (
         spark.read.option("recursiveFileLookup", True)
         .text(list(paths))
-        .select(F.col("_metadata.file_path").alias("file_path"), F.col("value"))
+        .select(plain_path(F.col("_metadata.file_path")).alias("file_path"), F.col("value"))
     )
     undefined = F.hex(F.col("value").cast("binary")).rlike("^(?:..)*?(?:" + "|".join(CP1252_UNDEFINED) + ")")
     tests = {
@@ -241,11 +255,9 @@ def load_metadata_columns(rows: DataFrame, sidecar: DataFrame, root: str) -> Dat
 
 
 def relative_path(path: Column, root: str) -> Column:
-    """Path below ``root``, whatever the URI scheme in front and without outer slashes; %-escapes decoded."""
+    """Path below ``root``, whatever the URI scheme in front and without outer slashes."""
     bare = root.split("://", 1)[-1] if "://" in root else root
-    decoded = F.url_decode(F.regexp_replace(path, r"\+", "%2B"))
-    tail = F.substring_index(decoded, bare.rstrip("/") + "/", -1)
-    return F.trim(tail, F.lit("/"))
+    return F.trim(F.substring_index(path, bare.rstrip("/") + "/", -1), F.lit("/"))
 
 
 def scan_landed_files(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
@@ -372,7 +384,7 @@ def skip_bad_files(
         )
         .schema(schema)
         .csv(list(paths))
-        .select("*", F.col("_metadata.file_path").alias("file_path"))
+        .select("*", plain_path(F.col("_metadata.file_path")).alias("file_path"))
     )
     # Always true, but it names every column: a record is judged whole, whatever columns the caller goes on to use.
     rows = rows.filter(F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in columns])) >= 0)

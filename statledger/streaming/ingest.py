@@ -16,12 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 from statledger.operators.telemetry import type_events
 from statledger.schemas import EVENT_LINE_SCHEMA, SIDECAR_DOCUMENT_SCHEMA
 from statledger.sources.files import (
-    BLOCK_START,
     CORRUPT,
-    FILE_NAME,
     FILE_PATH,
     READ_ORDER,
     load_metadata_columns,
+    position_columns,
     sidecar_table,
 )
 
@@ -38,12 +37,7 @@ def stream_csv(spark: SparkSession, root: str, columns: Sequence[str], multi_lin
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .csv(root)
-        .select(
-            "*",
-            F.col("_metadata.file_path").alias(FILE_PATH),
-            F.col("_metadata.file_name").alias(FILE_NAME),
-            F.col("_metadata.file_block_start").alias(BLOCK_START),
-        )
+        .select("*", *position_columns())
     )
 
 
