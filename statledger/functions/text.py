@@ -17,6 +17,9 @@ MONTH_WORD = (
     "|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
 )
 
+# Assertions about what surrounds a match: with one, groups must be read from the whole text.
+_LOOKS_AROUND = re.compile(r"\(\?[=!<]|\\[bBAZzG]|[$^]")
+
 # Where a name splits into words: acronym|Word, lower-or-digit|Upper, and any run of other characters.
 _WORD_BREAK = "(?<=[A-Z])(?=[A-Z][a-z])|(?<=[a-z0-9])(?=[A-Z])|[^A-Za-z0-9]+"
 
@@ -128,11 +131,14 @@ def first_regex_value(text: Column, pattern: str) -> Column:
     insensitive = f"(?i){pattern}"
     groups = re.compile(pattern).groups
 
-    def of_match(match: Column) -> Column:
-        parts = [F.nullif(F.regexp_extract(match, insensitive, i), F.lit("")) for i in range(1, groups + 1)]
-        return F.coalesce(F.nullif(F.concat_ws("_", *parts), F.lit("")), F.regexp_extract(match, insensitive, 0))
+    def joined(text: Column) -> Column:
+        parts = [F.nullif(F.regexp_extract(text, insensitive, i), F.lit("")) for i in range(1, groups + 1)]
+        return F.coalesce(F.nullif(F.concat_ws("_", *parts), F.lit("")), F.regexp_extract(text, insensitive, 0))
 
-    return F.when(text.rlike(insensitive), let(text, of_match))
+    if _LOOKS_AROUND.search(pattern):
+        return F.when(text.rlike(insensitive), let(text, joined))
+    # The text is searched once; the groups are read from what matched.
+    return let(F.regexp_extract(text, insensitive, 0), lambda match: F.when(match != "", joined(match)))
 
 
 def unescape_entities(text: Column) -> Column:

@@ -15,6 +15,19 @@ from statledger.session import shared_dir
 GROUP_LIMIT_THRESHOLD = 1000
 # A group up to this many rows is ranked by one task; a larger one is cut into range slices.
 MAX_GROUP_ROWS = 5_000_000
+# A join side of file-level metadata up to this many rows is broadcast, so that data rows need not be shuffled.
+MAX_BROADCAST_ROWS = 500_000
+
+
+def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``df`` for the small side of a join: worked out once, counted, and marked for broadcast if it is small enough.
+
+    For file-level rows (metadata, block offsets, winning files), whose number is far below that of data rows but not
+    bounded. Beyond ``max_rows`` the join is left to Spark: a shuffle whose skewed parts adaptive execution splits.
+    """
+    shared_dir(df.sparkSession)
+    stable = df.checkpoint()
+    return F.broadcast(stable) if stable.limit(max_rows + 1).count() <= max_rows else stable
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statledger.operators.ordering import first_per_key, rank_within
+from statledger.operators.ordering import first_per_key, rank_within, small_side
 from statledger.operators.shape import alias_columns
 from statledger.schemas import SIDECAR_VIEW_DEFAULTS
 
@@ -29,15 +29,17 @@ def dedup_latest_ingest(ingest: DataFrame) -> DataFrame:
 def join_sidecar_left(rows: DataFrame, sidecar: DataFrame) -> DataFrame:
     """Add the sidecar columns of the view to rows of the file they describe.
 
-    No broadcast hint: the sidecar grows with the number of files. Adaptive execution broadcasts it when its measured
-    size allows and splits a file that holds an outsized share of the rows when it does not.
+    The sidecar grows with the number of files: it is broadcast only if its counted rows allow, and otherwise joined
+    by a shuffle in which adaptive execution splits a file that holds an outsized share of the rows.
     """
     names = {c.lower() for c in sidecar.columns}
     columns = [
         F.col(f"m.{c}") if c.lower() in names else F.lit(None).cast("string").alias(c) for c in SIDECAR_VIEW_DEFAULTS
     ]
+    needed = ["_PAYLOAD_STAGE_PATH", *[c for c in SIDECAR_VIEW_DEFAULTS if c.lower() in names]]
+    described = small_side(sidecar.select(*needed))
     joined = rows.alias("p").join(
-        sidecar.alias("m"), F.col("p._SOURCE_FILE_PATH") == F.col("m._PAYLOAD_STAGE_PATH"), "left"
+        described.alias("m"), F.col("p._SOURCE_FILE_PATH") == F.col("m._PAYLOAD_STAGE_PATH"), "left"
     )
     return joined.select("p.*", *columns)
 
@@ -87,9 +89,13 @@ def publication_rank(presentation: DataFrame, period_columns: Sequence[str] = ()
 
 
 def join_current_revision(presentation: DataFrame, ranks: DataFrame, period_columns: Sequence[str] = ()) -> DataFrame:
-    """Rows of the files ranked 1; a NULL period matches nothing."""
+    """Rows of the files ranked 1; a NULL period matches nothing.
+
+    The winning files are found first, from the few columns that decides, and broadcast if they are few: the wide
+    rows are then filtered where they are.
+    """
     keys = [*FILE_KEYS, *(period_columns or SUBJECT_PERIOD)]
-    winners = ranks.filter(F.col("_PUBLICATION_RANK") == 1).select(*keys)
+    winners = small_side(ranks.filter(F.col("_PUBLICATION_RANK") == 1).select(*keys))
     return presentation.join(winners, keys, "inner").select(*[F.col(f"`{c}`") for c in presentation.columns])
 
 

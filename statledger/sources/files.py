@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from statledger.functions.dates import extract_by_pattern, subject_period_rules
 from statledger.functions.paths import load_id
-from statledger.operators.ordering import first_per_key
+from statledger.operators.ordering import first_per_key, small_side
 from statledger.operators.telemetry import blank_to_null_long, type_events
 from statledger.schemas import (
     EVENT_LINE_SCHEMA,
@@ -70,6 +70,16 @@ def position_columns() -> list[Column]:
     ]
 
 
+def _pin_splits(spark: SparkSession) -> None:
+    """Fix how files are cut into blocks for this session.
+
+    By default the cut depends on the number of cores, which changes when executors come and go; row positions are
+    read more than once and must come out the same.
+    """
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+
+
 def _with_position(df: DataFrame) -> DataFrame:
     """Payload columns plus where, and in which order, each row was read."""
     return df.select("*", *position_columns(), F.monotonically_increasing_id().alias(READ_ORDER))
@@ -141,6 +151,7 @@ def scan_csv_strings(
         groups = [(row.files, row["columns"]) for row in sorted(grouped.collect(), key=lambda r: min(r.files))]
     frames = [read(files, names) for files, names in groups]
     if positions:
+        _pin_splits(spark)
         frames = [_with_position(f) for f in frames]
     if not frames:
         raise FileNotFoundError(f"no CSV files below {list(paths)}")
@@ -190,22 +201,28 @@ def detect_encoding(spark: SparkSession, paths: Sequence[str], candidates: Seque
     return failed.select("file_path", chosen.alias("encoding"))
 
 
+def _block_offsets(df: DataFrame) -> DataFrame:
+    """Per block of every file: the read order of its first row and the rows of the file's earlier blocks."""
+    blocks = df.groupBy(FILE_PATH, BLOCK_START).agg(F.min(READ_ORDER).alias("__first"), F.count("*").alias("__rows"))
+    earlier = Window.partitionBy(FILE_PATH).orderBy(BLOCK_START).rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.select(
+        FILE_PATH, BLOCK_START, "__first", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__earlier")
+    )
+
+
+def _number(offsets: DataFrame, df: DataFrame, name: str) -> DataFrame:
+    joined = df.join(small_side(offsets), [FILE_PATH, BLOCK_START])
+    number = F.col(READ_ORDER) - F.col("__first") + F.col("__earlier") + 1
+    return joined.withColumn(name, number).drop("__first", "__earlier")
+
+
 def file_row_number(df: DataFrame, name: str = "_FILE_ROW_NUMBER") -> DataFrame:
     """1-based row number per file for rows read with ``positions``; rows are neither sorted nor shuffled.
 
     A row's number is its place in its block plus the rows of the file's earlier blocks. Read order is consecutive
     within a block, so only one row per block is aggregated and joined back.
     """
-    blocks = df.groupBy(FILE_PATH, BLOCK_START).agg(F.min(READ_ORDER).alias("__first"), F.count("*").alias("__rows"))
-    earlier = Window.partitionBy(FILE_PATH).orderBy(BLOCK_START).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select(
-        FILE_PATH, BLOCK_START, "__first", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__earlier")
-    )
-    return (
-        df.join(offsets, [FILE_PATH, BLOCK_START])
-        .withColumn(name, F.col(READ_ORDER) - F.col("__first") + F.col("__earlier") + 1)
-        .drop("__first", "__earlier")
-    )
+    return _number(_block_offsets(df), df, name)
 
 
 def parquet_row_number(spark: SparkSession, path: str, name: str = "_FILE_ROW_NUMBER") -> DataFrame:
@@ -248,10 +265,11 @@ def load_metadata_columns(rows: DataFrame, sidecar: DataFrame, root: str) -> Dat
         [F.col("_INGESTED_AT").desc_nulls_last(), F.col("_FILE_CONTENT_KEY").desc()],
     ).select("__target", *[F.col(c).alias(f"__m{c}") for c in meta])
     payload = [c for c in rows.columns if c not in (FILE_PATH, FILE_NAME, BLOCK_START, READ_ORDER)]
-    numbered = file_row_number(rows)
-    relative = relative_path(F.col(FILE_PATH), root)
-    joined = numbered.withColumn("__relative", relative).join(index, F.col("__relative") == F.col("__target"), "left")
-    return ingest_default_columns(joined, "__m").select(*INGEST_COLUMNS, *[F.col(f"`{c}`") for c in payload])
+    # Metadata joins the blocks, of which there are few; the rows then take number and metadata from one join.
+    offsets = _block_offsets(rows).withColumn("__relative", relative_path(F.col(FILE_PATH), root))
+    described = offsets.join(index, F.col("__relative") == F.col("__target"), "left").drop("__relative", "__target")
+    numbered = _number(described, rows, "_FILE_ROW_NUMBER")
+    return ingest_default_columns(numbered, "__m").select(*INGEST_COLUMNS, *[F.col(f"`{c}`") for c in payload])
 
 
 def relative_path(path: Column, root: str) -> Column:
