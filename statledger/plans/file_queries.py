@@ -94,46 +94,46 @@ def detect_encoding(spark, sf_dir):
 def _zip_parts(batches):
     for batch in batches:
         rows = []
-        for key, name, brand in zip(batch["p_partkey"], batch["p_name"], batch["p_brand"]):
+        for key, name, brand, kind in zip(batch["p_partkey"], batch["p_name"], batch["p_brand"], batch["p_type"]):
             buffer = io.BytesIO()
             with zipfile.ZipFile(buffer, "w") as archive:
                 archive.writestr("data/", "")
-                archive.writestr(f"data/{key}.csv", f'key,name\n{key},"{name}, {brand}"\n')
-                archive.writestr(f"other/{key}.CSV", f"brand\n{brand}\n\n")
                 archive.writestr("readme.txt", name)
-                archive.writestr("book.xlsx", brand)
+                if kind != "SMALL":
+                    archive.writestr(f"data/{key}.csv", f'key,name\n{key},"{name}, {brand}"\n')
+                    archive.writestr(f"other/{key}.CSV", f"brand\n{brand}\n\n")
+                    archive.writestr("book.xlsx", brand)
             rows.append((f"part-{key}.zip", buffer.getvalue()))
         yield pd.DataFrame(rows, columns=["path", "content"])
 
 
 def _archives(spark, sf_dir):
-    """One archive per part, built inside the tasks."""
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
+    """One archive per part, built inside the tasks; those of small parts hold nothing usable."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     return parts.mapInPandas(_zip_parts, "path string, content binary")
 
 
 @query("scan_zip_members", """SELECT path, concat(d, k, e) AS member, concat(k, e) AS file_name, t AS file_type, CAST(n AS INTEGER) AS bytes FROM (
-SELECT concat('part-', p_partkey, '.zip') AS path, 'data/' AS d, CAST(p_partkey AS VARCHAR) AS k, '.csv' AS e, 'csv' AS t, strlen(concat('key,name#', p_partkey, ',"', p_name, ', ', p_brand, '"#')) AS n FROM part
-UNION ALL SELECT concat('part-', p_partkey, '.zip'), 'other/', CAST(p_partkey AS VARCHAR), '.CSV', 'csv', strlen(concat('brand#', p_brand, '##')) FROM part
-UNION ALL SELECT concat('part-', p_partkey, '.zip'), '', 'book', '.xlsx', 'xlsx', strlen(p_brand) FROM part)""")
+SELECT concat('part-', p_partkey, '.zip') AS path, 'data/' AS d, CAST(p_partkey AS VARCHAR) AS k, '.csv' AS e, 'csv' AS t, strlen(concat('key,name#', p_partkey, ',"', p_name, ', ', p_brand, '"#')) AS n FROM part WHERE p_type <> 'SMALL'
+UNION ALL SELECT concat('part-', p_partkey, '.zip'), 'other/', CAST(p_partkey AS VARCHAR), '.CSV', 'csv', strlen(concat('brand#', p_brand, '##')) FROM part WHERE p_type <> 'SMALL'
+UNION ALL SELECT concat('part-', p_partkey, '.zip'), '', 'book', '.xlsx', 'xlsx', strlen(p_brand) FROM part WHERE p_type <> 'SMALL')""")
 def scan_zip_members(spark, sf_dir):
     members = files.scan_zip_members(_archives(spark, sf_dir))
     return members.select("path", "member", "file_name", "file_type", F.length("content").alias("bytes"))
 
 
-@query("scan_zip_member_rows", """SELECT concat('part-', p_partkey, '.zip') AS path, concat('data/', p_partkey, '.csv') AS member, CAST(1 AS BIGINT) AS row_number, concat(p_partkey, '|', p_name, ', ', p_brand) AS fields FROM part
-UNION ALL SELECT concat('part-', p_partkey, '.zip'), concat('other/', p_partkey, '.CSV'), 1, p_brand FROM part""")
+@query("scan_zip_member_rows", """SELECT concat('part-', p_partkey, '.zip') AS path, concat('data/', p_partkey, '.csv') AS member, CAST(1 AS BIGINT) AS row_number, concat(p_partkey, '|', p_name, ', ', p_brand) AS fields FROM part WHERE p_type <> 'SMALL'
+UNION ALL SELECT concat('part-', p_partkey, '.zip'), concat('other/', p_partkey, '.CSV'), 1, p_brand FROM part WHERE p_type <> 'SMALL'""")
 def scan_zip_member_rows(spark, sf_dir):
     rows = files.member_rows(files.scan_zip_members(_archives(spark, sf_dir)))
     data = rows.filter((F.col("row_number") > 0) & (F.size("fields") > 0))
     return data.withColumn("fields", F.concat_ws("|", "fields"))
 
 
-@query("archives_without_members", "SELECT concat('part-', p_partkey, '.zip') AS path FROM part WHERE p_partkey % 5 = 0")
+@query("archives_without_members", "SELECT concat('part-', p_partkey, '.zip') AS path FROM part WHERE p_type = 'SMALL'")
 def archives_without_members(spark, sf_dir):
     archives = _archives(spark, sf_dir)
-    members = files.scan_zip_members(archives.filter(F.regexp_extract("path", r"(\d+)", 1).cast("int") % 5 != 0))
-    return files.archives_without_members(archives, members)
+    return files.archives_without_members(archives, files.scan_zip_members(archives))
 
 
 def _landing_files(spark, sf_dir):
@@ -248,13 +248,13 @@ def _land(spark, sf_dir, path):
     sinks.sink_landing_partitions(stamped, path)
 
 
-@query("sink_landing_partitions", with_ctes("f_ingest") + """SELECT substring("Period", 1, 4) AS download_year, substring("Period", 5, 2) AS download_month, "Period" || '01T000000' AS downloaded_at, count(*) AS rows, sum("OrderKey") AS keys FROM f_ingest GROUP BY 1, 2, 3""")
+@query("sink_landing_partitions", with_ctes("f_ingest") + """SELECT substring("Period", 1, 4) AS download_year, substring("Period", 5, 2) AS download_month, "Period" || '01T000000' AS downloaded_at, count(*) AS rows, CAST(sum("OrderKey") AS BIGINT) AS keys FROM f_ingest GROUP BY 1, 2, 3""")
 def sink_landing_partitions(spark, sf_dir):
     path = scratch_path(spark, "landing")
     _land(spark, sf_dir, path)
     schema = "Period string, OrderKey long, `Org Code` long, priorityClass string, `c-d` double, download_year string, download_month string, downloaded_at string"
     rows = spark.read.schema(schema).option("header", True).csv(path)
-    return rows.groupBy("download_year", "download_month", "downloaded_at").agg(F.count("*").alias("rows"), F.sum("OrderKey").cast("decimal(38,0)").cast("long").alias("keys"))
+    return rows.groupBy("download_year", "download_month", "downloaded_at").agg(F.count("*").alias("rows"), F.sum("OrderKey").alias("keys"))
 
 
 @query("scan_landed_files", with_ctes("f_ingest") + """SELECT DISTINCT concat('download_year=', substring("Period", 1, 4), '/download_month=', substring("Period", 5, 2), '/downloaded_at=', "Period", '01T000000') AS folder FROM f_ingest""")
@@ -282,7 +282,7 @@ def _listed_sidecar(spark, path):
 
 
 @query("load_metadata_columns", with_ctes("f_ingest") + """SELECT "Period", CASE WHEN CAST(substring("Period", 6, 1) AS INTEGER) % 2 = 0 THEN TIMESTAMP '2024-01-01 00:00:00' ELSE TIMESTAMP '2024-03-01 06:00:00' END AS ingested_at, 'automated' AS method, '' AS reason,
- count(*) AS rows, sum("OrderKey") AS keys, true AS numbered, true AS identified FROM f_ingest GROUP BY 1, 2""")
+ count(*) AS rows, CAST(sum("OrderKey") AS BIGINT) AS keys, true AS numbered, true AS identified FROM f_ingest GROUP BY 1, 2""")
 def load_metadata_columns(spark, sf_dir):
     path = scratch_path(spark, "landing")
     _land(spark, sf_dir, path)

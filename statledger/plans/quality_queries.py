@@ -26,10 +26,10 @@ _FILE_STEP = discovery.LinkStep("a[href*='/files/']", r"data", ("csv",))
 
 
 def _seeds(spark, sf_dir, name):
-    return f_site(spark, sf_dir).filter(F.col("page_id") % 2 == 0).select(F.col("url").alias(name))
+    return f_site(spark, sf_dir).select(F.col("url").alias(name))
 
 
-_HOPS = """, hop1 AS (SELECT l.link_url AS page_url FROM site_links l JOIN site s ON s.url = l.page_url WHERE s.page_id % 2 = 0 AND regexp_matches(l.link_text, '(?i)release [0-9]{4}')),
+_HOPS = """, hop1 AS (SELECT l.link_url AS page_url FROM site_links l JOIN site s ON s.url = l.page_url WHERE regexp_matches(l.link_text, '(?i)release [0-9]{4}')),
 hop2 AS (SELECT l.* FROM site_links l JOIN hop1 USING (page_url) WHERE l.href LIKE '%/files/%' AND regexp_matches(l.link_text, '(?i)data') AND regexp_matches(lower(l.link_url), '[.]csv$'))"""
 
 
@@ -50,7 +50,7 @@ def discover_files(spark, sf_dir):
     return found.select("page_url", "source_url", "link_text", "publication_date", "subject_period_hint")
 
 
-@query("sibling_pages", with_ctes("site_links") + r""", seeds AS (SELECT DISTINCT url AS seed_url FROM site WHERE page_id % 2 = 0),
+@query("sibling_pages", with_ctes("site_links") + r""", seeds AS (SELECT DISTINCT url AS seed_url FROM site),
 c AS (SELECT s.seed_url, regexp_replace(trim(l.link_url), '/+$', '') AS page_url, l.position, l.link_text FROM site_links l JOIN seeds s ON s.seed_url = l.page_url),
 k AS (SELECT seed_url, page_url, min(position) AS position FROM c WHERE NOT regexp_matches(lower(page_url), '\.(csv|xlsx?|zip|xlsm|txt|json|xml|pdf|docx?|pptx?)($|\?)')
   AND regexp_matches(page_url, '(?i)e') AND regexp_matches(link_text, '(?i)^[a-r]') AND page_url <> regexp_replace(seed_url, '/+$', '') GROUP BY 1, 2)
@@ -61,7 +61,7 @@ def sibling_pages(spark, sf_dir):
     return discovery.sibling_pages(links, _seeds(spark, sf_dir, "seed_url"), url_pattern="E", text_pattern="^[a-r]", max_pages=4)
 
 
-@query("sibling_pages_by_period", with_ctes("site_links") + r""", seeds AS (SELECT DISTINCT url AS seed_url FROM site WHERE page_id % 2 = 0),
+@query("sibling_pages_by_period", with_ctes("site_links") + r""", seeds AS (SELECT DISTINCT url AS seed_url FROM site),
 k AS (SELECT s.seed_url, regexp_replace(trim(l.link_url), '/+$', '') AS page_url, min(l.position) AS position FROM site_links l JOIN seeds s ON s.seed_url = l.page_url
   WHERE regexp_matches(l.link_text, '^Release 20') AND NOT regexp_matches(lower(l.link_url), '[.](csv|zip)$') GROUP BY 1, 2)
 SELECT seed_url, seed_url AS page_url, 0 AS page_order FROM seeds UNION ALL SELECT seed_url, page_url, CAST(row_number() OVER (PARTITION BY seed_url ORDER BY position) AS INTEGER) FROM k""")
@@ -226,9 +226,9 @@ def agg_status_counts(spark, sf_dir):
     return quality.agg_status_counts(table(spark, sf_dir, "orders").select(status.alias("status")))
 
 
-@query("agg_csv_row_count", """SELECT c_custkey AS customer, count(o_orderkey) AS row_count FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderkey % 3 = 0 GROUP BY 1""")
+@query("agg_csv_row_count", """SELECT c_custkey AS customer, count(o_orderkey) AS row_count FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderstatus = 'P' GROUP BY 1""")
 def agg_csv_row_count(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 3 == 0).select(F.col("o_custkey").alias("customer"))
+    rows = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "P").select(F.col("o_custkey").alias("customer"))
     return quality.agg_csv_row_count(rows, table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer")), "customer")
 
 

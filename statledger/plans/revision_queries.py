@@ -152,10 +152,10 @@ def anti_unchanged_content_manual(spark, sf_dir):
     return found.select("source_url", "seq", "content_hash")
 
 
-@query("anti_missing_targets", """SELECT DISTINCT c_mktsegment, c_nationkey FROM customer WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_suppkey % 7 = 0)""")
+@query("anti_missing_targets", """SELECT DISTINCT c_mktsegment, c_nationkey FROM customer WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 8000)""")
 def anti_missing_targets(spark, sf_dir):
     targets = table(spark, sf_dir, "customer").select("c_mktsegment", "c_nationkey").distinct()
-    found = table(spark, sf_dir, "supplier").filter(F.col("s_suppkey") % 7 == 0).select(F.col("s_nationkey").alias("c_nationkey"))
+    found = table(spark, sf_dir, "supplier").filter(F.col("s_acctbal") > 8000).select(F.col("s_nationkey").alias("c_nationkey"))
     return changes.anti_missing_targets(targets, found, "c_nationkey")
 
 

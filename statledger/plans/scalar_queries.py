@@ -350,9 +350,9 @@ def link_text_generalize(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", text.generalize_link_text(written).alias("text"))
 
 
-@query("contains_date_text", with_ctes("dates") + "SELECT o_orderkey, shape IN (0, 1, 3, 5, 10) AS dated FROM dates WHERE shape NOT IN (7, 8, 9)")
+@query("contains_date_text", with_ctes("dates") + "SELECT o_orderkey, shape IN (0, 1, 3, 5, 10) AS dated FROM dates")
 def contains_date_text(spark, sf_dir):
-    df = f_date_text(spark, sf_dir).filter(~F.col("shape").isin(7, 8, 9))
+    df = f_date_text(spark, sf_dir)
     written = F.when(F.col("shape") == 5, F.concat(F.lit("may "), F.col("y"))).otherwise(F.col("text_value"))
     return df.select("o_orderkey", text.contains_date_text(written).alias("dated"))
 
