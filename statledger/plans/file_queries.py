@@ -355,7 +355,7 @@ def csv_row_count_files(spark, sf_dir):
     _land(spark, sf_dir, path)
     listed = files.scan_landed_files(spark, path)
     rows = files.scan_csv_strings(spark, [path], PAYLOAD, positions=True).withColumnRenamed(files.FILE_PATH, "file_path")
-    rows = rows.withColumn("file_path", files.relative_path(F.col("file_path"), path))
+    rows = rows.withColumn("file_path", files.relative_path(files.plain_path(F.col("file_path")), path))
     counts = agg_csv_row_count(rows, listed.select(F.col("relative_path").alias("file_path")))
     return counts.groupBy(F.regexp_extract("file_path", r"downloaded_at=(\d{6})", 1).alias("period")).agg(F.sum("row_count").alias("row_count"))
 

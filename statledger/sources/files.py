@@ -62,12 +62,8 @@ def plain_path(encoded: Column) -> Column:
 
 
 def position_columns() -> list[Column]:
-    """Where a row was read from: file path, file name, start of the block."""
-    return [
-        plain_path(F.col("_metadata.file_path")).alias(FILE_PATH),
-        plain_path(F.col("_metadata.file_name")).alias(FILE_NAME),
-        F.col("_metadata.file_block_start").alias(BLOCK_START),
-    ]
+    """Where a row was read from: file path and start of the block, as the reader names them (see ``plain_path``)."""
+    return [F.col("_metadata.file_path").alias(FILE_PATH), F.col("_metadata.file_block_start").alias(BLOCK_START)]
 
 
 def _pin_splits(spark: SparkSession) -> None:
@@ -264,12 +260,17 @@ def load_metadata_columns(rows: DataFrame, sidecar: DataFrame, root: str) -> Dat
         ["__target"],
         [F.col("_INGESTED_AT").desc_nulls_last(), F.col("_FILE_CONTENT_KEY").desc()],
     ).select("__target", *[F.col(c).alias(f"__m{c}") for c in meta])
-    payload = [c for c in rows.columns if c not in (FILE_PATH, FILE_NAME, BLOCK_START, READ_ORDER)]
-    # Metadata joins the blocks, of which there are few; the rows then take number and metadata from one join.
-    offsets = _block_offsets(rows).withColumn("__relative", relative_path(F.col(FILE_PATH), root))
-    described = offsets.join(index, F.col("__relative") == F.col("__target"), "left").drop("__relative", "__target")
-    numbered = _number(described, rows, "_FILE_ROW_NUMBER")
-    return ingest_default_columns(numbered, "__m").select(*INGEST_COLUMNS, *[F.col(f"`{c}`") for c in payload])
+    payload = [c for c in rows.columns if c not in (FILE_PATH, BLOCK_START, READ_ORDER)]
+    # Metadata and its defaults are settled per block, of which there are few; the rows take them and their number
+    # from one join.
+    path = plain_path(F.col(FILE_PATH))
+    offsets = _block_offsets(rows).withColumns(
+        {"__relative": relative_path(path, root), FILE_NAME: F.element_at(F.split(path, "/"), -1)}
+    )
+    described = ingest_default_columns(offsets.join(index, F.col("__relative") == F.col("__target"), "left"), "__m")
+    per_file = [c for c in INGEST_COLUMNS if c != "_FILE_ROW_NUMBER"]
+    blocks = described.select(FILE_PATH, BLOCK_START, "__first", "__earlier", *per_file)
+    return _number(blocks, rows, "_FILE_ROW_NUMBER").select(*INGEST_COLUMNS, *[F.col(f"`{c}`") for c in payload])
 
 
 def relative_path(path: Column, root: str) -> Column:
