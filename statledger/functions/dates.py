@@ -11,16 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from statledger.functions.text import collapse_whitespace, first_regex_value, let, strip_ordinals
+from statledger.functions.text import MONTH_NAMES, MONTHS, collapse_whitespace, first_regex_value, let, strip_ordinals
 
 # Fixed value: publication strings below this are not believed.
 MIN_PLAUSIBLE_PUBLICATION = "20100101T000000"
 
-MONTHS = [
-    "january", "february", "march", "april", "may", "june",
-    "july", "august", "september", "october", "november", "december",
-]
-
 # Where a page states its date, in order of preference.
 PAGE_DATE_PATTERNS = [
     r"(?:published|last\s*updated)\s*:?\s*(\d{1,2}\s+[A-Za-z]{3,9}\s+\d{4}(?:\s+\d{1,2}:\d{2}(?::\d{2})?)?)",
@@ -28,7 +23,7 @@ PAGE_DATE_PATTERNS = [
     r"(?:published|last\s*updated)\s*:?\s*(\d{4}-\d{2}-\d{2}(?:T\d{2}:\d{2}(?::\d{2})?)?)",
 ]
 
-_FULL_OR_SHORT_MONTH = "(?:" + "|".join(MONTHS + [m[:3] for m in MONTHS]) + ")"
+_FULL_OR_SHORT_MONTH = f"(?:{MONTH_NAMES})"
 _SHORT_MONTH = "(?:" + "|".join(m[:3] for m in MONTHS) + ")"
 
 

@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 # Texts that stand for "nothing here" in inventories.
 NONE_LIKE = ["", "none", "n/a", "na"]
 
+MONTHS = [
+    "january", "february", "march", "april", "may", "june",
+    "july", "august", "september", "october", "november", "december",
+]
+# Alternations of month names: full and three-letter ones, and as they appear in running text.
+MONTH_NAMES = "|".join(MONTHS + [m[:3] for m in MONTHS])
 MONTH_WORD = (
     "(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?"
     "|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
@@ -96,12 +102,8 @@ def clean_none_like(text: Column) -> Column:
 
 def generalize_link_text(text: Column) -> Column:
     """Drop bracketed parts, month-year mentions and bare years, so the text fits every release."""
-    month_names = (
-        "january|february|march|april|may|june|july|august|september|october|november|december"
-        "|jan|feb|mar|apr|jun|jul|aug|sep|sept|oct|nov|dec"
-    )
     text = F.regexp_replace(text, r"\([^)]*\)", " ")
-    text = F.regexp_replace(text, rf"(?i)\b(?:{month_names})\b\s*[-/]?\s*\d{{2,4}}\b", " ")
+    text = F.regexp_replace(text, rf"(?i)\b(?:{MONTH_NAMES}|sept)\b\s*[-/]?\s*\d{{2,4}}\b", " ")
     return collapse_whitespace(F.regexp_replace(text, r"\b\d{4}\b", " "))
 
 
@@ -112,13 +114,9 @@ def contains_date_text(text: Column) -> Column:
 
 def period_pattern_type(text: Column) -> Column:
     """How periods are written in ``text``: fiscal year and month, compact month-year, or month and year."""
-    month_names = (
-        "jan|january|feb|february|mar|march|apr|april|may|jun|june|jul|july|aug|august"
-        "|sep|september|oct|october|nov|november|dec|december"
-    )
     return (
-        F.when(text.rlike(rf"(?i)\d{{4}}[-/]\d{{2}}[-\s_/](?:{month_names})"), F.lit("fiscal_year_and_month"))
-        .when(text.rlike(rf"(?i)(?:{month_names})\d{{2,4}}"), F.lit("compact_month_year"))
+        F.when(text.rlike(rf"(?i)\d{{4}}[-/]\d{{2}}[-\s_/](?:{MONTH_NAMES})"), F.lit("fiscal_year_and_month"))
+        .when(text.rlike(rf"(?i)(?:{MONTH_NAMES})\d{{2,4}}"), F.lit("compact_month_year"))
         .otherwise(F.lit("month_year"))
     )
 

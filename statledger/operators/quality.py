@@ -13,6 +13,7 @@ from statledger.functions.paths import series_parts
 from statledger.operators.shape import union_all_tables
 from statledger.schemas import EVENT_NOT_NULL_COLUMNS, METADATA_COLUMNS
 
+# Fixed value: the one RAW table that holds run events instead of published rows.
 EVENTS_TABLE = "RAW_FUNCTION_APP_EVENTS"
 DRIFT_THRESHOLD = 0.20
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statledger.functions.text import screaming_snake_name
-from statledger.operators.ordering import first_per_key
 from statledger.schemas import METADATA_COLUMNS
 
 
@@ -107,8 +106,3 @@ def cells_to_table(named_cells: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Named cells back to one row per (file, sheet, row) with the given columns."""
     values = [F.max(F.when(F.col("column_name") == c, F.col("value"))).alias(c) for c in columns]
     return named_cells.groupBy("file", "sheet", "row").agg(*values)
-
-
-def latest_row_per(df: DataFrame, keys: Sequence[str], *newest: str) -> DataFrame:
-    """The row with the largest ``newest`` values per key."""
-    return first_per_key(df, keys, [F.col(c).desc_nulls_last() for c in newest])

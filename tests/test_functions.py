@@ -179,8 +179,8 @@ def test_link_subject_period(evaluate):
 
 
 def test_names(evaluate):
-    names = ["NHSNumber", "ODSCode", "XMLParserVersion", "A b", "c-d", "already_snake", "x1Y", "ABa", "__x__", "A&E (Type 1)"]
-    expected = ["NHS_NUMBER", "ODS_CODE", "XML_PARSER_VERSION", "A_B", "C_D", "ALREADY_SNAKE", "X1_Y", "A_BA", "X", "A_E_TYPE_1"]
+    names = ["ABCNumber", "XYZCode", "XMLParserVersion", "A b", "c-d", "already_snake", "x1Y", "ABa", "__x__", "A&E (Type 1)"]
+    expected = ["ABC_NUMBER", "XYZ_CODE", "XML_PARSER_VERSION", "A_B", "C_D", "ALREADY_SNAKE", "X1_Y", "A_BA", "X", "A_E_TYPE_1"]
     assert [text.screaming_snake_name(n) for n in names] == expected
     assert evaluate(lambda c: text.screaming_snake(F.col(c)), names) == expected
     assert evaluate(lambda c: text.normalize_identifier(F.col(c)), ["a-b c/d"]) == ["A_B_C_D"]

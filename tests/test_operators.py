@@ -76,7 +76,7 @@ def test_raw_view_defaults_and_current_revision(spark):
             ("2026-03-01", "c.csv", "c.csv", 1, "k3", "automated", "", "k3", "2026-02", "4"),
         ],
         "at string, _SOURCE_FILE_PATH string, _SOURCE_FILE_NAME string, _FILE_ROW_NUMBER long, _FILE_CONTENT_KEY string, "
-        "_ACQUISITION_METHOD string, _FALLBACK_REASON string, _LOAD_ID string, Period string, `NHSNumber` string",
+        "_ACQUISITION_METHOD string, _FALLBACK_REASON string, _LOAD_ID string, Period string, `ABCNumber` string",
     ).select(F.col("at").cast("timestamp").alias("_INGESTED_AT"), "*").drop("at")
     sidecar = spark.createDataFrame([], SIDECAR_SCHEMA)
     described = {"_PAYLOAD_STAGE_PATH": "a.csv", "_PUBLICATION_DATE": "20260301T000000", "_SUBJECT_PERIOD_FROM": "20260101T000000"}
@@ -86,15 +86,15 @@ def test_raw_view_defaults_and_current_revision(spark):
     assert raw.filter("_FILE_SCOPE_DURATION_VALUE is null").count() == 4
     current = revisions.current_revision(raw, ["PERIOD"])
     # a.csv is published, b.csv is not; the row without a period matches nothing.
-    assert rows(current, "PERIOD", "NHS_NUMBER") == [("2026-01", "1"), ("2026-02", "4")]
+    assert rows(current, "PERIOD", "ABC_NUMBER") == [("2026-01", "1"), ("2026-02", "4")]
     assert "_LOADED_AT" in current.columns
     assert revisions.current_revision(raw, [], "rolling") is None
     assert revisions.current_revision(raw, ["PERIOD"], "rolling") is not None
-    assert rows(revisions.presentation_select(raw, strict=True), "NHS_NUMBER") == []
+    assert rows(revisions.presentation_select(raw, strict=True), "ABC_NUMBER") == []
 
 
 def test_aliases():
-    assert shape.aliases(["NHSNumber", "ODSCode", "XMLParserVersion"]) == ["NHS_NUMBER", "ODS_CODE", "XML_PARSER_VERSION"]
+    assert shape.aliases(["ABCNumber", "XYZCode", "XMLParserVersion"]) == ["ABC_NUMBER", "XYZ_CODE", "XML_PARSER_VERSION"]
     assert shape.aliases(["A b", "c-d", "_PUBLICATION_DATE"]) == ["A_B", "C_D", "_PUBLICATION_DATE"]
     assert shape.aliases(["A b", "a_b", "A-B", "x"]) == ["A_B", "A_B_2", "A_B_3", "X"]
     assert len(METADATA_COLUMNS) == 23
@@ -234,14 +234,14 @@ def test_sheet_routing(spark):
     got = routing.route_sheet_rules(sheets, rules)
     assert rows(got, "sheet", "object_suffix") == [("National", "RAW"), ("Trust data", "RAW")]
     assert rows(routing.unrouted_workbooks(sheets, rules)) == [("b2",)]
-    files = spark.createDataFrame([("x_mhs.csv", None), ("y.csv", None), ("z.csv", "p/sheet")], "file_name string, sheet_prefix string")
-    named = [routing.RouteRule("A", "p/a", ["MHS"]), routing.RouteRule("B", "p/b", ["x_"])]
+    files = spark.createDataFrame([("x_abc.csv", None), ("y.csv", None), ("z.csv", "p/sheet")], "file_name string, sheet_prefix string")
+    named = [routing.RouteRule("A", "p/a", ["ABC"]), routing.RouteRule("B", "p/b", ["x_"])]
     routed = routing.route_filename_rules(files, named, "p", sheet_prefix="sheet_prefix")
-    assert rows(routed, "file_name", "path_prefix") == [("x_mhs.csv", "p/a"), ("y.csv", "p"), ("z.csv", "p/sheet")]
+    assert rows(routed, "file_name", "path_prefix") == [("x_abc.csv", "p/a"), ("y.csv", "p"), ("z.csv", "p/sheet")]
 
 
 def test_selectors(spark):
-    hrefs = ["/a.csv", "/a.CSV", "/IUCADC-Provisional.xlsx", "/IUCADC.xlsx", "/b.zip"]
+    hrefs = ["/a.csv", "/a.CSV", "/REPORT-Provisional.xlsx", "/REPORT.xlsx", "/b.zip"]
     df = spark.createDataFrame([(h,) for h in hrefs], "h string")
 
     def kept(selector):
@@ -250,8 +250,8 @@ def test_selectors(spark):
     assert kept("a[href]") == hrefs
     assert kept("a[href$='.csv']") == ["/a.csv"]
     assert kept("a[href$='.csv' i]") == ["/a.csv", "/a.CSV"]
-    assert kept("a[href*='IUCADC']:not([href*='Provisional'])") == ["/IUCADC.xlsx"]
-    assert kept("a[href*='IUCADC'][href$='.xlsx'], a[href$=\".zip\"]") == hrefs[2:]
+    assert kept("a[href*='REPORT']:not([href*='Provisional'])") == ["/REPORT.xlsx"]
+    assert kept("a[href*='REPORT'][href$='.xlsx'], a[href$=\".zip\"]") == hrefs[2:]
     with pytest.raises(ValueError):
         kept("div > a.link")
 
