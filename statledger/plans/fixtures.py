@@ -26,34 +26,48 @@ def orders_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def f_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every fourth month has a second revision, every third month's files were loaded twice."""
-    one_or_two = F.array(F.lit(1), F.lit(2))
-    one = F.array(F.lit(1))
-    rows = (
-        orders_months(spark, sf_dir)
-        .withColumn("rev", F.explode(F.when(F.col("yyyymm") % 4 == 0, one_or_two).otherwise(one)))
-        .withColumn("copy", F.explode(F.when(F.col("yyyymm") % 3 == 0, one_or_two).otherwise(one)))
-        .withColumn("shard", F.floor(F.col("o_custkey") / 100))
+def _loads(df: DataFrame) -> DataFrame:
+    """Add ``rev`` and ``copy``: every fourth month has a second revision, every third month's files were loaded twice."""
+    one_or_two, one = F.array(F.lit(1), F.lit(2)), F.array(F.lit(1))
+    return df.withColumn("rev", F.explode(F.when(F.col("yyyymm") % 4 == 0, one_or_two).otherwise(one))).withColumn(
+        "copy", F.explode(F.when(F.col("yyyymm") % 3 == 0, one_or_two).otherwise(one))
     )
+
+
+def _shard() -> Column:
+    return F.floor(F.col("o_custkey") / 100)
+
+
+def _file_columns() -> dict[str, Column]:
+    """Ingest metadata of a load, from yyyymm, shard, rev and copy."""
     key = F.concat(F.lit("k-"), F.col("yyyymm"), F.lit("-"), F.col("shard"), F.lit("-"), F.col("rev"))
     first = F.col("rev") == 1
-    ingested = (
-        F.when(first & (F.col("copy") == 1), _ntz("2024-01-01 00:00:00"))
+    path = F.concat(F.lit("p="), F.col("yyyymm"), F.lit("/s="), F.col("shard"), F.lit("/rev="), F.col("rev"), F.lit(".csv"))
+    return {
+        "_INGESTED_AT": F.when(first & (F.col("copy") == 1), _ntz("2024-01-01 00:00:00"))
         .when(first, _ntz("2024-01-01 06:00:00"))
         .when(F.col("copy") == 1, _ntz("2024-02-01 00:00:00"))
-        .otherwise(_ntz("2024-02-01 06:00:00"))
-    )
-    return rows.select(
-        ingested.alias("_INGESTED_AT"),
-        F.concat(F.lit("p="), F.col("yyyymm"), F.lit("/s="), F.col("shard"), F.lit("/rev="), F.col("rev"), F.lit(".csv")).alias("_SOURCE_FILE_PATH"),
-        F.concat(F.lit("s"), F.col("shard"), F.lit("-rev"), F.col("rev"), F.lit(".csv")).alias("_SOURCE_FILE_NAME"),
+        .otherwise(_ntz("2024-02-01 06:00:00")),
+        "_SOURCE_FILE_PATH": path,
+        "_SOURCE_FILE_NAME": F.concat(F.lit("s"), F.col("shard"), F.lit("-rev"), F.col("rev"), F.lit(".csv")),
+        "_FILE_CONTENT_KEY": key,
+        "_ACQUISITION_METHOD": F.when(first, "automated").otherwise("manual"),
+        "_FALLBACK_REASON": F.when(first, "").otherwise("auto_discovery_empty"),
+        "_LOAD_ID": F.substring(key, 1, 16),
+        "Period": F.col("yyyymm").cast("string"),
+    }
+
+
+def f_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append-only loads of all files, repeated ones included."""
+    columns = {name: column.alias(name) for name, column in _file_columns().items()}
+    period = columns.pop("Period")
+    metadata = list(columns.values())
+    return _loads(orders_months(spark, sf_dir).withColumn("shard", _shard())).select(
+        *metadata[:3],
         F.col("o_orderkey").alias("_FILE_ROW_NUMBER"),
-        key.alias("_FILE_CONTENT_KEY"),
-        F.when(first, "automated").otherwise("manual").alias("_ACQUISITION_METHOD"),
-        F.when(first, "").otherwise("auto_discovery_empty").alias("_FALLBACK_REASON"),
-        F.substring(key, 1, 16).alias("_LOAD_ID"),
-        F.col("yyyymm").cast("string").alias("Period"),
+        *metadata[3:],
+        period,
         F.col("o_orderkey").alias("OrderKey"),
         F.col("o_custkey").alias("Org Code"),
         F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderpriority")).alias("priorityClass"),
@@ -61,14 +75,15 @@ def f_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _file_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per load of a file with its number of rows ``n``; files are counted before their names are made."""
+    files = orders_months(spark, sf_dir).groupBy("yyyymm", _shard().alias("shard")).agg(F.count("*").alias("n"))
+    return _loads(files).select("n", "copy", *[column.alias(name) for name, column in _file_columns().items()])
+
+
 def f_sidecar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata per file; every fifth month's is missing, some have no publication date."""
-    files = (
-        f_ingest(spark, sf_dir)
-        .select("_SOURCE_FILE_PATH", "_SOURCE_FILE_NAME", "_FILE_CONTENT_KEY", "_LOAD_ID", "Period", "_ACQUISITION_METHOD")
-        .distinct()
-        .filter(F.col("Period").cast("int") % 5 != 0)
-    )
+    files = _file_loads(spark, sf_dir).filter((F.col("copy") == 1) & (F.col("Period").cast("int") % 5 != 0))
     month = F.col("Period").cast("int")
     published = F.when(month % 8 != 1, F.concat("Period", F.when(F.col("_ACQUISITION_METHOD") == "automated", "15T090000").otherwise("20T090000")))
     return files.select(
@@ -94,11 +109,8 @@ def f_sidecar(spark: SparkSession, sf_dir: str) -> DataFrame:
 def f_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One upload event per file load."""
     month = F.col("Period").cast("int")
-    rows = F.count("*")
     return (
-        f_ingest(spark, sf_dir)
-        .groupBy("Period", "_LOAD_ID", "_ACQUISITION_METHOD", "_SOURCE_FILE_PATH", "_SOURCE_FILE_NAME", "_INGESTED_AT")
-        .agg(rows.alias("n"))
+        _file_loads(spark, sf_dir)
         .select(
             F.col("_INGESTED_AT").alias("EVENT_TIMESTAMP_UTC"),
             F.concat(F.lit("run-"), "Period").alias("RUN_ID"),
