@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statledger.llm import decontaminate, packing
+from statledger.llm import decontaminate, language_id, packing
 from statledger.llm.cluster import ship, table
 from statledger.llm.registry import query
 from statledger.llm.vocabularies import public_path
@@ -22,6 +22,20 @@ def _sql_words(members: str) -> str:
     )
 
 
+def remainder(divisor: int):
+    """crc32 of the id as text modulo ``divisor``; a missing id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % divisor
+
+
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from three quarters of them."""
+    docs = table(ship(spark), sf_dir, "documents")
+    model = language_id.train(docs.filter(remainder(4) != 2))
+    found = language_id.identify(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 # Words are joined by a space before they are compared, so that windows of different lengths never meet.
 _OP5_SQL = rf"""
 with d as (select doc_id, {_sql_words("0-9a-z\\x{80}-\\x{10FFFF}")} as w from documents),
