@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statledger.llm import decontaminate, language_id, packing
+from statledger.llm import decontaminate, language_id, packing, quality_rules
 from statledger.llm.cluster import ship, table
 from statledger.llm.registry import query
 from statledger.llm.vocabularies import public_path
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -85,3 +86,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens in full windows of 4096, 2048, 1024 or 512."""
     pieces = packing.pack_documents(table(ship(spark), sf_dir, "documents"), public_path(WORD_TOKENIZER), end_id=2)
     return packing.piece_digests(pieces)
+
+
+@query("op10_quality_rules")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of every document, and whether they and the tokeniser's fit keep it."""
+    judged = quality_rules.judge(table(ship(spark), sf_dir, "documents"), public_path(PIECE_TOKENIZER))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *base, "base_failed", "kept", *quality_rules.FERTILITY)

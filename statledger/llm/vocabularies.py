@@ -142,13 +142,28 @@ def _tails(words: pa.Array, heads: pa.Array) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(words), pa.py_buffer(out.astype(np.int64)), pa.py_buffer(raw))
 
 
+class SentencePieces(Vocabulary):
+    """The same for a sentencepiece model: each word is encoded by itself, as at the beginning of a text."""
+
+    def __init__(self, path: str):
+        from sentencepiece import SentencePieceProcessor
+
+        self.model = SentencePieceProcessor(model_file=path)
+        self.by_word, self.by_piece = True, False
+        self.is_byte = np.array([self.model.is_byte(i) for i in range(len(self.model))])
+        self.words, self.pieces = Memo(), Memo()
+
+    def _raw(self, texts: list[str]) -> list[bytes]:
+        return [np.asarray(x, dtype=self.dtype).tobytes() for x in self.model.encode(texts, num_threads=1)]
+
+
 _loaded: dict[str, Vocabulary] = {}
 
 
 def vocabulary(path: str) -> Vocabulary:
     """The vocabulary at ``path``, loaded once per process."""
     if path not in _loaded:
-        _loaded[path] = Vocabulary(path)
+        _loaded[path] = (SentencePieces if path.endswith(".model") else Vocabulary)(path)
     return _loaded[path]
 
 
