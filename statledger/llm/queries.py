@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statledger.llm import decontaminate, language_id, packing, quality_rules
+from statledger.llm import decontaminate, language_id, oracles, packing, quality_rules, secret_scan, url_filter
 from statledger.llm.cluster import ship, table
 from statledger.llm.registry import query
 from statledger.llm.vocabularies import public_path
@@ -13,12 +13,9 @@ from statledger.llm.vocabularies import public_path
 WORD_TOKENIZER = "word_bpe_49k.json"
 PIECE_TOKENIZER = "piece_bpe_32k.model"
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
 def _sql_words(members: str) -> str:
     return (
-        f"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), "
+        f"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{oracles.UPPER}', '{oracles.LOWER}'), "
         f"'[^{members}]+'), lambda w: w <> '')"
     )
 
@@ -94,3 +91,29 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(ship(spark), sf_dir, "documents"), public_path(PIECE_TOKENIZER))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select("doc_id", *base, "base_failed", "kept", *quality_rules.FERTILITY)
+
+
+URL_RULES = (
+    url_filter.Rule("org", "/", "allow"),
+    url_filter.Rule("example.org", "/es/", "block"),
+    url_filter.Rule("example.org", "/en/1", "block"),
+    url_filter.Rule("com", "/fr/", "allow"),
+    url_filter.Rule("com", "/de/", "block"),
+)
+
+
+@query("op8_url_filter", sql=oracles.url_filter_sql(URL_RULES))
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by rules, else by character language models learnt from what the rules judged."""
+    judged = url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op4_secret_scan", sql=oracles.secret_scan_sql())
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, and how many of them only one source has."""
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.report(docs, secret_scan.scan(docs))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_live"
+    )
