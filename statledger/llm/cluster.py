@@ -31,10 +31,15 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new path below the folder in spark.checkpoint.dir."""
+    return f"{shared_dir(spark)}/statledger/{label}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: lineage ends there, and a lost executor loses nothing."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/statledger/{label}-{uuid.uuid4().hex}"
+    path = shared_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statledger.llm import decontaminate, language_id, oracles, packing, quality_rules, secret_scan, url_filter
-from statledger.llm.cluster import ship, table
+from statledger.llm import decontaminate, language_id, oracles, packing, quality_rules, secret_scan, token_files, url_filter
+from statledger.llm.cluster import ship, shared_path, table
 from statledger.llm.registry import query
 from statledger.llm.vocabularies import public_path
 
@@ -117,3 +117,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_live"
     )
+
+
+@query("op6_token_files")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as coded files and read back."""
+    path = shared_path(ship(spark), "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, public_path(WORD_TOKENIZER), end_id=1)
+    found = token_files.read_token_files(spark, path)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
