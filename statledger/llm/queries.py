@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statledger.llm import decontaminate, language_id, oracles, packing, quality_rules, secret_scan, token_files, url_filter
+from statledger.llm import decontaminate, language_id, near_duplicates, oracles, packing, quality_rules, secret_scan, token_files, url_filter
 from statledger.llm.cluster import ship, shared_path, table
 from statledger.llm.registry import query
 from statledger.llm.vocabularies import public_path
@@ -13,10 +13,10 @@ from statledger.llm.vocabularies import public_path
 WORD_TOKENIZER = "word_bpe_49k.json"
 PIECE_TOKENIZER = "piece_bpe_32k.model"
 
-def _sql_words(members: str) -> str:
+def _sql_words(separators: str) -> str:
     return (
         f"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{oracles.UPPER}', '{oracles.LOWER}'), "
-        f"'[^{members}]+'), lambda w: w <> '')"
+        f"'[{separators}]+'), lambda w: w <> '')"
     )
 
 
@@ -34,10 +34,33 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+_OP2_SQL = f"""
+with recursive d as (select doc_id, {_sql_words("\\x20\\x09-\\x0D")} as w from documents),
+s as (
+  select distinct doc_id, array_to_string(w[i : i + least(len(w), 4) - 1], ' ') as k
+  from d, lateral (select unnest(range(1, len(w) - least(len(w), 4) + 2)) as i) where len(w) > 0
+),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select x.doc_id as a, y.doc_id as b, count(*) as common from s x join s y using (k) where x.doc_id <> y.doc_id group by all),
+e as (select a, b from p join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * common >= 80 * (na.n + nb.n - common)),
+r as (select distinct a as doc_id, a as z from e union select r.doc_id, e.b from r join e on r.z = e.a),
+c as (select doc_id, min(z) as lowest from r group by doc_id)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(lowest, doc_id) as component_id,
+  coalesce(lowest, doc_id) = doc_id as kept
+from documents left join n using (doc_id) left join c using (doc_id)
+"""
+
+
+@query("op2_minhash_near_dedup", sql=_OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of four-word shingles have a similarity of 0.8 or more."""
+    return near_duplicates.near_duplicates(table(ship(spark), sf_dir, "documents"), near_duplicates.Join(shingle=4))
+
+
 # Words are joined by a space before they are compared, so that windows of different lengths never meet.
 _OP5_SQL = rf"""
-with d as (select doc_id, {_sql_words("0-9a-z\\x{80}-\\x{10FFFF}")} as w from documents),
-b as (select item_id, {_sql_words("0-9a-z\\x{80}-\\x{10FFFF}")} as w from benchmark),
+with d as (select doc_id, {_sql_words("\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F")} as w from documents),
+b as (select item_id, {_sql_words("\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F")} as w from benchmark),
 bw as (
   select distinct item_id, least(len(w), 10) as m, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') as k
   from b, lateral (select unnest(range(1, len(w) - least(len(w), 10) + 2)) as i) where len(w) > 0

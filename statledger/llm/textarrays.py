@@ -141,5 +141,7 @@ def words(column: pa.Array, members: np.ndarray, lower: bool = True) -> Words:
 
 def sums_by_text(first: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Sum of each text's values; ``first`` as in Words."""
-    total = np.concatenate([[0], np.cumsum(values)])
+    running = np.cumsum(values)
+    total = np.zeros(len(running) + 1, running.dtype)
+    total[1:] = running
     return total[first[1:]] - total[first[:-1]]
