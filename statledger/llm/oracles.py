@@ -96,3 +96,39 @@ select page_id, host, path, rule,
   coalesce(j.action, case when score < (select (ma * sb + mb * sa) / (sa + sb) from q) then 'block' else 'allow' end) as verdict
 from j left join s using (url)
 """
+
+
+def licenses_sql(templates: Sequence[tuple[str, str]], least: float) -> str:
+    def tokens(text: str) -> str:
+        return (
+            f"list_filter(regexp_split_to_array(translate({text}, '{UPPER}', '{LOWER}'), "
+            f"'[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
+        )
+
+    values = ", ".join(f"({i}, {_quoted(name)}, {_quoted(text)})" for i, (name, text) in enumerate(templates))
+    return f"""
+with t as (select i as t, license, {tokens("body")} as w from (values {values}) v(i, license, body)),
+tb as (select t, license, array_to_string(w[i : i + 1], ' ') as k, count(*) as n from t, lateral (select unnest(range(1, len(w))) as i) group by all),
+ts as (select t, sum(n) as size from tb group by t),
+d as (select doc_id, replace(coalesce(text, ''), chr(13), ' ') as text from documents),
+g as (
+  select doc_id, 1 as level, unnest(string_split(text, chr(10))) as s, generate_subscripts(string_split(text, chr(10)), 1) as n from d
+  union all
+  select doc_id, 2, unnest(regexp_split_to_array(text, '\\n\\n+')), generate_subscripts(regexp_split_to_array(text, '\\n\\n+'), 1) from d
+  union all select doc_id, 3, text, 1 from d
+),
+w as (select doc_id, level, n, {tokens("s")} as w from g),
+b as (
+  select doc_id, level, n, array_to_string(w[i : i + 1], ' ') as k, count(*) as c
+  from w, lateral (select unnest(range(1, len(w))) as i) group by all
+),
+bs as (select doc_id, level, n, sum(c) as size from b group by all),
+i as (select doc_id, level, b.n, t, license, sum(least(c, tb.n)) as common from b join tb using (k) group by all),
+m as (
+  select doc_id, license, max(2 * common / (bs.size + ts.size)::double) as dice
+  from i join bs using (doc_id, level, n) join ts using (t) where 2 * common / (bs.size + ts.size)::double >= {least} group by all
+)
+select doc_id, count(license)::bigint as n_licenses, coalesce(string_agg(license, ',' order by license), '') as licenses,
+  coalesce(max(dice), 0.0)::double as best_dice
+from documents left join m using (doc_id) group by doc_id
+"""

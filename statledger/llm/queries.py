@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statledger.llm import decontaminate, language_id, near_duplicates, oracles, packing, quality_rules, secret_scan, token_files, url_filter
+from statledger.llm import decontaminate, language_id, licenses, near_duplicates, oracles, packing, quality_rules, secret_scan, token_files, url_filter
 from statledger.llm.cluster import ship, shared_path, table
 from statledger.llm.registry import query
 from statledger.llm.vocabularies import public_path
@@ -149,3 +149,15 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, public_path(WORD_TOKENIZER), end_id=1)
     found = token_files.read_token_files(spark, path)
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op7_license_scan", sql=oracles.licenses_sql(licenses.TEMPLATES, licenses.LEAST_DICE))
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences whose statement, notice or text is in a document."""
+    found = licenses.scan(table(ship(spark), sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("licenses").cast("long").alias("n_licenses"),
+        F.array_join("licenses.license", ",").alias("licenses"),
+        F.coalesce(F.array_max("licenses.dice"), F.lit(0.0)).alias("best_dice"),
+    )
