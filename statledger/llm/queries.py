@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statledger.llm import decontaminate, language_id, licenses, near_duplicates, oracles, packing, quality_rules, secret_scan, token_files, url_filter
+from statledger.llm import decontaminate, katz, language_id, licenses, near_duplicates, oracles, packing, quality_rules, secret_scan, token_files, url_filter
 from statledger.llm.cluster import ship, shared_path, table
 from statledger.llm.registry import query
 from statledger.llm.vocabularies import public_path
@@ -161,3 +161,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("licenses.license", ",").alias("licenses"),
         F.coalesce(F.array_max("licenses.dice"), F.lit(0.0)).alias("best_dice"),
     )
+
+
+@query("op1_katz_scoring")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents under a Katz backoff model learnt from four fifths of them."""
+    return katz.score(table(ship(spark), sf_dir, "documents"), remainder(5) == 1)
