@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statledger.functions.text import collapse_whitespace, let, unescape_entities
+from statledger.functions.text import collapse_whitespace, let, strip, unescape_entities
 from statledger.functions.urls import url_resolve
 
 # One leading "<" for all alternatives: other characters are passed over without trying any of them.
-_HIDDEN = r"!--.*?--|script\b[^>]*>.*?</script\s*|style\b[^>]*>.*?</style\s*"
-_MARKUP = rf"(?is)<(?:{_HIDDEN}|[^>]*)>"
-_HIDDEN_OR_ANCHOR = rf"(?is)<(?:{_HIDDEN}|a\s[^>]*>.*?</a\s*)>"
-_ATTRIBUTES = r"(?is)^<a(\s[^>]*)>"
+# A comment, script or style that is not closed goes on to the end of the page.
+_HIDDEN = r"!--.*?(?:-->|\z)|script\b[^>]*>.*?(?:</script\s*>|\z)|style\b[^>]*>.*?(?:</style\s*>|\z)"
+# The rest of a tag: a ">" in a quoted attribute does not end it.
+_REST = r"""[^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*"""
+_MARKUP = rf"(?is)<(?:{_HIDDEN}|/?[a-z]{_REST}>|[^>]*>)"
+# An anchor's text ends at its closing tag, or where the next anchor, a script or a style begins.
+_HIDDEN_OR_ANCHOR = rf"(?is)<(?:{_HIDDEN}|a\s{_REST}>.*?(?=</?a[\s>]|<script\b|<style\b|\z))"
+_ATTRIBUTES = rf"(?is)^<a(\s{_REST})>"
 _HREF = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
@@ -33,7 +37,7 @@ def html_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     def parsed(anchor: Column) -> Column:
         def href_in(attributes: Column) -> Column:
             values = [F.nullif(F.regexp_extract(attributes, _HREF, i), F.lit("")) for i in (1, 2, 3)]
-            return F.trim(unescape_entities(F.coalesce(*values)))
+            return strip(unescape_entities(F.coalesce(*values)))
 
         def link(href: Column) -> Column:
             return F.struct(

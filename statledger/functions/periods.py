@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statledger.functions.dates import days_in_month, month_number, normalize_datetime
-from statledger.functions.text import MONTH_WORD, let
+from statledger.functions.text import MONTH_WORD, let, plain_spaces, strip
 from statledger.functions.urls import url_filename
 
 # Order in which the evidence is tried.
@@ -33,7 +33,7 @@ def month_tokens(text: Column) -> Column:
         year = F.regexp_extract(mention, r"(\d+)$", 1).cast("int")
         return F.when(year < 100, year + 2000).otherwise(year) * 100 + month_number(mention)
 
-    return F.transform(F.regexp_extract_all(text, F.lit(_MONTH_YEAR), F.lit(0)), token)
+    return F.transform(F.regexp_extract_all(plain_spaces(text), F.lit(_MONTH_YEAR), F.lit(0)), token)
 
 
 def month_start(yyyymm: Column) -> Column:
@@ -74,7 +74,7 @@ def coverage_yyyymm_hint(hint: Column) -> Column:
         method, source = F.lit("subject_period_rule_yyyymm"), F.lit("subject_period_hint")
         return F.when(real, coverage(month_start(month), month_end(month), "single_month", method, source, "high"))
 
-    return let(F.trim(hint), hinted)
+    return let(strip(hint), hinted)
 
 
 def coverage_single_or_range(tokens: Column, source: Column) -> Column:

@@ -18,10 +18,12 @@ MONTHS = [
 ]
 # Alternations of month names: full and three-letter ones, and as they appear in running text.
 MONTH_NAMES = "|".join(MONTHS + [m[:3] for m in MONTHS])
-MONTH_WORD = (
-    "(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?"
-    "|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
-)
+MONTH_WORD = f"(?:{'|'.join([*MONTHS, 'sept', *[m[:3] for m in MONTHS]])})"
+
+# White space beyond ASCII (no-break spaces among it). The engine's ``\\s`` and ``trim`` know ASCII only, so these are
+# turned into plain spaces before a text is matched.
+WIDE_SPACES = "\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+ALL_SPACES = " \t\n\x0b\f\r" + WIDE_SPACES
 
 # Assertions about what surrounds a match: with one, groups must be read from the whole text.
 _LOOKS_AROUND = re.compile(r"\(\?[=!<]|\\[bBAZzG]|[$^]")
@@ -38,9 +40,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def plain_spaces(text: Column) -> Column:
+    """White space beyond ASCII as plain spaces, one for one."""
+    return F.translate(text, WIDE_SPACES, " " * len(WIDE_SPACES))
+
+
+def strip(text: Column) -> Column:
+    """Without any white space at the ends."""
+    return F.trim(text, F.lit(ALL_SPACES))
+
+
 def collapse_whitespace(text: Column) -> Column:
     """Runs of whitespace become one space; the ends are trimmed."""
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    return F.trim(F.regexp_replace(plain_spaces(text), r"\s+", " "))
 
 
 def strip_ordinals(text: Column) -> Column:
@@ -92,24 +104,27 @@ def slugify_sheet(text: Column) -> Column:
 
 
 def is_none_like(text: Column) -> Column:
-    return F.lower(F.trim(F.coalesce(text, F.lit("")))).isin(NONE_LIKE)
+    return F.lower(strip(F.coalesce(text, F.lit("")))).isin(NONE_LIKE)
 
 
 def clean_none_like(text: Column) -> Column:
     """Trimmed lower-case id; a none-like text gives ``default``."""
-    return F.when(is_none_like(text), F.lit("default")).otherwise(F.lower(F.trim(text)))
+    return F.when(is_none_like(text), F.lit("default")).otherwise(F.lower(strip(text)))
+
+
+# The patterns of the next three are fixed values: what they drop or tell apart is part of the result.
 
 
 def generalize_link_text(text: Column) -> Column:
     """Drop bracketed parts, month-year mentions and bare years, so the text fits every release."""
-    text = F.regexp_replace(text, r"\([^)]*\)", " ")
+    text = F.regexp_replace(plain_spaces(text), r"\([^)]*\)", " ")
     text = F.regexp_replace(text, rf"(?i)\b(?:{MONTH_NAMES}|sept)\b\s*[-/]?\s*\d{{2,4}}\b", " ")
     return collapse_whitespace(F.regexp_replace(text, r"\b\d{4}\b", " "))
 
 
 def contains_date_text(text: Column) -> Column:
     """True where the text shows ``15 Mar 2026``, ``Mar 2026`` or ``2026-03-15``."""
-    return text.rlike(r"\b[A-Za-z]{3,9}\s+\d{4}\b|\b\d{4}-\d{2}-\d{2}\b")
+    return plain_spaces(text).rlike(r"\b[A-Za-z]{3,9}\s+\d{4}\b|\b\d{4}-\d{2}-\d{2}\b")
 
 
 def period_pattern_type(text: Column) -> Column:
@@ -128,6 +143,7 @@ def first_regex_value(text: Column, pattern: str) -> Column:
     """
     insensitive = f"(?i){pattern}"
     groups = re.compile(pattern).groups
+    text = plain_spaces(text)
 
     def joined(text: Column) -> Column:
         parts = [F.nullif(F.regexp_extract(text, insensitive, i), F.lit("")) for i in range(1, groups + 1)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from statledger.functions.text import let
+from statledger.functions.text import let, strip
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 _ORIGIN = r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)"
@@ -29,7 +29,7 @@ def url_extension(url: Column) -> Column:
 
 def url_canonical(url: Column) -> Column:
     """Trimmed URL without trailing slashes."""
-    return F.regexp_replace(F.trim(url), "/+$", "")
+    return F.regexp_replace(strip(url), "/+$", "")
 
 
 def _remove_dot_segments(path: Column) -> Column:

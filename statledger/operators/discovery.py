@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statledger.functions.dates import extract_by_selectors, extract_page_publication, publication_date_choice, subject_period_rules
@@ -24,7 +24,6 @@ PERIOD_REFERENCES = [
     r"\bq[1-4]\b",
     r"\b(?:jan|feb|mar|apr|may|jun|jul|aug|sep|sept|oct|nov|dec)(?:uary|ruary|ch|il|e|y|ust|tember|ober|ember)?\b",
 ]
-DEFAULT_MAX_PAGES = 25
 
 _CONDITION = re.compile(r"""(:not\()?\[\s*href\s*(?:([$*^]?=)\s*(?:'([^']*)'|"([^"]*)"|([^\]\s]*))\s*(i)?\s*)?\]\)?""")
 
@@ -115,10 +114,12 @@ def sibling_pages(
     url_pattern: str | None = None,
     text_pattern: str | None = None,
     link_selector: str = "a[href]",
-    max_pages: int = DEFAULT_MAX_PAGES,
+    max_pages: int | None = None,
 ) -> DataFrame:
     """Pages to scan per seed page: the seed (page_order 0), then its links to pages of other periods.
 
+    All of them, unless ``max_pages`` limits the pages of a seed, itself included.
+
     ``links`` come from :func:`html_links`, ``seeds`` has ``seed_url``. Output: seed_url, page_url, page_order.
     """
     seeds = seeds.select("seed_url").distinct()
@@ -134,9 +135,13 @@ def sibling_pages(
         .groupBy("seed_url", F.col("__url").alias("page_url"))
         .agg(F.min("position").alias("position"))
     )
-    siblings = top_per_key(
-        candidates, ["seed_url"], [F.col("position").asc()], max(1, max_pages) - 1, rank_name="page_order"
-    ).select("seed_url", "page_url", "page_order")
+    order = [F.col("position").asc(), F.col("page_url").asc()]
+    if max_pages is None:
+        # A page's links: bounded by the size of the page.
+        siblings = candidates.withColumn("page_order", F.row_number().over(Window.partitionBy("seed_url").orderBy(*order)))
+    else:
+        siblings = top_per_key(candidates, ["seed_url"], order, max(1, max_pages) - 1, rank_name="page_order")
+    siblings = siblings.select("seed_url", "page_url", "page_order")
     own = seeds.select("seed_url", F.col("seed_url").alias("page_url"), F.lit(0).alias("page_order"))
     return own.unionByName(siblings)
 
@@ -150,7 +155,8 @@ def link_hop_chain(links: DataFrame, seeds: DataFrame, steps: Sequence[LinkStep]
     frontier = seeds.select("page_url")
     found = None
     for step in steps:
-        found = filter_links(links, step).join(frontier, "page_url", "inner")
+        # However many links lead to a page, its own links are followed once.
+        found = filter_links(links, step).join(frontier.distinct(), "page_url", "left_semi")
         frontier = found.select(F.col("link_url").alias("page_url"))
     if found is None:
         raise ValueError("at least one step is needed")
@@ -202,10 +208,16 @@ def _newest_first() -> list[Column]:
     return [F.coalesce(F.col("publication_date"), F.lit("")).desc(), F.col("source_url").desc(), F.col("seq").asc()]
 
 
-def budget_by_dataset(eligible: DataFrame, total: int, order: str = "dataset_order", count: str = "eligible") -> DataFrame:
-    """Files each dataset may keep when a total budget is spent in dataset order (adds ``kept``)."""
-    spent = running_sum(eligible, [], [F.col(order).asc()], F.col(count), "__spent")
-    left = F.greatest(F.lit(0), F.lit(total) - (F.col("__spent") - F.col(count)))
+def budget_by_dataset(
+    eligible: DataFrame, total: int | Column, order: str = "dataset_order", count: str = "eligible"
+) -> DataFrame:
+    """Files each dataset may keep when a total budget is spent in dataset order (adds ``kept``).
+
+    ``total`` is a number or a column of ``eligible``. Orders are summed in slices of a thousand.
+    """
+    spent = running_sum(eligible, [], [F.col(order).asc()], F.col(count), "__spent", [(F.floor(F.col(order) / 1000), Column.asc)])
+    total = total if isinstance(total, Column) else F.lit(total)
+    left = F.greatest(F.lit(0), total - (F.col("__spent") - F.col(count)))
     return spent.withColumn("kept", F.least(F.col(count), left).cast("long")).drop("__spent")
 
 
@@ -230,48 +242,20 @@ def cap_discovered(
     return ranked.join(budget, "dataset_id").filter(F.col("__rank") <= F.col("kept")).drop("__rank", "kept")
 
 
-def best_link_for_example(examples: DataFrame, links: DataFrame, prefix_length: int = 24) -> DataFrame:
-    """Link text on the same page for each example file: the first link that ends in its file name, else contains it
-    (or ends in the name's first ``prefix_length`` characters).
+def best_link_for_example(examples: DataFrame, links: DataFrame) -> DataFrame:
+    """Link text on the same page for each example file: the first link that ends in its file name, else contains it.
 
-    ``examples`` has page_url and example_url, ``links`` page_url, position, href and link_text. Both sides meet on
-    (page, key): a name's key are its last 1, 2, 4, 8 … characters, as many as fit, a link's keys its own substrings
-    of the lengths in use. A link that contains a name contains its key, so nothing is missed, and as the key is more
-    than half of the name few meetings fail the test that follows. The first match per page and name is aggregated
-    before it meets the examples. Output: page_url, example_url, link_text.
+    ``examples`` has page_url and example_url, ``links`` page_url, position, href and link_text. The names wanted of a
+    page meet the links of that page; a page has few of either, and a link's text and address are short. The first
+    match per page and name is aggregated before it meets the examples. Output: page_url, example_url, link_text.
     """
     tail = F.lower(F.regexp_extract(url_path(F.col("example_url")), r"([^/]*)$", 1))
     wanted = examples.select("page_url", "example_url", tail.alias("tail")).filter(F.col("tail") != "")
-    tails = wanted.select("page_url", "tail").distinct()
-    lengths = [r[0] for r in tails.select(F.length("tail")).distinct().collect()]
-    sizes = sorted({1 << (min(n, m).bit_length() - 1) for n in lengths for m in (n, prefix_length)})
-
-    def size_of(text: Column) -> Column:
-        return F.pow(F.lit(2), F.floor(F.log2(F.length(text)))).cast("int")
-
-    def entry(part: str, text: Column) -> Column:
-        return F.struct(F.lit(part).alias("part"), F.right(text, size_of(text)).alias("key"))
-
-    head = F.substring("tail", 1, prefix_length)
-    parts = F.array(entry("whole", F.col("tail")), entry("head", head))
-    named = tails.select("page_url", "tail", head.alias("head"), F.explode(parts).alias("k")).select("page_url", "tail", "head", "k.*")
-
-    href = F.col("href")
-    fitting = F.filter(F.expr(f"cast(array({', '.join(map(str, sizes))}) as array<int>)"), lambda n: n <= F.length(href))
-    pieces = F.transform(
-        fitting, lambda n: F.transform(F.sequence(F.lit(1), F.length(href) - n + 1), lambda at: F.substr(href, at, n))
-    )
-    keyed = links.select("page_url", "position", "link_text", F.lower("href").alias("href")).withColumn(
-        "key", F.explode_outer(F.array_distinct(F.flatten(pieces)))
-    )
-    whole = (F.col("part") == "whole") & href.contains(F.col("tail"))
-    start = (F.col("part") == "head") & href.endswith(F.col("head"))
-    exact = whole & href.endswith(F.col("tail")) & (F.col("link_text") != "")
+    names = wanted.groupBy("page_url").agg(F.collect_set("tail").alias("names"))
+    lowered = links.select("page_url", "position", "link_text", F.lower("href").alias("href"))
+    inside = F.filter("names", lambda name: F.contains(F.col("href"), name))
+    matching = lowered.join(names, "page_url").withColumn("tail", F.explode(inside))
+    exact = F.col("href").endswith(F.col("tail")) & (F.col("link_text") != "")
     rank = F.struct(F.when(exact, 0).otherwise(1), F.col("position"))
-    best = (
-        keyed.join(named, ["page_url", "key"])
-        .filter(whole | start)
-        .groupBy("page_url", "tail")
-        .agg(F.min_by("link_text", rank).alias("link_text"))
-    )
+    best = matching.groupBy("page_url", "tail").agg(F.min_by("link_text", rank).alias("link_text"))
     return wanted.join(best, ["page_url", "tail"]).select("page_url", "example_url", "link_text")

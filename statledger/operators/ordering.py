@@ -1,33 +1,18 @@
-"""First row, top rows, ranks and running sums per key that hold up when one key owns a large share of the rows."""
+"""First row, top rows, ranks and running sums per key that hold up when one key owns a large share of the rows.
+
+Everything here only describes a plan: nothing runs, is counted or is written while it is built.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statledger.session import shared_dir
-
-# Spark trims each map task's rows to the limit before the shuffle up to this limit
-# (default of spark.sql.optimizer.windowGroupLimitThreshold).
-GROUP_LIMIT_THRESHOLD = 1000
-# A group up to this many rows is ranked by one task; a larger one is cut into range slices.
-MAX_GROUP_ROWS = 5_000_000
-# A join side of file-level metadata up to this many rows is broadcast, so that data rows need not be shuffled.
-MAX_BROADCAST_ROWS = 500_000
-
-
-def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` for the small side of a join: worked out once, counted, and marked for broadcast if it is small enough.
-
-    For file-level rows (metadata, block offsets, winning files), whose number is far below that of data rows but not
-    bounded. Beyond ``max_rows`` the join is left to Spark: a shuffle whose skewed parts adaptive execution splits.
-    """
-    shared_dir(df.sparkSession)
-    stable = df.checkpoint()
-    return F.broadcast(stable) if stable.limit(max_rows + 1).count() <= max_rows else stable
+# A slice of an order: an expression, and how it is sorted. Rows sorted by the whole order must be sorted by it, too.
+Slice = tuple[Column, Callable[[Column], Column]]
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -42,70 +27,43 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 def top_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int, rank_name: str | None = None
 ) -> DataFrame:
-    """The first ``limit`` rows of every key, with their rank if ``rank_name`` is given."""
+    """The first ``limit`` rows of every key, with their rank if ``rank_name`` is given.
+
+    Spark trims each map task's rows to the limit before the shuffle, up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``.
+    """
     name = rank_name or "__rank"
-    if limit <= GROUP_LIMIT_THRESHOLD:
-        ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    else:
-        ranked = rank_within(df, keys, order, name)
-    kept = ranked.filter(F.col(name) <= limit)
+    kept = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(name) <= limit)
     return kept if rank_name else kept.drop(name)
 
 
-def rank_within(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, max_group_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
-    """Row number of every row within its key; ``order`` must be total."""
-    return running_sum(df, keys, order, F.lit(1).cast("long"), name, max_group_rows).withColumn(
-        name, F.col(name).cast("int")
-    )
+def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, slices: Sequence[Slice]) -> DataFrame:
+    """Row number of every row within its key; ``order`` must be total. See :func:`running_sum` for ``slices``."""
+    return running_sum(df, keys, order, F.lit(1).cast("long"), name, slices)
 
 
 def running_sum(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    value: Column,
-    name: str,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, name: str, slices: Sequence[Slice]
 ) -> DataFrame:
     """Running sum of ``value`` within each key, the row itself included; ``order`` must be total.
 
-    The input is checkpointed, so that what leads to it runs once, and its largest group is counted. If that group
-    fits one task, this is a window. If not, the rows are range-partitioned by key and order, written once so that the
-    slices stay the same however often they are read, summed per slice, and every row adds the sum of its key's
-    earlier slices.
+    A key is cut into slices by value (a day of a date, say), so that a hot key is spread over tasks: each row adds what
+    its slice has before it and what the key's earlier slices have in all. The latter takes one row per key and slice.
+    Slices are a function of the row, so the result does not depend on how often or where rows are read.
     """
-    shared_dir(df.sparkSession)
-    df = df.checkpoint()
-    counts = df.groupBy(*keys).count() if keys else df.agg(F.count("*").alias("count"))
-    largest = counts.agg(F.max("count")).first()[0] or 0
-    running = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if largest <= max_group_rows:
-        return df.withColumn(name, F.sum(value).over(running))
-    return _running_sum_by_slices(df, keys, order, value, name)
-
-
-def _running_sum_by_slices(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, name: str
-) -> DataFrame:
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sliced = (
-        df.withColumn("__value", value)
-        .repartitionByRange(slices, *[F.col(k) for k in keys], *order)
-        .withColumn("__slice", F.spark_partition_id())
-        .checkpoint()
-    )
-    # At most one row per key and slice.
-    earlier = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    places = [f"__slice{i}" for i in range(len(slices))]
+    sliced = df.withColumns({"__value": value} | {p: expression for p, (expression, _) in zip(places, slices, strict=True)})
+    sort = [direction(F.col(p)) for p, (_, direction) in zip(places, slices, strict=True)]
+    group = [*keys, *places]
+    earlier = Window.partitionBy(*keys).orderBy(*sort).rowsBetween(Window.unboundedPreceding, -1)
     before = (
-        sliced.groupBy(*keys, "__slice")
+        sliced.groupBy(*group)
         .agg(F.sum("__value").alias("__sum"))
         .withColumn("__before", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)))
-        .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__slice").alias("__s"), "__before")
+        .select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(group)], "__before")
     )
-    within = Window.partitionBy(*keys, "__slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    same = [F.col("__slice") == F.col("__s")] + [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    within = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    same = [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(group)]
     return (
         sliced.withColumn("__local", F.sum("__value").over(within))
         .join(before, reduce(lambda a, b: a & b, same), "inner")

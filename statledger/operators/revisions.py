@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statledger.operators.ordering import first_per_key, rank_within, small_side
+from statledger.operators.ordering import Slice, first_per_key, rank_within
 from statledger.operators.shape import alias_columns
 from statledger.schemas import SIDECAR_VIEW_DEFAULTS
 
@@ -29,15 +29,15 @@ def dedup_latest_ingest(ingest: DataFrame) -> DataFrame:
 def join_sidecar_left(rows: DataFrame, sidecar: DataFrame) -> DataFrame:
     """Add the sidecar columns of the view to rows of the file they describe.
 
-    The sidecar grows with the number of files: it is broadcast only if its counted rows allow, and otherwise joined
-    by a shuffle in which adaptive execution splits a file that holds an outsized share of the rows.
+    A plain join: Spark broadcasts the sidecar if its measured bytes allow, and otherwise shuffles, where adaptive
+    execution splits a file that holds an outsized share of the rows. The sidecar is read when the result is.
     """
     names = {c.lower() for c in sidecar.columns}
     columns = [
         F.col(f"m.{c}") if c.lower() in names else F.lit(None).cast("string").alias(c) for c in SIDECAR_VIEW_DEFAULTS
     ]
     needed = ["_PAYLOAD_STAGE_PATH", *[c for c in SIDECAR_VIEW_DEFAULTS if c.lower() in names]]
-    described = small_side(sidecar.select(*needed))
+    described = sidecar.select(*needed)
     joined = rows.alias("p").join(
         described.alias("m"), F.col("p._SOURCE_FILE_PATH") == F.col("m._PAYLOAD_STAGE_PATH"), "left"
     )
@@ -83,19 +83,23 @@ def _publication_order() -> list[Column]:
 
 
 def publication_rank(presentation: DataFrame, period_columns: Sequence[str] = ()) -> DataFrame:
-    """Every file of a period ranked, latest publication first."""
+    """Every file of a period ranked, latest publication first; a period is cut into its days of publication."""
     periods = list(period_columns or SUBJECT_PERIOD)
-    return rank_within(distinct_file_periods(presentation, periods), periods, _publication_order(), "_PUBLICATION_RANK")
+    files = distinct_file_periods(presentation, periods)
+    return rank_within(files, periods, _publication_order(), "_PUBLICATION_RANK", [_day_of_publication(Column.desc_nulls_last)])
+
+
+def _day_of_publication(direction) -> Slice:
+    return F.substring("_PUBLICATION_DATE", 1, 8), direction
 
 
 def join_current_revision(presentation: DataFrame, ranks: DataFrame, period_columns: Sequence[str] = ()) -> DataFrame:
     """Rows of the files ranked 1; a NULL period matches nothing.
 
-    The winning files are found first, from the few columns that decides, and broadcast if they are few: the wide
-    rows are then filtered where they are.
+    The winners are one narrow row per file and period; Spark broadcasts them where their measured bytes allow.
     """
     keys = [*FILE_KEYS, *(period_columns or SUBJECT_PERIOD)]
-    winners = small_side(ranks.filter(F.col("_PUBLICATION_RANK") == 1).select(*keys))
+    winners = ranks.filter(F.col("_PUBLICATION_RANK") == 1).select(*keys)
     return presentation.join(winners, keys, "inner").select(*[F.col(f"`{c}`") for c in presentation.columns])
 
 
@@ -128,10 +132,11 @@ def _revision_order() -> list[Column]:
     ]
 
 
-def revision_rank_full(df: DataFrame, period_columns: Sequence[str], max_group_rows: int | None = None) -> DataFrame:
-    """Rank by the seven-key order within each period."""
-    limit = {} if max_group_rows is None else {"max_group_rows": max_group_rows}
-    return rank_within(df, list(period_columns), _revision_order(), "_REVISION_RANK", **limit)
+def revision_rank_full(df: DataFrame, period_columns: Sequence[str]) -> DataFrame:
+    """Rank by the seven-key order within each period, cut into its days of publication."""
+    stated = F.when(F.coalesce(F.col("_PUBLICATION_DATE"), F.lit("")) != "", F.lit(1)).otherwise(F.lit(0))
+    slices = [(stated, Column.desc), _day_of_publication(Column.desc)]
+    return rank_within(df, list(period_columns), _revision_order(), "_REVISION_RANK", slices)
 
 
 def best_revision_full(df: DataFrame, period_columns: Sequence[str]) -> DataFrame:

@@ -285,7 +285,7 @@ SELECT * EXCLUDE ("Period", "OrderKey", "Org Code", "priorityClass", "c-d"), "Pe
 FROM raw WHERE "_SUBJECT_PERIOD_FROM" IS NOT NULL AND "_SUBJECT_PERIOD_TO" IS NOT NULL""",
     "ranks": """
 SELECT *, CAST(row_number() OVER (PARTITION BY "PERIOD" ORDER BY "_PUBLICATION_DATE" DESC NULLS LAST, "_INGESTED_AT" DESC,
-       "_SOURCE_FILE_PATH" DESC, "_SOURCE_FILE_NAME" DESC) AS INTEGER) AS "_PUBLICATION_RANK"
+       "_SOURCE_FILE_PATH" DESC, "_SOURCE_FILE_NAME" DESC) AS BIGINT) AS "_PUBLICATION_RANK"
 FROM (SELECT DISTINCT "_SOURCE_FILE_NAME", "_SOURCE_FILE_PATH", "_INGESTED_AT", "PERIOD", "_PUBLICATION_DATE" FROM presentation)""",
     "f_wide": """
 SELECT o_custkey AS org_code, CAST(sum(CASE WHEN year(o_orderdate) = 1996 THEN CAST(round(o_totalprice * 100) AS BIGINT) END) AS BIGINT) AS y1996,

@@ -71,7 +71,7 @@ def sibling_pages_by_period(spark, sf_dir):
 
 @query("link_text_match", with_ctes("site_links") + r""", ex AS (SELECT page_url, link_url AS example_url, lower(regexp_extract(link_url, '([^/]*)$', 1)) AS tail FROM site_links WHERE href LIKE '/%'),
 m AS (SELECT ex.page_url, ex.example_url, l.link_text, row_number() OVER (PARTITION BY ex.page_url, ex.example_url ORDER BY CASE WHEN lower(l.href) LIKE concat('%', ex.tail) AND l.link_text <> '' THEN 0 ELSE 1 END, l.position) AS rk
-  FROM (SELECT DISTINCT * FROM ex) ex JOIN site_links l ON l.page_url = ex.page_url AND (suffix(lower(l.href), ex.tail) OR contains(lower(l.href), ex.tail) OR suffix(lower(l.href), substring(ex.tail, 1, 24))))
+  FROM (SELECT DISTINCT * FROM ex) ex JOIN site_links l ON l.page_url = ex.page_url AND (suffix(lower(l.href), ex.tail) OR contains(lower(l.href), ex.tail)))
 SELECT page_url, example_url, link_text FROM m WHERE rk = 1""")
 def link_text_match(spark, sf_dir):
     links = html.html_links(f_site(spark, sf_dir))

@@ -64,7 +64,7 @@ def publication_rank(spark, sf_dir):
 
 @query("publication_rank_subject_period", with_ctes("presentation") + """
 SELECT *, CAST(row_number() OVER (PARTITION BY "_SUBJECT_PERIOD_FROM", "_SUBJECT_PERIOD_TO" ORDER BY "_PUBLICATION_DATE" DESC NULLS LAST, "_INGESTED_AT" DESC,
-  "_SOURCE_FILE_PATH" DESC, "_SOURCE_FILE_NAME" DESC) AS INTEGER) AS "_PUBLICATION_RANK"
+  "_SOURCE_FILE_PATH" DESC, "_SOURCE_FILE_NAME" DESC) AS BIGINT) AS "_PUBLICATION_RANK"
 FROM (SELECT DISTINCT "_SOURCE_FILE_NAME", "_SOURCE_FILE_PATH", "_INGESTED_AT", "_SUBJECT_PERIOD_FROM", "_SUBJECT_PERIOD_TO", "_PUBLICATION_DATE" FROM presentation)""")
 def publication_rank_subject_period(spark, sf_dir):
     return revisions.publication_rank(presentation_select(spark, sf_dir))
@@ -86,7 +86,7 @@ def current_revision(spark, sf_dir):
 
 @query("revision_rank_full", with_ctes("raw") + """
 SELECT *, CAST(row_number() OVER (PARTITION BY "Period" ORDER BY CASE WHEN "_PUBLICATION_DATE" <> '' THEN 1 ELSE 0 END DESC, "_PUBLICATION_DATE" DESC,
-  CASE WHEN "_SUBJECT_PERIOD_TO" <> '' THEN 1 ELSE 0 END DESC, "_SUBJECT_PERIOD_TO" DESC, "_DOWNLOADED_AT" DESC, "_INGESTED_AT" DESC, "_SOURCE_FILE_PATH" DESC) AS INTEGER) AS "_REVISION_RANK"
+  CASE WHEN "_SUBJECT_PERIOD_TO" <> '' THEN 1 ELSE 0 END DESC, "_SUBJECT_PERIOD_TO" DESC, "_DOWNLOADED_AT" DESC, "_INGESTED_AT" DESC, "_SOURCE_FILE_PATH" DESC) AS BIGINT) AS "_REVISION_RANK"
 FROM (SELECT DISTINCT "Period", "_PUBLICATION_DATE", "_SUBJECT_PERIOD_TO", "_DOWNLOADED_AT", "_INGESTED_AT", "_SOURCE_FILE_PATH" FROM raw)""")
 def revision_rank_full(spark, sf_dir):
     files = raw_view(spark, sf_dir).select(
@@ -197,7 +197,9 @@ SELECT sub_dataset_id, dataset_order, eligible, CAST(least(eligible, greatest(0,
 def running_total_budget(spark, sf_dir):
     found = f_discovered(spark, sf_dir)
     eligible = found.groupBy("sub_dataset_id").agg(F.min("seq").alias("dataset_order"), F.count("*").alias("eligible"))
-    return discovery.budget_by_dataset(eligible, found.count() // 2)
+    half = found.agg(F.floor(F.count("*") / 2).alias("half"))
+    # One row beside all: the budget as a column.
+    return discovery.budget_by_dataset(eligible.join(F.broadcast(half)), F.col("half")).drop("half")
 
 
 @query("sort_newest_first", with_ctes("f_discovered") + "SELECT seq, publication_date, source_url FROM f_discovered ORDER BY coalesce(publication_date, '') DESC, source_url DESC")

@@ -26,6 +26,14 @@ def normalize_datetime(spark, sf_dir):
     return f_date_text(spark, sf_dir).select("o_orderkey", dates.normalize_datetime(F.col("text_value")).alias("iso"))
 
 
+@query("normalize_datetime_spaces", with_ctes("dates") + "SELECT o_orderkey, iso FROM dates")
+def normalize_datetime_spaces(spark, sf_dir):
+    """The same texts with no-break, thin and ideographic spaces."""
+    spaces = F.element_at(F.array(*[F.lit(c) for c in "\u00a0\u2009\u3000"]), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    spaced = F.concat(spaces, F.replace(F.col("text_value"), F.lit(" "), spaces), spaces)
+    return f_date_text(spark, sf_dir).select("o_orderkey", dates.normalize_datetime(spaced).alias("iso"))
+
+
 @query("subject_period_yyyymm", with_ctes("dates") + "SELECT o_orderkey, substring(iso, 1, 6) AS period FROM dates")
 def subject_period_yyyymm(spark, sf_dir):
     return f_date_text(spark, sf_dir).select("o_orderkey", dates.subject_period_yyyymm(F.col("text_value")).alias("period"))
@@ -372,6 +380,19 @@ def html_links(spark, sf_dir):
     return html.html_links(table(spark, sf_dir, "pages"))
 
 
+@query("html_links_loose", with_ctes("links") + """SELECT page_url, link_url, link_text FROM links
+UNION ALL SELECT url, concat('https://loose.test/u', page_id, '.csv'), 'U and more' FROM pages UNION ALL SELECT url, 'https://loose.test/v.csv', 'V' FROM pages
+UNION ALL SELECT url, 'https://loose.test/w.csv', 'W' FROM pages""")
+def html_links_loose(spark, sf_dir):
+    """Pages that end in named, unclosed and adjacent anchors, a ">" in an attribute, no-break spaces and an open comment."""
+    loose = F.concat(
+        F.lit('<a name="top"><a href="https://loose.test/u'), "page_id", F.lit(".csv\">U\u00a0and&nbsp; more <a href=https://loose.test/v.csv>V<a title='a>b' "),
+        F.lit('href="\u00a0https://loose.test/w.csv ">W</a><!-- <a href="https://loose.test/x.csv">X</a>'),
+    )
+    pages = table(spark, sf_dir, "pages").withColumn("html", F.concat("html", loose))
+    return html.html_links(pages).select("page_url", "link_url", "link_text")
+
+
 @query("filter_extension", with_ctes("f_discovered") + r"SELECT seq, source_url FROM f_discovered WHERE regexp_matches(lower(source_url), '\.(csv|zip)$')")
 def filter_extension(spark, sf_dir):
     found = f_discovered(spark, sf_dir)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 import uuid
 
 from pyspark import cloudpickle
@@ -44,19 +43,11 @@ def apply_runtime_conf(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``.
-
-    Only a local-mode session without that setting gets a fresh temporary folder; on a cluster the
-    setting is required because a machine-local folder would be lost with its machine.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or, where that is unset, one below the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
         spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 

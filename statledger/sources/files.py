@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from statledger.functions.dates import extract_by_pattern, subject_period_rules
 from statledger.functions.paths import load_id
-from statledger.operators.ordering import first_per_key, small_side
+from statledger.operators.ordering import first_per_key
 from statledger.operators.telemetry import blank_to_null_long, type_events
 from statledger.schemas import (
     EVENT_LINE_SCHEMA,
@@ -207,7 +207,7 @@ def _block_offsets(df: DataFrame) -> DataFrame:
 
 
 def _number(offsets: DataFrame, df: DataFrame, name: str) -> DataFrame:
-    joined = df.join(small_side(offsets), [FILE_PATH, BLOCK_START])
+    joined = df.join(offsets, [FILE_PATH, BLOCK_START])
     number = F.col(READ_ORDER) - F.col("__first") + F.col("__earlier") + 1
     return joined.withColumn(name, number).drop("__first", "__earlier")
 
@@ -418,7 +418,7 @@ def load_tables(spark: SparkSession, tables: Mapping[str, Sequence[str]], **opti
         try:
             loaded[name] = scan_csv_strings(spark, paths, **options)
         except Exception as error:
-            failures.append((name, ",".join(paths), str(error)[:300]))
+            failures.append((name, ",".join(paths), str(error)))
     return loaded, spark.createDataFrame(failures, "table_name string, paths string, error string")
 
 
