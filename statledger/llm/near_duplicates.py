@@ -2,10 +2,10 @@
 
 A document is the set of its word shingles. Equal sets are one class, so copies cost nothing further. In each of
 ``TREES`` independent trees, every class walks from the root along its minwise tokens: a node holds the classes that
-chose the same tokens so far. A node of at most ``NODE`` classes is compared exhaustively. A larger one is compared with
-one of its classes, the pivot, and branches by the next token; classes that are already connected need no comparison,
-so a node whose classes are all connected ends there, however large it is. Two classes of similarity s meet in a node of
-depth d of one tree with chance s^d, and most nodes end at depth 1.
+chose the same tokens so far. Classes that are already connected need no comparison, so a node whose classes are all
+connected ends there, however large it is. A node in which few pairs are left is compared exhaustively and ends, too. In
+another, all classes are compared with a few of them, the pivots, and it branches by the next token. Two classes of
+similarity s meet in a node of depth d of one tree with chance s^d, and most nodes end at depth 1.
 
 Pairs first pass exact bounds on sizes and an estimate from sketches, then are confirmed on full sets of 64-bit shingle
 hashes, which are made once and only for classes that met others. Pairs are never expanded among copies. Connected
@@ -36,7 +36,9 @@ class Join:
     shingle: int = 5
     percent: int = 80
     trees: int = 10
-    node: int = 16
+    #: A node with at most so many pairs of unconnected classes is compared exhaustively.
+    pairs: int = 4096
+    pivots: int = 4
     #: Minwise tokens per document; trees take them in turn.
     tokens: int = 64
     #: Beyond, what is left of the large nodes is compared exhaustively.
@@ -234,15 +236,25 @@ def _connected(docs: DataFrame, classes: DataFrame, rule: Join) -> DataFrame:
     for depth in range(rule.depth + 1):
         rows = nodes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
         rows = rows.withColumn("component", F.coalesce("least", "rep")).drop("least")
-        pivot = F.min(F.struct(F.xxhash64("rep", F.lit(depth)).alias("order"), F.col("rep"), F.col("n"), F.col("component")))
+        chosen = [
+            F.min(F.struct(F.xxhash64("rep", F.lit(depth), F.lit(i)).alias("order"), "rep", "n", "component")).alias(f"pivot{i}")
+            for i in range(rule.pivots)
+        ]
+        pivots = [f"pivot{i}" for i in range(rule.pivots)]
         sizes = (
-            rows.groupBy("path")
-            .agg(F.count("*").alias("size"), pivot.alias("pivot"), F.min("component").alias("low"), F.max("component").alias("high"))
-            .filter("low < high")
-            .select("path", "size", "pivot")
+            rows.groupBy("path", "component")
+            .agg(F.count("*").alias("size"), *chosen)
+            .groupBy("path")
+            .agg(
+                F.count("*").alias("components"),
+                ((F.sum("size") * F.sum("size") - F.sum(F.col("size") * F.col("size"))) / 2).alias("unconnected"),
+                *[F.min(c).alias(c) for c in pivots],
+            )
+            .filter("components > 1")
+            .select("path", "unconnected", F.array_distinct(F.array(*pivots)).alias("pivots"))
         )
         active = written(rows.join(sizes, "path"), "nodes")
-        large = F.col("size") > rule.node
+        large = F.col("unconnected") > rule.pairs
         if depth == rule.depth:
             large = F.lit(False)
         pairs = written(_pairs(active, large, rule), "pairs")
@@ -268,12 +280,13 @@ def _connected(docs: DataFrame, classes: DataFrame, rule: Join) -> DataFrame:
 
 
 def _pairs(active: DataFrame, large, rule: Join) -> DataFrame:
-    """Distinct pairs a < b of unconnected classes whose sizes allow a link: all of small nodes, those with the pivot of large."""
+    """Distinct pairs a < b of unconnected classes whose sizes allow a link: all of small nodes, those with pivots of large."""
     side = ["rep", "n", "component"]
     small = active.filter(~large).select("path", *side)
     two = small.select("path", *[F.col(c).alias(f"{c}2") for c in side])
     within = small.join(two, "path").filter("rep < rep2")
-    star = active.filter(large).select(*side, *[F.col(f"pivot.{c}").alias(f"{c}2") for c in side]).filter("rep <> rep2")
+    star = active.filter(large).select(*side, F.explode("pivots").alias("pivot"))
+    star = star.select(*side, *[F.col(f"pivot.{c}").alias(f"{c}2") for c in side]).filter("rep <> rep2")
     both = within.select(*star.columns).unionAll(star).filter("component <> component2")
     possible = both.filter(100 * F.least("n", "n2") >= rule.percent * F.greatest("n", "n2"))
     return possible.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
