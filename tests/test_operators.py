@@ -267,7 +267,7 @@ def test_routing_takes_the_first_rule_that_fits(spark):
     assert rows(routing.unrouted_workbooks(sheets, rules)) == [("b3",)]
     files = spark.createDataFrame([("beds_1.csv", None), ("other.csv", None), ("else.csv", "p/sheet"), ("BEDS.csv", "p/sheet")], "file_name string, sheet_prefix string")
     routed = routing.route_filename_rules(files, [routing.RouteRule("B", "p/beds", ["^beds"])], "p", sheet_prefix="sheet_prefix")
-    assert rows(routed, "file_name", "path_prefix") == [("BEDS.csv", "p/beds"), ("beds_1.csv", "p/beds"), ("else.csv", "p/sheet"), ("other.csv", "p")]
+    assert rows(routed, "file_name", "path_prefix") == [("BEDS.csv", "p/sheet"), ("beds_1.csv", "p/beds"), ("else.csv", "p/sheet"), ("other.csv", "p")]
 
 
 def test_selectors_against_brute_force(spark):

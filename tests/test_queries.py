@@ -22,7 +22,8 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+# Queries that SQL cannot express are compared with brute force where their operators are tested.
+@pytest.mark.parametrize("name", sorted(spark_entry.oracle_sql()))
 def test_query_agrees_with_sql(spark, con, name):
     assert compare(con, spark_entry.queries()[name](spark, SF_DIR), spark_entry.oracle_sql()[name]) is None
 
