@@ -54,14 +54,14 @@ def pack(values: np.ndarray) -> bytes:
     """Integers as compressed byte planes."""
     import zstandard
 
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpack(data: bytes, kind: type) -> np.ndarray:
     import zstandard
 
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data) or b"", np.uint8)
     size = np.dtype(kind).itemsize
     return np.ascontiguousarray(planes.reshape(size, -1).T).view(kind).ravel()
 
@@ -151,8 +151,8 @@ def entries(docs: DataFrame, buckets: int) -> DataFrame:
         if parts:
             yield sent(number, parts, held)
 
-    source = docs.select("text", "held_out", "block")
-    return source.mapInArrow(run, "order int, bucket long, block long, keys binary, counts binary")
+    # All columns are read, as they are later: a plan that reads fewer might deal rows to partitions in another way.
+    return docs.mapInArrow(run, "order int, bucket long, block long, keys binary, counts binary")
 
 
 def _add_up(group: pa.Table) -> pa.Table:
