@@ -13,7 +13,7 @@ from statledger.operators import revisions
 from statledger.operators.quality import agg_csv_row_count
 from statledger.plans.fixtures import CTES, PAYLOAD, REQUIRES, f_discovered, f_ingest, f_sidecar, f_telemetry, table, with_ctes
 from statledger.plans.registry import query
-from statledger.schemas import SIDECAR_COLUMNS
+from statledger.schemas import SIDECAR_COLUMNS, SIDECAR_SCHEMA
 from statledger.session import scratch_path, ship_by_value
 from statledger.sources import files, sinks
 from statledger.streaming import ingest as streams
@@ -133,7 +133,7 @@ def scan_zip_member_rows(spark, sf_dir):
 @query("archives_without_members", "SELECT concat('part-', p_partkey, '.zip') AS path FROM part WHERE p_type = 'SMALL'")
 def archives_without_members(spark, sf_dir):
     archives = _archives(spark, sf_dir)
-    return files.archives_without_members(archives, files.scan_zip_members(archives))
+    return files.archives_without_members(archives)
 
 
 def _landing_files(spark, sf_dir):
@@ -349,6 +349,51 @@ def skip_bad_files(spark, sf_dir):
     return kept.unionByName(rejected.select(F.lit("rejected").alias("kind"), key, F.lit(None).cast("long").alias("o_custkey")))
 
 
+_BY_NAME = """SELECT o_orderkey AS a, o_custkey AS b, CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS extra, CASE WHEN o_orderkey % 3 <> 1 THEN o_orderstatus END AS c FROM orders"""
+
+
+def _land_three_headers(spark, sf_dir, path):
+    """The same rows in files whose columns are in another order, lack one, or have one more."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("a"), F.col("o_custkey").alias("b"), F.col("o_orderstatus").alias("c"), F.col("o_orderpriority").alias("extra")
+    )
+    for kind, header in enumerate((["b", "c", "a"], ["a", "b"], ["extra", "a", "c", "b"])):
+        orders.filter(F.col("a") % 3 == kind).select(*header).write.csv(f"{path}/downloaded_at=2024010{kind + 1}/kind{kind}", header=True)
+
+
+def _three_headers(rows):
+    return rows.select(F.col("a").cast("long"), F.col("b").cast("long"), "extra", "c")
+
+
+@query("scan_csv_by_name", _BY_NAME)
+def scan_csv_by_name(spark, sf_dir):
+    path = scratch_path(spark, "by-name")
+    _land_three_headers(spark, sf_dir, path)
+    return _three_headers(files.scan_csv_strings(spark, [path], ["a", "b", "c"]))
+
+
+@query("stream_csv_by_name", _BY_NAME)
+def stream_csv_by_name(spark, sf_dir):
+    """The same files by the stream, with row numbers that must be whole in each file."""
+    path, out, checkpoint = (scratch_path(spark, n) for n in ("by-name", "ingest", "checkpoint"))
+    _land_three_headers(spark, sf_dir, path)
+    nothing = lambda: spark.createDataFrame([], SIDECAR_SCHEMA)
+    streams.run_available(streams.stream_ingest_csv(spark, path, ["a", "b", "c"], nothing, out, checkpoint))
+    loaded = streams.read_ingest(spark, out)
+    number = F.col("_FILE_ROW_NUMBER")
+    whole = loaded.groupBy("_SOURCE_FILE_NAME").agg(
+        ((F.min(number) == 1) & (F.max(number) == F.count("*")) & (F.count_distinct(number) == F.count("*"))).alias("whole")
+    )
+    return _three_headers(loaded.join(whole.filter("whole"), "_SOURCE_FILE_NAME"))
+
+
+@query("archive_errors", "SELECT concat('part-', p_partkey, '.zip') AS path FROM part WHERE p_partkey % 7 = 0")
+def archive_errors(spark, sf_dir):
+    """Some archives have lost their end: each is a row, and the rest load."""
+    broken = F.when(F.regexp_extract("path", r"(\d+)", 1).cast("long") % 7 == 0, F.expr("substr(content, 1, 20)")).otherwise(F.col("content"))
+    return files.archive_errors(_archives(spark, sf_dir).withColumn("content", broken)).select("path")
+
+
 @query("csv_row_count_files", with_ctes("f_ingest") + """SELECT "Period" AS period, count(*) AS row_count FROM f_ingest GROUP BY 1""")
 def csv_row_count_files(spark, sf_dir):
     path = scratch_path(spark, "landing")

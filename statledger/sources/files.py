@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import zipfile
+import zlib
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 from statledger.functions.dates import extract_by_pattern, subject_period_rules
 from statledger.functions.paths import load_id
 from statledger.operators.ordering import first_per_key
+from statledger.operators.shape import match_columns_by_name
 from statledger.operators.telemetry import blank_to_null_long, type_events
 from statledger.schemas import (
     EVENT_LINE_SCHEMA,
@@ -122,36 +124,47 @@ def scan_csv_strings(
     multi_line: bool = False,
     trim: bool = False,
     positions: bool = False,
+    corrupt: bool = False,
 ) -> DataFrame:
     """Headered CSV files, every column text, files with different headers stacked by name.
 
-    ``columns``: the header all files share, if known; it saves the header scan. Otherwise files are grouped by
-    header and each group is one read, because one read maps columns by position. ``multi_line`` is for fields with
-    line breaks inside; it makes a file unsplittable. Empty fields read NULL; ``trim`` also trims every field first.
+    Every file is read by its own header: files of one header are one read, because a read maps columns by position.
+    ``columns`` are the target's: they come first and are NULL where a file lacks them; other columns of the files
+    follow. ``multi_line`` is for fields with line breaks inside; it makes a file unsplittable. Empty fields read NULL;
+    ``trim`` also trims every field first. ``corrupt`` adds ``_corrupt_record`` with the text of rows that do not fit
+    their header.
     """
     dialect = {"nullValue": "", "emptyValue": "", "ignoreLeadingWhiteSpace": trim, "ignoreTrailingWhiteSpace": trim}
+    if corrupt:
+        dialect |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
     def read(group: Sequence[str], names: Sequence[str]) -> DataFrame:
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, *([CORRUPT] if corrupt else [])]])
         if encoding.lower() in CP1252_NAMES:
             df = decode_cp1252(_csv_reader(spark, sep, "ISO-8859-1", multi_line, **dialect).schema(schema).csv(list(group)))
         else:
             df = _csv_reader(spark, sep, encoding, multi_line, **dialect).schema(schema).csv(list(group))
-        return df
+        return _judged_whole(df, names) if corrupt else df
 
-    if columns is not None:
-        groups = [(list(paths), list(columns))]
-    else:
-        # One row per distinct header; the listing itself is what the file index holds on the driver anyway.
-        grouped = scan_headers(spark, paths, sep, encoding).groupBy("columns").agg(F.collect_list("file_path").alias("files"))
-        groups = [(row.files, row["columns"]) for row in sorted(grouped.collect(), key=lambda r: min(r.files))]
+    # One row per distinct header; the paths are those that the driver lists to read the files anyway.
+    grouped = scan_headers(spark, paths, sep, encoding).groupBy("columns").agg(F.collect_list("file_path").alias("files"))
+    groups = [(row.files, row["columns"]) for row in sorted(grouped.collect(), key=lambda r: min(r.files))]
+    if len(groups) == 1:
+        groups = [(list(paths), groups[0][1])]
     frames = [read(files, names) for files, names in groups]
     if positions:
         _pin_splits(spark)
         frames = [_with_position(f) for f in frames]
     if not frames:
         raise FileNotFoundError(f"no CSV files below {list(paths)}")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return match_columns_by_name(rows, columns) if columns is not None else rows
+
+
+def _judged_whole(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The same rows; a condition that always holds names every column, so that a record is judged whole whatever
+    columns the caller goes on to use."""
+    return rows.filter(F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in names])) >= 0)
 
 
 def decode_cp1252(df: DataFrame) -> DataFrame:
@@ -207,9 +220,11 @@ def _block_offsets(df: DataFrame) -> DataFrame:
 
 
 def _number(offsets: DataFrame, df: DataFrame, name: str) -> DataFrame:
-    joined = df.join(offsets, [FILE_PATH, BLOCK_START])
+    """Rows with their number; a row whose block was cut differently at the other reading is an error, never dropped."""
+    joined = df.join(offsets, [FILE_PATH, BLOCK_START], "left")
     number = F.col(READ_ORDER) - F.col("__first") + F.col("__earlier") + 1
-    return joined.withColumn(name, number).drop("__first", "__earlier")
+    lost = F.raise_error(F.lit("a file was cut into other blocks than before; set spark.sql.files.minPartitionNum")).cast("long")
+    return joined.withColumn(name, F.coalesce(number, lost)).drop("__first", "__earlier")
 
 
 def file_row_number(df: DataFrame, name: str = "_FILE_ROW_NUMBER") -> DataFrame:
@@ -321,7 +336,7 @@ def manual_candidates(
     )
 
 
-ZIP_SCHEMA = "path string, member string, file_name string, file_type string, content binary"
+ZIP_SCHEMA = "path string, member string, file_name string, file_type string, content binary, error string"
 
 
 # A batch for the JVM is full at this many rows or bytes.
@@ -341,27 +356,60 @@ def _in_batches(rows: Iterator[tuple], columns: list[str], size_of: Callable[[tu
         yield pd.DataFrame(batch, columns=columns)
 
 
+def _usable(names: Sequence[str]) -> list[str]:
+    return [n for n in names if not n.endswith("/") and "." + n.rsplit(".", 1)[-1].lower() in (".csv", ".xlsx", ".xls", ".ods")]
+
+
 def _zip_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def members() -> Iterator[tuple]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for member in archive.namelist():
-                        suffix = "." + member.rsplit(".", 1)[-1].lower()
-                        if not member.endswith("/") and suffix in (".csv", ".xlsx", ".xls", ".ods"):
-                            yield path, member, member.rsplit("/", 1)[-1], suffix[1:], archive.read(member)
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                        for member in _usable(archive.namelist()):
+                            kind = member.rsplit(".", 1)[-1].lower()
+                            yield path, member, member.rsplit("/", 1)[-1], kind, archive.read(member), None
+                except (zipfile.BadZipFile, zlib.error, NotImplementedError, RuntimeError) as error:
+                    # An archive that is broken, encrypted or packed in an unknown way: its failure is a row.
+                    yield path, None, None, None, None, str(error)
 
-    return _in_batches(members(), ["path", "member", "file_name", "file_type", "content"], lambda row: len(row[4]))
+    return _in_batches(members(), ["path", "member", "file_name", "file_type", "content", "error"], lambda row: len(row[4] or b""))
 
 
-def scan_zip_members(archives: DataFrame) -> DataFrame:
-    """One row per usable archive member; members leave in batches of bounded size. Input: (path, content) rows."""
+def read_archives(archives: DataFrame) -> DataFrame:
+    """One row per usable member, and one with ``error`` per archive that cannot be read. Input: (path, content) rows.
+
+    Members leave in batches of bounded size; what was read of an archive before it failed stays.
+    """
     return archives.select("path", "content").mapInPandas(_zip_members, ZIP_SCHEMA)
 
 
-def archives_without_members(archives: DataFrame, members: DataFrame) -> DataFrame:
-    """Archives that hold nothing usable: a load error of each."""
-    return archives.select("path").join(members.select("path"), "path", "left_anti")
+def scan_zip_members(archives: DataFrame) -> DataFrame:
+    """One row per usable archive member; archives that cannot be read have none (see :func:`read_archives`)."""
+    return read_archives(archives).filter(F.col("error").isNull()).drop("error")
+
+
+def archive_errors(archives: DataFrame) -> DataFrame:
+    """(path, error) of archives that cannot be read."""
+    return read_archives(archives).filter(F.col("error").isNotNull()).select("path", "error")
+
+
+def _archive_sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        counts = []
+        for content in batch["content"]:
+            try:
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    counts.append(len(_usable(archive.namelist())))
+            except zipfile.BadZipFile:
+                counts.append(-1)
+        yield pd.DataFrame({"path": batch["path"], "members": counts})
+
+
+def archives_without_members(archives: DataFrame) -> DataFrame:
+    """Archives that hold nothing usable: a load error of each. Only their lists of names are read."""
+    listed = archives.select("path", "content").mapInPandas(_archive_sizes, "path string, members long")
+    return listed.filter(F.col("members") == 0).select("path")
 
 
 MEMBER_ROW_SCHEMA = "path string, member string, row_number long, fields array<string>"
@@ -395,18 +443,24 @@ def member_rows(members: DataFrame) -> DataFrame:
 def skip_bad_files(
     spark: SparkSession, paths: Sequence[str], columns: Sequence[str], multi_line: bool = False, header: bool = True, glob: str = "*.csv"
 ) -> tuple[DataFrame, DataFrame]:
-    """(good rows, rejected rows): rows that do not fit the header are set aside with their text, the rest loads."""
-    schema = T.StructType([*[T.StructField(c, T.StringType()) for c in columns], T.StructField(CORRUPT, T.StringType())])
-    rows = (
-        _csv_reader(
-            spark, ",", "utf-8", multi_line, header, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, pathGlobFilter=glob
+    """(good rows, rejected rows): rows that do not fit their file's header are set aside with their text, the rest loads.
+
+    Without ``header``, ``columns`` are the files' columns in order.
+    """
+    if header:
+        rows = scan_csv_strings(spark, paths, columns, multi_line=multi_line, positions=True, corrupt=True)
+        rows = rows.withColumn("file_path", plain_path(F.col(FILE_PATH))).drop(FILE_PATH, BLOCK_START, READ_ORDER)
+    else:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, CORRUPT]])
+        rows = (
+            _csv_reader(
+                spark, ",", "utf-8", multi_line, header, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, pathGlobFilter=glob
+            )
+            .schema(schema)
+            .csv(list(paths))
+            .select("*", plain_path(F.col("_metadata.file_path")).alias("file_path"))
         )
-        .schema(schema)
-        .csv(list(paths))
-        .select("*", plain_path(F.col("_metadata.file_path")).alias("file_path"))
-    )
-    # Always true, but it names every column: a record is judged whole, whatever columns the caller goes on to use.
-    rows = rows.filter(F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in columns])) >= 0)
+        rows = _judged_whole(rows, columns)
     good = rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     return good, rows.filter(F.col(CORRUPT).isNotNull()).select("file_path", F.col(CORRUPT).alias("record"))
 

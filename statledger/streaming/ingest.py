@@ -10,7 +10,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from statledger.operators.telemetry import type_events
@@ -18,26 +17,22 @@ from statledger.schemas import EVENT_LINE_SCHEMA, SIDECAR_DOCUMENT_SCHEMA
 from statledger.sources.files import (
     CORRUPT,
     FILE_PATH,
-    READ_ORDER,
     load_metadata_columns,
-    position_columns,
+    scan_csv_strings,
     sidecar_table,
 )
 
 
-def stream_csv(spark: SparkSession, root: str, columns: Sequence[str], multi_line: bool = False) -> DataFrame:
-    """Landed CSV files as a stream of text rows with their file; rows that do not fit carry ``_corrupt_record``."""
-    schema = T.StructType([*[T.StructField(c, T.StringType()) for c in columns], T.StructField(CORRUPT, T.StringType())])
+def stream_files(spark: SparkSession, root: str, pattern: str = "*.csv", max_files: int = 10_000) -> DataFrame:
+    """Paths of files as they land below ``root``, at most ``max_files`` a batch; contents are not read."""
     return (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("columnNameOfCorruptRecord", CORRUPT)
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .csv(root)
-        .select("*", *position_columns())
+        .option("pathGlobFilter", pattern)
+        .option("maxFilesPerTrigger", max_files)
+        .load(root)
+        .select("path")
     )
 
 
@@ -64,24 +59,29 @@ def stream_ingest_csv(
 ) -> StreamingQuery:
     """Pick up landed files and append their rows, with metadata, to the ingest table at ``out``.
 
-    A batch overwrites its own folder, so a batch repeated after a failure does not load twice. Rejected records go to
-    ``<out>_rejected``. ``sidecar`` is called per batch: metadata lands together with the files.
+    The reader is that of the batch: columns are mapped by each file's own header, ``columns`` come first and others
+    follow, so that the table's schema evolves. A batch overwrites its own folder, so a batch repeated after a failure
+    does not load twice. Rejected records go to ``<out>_rejected``. ``sidecar`` is called per batch: metadata lands
+    together with the files.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn(READ_ORDER, F.monotonically_increasing_id())
+        paths = [row.path for row in batch.collect()]  # at most maxFilesPerTrigger
+        if not paths:
+            return
+        rows = scan_csv_strings(spark, paths, columns, multi_line=multi_line, positions=True, corrupt=True)
         # Rejected records keep their place in the row numbering, as they do in the file.
         loaded = load_metadata_columns(rows, sidecar(), root)
         loaded.filter(F.col(CORRUPT).isNull()).drop(CORRUPT).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
         rejected = rows.filter(F.col(CORRUPT).isNotNull()).select(F.col(FILE_PATH).alias("file_path"), F.col(CORRUPT).alias("record"))
         rejected.write.mode("overwrite").parquet(f"{out}_rejected/batch={batch_id}")
 
-    return start_batches(stream_csv(spark, root, columns, multi_line), checkpoint, write, once)
+    return start_batches(stream_files(spark, root), checkpoint, write, once)
 
 
 def read_ingest(spark: SparkSession, out: str) -> DataFrame:
-    """The ingest table a stream has written so far."""
-    return spark.read.parquet(out).drop("batch")
+    """The ingest table a stream has written so far, with every column any of its files had."""
+    return spark.read.option("mergeSchema", True).parquet(out).drop("batch")
 
 
 def _append_parquet(stream: DataFrame, out: str, checkpoint: str, once: bool) -> StreamingQuery:
