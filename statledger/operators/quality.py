@@ -39,6 +39,15 @@ def agg_loaded_row_counts(tables: Mapping[str, DataFrame], spark: SparkSession)
     return union_all_tables(counts, LOADED_COUNTS_SCHEMA, spark)
 
 
+def agg_tagged_row_counts(rows: DataFrame, table_name: Column) -> DataFrame:
+    """The same for rows of many tables in one frame, told apart by ``table_name``: one pass, however many tables."""
+    return (
+        rows.filter(F.col("_LOAD_ID").isNotNull())
+        .groupBy(table_name.alias("raw_table_name"), F.col("_LOAD_ID").alias("load_id"))
+        .agg(F.count("*").alias("loaded_row_count"))
+    )
+
+
 def agg_loaded_by_load_id(counts: DataFrame) -> DataFrame:
     return counts.groupBy("load_id").agg(F.sum("loaded_row_count").alias("loaded_row_count"))
 
@@ -82,7 +91,9 @@ def column_profile(df: DataFrame, table_name: str, approximate: bool = False, me
     skipped = {c.upper() for c in metadata_columns}
     columns = [c for c in df.columns if c.upper() not in skipped]
     known = df.sparkSession.createDataFrame(list(enumerate(columns)), "place int, column_name string")
-    values = F.array(*[F.col(f"`{c}`").cast("string") for c in columns])
+    # Long texts are told apart by their hash, so that they are not shuffled.
+    texts = [F.col(f"`{c}`").cast("string") for c in columns]
+    values = F.array(*[F.when(F.length(t) > 64, F.sha2(t, 256)).otherwise(t) for t in texts])
     pairs = df.select(F.posexplode(values).alias("place", "value"))
     if approximate:
         counted = pairs.groupBy("place").agg(

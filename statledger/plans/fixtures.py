@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statledger.functions.text import MONTHS
+
 PAYLOAD = ["Period", "OrderKey", "Org Code", "priorityClass", "c-d"]
 
 
@@ -361,7 +363,7 @@ def f_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.join(following, "page_id").select("page_id", "url", F.concat("html", addition).alias("html"))
 
 
-SITE_MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
+SITE_MONTHS = [m.capitalize() for m in MONTHS]
 
 _MONTH_LIST = "['" + "', '".join(SITE_MONTHS) + "']"
 CTES["site"] = f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from statledger.functions import html
-from statledger.operators import discovery, inventory, quality, routing, shape, telemetry
+from statledger.operators import discovery, inventory, quality, revisions, routing, shape, telemetry
 from statledger.plans.fixtures import (
     CTES, REQUIRES, f_cells, f_ingest, f_inventory, f_sidecar, f_site, f_telemetry, table, with_ctes,
 )
@@ -95,16 +95,6 @@ def unrouted_workbooks(spark, sf_dir):
     return routing.unrouted_workbooks(sheets, [routing.RouteRule("X", "x", ["data 2", "DATA 4"])])
 
 
-def _tables(spark, sf_dir):
-    raw = raw_view(spark, sf_dir)
-    return {
-        "RAW_AUTOMATED": raw.filter(F.col("_ACQUISITION_METHOD") == "automated"),
-        "RAW_MANUAL": raw.filter(F.col("_ACQUISITION_METHOD") == "manual"),
-        "OTHER": raw,
-        quality.EVENTS_TABLE: f_telemetry(spark, sf_dir),
-    }
-
-
 CTES["counts"] = """SELECT concat('RAW_', upper("_ACQUISITION_METHOD")) AS raw_table_name, "_LOAD_ID" AS load_id, count(*) AS loaded_row_count FROM dedup WHERE "_LOAD_ID" IS NOT NULL GROUP BY 1, 2"""
 CTES["normalized"] = """SELECT "LOAD_ID" AS load_id, "SERIES_ID" AS series_id, "SUB_DATASET_ID" AS sub_dataset_id, "SOURCE_URL" AS source_url, "FILE_NAME" AS file_name, max("NORMALIZED_ROW_COUNT") AS normalized_row_count, max("EVENT_TIMESTAMP_UTC") AS normalized_at
 FROM f_telemetry WHERE "STAGE" = 'UPLOAD' AND "STATUS" = 'SUCCEEDED' AND "LOAD_ID" IS NOT NULL GROUP BY 1, 2, 3, 4, 5"""
@@ -114,7 +104,9 @@ REQUIRES.update({"counts": ["dedup"], "normalized": ["f_telemetry"], "parity": [
 
 @query("agg_loaded_row_counts", with_ctes("counts") + "SELECT * FROM counts")
 def agg_loaded_row_counts(spark, sf_dir):
-    return quality.agg_loaded_row_counts(_tables(spark, sf_dir), spark)
+    """Loads are deduplicated once, and counted before any metadata is joined."""
+    rows = revisions.dedup_latest_ingest(f_ingest(spark, sf_dir))
+    return quality.agg_tagged_row_counts(rows, F.concat(F.lit("RAW_"), F.upper("_ACQUISITION_METHOD")))
 
 
 @query("agg_loaded_by_load_id", with_ctes("counts") + "SELECT load_id, CAST(sum(loaded_row_count) AS BIGINT) AS loaded_row_count FROM counts GROUP BY 1")

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from statledger.functions import dates, html, paths, periods, text, urls
+from statledger.functions.text import MONTHS
 from statledger.operators import discovery, quality, routing, shape, telemetry
 from statledger.plans.fixtures import CTES, f_date_text, f_discovered, f_ingest, f_inventory, f_site, table, with_ctes
 from statledger.plans.registry import query
 from statledger.sources import sinks
 
-_MONTHS = "['January', 'February', 'March', 'April', 'May', 'June', 'July', 'August', 'September', 'October', 'November', 'December']"
+_MONTHS = str([m.capitalize() for m in MONTHS])
 # Compact ISO value each text shape of the date input must give.
 CTES["dates"] = """
 SELECT *, CASE WHEN shape IN (0, 1, 2, 7) THEN concat(y, lpad(CAST(m AS VARCHAR), 2, '0'), lpad(CAST(d AS VARCHAR), 2, '0'), 'T000000')
