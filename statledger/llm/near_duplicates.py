@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,8 @@ class Join:
     percent: int = 80
     trees: int = 10
     #: A node with at most so many pairs of unconnected classes is compared exhaustively.
-    pairs: int = 4096
-    pivots: int = 4
+    pairs: int = 8192
+    pivots: int = 8
     #: Minwise tokens per document; trees take them in turn.
     tokens: int = 64
     #: Beyond, what is left of the large nodes is compared exhaustively.
@@ -173,16 +174,18 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, rule: Join) -> DataFrame:
     return _beside(pairs, sets, "shingles").mapInArrow(run, pairs.schema)
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """Columns node and least: the smallest id that each end of the links (a, b) is connected with.
 
     Every round, a node takes the least label of its neighbours, and then its label's label. Labels are written each
-    round; a round only moves the links and one row per node.
+    round; a round only moves the links and one row per node. With ``rounds``, it stops there: nodes of one label are
+    connected, but not all that are connected have one label yet.
     """
     both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = written(both, "links")
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("least")), "labels")
-    while True:
+    while rounds != 0:
+        rounds = None if rounds is None else rounds - 1
         near = (
             both.join(labels, both["b"] == labels["node"])
             .groupBy(F.col("a").alias("node"))
@@ -191,10 +194,11 @@ def components(links: DataFrame) -> DataFrame:
         passed = labels.join(near, "node").select("node", F.least("least", "near").alias("next"), F.col("least").alias("old"))
         jump = labels.select(F.col("node").alias("next"), F.col("least").alias("further"))
         new = written(passed.join(jump, "next").select("node", F.least("next", "further").alias("least"), "old"), "labels")
-        changed = new.filter("least <> old").limit(1).count()
+        changed = rounds is not None or new.filter("least <> old").limit(1).count()
         labels = new.select("node", "least")
         if not changed:
-            return labels
+            break
+    return labels
 
 
 def near_duplicates(docs: DataFrame, rule: Join | None = None) -> DataFrame:
@@ -232,7 +236,7 @@ def _connected(docs: DataFrame, classes: DataFrame, rule: Join) -> DataFrame:
     nodes = classes.select("rep", "n", F.explode(roots).alias("at")).select("rep", "n", "at.tree", "at.path")
     kind = classes.schema["rep"].dataType
     none = spark.createDataFrame([], T.StructType([T.StructField("node", kind), T.StructField("least", kind)]))
-    labels, sets = none, None
+    labels, sets, found = none, None, []
     for depth in range(rule.depth + 1):
         rows = nodes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
         rows = rows.withColumn("component", F.coalesce("least", "rep")).drop("least")
@@ -265,18 +269,18 @@ def _connected(docs: DataFrame, classes: DataFrame, rule: Join) -> DataFrame:
             met = met.unionAll(active.filter(large).select("rep")).distinct()
             texts = docs.select("doc_id", "text").join(met, F.col("doc_id") == F.col("__met"), "left_semi")
             sets = written(full_sets(texts, rule).withColumnRenamed("doc_id", "rep").dropDuplicates(["rep"]), "sets")
-        links = _confirmed(like, sets, rule)
-        # Links join components found so far, which keep their smallest id as the name.
-        edges = labels.select(F.col("node").alias("a"), F.col("least").alias("b")).unionAll(links.select("a", "b"))
-        labels = components(edges.filter("a <> b"))
+        found.append(written(_confirmed(like, sets, rule), "confirmed"))
         following = active.filter(large)
         if depth == rule.depth or not following.limit(1).count():
-            return labels
+            break
+        # What is known to be connected so far saves comparisons further down; it need not be all that is.
+        known = labels.filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+        labels = components(known.unionAll(found[-1]), rounds=1)
         place = (F.col("tree") + (depth + 1) * rule.trees) % rule.tokens
         nodes = following.join(classes.select("rep", "tokens"), "rep").select(
             "rep", "n", "tree", F.xxhash64("path", F.col("tokens")[place]).alias("path")
         )
-    return labels
+    return components(reduce(DataFrame.unionAll, found))
 
 
 def _pairs(active: DataFrame, large, rule: Join) -> DataFrame:
