@@ -27,6 +27,7 @@ ORDERS = (1, 2, 3)
 SAMPLE_PER_LANGUAGE = 400
 UNKNOWN = "und"
 SLICE_BYTES = 1 << 20
+_BUCKETS = 64
 
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], dtype=np.uint32)
 
@@ -121,9 +122,21 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
 
 
 def sample_features(docs: DataFrame, per_language: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """Language, features and relative frequencies of at most ``per_language`` documents of each, by a hash of their id."""
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")]
-    ranked = docs.withColumn("__rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    """Language, features and relative frequencies of at most ``per_language`` documents of each, by a hash of their id.
+
+    Documents are chosen by narrow rows, first in ``_BUCKETS`` parts of each language and then in all, so that no task
+    gets more than so many choices of a language; only texts of the chosen ones are read.
+    """
+    narrow = docs.select("lang", "doc_id", F.xxhash64("doc_id").alias("order"), F.xxhash64("text").alias("version"))
+    bucket = F.pmod(F.xxhash64("order", "version"), F.lit(_BUCKETS))
+    for part in ([bucket], []):
+        rank = F.row_number().over(Window.partitionBy("lang", *part).orderBy("order", "doc_id", "version"))
+        narrow = narrow.withColumn("rank", rank).filter(F.col("rank") <= per_language).drop("rank")
+    chosen = narrow.distinct().select(*[F.col(c).alias(f"__{c}") for c in ("lang", "doc_id", "version")])
+    same = (
+        (docs["lang"] == F.col("__lang")) & docs["doc_id"].eqNullSafe(F.col("__doc_id")) & (F.xxhash64(docs["text"]) == F.col("__version"))
+    )
+    sample = docs.join(chosen, same).select("lang", "text", "__doc_id", "__version").dropDuplicates(["lang", "__doc_id", "__version"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("lang", pa.string()), ("feature", pa.list_(pa.int32())), ("share", pa.list_(pa.float32()))])
@@ -141,7 +154,7 @@ def sample_features(docs: DataFrame, per_language: int) -> list[tuple[str, np.nd
             ]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema).filter(pa.array(letters > 0))
 
-    rows = ranked.filter(F.col("__rank") <= per_language).select("lang", "text")
+    rows = sample.select("lang", "text")
     rows = rows.mapInArrow(run, "lang string, feature array<int>, share array<float>").collect()
     found = [(r.lang, np.array(r.feature, dtype=np.int64), np.array(r.share, dtype=np.float64)) for r in rows]
     return sorted(found, key=lambda x: (x[0], len(x[1]), x[2].sum(), x[1].tobytes(), x[2].tobytes()))
