@@ -3,9 +3,10 @@
 A document is the set of its word shingles. Equal sets are one class, so copies cost nothing further. In each of
 ``TREES`` independent trees, every class walks from the root along its minwise tokens: a node holds the classes that
 chose the same tokens so far. Classes that are already connected need no comparison, so a node whose classes are all
-connected ends there, however large it is. A node in which few pairs are left is compared exhaustively and ends, too. In
-another, all classes are compared with a few of them, the pivots, and it branches by the next token. Two classes of
-similarity s meet in a node of depth d of one tree with chance s^d, and most nodes end at depth 1.
+connected ends there, however large it is. A node with at most ``exhaustive`` unconnected pairs per class is compared
+exhaustively and ends, too. In another, all classes are compared with a few of them, the pivots, and it branches by the
+next token. So a node never has more pairs than a few times its classes. Two classes of similarity s meet in a node of depth
+d of one tree with chance s^d, and most nodes end at depth 1.
 
 Pairs first pass exact bounds on sizes and an estimate from sketches, then are confirmed on full sets of 64-bit shingle
 hashes, which are made once and only for classes that met others. Pairs are never expanded among copies. Connected
@@ -37,9 +38,9 @@ class Join:
     shingle: int = 5
     percent: int = 80
     trees: int = 10
-    #: A node with at most so many pairs of unconnected classes is compared exhaustively.
-    pairs: int = 8192
-    pivots: int = 8
+    #: A node with at most so many pairs of unconnected classes per class is compared exhaustively.
+    exhaustive: int = 8
+    pivots: int = 2
     #: Minwise tokens per document; trees take them in turn.
     tokens: int = 64
     #: Beyond, what is left of the large nodes is compared exhaustively.
@@ -251,14 +252,15 @@ def _connected(docs: DataFrame, classes: DataFrame, rule: Join) -> DataFrame:
             .groupBy("path")
             .agg(
                 F.count("*").alias("components"),
+                F.sum("size").alias("size"),
                 ((F.sum("size") * F.sum("size") - F.sum(F.col("size") * F.col("size"))) / 2).alias("unconnected"),
                 *[F.min(c).alias(c) for c in pivots],
             )
             .filter("components > 1")
-            .select("path", "unconnected", F.array_distinct(F.array(*pivots)).alias("pivots"))
+            .select("path", (F.col("unconnected") > rule.exhaustive * F.col("size")).alias("large"), F.array_distinct(F.array(*pivots)).alias("pivots"))
         )
         active = written(rows.join(sizes, "path"), "nodes")
-        large = F.col("unconnected") > rule.pairs
+        large = F.col("large")
         if depth == rule.depth:
             large = F.lit(False)
         pairs = written(_pairs(active, large, rule), "pairs")

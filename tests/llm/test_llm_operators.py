@@ -162,7 +162,7 @@ def brute_components(rows, size, percent=80):
     return {i: root(i) for i in sets}, {i: len(s) for i, s in sets.items()}
 
 
-@pytest.mark.parametrize("rule", [near_duplicates.Join(), near_duplicates.Join(shingle=4), near_duplicates.Join(shingle=4, pairs=1, pivots=1, depth=3)])
+@pytest.mark.parametrize("rule", [near_duplicates.Join(), near_duplicates.Join(shingle=4), near_duplicates.Join(shingle=4, exhaustive=0, pivots=1, depth=3)])
 def test_near_duplicates_against_brute_force(docs, rule):
     rows = docs.select("doc_id", "text").collect()
     component, size = brute_components(rows, rule.shingle)
@@ -185,7 +185,7 @@ def test_large_groups_of_near_copies_are_one_component(spark):
     rows += [(1000 + i, "shared passage of some ten words that many texts all have " * 2 + " ".join(f"y{rng.randrange(9999)}" for _ in range(30))) for i in range(80)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want, _ = brute_components(df.collect(), 5)
-    got = near_duplicates.near_duplicates(df, near_duplicates.Join(pairs=6))
+    got = near_duplicates.near_duplicates(df, near_duplicates.Join(exhaustive=1))
     assert {r.doc_id: r.component_id for r in got.collect()} == want
 
 
