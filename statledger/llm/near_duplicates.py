@@ -1,12 +1,15 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
 A document is the set of its word shingles. Equal sets are one class, so copies cost nothing further. In each of
-``TREES`` independent trees, every class walks from the root along its minwise tokens: a node holds the classes that
-chose the same tokens so far. Classes that are already connected need no comparison, so a node whose classes are all
-connected ends there, however large it is. A node with at most ``exhaustive`` unconnected pairs per class is compared
-exhaustively and ends, too. In another, all classes are compared with a few of them, the pivots, and it branches by the
-next token. So a node never has more pairs than a few times its classes. Two classes of similarity s meet in a node of depth
-d of one tree with chance s^d, and most nodes end at depth 1.
+``TREES`` independent trees, every class chooses a minwise token; a node holds the classes that chose the same one. Two
+classes of similarity s meet in a tree with chance s, so in one of ten trees with at least 1 - 0.2^10 at a similarity of
+0.8, however large the nodes are: every unconnected pair of every node is compared.
+
+Classes that are already connected need no comparison, so a node whose classes are all connected is done. A node with at
+most ``exhaustive`` unconnected pairs per class is compared pair by pair. In another, all classes are first compared with
+a few of them, the pivots, which connects dense groups; what is left unconnected is compared in full, in pairs of blocks
+of bounded size. A pair of blocks is one task's work and gives only the links that connect something in it, so pairs
+are never rows there. Its work still grows with the square of the unconnected classes of a node, in numpy.
 
 Pairs first pass exact bounds on sizes and an estimate from sketches, then are confirmed on full sets of 64-bit shingle
 hashes, which are made once and only for classes that met others. Pairs are never expanded among copies. Connected
@@ -43,8 +46,11 @@ class Join:
     pivots: int = 2
     #: Minwise tokens per document; trees take them in turn.
     tokens: int = 64
-    #: Beyond, what is left of the large nodes is compared exhaustively.
-    depth: int = 24
+    #: Rounds of pivots. After them, what is left of the large nodes is compared exhaustively.
+    depth: int = 1
+    #: Classes, and shingles of them, in a block of a large node; rows of one task are two blocks.
+    block: int = 1024
+    block_shingles: int = 1 << 20
     #: Pairs go on if so many standard deviations below the wanted similarity still agree with their sketches.
     deviations: float = 4.5
 
@@ -238,53 +244,119 @@ def _connected(docs: DataFrame, classes: DataFrame, rule: Join) -> DataFrame:
     kind = classes.schema["rep"].dataType
     none = spark.createDataFrame([], T.StructType([T.StructField("node", kind), T.StructField("least", kind)]))
     labels, sets, found = none, None, []
-    for depth in range(rule.depth + 1):
+
+    def made(met: DataFrame) -> DataFrame:
+        texts = docs.select("doc_id", "text").join(met.distinct(), F.col("doc_id") == F.col("__met"), "left_semi")
+        return written(full_sets(texts, rule).withColumnRenamed("doc_id", "rep").dropDuplicates(["rep"]), "sets")
+
+    for number in range(rule.depth + 1):
         rows = nodes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
         rows = rows.withColumn("component", F.coalesce("least", "rep")).drop("least")
         chosen = [
-            F.min(F.struct(F.xxhash64("rep", F.lit(depth), F.lit(i)).alias("order"), "rep", "n", "component")).alias(f"pivot{i}")
+            F.min(F.struct(F.xxhash64("rep", F.lit(number), F.lit(i)).alias("order"), "rep", "n", "component")).alias(f"pivot{i}")
             for i in range(rule.pivots)
         ]
         pivots = [f"pivot{i}" for i in range(rule.pivots)]
         sizes = (
             rows.groupBy("path", "component")
-            .agg(F.count("*").alias("size"), *chosen)
+            .agg(F.count("*").alias("size"), F.sum("n").alias("shingles"), *chosen)
             .groupBy("path")
             .agg(
                 F.count("*").alias("components"),
                 F.sum("size").alias("size"),
+                F.sum("shingles").alias("shingles"),
                 ((F.sum("size") * F.sum("size") - F.sum(F.col("size") * F.col("size"))) / 2).alias("unconnected"),
                 *[F.min(c).alias(c) for c in pivots],
             )
             .filter("components > 1")
-            .select("path", (F.col("unconnected") > rule.exhaustive * F.col("size")).alias("large"), F.array_distinct(F.array(*pivots)).alias("pivots"))
+            .select(
+                "path",
+                (F.col("unconnected") > rule.exhaustive * F.col("size")).alias("large"),
+                F.greatest(F.ceil(F.col("size") / rule.block), F.ceil(F.col("shingles") / rule.block_shingles)).cast("int").alias("blocks"),
+                F.array_distinct(F.array(*pivots)).alias("pivots"),
+            )
         )
         active = written(rows.join(sizes, "path"), "nodes")
+        if number == rule.depth:
+            found.append(written(_compared(active, classes, sets if sets is not None else made(active.select(F.col("rep").alias("__met"))), rule), "confirmed"))
+            break
         large = F.col("large")
-        if depth == rule.depth:
-            large = F.lit(False)
         pairs = written(_pairs(active, large, rule), "pairs")
         like = written(_like(pairs, classes, rule), "pairs")
         if sets is None:
-            # Only classes that met others can need their sets, at this depth or below.
+            # Only classes that met others can need their sets, in this round or later.
             met = like.select(F.col("a").alias("__met")).unionAll(like.select("b"))
-            met = met.unionAll(active.filter(large).select("rep")).distinct()
-            texts = docs.select("doc_id", "text").join(met, F.col("doc_id") == F.col("__met"), "left_semi")
-            sets = written(full_sets(texts, rule).withColumnRenamed("doc_id", "rep").dropDuplicates(["rep"]), "sets")
+            sets = made(met.unionAll(active.filter(large).select("rep")))
         found.append(written(_confirmed(like, sets, rule), "confirmed"))
-        following = active.filter(large)
-        if depth == rule.depth or not following.limit(1).count():
+        nodes = active.filter(large).select("rep", "n", "tree", "path")
+        if not nodes.limit(1).count():
             break
-        # What is known to be connected so far saves comparisons further down; it need not be all that is.
+        # What is known to be connected so far saves comparisons later; it need not be all that is.
         known = labels.filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
-        labels = components(known.unionAll(found[-1]), rounds=1)
-        place = (F.col("tree") + (depth + 1) * rule.trees) % rule.tokens
-        nodes = following.join(classes.select("rep", "tokens"), "rep").select(
-            "rep", "n", "tree", F.xxhash64("path", F.col("tokens")[place]).alias("path")
-        )
+        labels = components(known.unionAll(found[-1]), rounds=2)
     return components(reduce(DataFrame.unionAll, found))
 
 
+def _compared(active: DataFrame, classes: DataFrame, sets: DataFrame, rule: Join) -> DataFrame:
+    """Links (a, b) that connect all linked classes of every node: each pair of blocks of a node gives a forest of its own."""
+    block = F.pmod(F.xxhash64("rep", F.lit("block")), F.col("blocks")).cast("int")
+    rows = active.select("rep", "n", "tree", "path", "component", "blocks", block.alias("block"))
+    rows = rows.join(classes.select("rep", F.slice("tokens", 1, rule.trees).alias("tokens"), "sketch"), "rep").join(sets, "rep")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    rows = rows.select("rep", "n", "tree", "path", "component", "block", "tokens", "sketch", "shingles", other)
+    rows = rows.withColumns({"one": F.least("block", "other"), "two": F.greatest("block", "other")}).drop("other")
+    kind = classes.schema["rep"].dataType
+    links = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+
+    def run(group: pa.Table) -> pa.Table:
+        one, two, tree = (group.column(c)[0].as_py() for c in ("one", "two", "tree"))
+        count, rep = group.num_rows, group.column("rep")
+        block, n = group.column("block").to_numpy(), group.column("n").to_numpy()
+        label = rep_codes(group.column("component"))
+        tokens = group.column("tokens").combine_chunks().flatten().to_numpy().reshape(count, -1)[:, :tree]
+        sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(count, -1)
+        parts = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
+        # Shingles of one class only can be in no intersection.
+        distinct, value, times = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        shared = times[value] > 1
+        owner = np.repeat(np.arange(count), [len(x) for x in parts])[shared]
+        value = value[shared]
+        first = np.searchsorted(owner, np.arange(count + 1))
+        mark = np.zeros(len(distinct), dtype=bool)
+        left = np.flatnonzero(block == one)
+        right = np.flatnonzero(block == two)
+        found: list[tuple[int, int]] = []
+        for number, u in enumerate(left.tolist()):
+            some = left[number + 1 :] if one == two else right
+            some = some[label[some] != label[u]]
+            some = some[100 * np.minimum(n[some], n[u]) >= rule.percent * np.maximum(n[some], n[u])]
+            # A pair is compared in the first tree in which it meets.
+            some = some[~(tokens[some] == tokens[u]).any(axis=1)]
+            some = some[(sketch[some] == sketch[u]).sum(axis=1) >= rule.agreeing]
+            if not len(some):
+                continue
+            mark[value[first[u] : first[u + 1]]] = True
+            sizes = first[some + 1] - first[some]
+            begins = np.cumsum(sizes) - sizes
+            places = np.repeat(first[some] - begins, sizes) + np.arange(sizes.sum())
+            running = np.concatenate([[0], np.cumsum(mark[value[places]])])
+            common = running[begins + sizes] - running[begins]
+            mark[value[first[u] : first[u + 1]]] = False
+            linked = some[100 * common >= rule.percent * (n[some] + n[u] - common)]
+            merged, at = np.unique(label[linked], return_index=True)
+            found += [(u, int(v)) for v in linked[at]]
+            label[np.isin(label, merged)] = label[u]
+        a, b = (pa.array([x[k] for x in found], pa.int64()) for k in (0, 1))
+        return pa.table({"a": rep.take(a), "b": rep.take(b)})
+
+    return rows.groupBy("path", "one", "two").applyInArrow(run, links)
+
+
+def rep_codes(column: pa.ChunkedArray) -> np.ndarray:
+    """A number for each distinct value."""
+    return column.combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
+
+
 def _pairs(active: DataFrame, large, rule: Join) -> DataFrame:
     """Distinct pairs a < b of unconnected classes whose sizes allow a link: all of small nodes, those with pivots of large."""
     side = ["rep", "n", "component"]
