@@ -6,7 +6,7 @@ by a weight that makes all chances of a context sum to exactly one. The lower or
 leaves its rest to one unknown word. Counts above ``LARGEST`` keep the last count's absolute discount, so that every
 context leaves something over.
 
-How it runs. Documents are taken in blocks of ``BLOCK_ROWS`` rows, so that a word pair is one entry per block and not one
+How it runs. Documents are taken in blocks of at most ``BLOCK_ROWS`` rows and about ``BLOCK_BYTES`` bytes, so that a word pair is one entry per block and not one
 per occurrence:
 
 1. Every block sends its distinct words and pairs, with their training counts, to buckets by hash; a bucket adds them up,
@@ -27,8 +27,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from statledger.llm.cluster import written
 from statledger.llm.textarrays import BASE, NOT_WHITE, mix, slices, words
@@ -36,18 +38,38 @@ from statledger.llm.textarrays import BASE, NOT_WHITE, mix, slices, words
 #: Largest count with a Good-Turing discount.
 LARGEST = 5
 BLOCK_ROWS = 8192
+BLOCK_BYTES = 16 << 20
 SLICE_BYTES = 4 << 20
 _END, _BEGIN = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
-_ROW_BITS = 33  # of the row number in monotonically_increasing_id
 _ANSWERS = "kind int, order int, bucket long, block long, keys binary, counts binary, first long, second long"
 
 
-def with_blocks(docs: DataFrame, held_out: Column, block_rows: int) -> DataFrame:
-    """doc_id, text, held_out and block of every row: runs of ``block_rows`` rows of a partition."""
-    row = F.monotonically_increasing_id()
-    in_partition = row.bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    block = F.shiftleft(F.shiftright(row, _ROW_BITS), 32) + F.floor(in_partition / block_rows)
-    return docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"), block.alias("block"))
+def numbered(docs: DataFrame, held_out: Column) -> DataFrame:
+    """doc_id, text, held_out and row of every row. Row numbers are Spark's, which leave 31 bits to the partition."""
+    return docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.monotonically_increasing_id().alias("row"))
+
+
+def dealt(batches: Iterator[pa.RecordBatch], block_rows: int, block_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a partition with their block: the row number that it begins with.
+
+    Blocks are runs of at most ``block_rows`` rows; one ends with the row that takes its texts to ``block_bytes``.
+    """
+    block, rows, held = -1, 0, 0
+    for batch in slices(batches, max_bytes=SLICE_BYTES):
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+        blocks = np.empty(batch.num_rows, np.int64)
+        for i, (row, size) in enumerate(zip(batch.column("row").to_pylist(), sizes, strict=True)):
+            if block < 0 or rows >= block_rows or held >= block_bytes:
+                block, rows, held = row, 0, 0
+            blocks[i] = block
+            rows += 1
+            held += size
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(blocks)], [*batch.schema.names, "block"])
+
+
+def with_blocks(rows: DataFrame, block_rows: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    schema = T.StructType([*rows.schema, T.StructField("block", T.LongType())])
+    return rows.mapInArrow(lambda batches: dealt(batches, block_rows, block_bytes), schema)
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -114,7 +136,7 @@ def block_of(parts: list[tuple[np.ndarray, np.ndarray]]) -> Block:
     return Block(first, word, word_of, pair, pair_at, pair_of, context)
 
 
-def entries(docs: DataFrame, buckets: int) -> DataFrame:
+def entries(rows: DataFrame, buckets: int, block_rows: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Every block's distinct words (order 1) and pairs (order 2) with their training counts, by bucket."""
     bits = int(buckets).bit_length() - 1
 
@@ -137,7 +159,8 @@ def entries(docs: DataFrame, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, parts, held = None, [], []
-        for batch in slices(batches, max_bytes=SLICE_BYTES):
+        # Blocks are dealt in the same Python worker, which a second one in a row would add to.
+        for batch in dealt(batches, block_rows, block_bytes):
             blocks = batch.column("block").to_numpy()
             for begin in np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1])).tolist():
                 end = int(np.searchsorted(blocks, blocks[begin], "right"))
@@ -152,7 +175,7 @@ def entries(docs: DataFrame, buckets: int) -> DataFrame:
             yield sent(number, parts, held)
 
     # All columns are read, as they are later: a plan that reads fewer might deal rows to partitions in another way.
-    return docs.mapInArrow(run, "order int, bucket long, block long, keys binary, counts binary")
+    return rows.mapInArrow(run, "order int, bucket long, block long, keys binary, counts binary")
 
 
 def _add_up(group: pa.Table) -> pa.Table:
@@ -275,7 +298,7 @@ def _scored(model: Model):
         known = np.add.reduceat((count > 0)[own.word_of].astype(np.int64), first)
         base = np.log10((count + 0.5) / (model.tokens + 0.5 * (model.distinct + 1)))
         base = np.add.reduceat(base[own.word_of], first)
-        number = (int(answers.column("block")[0].as_py()) << 24) + np.arange(docs.num_rows)
+        number = docs.column("row").to_numpy()
 
         def rows(kind, length, **columns):
             arrays = [columns.get(n, pa.nulls(length, k)) for n, k in zip(names, kinds, strict=True)]
@@ -313,18 +336,18 @@ def score(docs: DataFrame, held_out: Column, block_rows: int = BLOCK_ROWS, bucke
     read three times and must be the same each time, as a table of files is.
     """
     spark = docs.sparkSession
-    blocks = with_blocks(docs, held_out, block_rows)
+    rows = numbered(docs, held_out)
     parts = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = 1 << max(0, parts - 1).bit_length()
-    answers = written(entries(blocks, parts).groupBy("order", "bucket").applyInArrow(_add_up, _ANSWERS), "katz-counts")
-    model = fit(answers, blocks.filter("not held_out").count())
+    answers = written(entries(rows, parts, block_rows).groupBy("order", "bucket").applyInArrow(_add_up, _ANSWERS), "katz-counts")
+    model = fit(answers, rows.filter("not held_out").count())
     key = docs.schema["doc_id"].dataType.simpleString()
     schema = (
         f"kind int, doc_id {key}, held_out boolean, row long, n_tokens long, n_known long, base_score double, score double, "
         "context long, mass double, lower double, times long"
     )
     scored = (
-        blocks.groupBy("block")
+        with_blocks(rows, block_rows).groupBy("block")
         .cogroup(answers.filter("kind = 2").select("block", "order", "bucket", "counts").groupBy("block"))
         .applyInArrow(_scored(model), schema)
     )

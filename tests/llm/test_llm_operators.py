@@ -132,6 +132,15 @@ def test_katz_is_normalised(docs):
         assert sum(chance(context, w) for w in one) + chance(context, "unknown") == pytest.approx(1)
 
 
+def test_katz_over_many_partitions_and_long_texts(spark, docs):
+    rows = [(i, f"one two three {i % 7}", i % 5 == 1) for i in range(290)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, held boolean")
+    want, got = ({r.doc_id: round(r.score, 6) for r in katz.score(d, F.col("held")).collect()} for d in (df.coalesce(1), df.repartition(140)))
+    assert got == want and len(want) == 290
+    blocks = katz.with_blocks(katz.numbered(df.coalesce(1), F.col("held")), 100, 150).groupBy("block").agg(F.sum(F.length("text")).alias("size")).collect()
+    assert len(blocks) == 29 and max(r["size"] for r in blocks) <= 165
+
+
 def test_katz_without_training(docs, nothing):
     assert katz.score(nothing, F.lit(False)).count() == 0
     got = katz.score(docs, F.lit(True)).collect()
