@@ -17,6 +17,8 @@ from statledger.llm.vocabularies import public_path
 
 #: Languages are rejected below this probability.
 MIN_LANGUAGE_SCORE = 0.4
+#: A value is a published example, and stays, only if more sources and more documents than these have it.
+MAX_OWNERS, MAX_REPOSITORIES = 5, 20
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 
@@ -41,8 +43,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets that only one source has taken out of their texts."""
-    return secret_scan.redact(docs, secret_scan.scan(docs))
+    """All documents, with secrets taken out of their texts, unless many sources and many documents have them."""
+    return secret_scan.redact(docs, secret_scan.scan(docs, max_owners=MAX_OWNERS, max_repositories=MAX_REPOSITORIES))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

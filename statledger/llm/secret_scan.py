@@ -130,8 +130,10 @@ def scan(
     owner: str = "source",
     max_owners: int = 1,
     kinds: tuple[Kind, ...] = KINDS,
+    max_repositories: int = 0,
 ) -> DataFrame:
-    """All candidate spans with n_repositories, n_owners and live (at most ``max_owners`` owners).
+    """All candidate spans with n_repositories, n_owners and live (at most ``max_owners`` owners, or at most
+    ``max_repositories`` repositories).
 
     Null and empty texts have none; a null repository or owner is one of its own. Rows of one id and text are one;
     different texts of one id are scanned each, and their spans united. The candidates are written once to the shared
@@ -139,7 +141,7 @@ def scan(
     """
     found = written(candidates(docs, repository, owner, kinds), "secrets")
     counts = ownership(found)
-    return found.join(counts, "hash").withColumn("live", F.col("n_owners") <= max_owners)
+    return found.join(counts, "hash").withColumn("live", (F.col("n_owners") <= max_owners) | (F.col("n_repositories") <= max_repositories))
 
 
 def report(docs: DataFrame, spans: DataFrame, base: int = len(BASE_KINDS)) -> DataFrame:

@@ -280,6 +280,15 @@ def test_spans_and_ownership(spark):
     assert (clean[4].text, clean[5].text, clean[5].n_chars) == (None, "", 0)
 
 
+def test_pipeline_keeps_only_widely_published_values(spark):
+    keys = {c: "AKIA" + c * 16 for c in "ABCD"}
+    copies = {"A": (2, 2), "B": (30, 3), "C": (6, 6), "D": (30, 6)}  # documents and sources
+    rows = [(100 * n + i, f"x {keys[c]} y", f"s{i % s}") for n, (c, (d, s)) in enumerate(copies.items()) for i in range(d)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    stage = dict(corpus_pipeline.STAGES)["secrets"]
+    assert {r.text for r in stage(spark, docs, "").collect()} == {"x [SECRET] y", f"x {keys['D']} y"}
+
+
 def test_secrets_of_odd_tables(docs, nothing):
     assert secret_scan.redact(docs, secret_scan.scan(docs)).exceptAll(docs).count() == 0
     assert secret_scan.report(nothing, secret_scan.scan(nothing)).count() == 0
