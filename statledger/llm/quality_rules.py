@@ -3,7 +3,8 @@
 Fertility is measured over the words of a text, each encoded by itself: characters per token, the share of byte-fallback
 tokens, and the entropy of the tokens as a share of the most that so many tokens can have. Each language, and within it
 each class of lengths (powers of two of the token count), has its own bands, from quartiles over all of its documents.
-Outside the bands a document is rejected.
+Where a class is small, the bands of the language hold, and where that is small, those of all documents. Outside the
+bands a document is rejected.
 """
 
 from __future__ import annotations
@@ -39,7 +40,8 @@ FERTILITY = ("chars_per_token", "byte_share", "entropy_share")
 @dataclass
 class Bands:
     """A document is outside if it is more than ``quartiles`` interquartile ranges, and ``slack``, beyond the quartiles
-    of its class; classes of fewer than ``least`` documents reject nothing."""
+    of its class; those of its language if the class has fewer than ``least`` documents, and of all documents if the
+    language has."""
 
     quartiles: float = 6.0
     slack: tuple[float, float, float] = (0.5, 0.05, 0.1)
@@ -109,6 +111,13 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
+def _limits(found: DataFrame, level: str, keys: list[str]) -> DataFrame:
+    """Quartiles and number of documents of each group, with names that begin with the level's."""
+    quartiles = [F.percentile_approx(n, [0.25, 0.75], 10000).alias(f"__{level}_{n}") for n in FERTILITY]
+    limits = found.groupBy(*keys).agg(F.count("*").alias(f"__{level}_docs"), *quartiles)
+    return limits.withColumnsRenamed({k: f"__{level}_{k}" for k in keys})
+
+
 def judge(docs: DataFrame, tokenizer_path: str, bands: Bands | None = None) -> DataFrame:
     """The measures of every row with base_failed, in_bands and kept.
 
@@ -119,25 +128,23 @@ def judge(docs: DataFrame, tokenizer_path: str, bands: Bands | None = None) -> D
     bands = bands or Bands()
     found = written(measures(docs, tokenizer_path), "quality")
     found = found.withColumn("__class", F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1)))))
-    quartiles = [F.percentile_approx(n, [0.25, 0.75], 10000).alias(f"__{n}") for n in FERTILITY]
-    limits = (
-        found.groupBy("lang", "__class")
-        .agg(F.count("*").alias("__docs"), *quartiles)
-        .withColumnsRenamed({"lang": "__lang", "__class": "__band"})
-    )
-    same = found["lang"].eqNullSafe(limits["__lang"]) & (found["__class"] == limits["__band"])
+    by_class, by_lang, by_all = (_limits(found, level, keys) for level, keys in (("class", ["lang", "__class"]), ("lang", ["lang"]), ("all", [])))
+    same_lang = found["lang"].eqNullSafe(by_class["__class_lang"])
+    found = found.join(by_class, same_lang & (found["__class"] == by_class["__class___class"]))
+    found = found.join(by_lang, found["lang"].eqNullSafe(by_lang["__lang_lang"])).crossJoin(by_all)
     inside = F.lit(True)
     for name, slack in zip(FERTILITY, bands.slack, strict=True):
-        low, high = F.col(f"__{name}")[0], F.col(f"__{name}")[1]
+        enough = [F.col(f"__{level}_docs") >= bands.least for level in ("class", "lang")]
+        limits = F.when(enough[0], F.col(f"__class_{name}")).when(enough[1], F.col(f"__lang_{name}")).otherwise(F.col(f"__all_{name}"))
+        low, high = limits[0], limits[1]
         width = F.greatest((high - low) * bands.quartiles, F.lit(slack))
         above = F.col(name) <= high + width
         # A low share of byte tokens is no fault, nor is a high entropy.
         below = F.col(name) >= low - width
         inside &= {"byte_share": above, "entropy_share": below}.get(name, above & below)
     return (
-        found.join(limits, same, "left")
-        .withColumn("base_failed", base_failed())
-        .withColumn("in_bands", (F.coalesce("__docs", F.lit(0)) < bands.least) | inside)
+        found.withColumn("base_failed", base_failed())
+        .withColumn("in_bands", inside)
         .withColumn("kept", ~F.col("base_failed") & F.col("in_bands"))
         .select("doc_id", "lang", *MEASURES, *FERTILITY, "base_failed", "in_bands", "kept")
     )

@@ -537,6 +537,15 @@ def test_fertility_bands_reject_what_does_not_fit(spark):
     assert same.filter("kept").count() == sum(r.kept for r in got.values())
 
 
+def test_small_classes_meet_wider_bands(spark):
+    rng = random.Random(4)
+    junk = lambda n: " ".join("".join(chr(rng.randrange(0x12000, 0x12300)) for _ in range(5)) for _ in range(n))
+    rows = [(i, prose(rng, "en", 100), "en") for i in range(80)]
+    rows += [(900, junk(30), "xx"), (901, junk(30), None), (902, junk(3000), "en"), (903, prose(rng, "en", 100), "yy")]
+    judged = quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string"), PIECES)
+    assert {r.doc_id for r in judged.filter("in_bands").collect()} == {*range(80), 903}
+
+
 # --- the pipeline
 
 
