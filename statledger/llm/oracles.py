@@ -132,3 +132,69 @@ select doc_id, count(license)::bigint as n_licenses, coalesce(string_agg(license
   coalesce(max(dice), 0.0)::double as best_dice
 from documents left join m using (doc_id) group by doc_id
 """
+
+
+#: crc32 for SQL that lacks it: ``crc_table`` is one row with the 256 values that the polynomial gives.
+_CRC_TABLE = """
+crc_table as (
+  select list_transform(range(256), lambda x: list_reduce(
+    list_prepend(x::ubigint, [0, 0, 0, 0, 0, 0, 0, 0]::ubigint[]), lambda c, z: xor(c >> 1, (3988292384 * (c & 1))::ubigint))) as crc
+)
+"""
+
+
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of an ASCII text, given a row of ``crc_table``."""
+    values = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::ubigint)"
+    return (
+        f"case when {text} = '' then 0 else xor(list_reduce(list_prepend(4294967295::ubigint, {values}), "
+        f"lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255)::int + 1])), 4294967295::ubigint)::bigint end"
+    )
+
+
+def periodic_runs_sql() -> str:
+    """Runs by comparing words at four equal distances, then every word with the one a period later."""
+    return f"""
+with {_CRC_TABLE},
+d as (
+  select doc_id, {_crc32("coalesce(doc_id::varchar, '')")} as h,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as o
+  from documents, crc_table
+),
+g as (
+  select doc_id, o, len(o) as n, h % 10 = 0 and len(o) > 0 as planted,
+    case when len(o) > 0 then (h // 10) % len(o) end as a, 3 + (h // 10) % 8 as parts
+  from d
+),
+p as (select *, 1 + (n - a) // parts as p from g),
+w as (
+  select doc_id, n, case when planted
+    then o[:a] || flatten(list_transform(range((n - a) // p + 1), lambda j: o[a + 1 : a + p]))[: n - a] else o end as w
+  from p
+),
+q as (select doc_id, n, w, unnest(range(1, n // 4 + 1)) as q from w where n >= 6),
+m as (select doc_id, n, w, q, unnest(range(0, (n - 1) // q - 2)) * q + 1 as i from q),
+c as (
+  select doc_id, q, any_value(n) as n, any_value(w) as w from m
+  where w[i] = w[i + q] and w[i] = w[i + 2 * q] and w[i] = w[i + 3 * q] group by all
+),
+e as (select doc_id, q, w, unnest(range(1, n - q + 1)) as i from c),
+same as (select doc_id, q, i, i - row_number() over (partition by doc_id, q order by i) as island from e where w[i] = w[i + q]),
+stretch as (select doc_id, q, min(i) - 1 as s, count(*) + q as l from same group by doc_id, q, island),
+r as (select doc_id, s, l, min(q) as q from stretch where l >= greatest(6, 4 * q) group by doc_id, s, l),
+listed as (
+  select doc_id, count(*) as n_runs, arg_min({{'s': s, 'l': l, 'q': q}}, {{'a': -l, 'b': s, 'c': q}}) as best,
+    string_agg(s || ',' || l || ',' || q || chr(10), '' order by s, q) as shown
+  from r group by doc_id
+),
+gone as (select distinct doc_id, unnest(range(s + q, s + l)) as i from r),
+kept as (
+  select doc_id, string_agg(x, ' ' order by i) as collapsed
+  from (select doc_id, unnest(w) as x, unnest(range(n)) as i from w where doc_id in (select doc_id from r)) anti join gone using (doc_id, i)
+  group by doc_id
+)
+select doc_id, coalesce(n_runs, 0)::bigint as n_runs, best.s::bigint as start, best.l::bigint as length, best.q::bigint as period,
+  (1000 * best.l // best.q)::bigint as exponent_milli, sha256(coalesce(shown, '')) as runs_sha256,
+  sha256(coalesce(collapsed, array_to_string(w, ' '))) as collapsed_sha256
+from w left join listed using (doc_id) left join kept using (doc_id)
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statledger.llm import decontaminate, katz, language_id, licenses, near_duplicates, oracles, packing, quality_rules, secret_scan, token_files, url_filter
+from statledger.llm import decontaminate, katz, language_id, licenses, near_duplicates, oracles, packing, quality_rules, runs, secret_scan, token_files, url_filter
 from statledger.llm.cluster import ship, shared_path, table
 from statledger.llm.registry import query
 from statledger.llm.vocabularies import public_path
@@ -167,3 +167,40 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of all documents under a Katz backoff model learnt from four fifths of them."""
     return katz.score(table(ship(spark), sf_dir, "documents"), remainder(5) == 1)
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` where a tenth of the texts, by the crc32 of the id, repeat a stretch of their words to their end."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    split = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    size = F.greatest(F.size("__words"), F.lit(1)).cast("long")
+    part = lambda start, length: F.slice("__words", F.col(start).cast("int") + 1, F.col(length).cast("int"))
+    begin = docs.select("doc_id", "text", h.alias("__h"), F.when(h % 10 == 0, split).alias("__words"))
+    begin = begin.withColumns({"__n": size, "__g": F.floor(F.col("__h") / 10), "__zero": F.lit(0)})
+    begin = begin.withColumn("__a", F.col("__g") % F.col("__n"))
+    begin = begin.withColumn("__rest", F.col("__n") - F.col("__a"))
+    begin = begin.withColumn("__p", 1 + F.floor(F.col("__rest") / (3 + F.col("__g") % 8)))
+    times = F.ceil(F.col("__rest") / F.col("__p")).cast("int")
+    repeated = F.slice(F.flatten(F.array_repeat(part("__a", "__p"), times)), F.lit(1), F.col("__rest").cast("int"))
+    text = F.array_join(F.concat(part("__zero", "__a"), repeated), " ")
+    return begin.select("doc_id", F.when(F.size("__words") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs", sql=oracles.periodic_runs_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words of every document, the longest of them, and the text with each run cut to one period."""
+    docs = planted_periods(table(ship(spark), sf_dir, "documents"))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), -r.start, -r.period)))
+    shown = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    found = runs.periodic_runs(docs).withColumns({"best": longest, "shown": F.array_join(shown, "")})
+    length, start, period = F.col("best.length"), -F.col("best.col2"), -F.col("best.col3")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2("shown", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
