@@ -198,3 +198,16 @@ select doc_id, coalesce(n_runs, 0)::bigint as n_runs, best.s::bigint as start, b
   sha256(coalesce(collapsed, array_to_string(w, ' '))) as collapsed_sha256
 from w left join listed using (doc_id) left join kept using (doc_id)
 """
+
+
+def warc_sql(min_revisit_bytes: int) -> str:
+    """Length and digest of every payload, and the first page of equal ones."""
+    fours = " || ".join(f"to_base(('0x' || substr(d, {at}, 5))::bigint, 32, 4)" for at in range(1, 41, 5))
+    return f"""
+with p as (select page_id, strlen(coalesce(html, ''))::bigint as n, sha1(coalesce(html, '')) as d from pages),
+f as (select *, min(page_id) over (partition by n, d) as first, translate({fours}, '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') as b from p),
+r as (select *, n >= {min_revisit_bytes} and first is not null and page_id is distinct from first as again from f)
+select page_id, n as payload_bytes, b as payload_digest, case when again then 'revisit' else 'response' end as record_type,
+  case when again then first end as refers_to
+from r
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statledger.llm import decontaminate, katz, language_id, licenses, near_duplicates, oracles, packing, quality_rules, runs, secret_scan, token_files, url_filter
+from statledger.llm import decontaminate, katz, language_id, licenses, near_duplicates, oracles, packing, quality_rules, runs, secret_scan, token_files, url_filter, warc
 from statledger.llm.cluster import ship, shared_path, table
 from statledger.llm.registry import query
 from statledger.llm.vocabularies import public_path
@@ -204,3 +204,16 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("shown", 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query("op13_warc_chunks", sql=oracles.warc_sql(warc.MIN_REVISIT_BYTES))
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, written in chunks and read back from the archives."""
+    pages = table(ship(spark), sf_dir, "pages")
+    path = shared_path(spark, "warc")
+    warc.write_archives(pages, path)
+    key = pages.schema["page_id"].dataType
+    found = warc.read_records(spark, path)
+    return found.select(
+        F.col("page_id").cast(key).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(key).alias("refers_to")
+    )
