@@ -211,3 +211,73 @@ select page_id, n as payload_bytes, b as payload_digest, case when again then 'r
   case when again then first end as refers_to
 from r
 """
+
+
+def conversations_sql() -> str:
+    """The cheapest edits turn by turn, with all states kept."""
+    key = "(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '))"
+    white = " || ".join(f"chr({c})" for c in (32, 9, 10, 11, 12, 13))
+    return f"""
+with recursive {_CRC_TABLE},
+b as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {_crc32(key)} % 20 as k
+  from conversations, crc_table
+),
+d as (
+  select conv_id, turn, case when k = 4 then 'user' else role end as role,
+    case k when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+    unnest(case when k = 3 then [0, 1] else [0] end) as copy
+  from b where k <> 0
+),
+o as (
+  select *, rtrim(text, {white}) as shown, left(role, 1) as initial,
+    row_number() over (partition by conv_id order by turn nulls first, role, md5(text), copy) as i,
+    row_number() over (partition by conv_id, role, text order by turn nulls first, copy) > 1 as again
+  from d
+),
+f as (
+  select *, shown = '' as blank, again and shown <> '' as dup,
+    not again and shown <> '' and right(shown, 1) not in ('.', '!', '?') as cut,
+    initial || lead(initial) over (partition by conv_id order by i) not in ('su', 'ua', 'au') as illegal
+  from o
+),
+counted as (
+  select conv_id, max(turn) - min(turn) + 1 - count(distinct turn) as gaps, count(*) as n, count(*) filter (blank) as blank,
+    count(*) filter (dup) as duplicate, count(*) filter (cut) as truncated, count(*) filter (illegal) as illegal
+  from f group by conv_id
+),
+inserted(state, mid, price, letters, added) as (
+  values (0, 0, 0, '', []::varchar[]), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+    (0, 2, 5, 'I', ['user:']), (1, 2, 5, 'I', ['user:']), (2, 3, 5, 'I', ['assistant:']), (3, 2, 5, 'I', ['user:']),
+    (0, 3, 10, 'II', ['user:', 'assistant:']), (1, 3, 10, 'II', ['user:', 'assistant:']),
+    (2, 2, 10, 'II', ['assistant:', 'user:']), (3, 3, 10, 'II', ['user:', 'assistant:'])
+),
+edited(mid, letter, initial, next, price, given) as (
+  values (0, 'D', null, 0, 2, null), (1, 'D', null, 1, 2, null), (2, 'D', null, 2, 2, null), (3, 'D', null, 3, 2, null),
+    (0, 'K', 's', 1, 0, null), (0, 'K', 'u', 2, 0, null), (1, 'K', 'u', 2, 0, null), (3, 'K', 'u', 2, 0, null), (2, 'K', 'a', 3, 0, null),
+    (0, 'R', null, 2, 1, 'user'), (1, 'R', null, 2, 1, 'user'), (3, 'R', null, 2, 1, 'user'), (2, 'R', null, 3, 1, 'assistant')
+),
+s as (
+  select conv_id, 0::bigint as i, 0 as state, {{'cost': 0::bigint, 'audit': ''}} as best, []::varchar[] as fixed from counted
+  union all
+  select conv_id, i, state, min(best), arg_min(fixed, best) from (
+    select s.conv_id, f.i, e.next as state,
+      {{'cost': s.best.cost + n.price + e.price + case when f.cut and e.letter <> 'D' then 5 else 0 end, 'audit': s.best.audit || n.letters || e.letter}} as best,
+      s.fixed || n.added || case when e.letter = 'D' then [] else [coalesce(e.given, f.role) || ':' || f.text] end as fixed
+    from s join f on f.conv_id is not distinct from s.conv_id and f.i = s.i + 1
+    join inserted n on n.state = s.state join edited e on e.mid = n.mid
+    where (e.letter = 'D' or not (f.blank or f.dup)) and (e.initial is null or e.initial = f.initial)
+  ) group by conv_id, i, state
+),
+ended as (
+  select s.conv_id, {{'cost': s.best.cost + n.price, 'audit': s.best.audit || n.letters}} as best, s.fixed || n.added as fixed
+  from s join counted c on c.conv_id is not distinct from s.conv_id and c.n = s.i join inserted n on n.state = s.state
+  where n.mid in (0, 3)
+),
+r as (select conv_id, min(best) as best, arg_min(fixed, best) as fixed from ended group by conv_id)
+select a.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+  coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(best.cost, 0)::bigint as cost,
+  coalesce(best.audit, '') as audit, sha256(coalesce(array_to_string(fixed, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) a
+left join counted c on c.conv_id is not distinct from a.conv_id left join r on r.conv_id is not distinct from a.conv_id
+"""

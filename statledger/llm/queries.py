@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statledger.llm import decontaminate, katz, language_id, licenses, near_duplicates, oracles, packing, quality_rules, runs, secret_scan, token_files, url_filter, warc
+from statledger.llm import conversations, decontaminate, katz, language_id, licenses, near_duplicates, oracles, packing, quality_rules, runs, secret_scan, token_files, url_filter, warc
 from statledger.llm.cluster import ship, shared_path, table
 from statledger.llm.registry import query
 from statledger.llm.vocabularies import public_path
@@ -217,3 +217,19 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("page_id").cast(key).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(key).alias("refers_to")
     )
+
+
+def damaged_turns(turns: DataFrame) -> DataFrame:
+    """Turns of which a fifth are lost, emptied, cut short, repeated or given to the user, by the crc32 of their key."""
+    spaced = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(spaced("conv_id"), F.lit(":"), spaced("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.translate(spaced("text"), ".!?", "")).otherwise(spaced("text"))
+    role = F.when(kind == 4, "user").otherwise(spaced("role"))
+    copies = F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1).cast("long")
+    return turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copies"))
+
+
+@query("op12_conversation_repair", sql=oracles.conversations_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every conversation after damage, and the cheapest edits that put its turns in order."""
+    return conversations.repair(damaged_turns(table(ship(spark), sf_dir, "conversations")))
