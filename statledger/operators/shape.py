@@ -19,6 +19,21 @@ def project_exclude(df: DataFrame, *columns: str) -> DataFrame:
     return df.drop(*columns)
 
 
+def unique_names(names: Iterable[str]) -> list[str]:
+    """Column names of a header, told apart in any case: a repeated one gets ``_1``, ``_2``, an empty one its place."""
+    taken: set[str] = set()
+    repeats: dict[str, int] = {}
+    result = []
+    for place, given in enumerate(names):
+        base = name = given or f"column{place}"
+        while name.lower() in taken:
+            repeats[base.lower()] = repeats.get(base.lower(), 0) + 1
+            name = f"{base}_{repeats[base.lower()]}"
+        taken.add(name.lower())
+        result.append(name)
+    return result
+
+
 def schema_evolve_union(frames: Sequence[DataFrame]) -> DataFrame:
     """Stack frames with different columns by name (any case); what a frame lacks reads NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -349,6 +349,79 @@ def skip_bad_files(spark, sf_dir):
     return kept.unionByName(rejected.select(F.lit("rejected").alias("kind"), key, F.lit(None).cast("long").alias("o_custkey")))
 
 
+def _write_lines(lines, path, encoding="utf-8"):
+    """(file, n, line) rows as one CSV file per ``file``, line by line as they are."""
+    ordered = lines.repartition("file").sortWithinPartitions("file", "n").select("file", "line").write.partitionBy("file")
+    raw = {"sep": "\u0001", "quote": "\u0000", "escape": "\u0000", "emptyValue": "", "encoding": encoding, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    ordered.options(**raw).csv(path)
+
+
+# What is wrong with the files of each kind, and how many files there are of each.
+_FILES_PER_KIND = 4
+_KINDS = {
+    "good": 'o_orderkey,o_custkey,note', "reordered": 'note,o_orderkey,o_custkey', "repeated": 'o_orderkey,o_custkey,note,Note,o_orderkey',
+    "cut": 'o_orderkey,o_custkey,note', "latin": 'o_orderkey,o_custkey,note', "wide": 'o_orderkey,o_custkey,note', "short": 'o_orderkey,o_custkey,note', "blank": '',
+}
+
+
+def _land_files_with_faults(spark, sf_dir, path):
+    """Orders in files of eight kinds: five of them have one faulty record, the last in the file, or no header."""
+    n = len(_KINDS)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderpriority").alias("p"))
+    kind = F.element_at(F.array(*[F.lit(k) for k in _KINDS]), (F.col("o_orderkey") % n + 1).cast("int"))
+    file = F.concat_ws("-", kind, (F.floor(F.col("o_orderkey") / n) % _FILES_PER_KIND).cast("string"))
+    note = F.concat(F.lit('"'), F.col("p"), F.lit(', ""so""  "'))
+    plain = F.concat_ws(",", "o_orderkey", "o_custkey", note)
+    line = (
+        F.when(kind == "reordered", F.concat_ws(",", note, "o_orderkey", "o_custkey"))
+        .when(kind == "repeated", F.concat_ws(",", "o_orderkey", "o_custkey", note, F.lit("again"), F.col("o_orderkey") * 2))
+        .when(kind == "blank", F.lit(""))
+        .otherwise(plain)
+    )
+    rows = orders.select(file.alias("file"), kind.alias("kind"), F.lit(1).alias("part"), F.col("o_orderkey").alias("n"), line.alias("line"))
+    each = rows.select("file", "kind").distinct()
+    header = F.element_at(F.create_map(*[F.lit(x) for pair in _KINDS.items() for x in pair]), F.col("kind"))
+    fault = {"cut": '1,2,"no end', "latin": "1,2,\u00e9t\u00e9", "wide": "1,2,x,y", "short": "1,2"}
+    faults = F.element_at(F.create_map(*[F.lit(x) for pair in fault.items() for x in pair]), F.col("kind"))
+    heads = each.select("file", "kind", F.lit(0).alias("part"), F.lit(0).cast("long").alias("n"), header.alias("line"))
+    tails = each.select("file", "kind", F.lit(2).alias("part"), F.lit(0).cast("long").alias("n"), faults.alias("line")).filter("line IS NOT NULL")
+    lines = heads.unionByName(rows).unionByName(tails).select("file", "kind", F.struct("part", "n").alias("n"), "line")
+    latin = F.col("kind") == "latin"
+    _write_lines(lines.filter(~latin), f"{path}/utf8")
+    _write_lines(lines.filter(latin), f"{path}/latin", "ISO-8859-1")
+
+
+_FAULTS_SQL = """WITH k AS (SELECT o_orderkey, o_custkey, concat(o_orderpriority, ', "so"  ') AS note,
+ ['good', 'reordered', 'repeated', 'cut', 'latin', 'wide', 'short', 'blank'][o_orderkey % 8 + 1] AS kind, (o_orderkey // 8) % 4 AS part FROM orders),
+f AS (SELECT concat(kind, '-', part) AS file, kind, count(*) AS n FROM k GROUP BY 1, 2)
+"""
+
+
+@query("load_ledger", _FAULTS_SQL + """SELECT file, CASE WHEN kind IN ('good', 'reordered', 'repeated') THEN 'loaded' ELSE 'failed' END AS outcome, CASE WHEN kind IN ('good', 'reordered', 'repeated') THEN n ELSE 0 END AS row_count,
+ CASE kind WHEN 'cut' THEN '1 lines with an unclosed quote' WHEN 'latin' THEN '1 lines are not utf-8' WHEN 'wide' THEN '1 records do not fit the header, first: 1,2,x,y' WHEN 'short' THEN '1 records do not fit the header, first: 1,2' WHEN 'blank' THEN 'no header' END AS error FROM f""")
+def load_ledger(spark, sf_dir):
+    """One outcome and one error per file; the files are of eight kinds."""
+    path = scratch_path(spark, "faults")
+    _land_files_with_faults(spark, sf_dir, path)
+    _, ledger = files.load_isolated(spark, [path])
+    return ledger.select(F.regexp_extract("file_path", "file=([^/]*)/", 1).alias("file"), "outcome", "row_count", "error")
+
+
+@query("load_isolated", _FAULTS_SQL + """SELECT o_orderkey, o_custkey, note, CASE WHEN kind = 'repeated' THEN 'again' END AS "Note_1", CASE WHEN kind = 'repeated' THEN o_orderkey * 2 END AS "o_orderkey_1" FROM k WHERE kind IN ('good', 'reordered', 'repeated')
+UNION ALL SELECT NULL, n, error, file, NULL FROM (SELECT file, 0 AS n, 'no header' AS error FROM f WHERE kind = 'blank')""")
+def load_isolated(spark, sf_dir):
+    """Rows of the files that load, by name, and the files without a header among those that fail."""
+    path = scratch_path(spark, "faults")
+    _land_files_with_faults(spark, sf_dir, path)
+    rows, ledger = files.load_isolated(spark, [path])
+    number = lambda c: F.col(c).cast("long").alias(c)
+    loaded = rows.select(number("o_orderkey"), number("o_custkey"), "note", "Note_1", number("o_orderkey_1"))
+    none = F.lit(None).cast("long")
+    file = F.regexp_extract("file_path", "file=([^/]*)/", 1)
+    failed = ledger.filter("error = 'no header'").select(none.alias("o_orderkey"), F.col("row_count").alias("o_custkey"), F.col("error").alias("note"), file.alias("Note_1"), none.alias("o_orderkey_1"))
+    return loaded.unionByName(failed)
+
+
 _BY_NAME = """SELECT o_orderkey AS a, o_custkey AS b, CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS extra, CASE WHEN o_orderkey % 3 <> 1 THEN o_orderstatus END AS c FROM orders"""
 
 

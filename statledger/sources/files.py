@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 from statledger.functions.dates import extract_by_pattern, subject_period_rules
 from statledger.functions.paths import load_id
 from statledger.operators.ordering import first_per_key
-from statledger.operators.shape import match_columns_by_name
+from statledger.operators.shape import match_columns_by_name, unique_names
 from statledger.operators.telemetry import blank_to_null_long, type_events
 from statledger.schemas import (
     EVENT_LINE_SCHEMA,
@@ -26,7 +27,7 @@ from statledger.schemas import (
     SIDECAR_DOCUMENT_SCHEMA,
     SIDECAR_LONG_COLUMNS,
 )
-from statledger.session import ship_by_value
+from statledger.session import scratch_path, ship_by_value
 
 ship_by_value(__name__)
 
@@ -83,12 +84,24 @@ def _with_position(df: DataFrame) -> DataFrame:
     return df.select("*", *position_columns(), F.monotonically_increasing_id().alias(READ_ORDER))
 
 
-def scan_headers(spark: SparkSession, paths: Sequence[str], sep: str = ",", encoding: str = "utf-8") -> DataFrame:
-    """(file_path, columns) of every CSV below ``paths``.
+def _decoded(line: Column, encoding: str) -> Column:
+    """The text of a line that was read as bytes."""
+    if encoding.lower() in CP1252_NAMES:
+        return F.translate(F.decode(line.cast("binary"), "ISO-8859-1"), *_CP1252_PAIR)
+    return line if encoding.lower() == "utf-8" else F.decode(line.cast("binary"), encoding)
 
-    Lines are read unparsed; per file only the first line of its first block leaves the map tasks.
-    """
-    lines = (
+
+def _fields(line: Column, sep: str) -> Column:
+    """Values of one record of unknown width: quoted ones may hold the separator."""
+    field = f'("(?:[^"]|"")*"|[^{sep}"]*)(?:{sep}|$)'
+    raw = F.regexp_extract_all(line, F.lit(field), F.lit(1))
+    ended = F.when(line.rlike(f"{sep}$"), raw).otherwise(F.slice(raw, 1, F.greatest(F.size(raw) - 1, F.lit(1))))
+    return F.transform(ended, lambda f: F.regexp_replace(F.regexp_replace(f, '^"|"$', ""), '""', '"'))
+
+
+def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Unparsed lines of every CSV below ``paths``, with where they were read."""
+    return (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .text(list(paths))
@@ -98,21 +111,19 @@ def scan_headers(spark: SparkSession, paths: Sequence[str], sep: str = ",", enco
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("read_order"),
         )
-        .filter(F.col("block") == 0)
     )
+
+
+def scan_headers(spark: SparkSession, paths: Sequence[str], sep: str = ",", encoding: str = "utf-8") -> DataFrame:
+    """(file_path, columns) of every CSV below ``paths``, as written: names may repeat.
+
+    Lines are read unparsed; per file only the first line of its first block leaves the map tasks. A file without a
+    line that holds anything has no row.
+    """
+    lines = _lines(spark, paths).filter((F.col("block") == 0) & (F.trim("value") != ""))
     first = lines.groupBy("file_path").agg(F.min_by("value", "read_order").alias("line"))
-    text = F.col("line")
-    if encoding.lower() in CP1252_NAMES:
-        text = F.translate(F.decode(text.cast("binary"), "ISO-8859-1"), *_CP1252_PAIR)
-    elif encoding.lower() != "utf-8":
-        text = F.decode(text.cast("binary"), encoding)
-    text = F.regexp_replace(text, "^\\ufeff|\\r$", "")
-    # One parsed record of unknown width: quoted fields may hold the separator.
-    field = f'("(?:[^"]|"")*"|[^{sep}"]*)(?:{sep}|$)'
-    raw = F.regexp_extract_all(text, F.lit(field), F.lit(1))
-    ended = F.when(text.rlike(f"{sep}$"), raw).otherwise(F.slice(raw, 1, F.greatest(F.size(raw) - 1, F.lit(1))))
-    names = F.transform(ended, lambda f: F.regexp_replace(F.regexp_replace(f, '^"|"$', ""), '""', '"'))
-    return first.select("file_path", names.alias("columns"))
+    text = F.regexp_replace(_decoded(F.col("line"), encoding), "^\\ufeff|\\r$", "")
+    return first.select("file_path", _fields(text, sep).alias("columns"))
 
 
 def scan_csv_strings(
@@ -129,6 +140,7 @@ def scan_csv_strings(
     """Headered CSV files, every column text, files with different headers stacked by name.
 
     Every file is read by its own header: files of one header are one read, because a read maps columns by position.
+    Names that a header repeats, in any case, are told apart (see :func:`~statledger.operators.shape.unique_names`).
     ``columns`` are the target's: they come first and are NULL where a file lacks them; other columns of the files
     follow. ``multi_line`` is for fields with line breaks inside; it makes a file unsplittable. Empty fields read NULL;
     ``trim`` also trims every field first. ``corrupt`` adds ``_corrupt_record`` with the text of rows that do not fit
@@ -148,7 +160,7 @@ def scan_csv_strings(
 
     # One row per distinct header; the paths are those that the driver lists to read the files anyway.
     grouped = scan_headers(spark, paths, sep, encoding).groupBy("columns").agg(F.collect_list("file_path").alias("files"))
-    groups = [(row.files, row["columns"]) for row in sorted(grouped.collect(), key=lambda r: min(r.files))]
+    groups = [(row.files, unique_names(row["columns"])) for row in sorted(grouped.collect(), key=lambda r: min(r.files))]
     if len(groups) == 1:
         groups = [(list(paths), groups[0][1])]
     frames = [read(files, names) for files, names in groups]
@@ -465,15 +477,86 @@ def skip_bad_files(
     return good, rows.filter(F.col(CORRUPT).isNotNull()).select("file_path", F.col(CORRUPT).alias("record"))
 
 
+def list_files(spark: SparkSession, paths: Sequence[str], pattern: str = "*.csv") -> DataFrame:
+    """(file_path, bytes) of every file below ``paths``; contents are not read.
+
+    Spark's own listing, which the driver makes for any read of these paths, is taken for the names: files without a
+    byte are in it, and in no scan.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(list(paths))
+    sizes = found.select(plain_path(F.col("path")).alias("file_path"), F.col("length").alias("__bytes"))
+    names = spark.createDataFrame([(name,) for name in found.inputFiles()], "name string")
+    bare = F.regexp_replace(plain_path(F.col("name")), "^([A-Za-z0-9+.-]+):///", "$1:/").alias("file_path")
+    return names.select(bare).join(sizes, "file_path", "left").select("file_path", F.coalesce("__bytes", F.lit(0)).cast("long").alias("bytes"))
+
+
+def _line_faults(spark: SparkSession, paths: Sequence[str], sep: str, encoding: str) -> DataFrame:
+    """(file_path, undecodable, open_quote): how many lines have a fault that a lenient parser would read over."""
+    lines = _lines(spark, paths).filter(F.trim("value") != "")
+    if encoding.lower() == "utf-8":
+        undecodable = ~F.is_valid_utf8("value")
+    elif encoding.lower() in CP1252_NAMES:
+        undecodable = F.hex(F.col("value").cast("binary")).rlike("^(?:..)*?(?:" + "|".join(CP1252_UNDEFINED) + ")")
+    else:
+        undecodable = F.lit(False)
+    # What is left of a line without its well-formed quoted fields has no field that begins with a quote.
+    quoted = f'(^|{sep})[ \\t]*"(?:[^"]++|"")*+"[ \\t]*(?={sep}|\\r?$)'
+    text = F.regexp_replace(_decoded(F.col("value"), encoding), "^\\ufeff", "")
+    open_quote = F.regexp_replace(text, quoted, "$1").rlike(f'(^|{sep})[ \\t]*"')
+    return lines.groupBy("file_path").agg(F.count_if(undecodable).alias("undecodable"), F.count_if(open_quote).alias("open_quote"))
+
+
+def load_isolated(
+    spark: SparkSession, paths: Sequence[str], columns: Sequence[str] | None = None, sep: str = ",", encoding: str = "utf-8", trim: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, ledger): every file loads as a whole or not at all, and the ledger says which.
+
+    Ledger: file_path, bytes, outcome (``loaded`` or ``failed``), row_count (0 where failed) and error, one row per file
+    listed below ``paths``, whether or not anything could be read of it. A file fails for want of a header, for bytes
+    that are not of its encoding, for a quoted field that is not closed (as where a file was cut off), and for a record
+    with more or fewer fields than its header. Such files cost only themselves; a header that repeats a name loads.
+    ``rows`` are those of :func:`scan_csv_strings` with positions. The ledger is written once to the shared folder, one
+    row a file, and rows of failed files are left out by a join with its failures.
+    """
+    listed = list_files(spark, paths)
+    rows = scan_csv_strings(spark, paths, columns, sep, encoding, trim=trim, positions=True, corrupt=True)
+    own = plain_path(F.col(FILE_PATH))
+    bad = F.col(CORRUPT).isNotNull()
+    parsed = rows.groupBy(own.alias("file_path")).agg(
+        F.count("*").alias("n"), F.count_if(bad).alias("misfits"), F.min_by(F.when(bad, F.col(CORRUPT)), F.when(bad, F.col(READ_ORDER))).alias("misfit")
+    )
+    headers = scan_headers(spark, paths, sep, encoding).select("file_path", F.lit(True).alias("headed"))
+    joined = (
+        listed.join(headers, "file_path", "left").join(_line_faults(spark, paths, sep, encoding), "file_path", "left").join(parsed, "file_path", "left")
+    )
+    error = (
+        F.when(F.col("headed").isNull(), F.lit("no header"))
+        .when(F.col("undecodable") > 0, F.concat(F.col("undecodable").cast("string"), F.lit(f" lines are not {encoding}")))
+        .when(F.col("open_quote") > 0, F.concat(F.col("open_quote").cast("string"), F.lit(" lines with an unclosed quote")))
+        .when(F.col("misfits") > 0, F.concat(F.col("misfits").cast("string"), F.lit(" records do not fit the header, first: "), F.left("misfit", F.lit(200))))
+    )
+    count = F.when(error.isNull(), F.coalesce("n", F.lit(0))).otherwise(0).cast("long")
+    outcome = F.when(error.isNull(), "loaded").otherwise("failed")
+    path = scratch_path(spark, "load-ledger")
+    joined.select("file_path", "bytes", outcome.alias("outcome"), count.alias("row_count"), error.alias("error")).write.parquet(path)
+    ledger = spark.read.schema("file_path string, bytes long, outcome string, row_count long, error string").parquet(path)
+    failed = ledger.filter(F.col("outcome") == "failed").select(F.col("file_path").alias("__failed"))
+    return rows.join(failed, own == F.col("__failed"), "left_anti").drop(CORRUPT), ledger
+
+
 def load_tables(spark: SparkSession, tables: Mapping[str, Sequence[str]], **options) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Read every table's files; a table that cannot be read becomes a failure row instead of stopping the rest."""
-    loaded, failures = {}, []
+    """Load every table's files by :func:`load_isolated`: the rows of each, and one (table_name, file_path, error) per
+    file that failed. A table whose folders hold no header at all, or are not there, is a failure of its paths."""
+    loaded, failures, absent = {}, [], []
     for name, paths in tables.items():
         try:
-            loaded[name] = scan_csv_strings(spark, paths, **options)
-        except Exception as error:
-            failures.append((name, ",".join(paths), str(error)))
-    return loaded, spark.createDataFrame(failures, "table_name string, paths string, error string")
+            loaded[name], ledger = load_isolated(spark, paths, **options)
+        except (FileNotFoundError, AnalysisException) as error:
+            absent.append((name, ",".join(paths), str(error)))
+            continue
+        failures.append(ledger.filter(F.col("outcome") == "failed").select(F.lit(name).alias("table_name"), "file_path", "error"))
+    none = spark.createDataFrame(absent, "table_name string, file_path string, error string")
+    return loaded, reduce(lambda a, b: a.unionByName(b), failures, none)
 
 
 def scan_sidecar_json(spark: SparkSession, path: str, document_per_file: bool = False) -> DataFrame:
