@@ -11,19 +11,20 @@ from statledger.operators.ordering import Slice, first_per_key, rank_within
 from statledger.operators.shape import alias_columns
 from statledger.schemas import SIDECAR_VIEW_DEFAULTS
 
+ROW_KEYS = ["_FILE_CONTENT_KEY", "_FILE_ROW_NUMBER"]
 FILE_KEYS = ["_SOURCE_FILE_NAME", "_SOURCE_FILE_PATH", "_INGESTED_AT"]
 SUBJECT_PERIOD = ["_SUBJECT_PERIOD_FROM", "_SUBJECT_PERIOD_TO"]
 # Files covering these spans overlap, so one without reporting columns has no single current revision.
 OVERLAPPING_DURATIONS = ("rolling", "calendar_ytd", "fiscal_ytd")
 
 
+def latest_load_order() -> list[Column]:
+    return [F.col("_INGESTED_AT").desc(), F.col("_SOURCE_FILE_PATH").desc(), F.col("_SOURCE_FILE_NAME").desc()]
+
+
 def dedup_latest_ingest(ingest: DataFrame) -> DataFrame:
     """Of repeated loads of one file row keep the latest; equal times are decided by path and name."""
-    return first_per_key(
-        ingest,
-        ["_FILE_CONTENT_KEY", "_FILE_ROW_NUMBER"],
-        [F.col("_INGESTED_AT").desc(), F.col("_SOURCE_FILE_PATH").desc(), F.col("_SOURCE_FILE_NAME").desc()],
-    )
+    return first_per_key(ingest, ROW_KEYS, latest_load_order())
 
 
 def join_sidecar_left(rows: DataFrame, sidecar: DataFrame) -> DataFrame:
@@ -53,7 +54,12 @@ def coalesce_sidecar_defaults(df: DataFrame) -> DataFrame:
 
 def raw_view(ingest: DataFrame, sidecar: DataFrame, view_name: str | None = None) -> DataFrame:
     """Deduplicated rows with sidecar metadata; published as a replaceable view if named."""
-    raw = ingest.transform(dedup_latest_ingest).transform(join_sidecar_left, sidecar).transform(coalesce_sidecar_defaults)
+    return described_view(dedup_latest_ingest(ingest), sidecar, view_name)
+
+
+def described_view(latest: DataFrame, sidecar: DataFrame, view_name: str | None = None) -> DataFrame:
+    """The same of rows of which only the latest loads are left."""
+    raw = latest.transform(join_sidecar_left, sidecar).transform(coalesce_sidecar_defaults)
     if view_name:
         raw.createOrReplaceTempView(view_name)
     return raw

@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+import contextlib
 import io
 import zipfile
 
 import pandas as pd
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from statledger.functions.paths import content_hash, landing_path
-from statledger.operators import revisions
+from statledger.operators import quality, revisions
 from statledger.operators.quality import agg_csv_row_count
 from statledger.plans.fixtures import CTES, PAYLOAD, REQUIRES, f_discovered, f_ingest, f_sidecar, f_telemetry, table, with_ctes
 from statledger.plans.registry import query
 from statledger.schemas import SIDECAR_COLUMNS, SIDECAR_SCHEMA
 from statledger.session import scratch_path, ship_by_value
 from statledger.sources import files, sinks
+from statledger.sources.versions import Store
 from statledger.streaming import ingest as streams
+from statledger.streaming import scheduled
 
 ship_by_value(__name__)
 
@@ -569,3 +573,158 @@ def stream_scheduled_run(spark, sf_dir):
         runs.append(run)
     counts = spark.read.schema("event_id long, run int, batch int").parquet(out).groupBy("run").agg(F.count("*").alias("n"))
     return spark.createDataFrame([(r,) for r in runs], "run int").join(counts, "run", "left").select("run", F.coalesce("n", F.lit(0).cast("long")).alias("rows"))
+
+
+@query("drift_from_headers", _FAULTS_SQL + """SELECT file, CAST(0.25 AS DOUBLE) AS drift_ratio FROM f WHERE kind = 'repeated'""")
+def drift_from_headers(spark, sf_dir):
+    """Drift of landed files from the headers they have; names repeated in a header count once."""
+    path = scratch_path(spark, "faults")
+    _land_files_with_faults(spark, sf_dir, path)
+    headers = files.scan_headers(spark, [path])
+    actual = headers.select(F.regexp_extract("file_path", "file=([^/]*)/", 1).alias("file"), F.lit("ORDERS").alias("table_name"), F.col("columns").alias("actual_columns"))
+    known = spark.createDataFrame([("ORDERS", ["o_orderkey", "o_custkey", "note"])], "table_name string, known_columns array<string>")
+    return quality.drift_warnings(actual, known).select("file", F.round("drift_ratio", 9).alias("drift_ratio"))
+
+
+@query("ingest_evolving", """SELECT o_orderkey AS id, o_orderstatus AS "Status", CASE WHEN o_orderkey % 4 = 1 THEN o_orderpriority END AS priority, CASE WHEN o_orderkey % 4 IN (2, 3) THEN o_custkey END AS customer, CASE WHEN o_orderkey % 4 = 3 THEN year(o_orderdate) END AS year FROM orders""")
+def ingest_evolving(spark, sf_dir):
+    """Four generations of one table, each with other columns; the table's document has them all in order."""
+    store = Store(spark, scratch_path(spark, "store"))
+    orders = table(spark, sf_dir, "orders")
+    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    generations = [
+        [key.alias("id"), status.alias("Status")],
+        [F.col("o_orderpriority").alias("priority"), status.alias("STATUS"), key.alias("ID")],
+        [key.alias("Id"), status.alias("status"), F.col("o_custkey").alias("customer")],
+        [F.year("o_orderdate").alias("year"), F.col("o_custkey").alias("CUSTOMER"), key.alias("id"), status.alias("Status")],
+    ]
+    for n, columns in enumerate(generations):
+        change = store.change()
+        change.append("INGEST", orders.filter(key % 4 == n).select(*columns))
+        change.commit()
+    return store.read("INGEST")
+
+
+@query("refresh_atomic", with_ctes("f_sidecar") + """SELECT * FROM f_sidecar WHERE "_ACQUISITION_METHOD" = 'manual'""")
+def refresh_atomic(spark, sf_dir):
+    """A full refresh, another, and a third that fails half-way: the second stays, whole."""
+    store = Store(spark, scratch_path(spark, "store"))
+    sidecar = f_sidecar(spark, sf_dir)
+    manual = sidecar.filter(F.col("_ACQUISITION_METHOD") == "manual")
+    broken = sidecar.withColumn("_LOAD_ID", F.when(F.col("_LOAD_ID") > "8", F.raise_error(F.lit("lost"))).otherwise(F.col("_LOAD_ID")))
+    for rows in (sidecar, manual, broken):
+        change = store.change()
+        try:
+            change.replace("METADATA", rows)
+        except PySparkException:
+            continue
+        change.commit()
+    return store.read("METADATA")
+
+
+@query("raw_maintained", with_ctes("raw") + "SELECT * FROM raw")
+def raw_maintained(spark, sf_dir):
+    """The RAW view over a table that takes loads in batches, late ones and one of them twice among them."""
+    store = Store(spark, scratch_path(spark, "store"))
+    ingest = f_ingest(spark, sf_dir)
+    batch = F.pmod(F.xxhash64("_INGESTED_AT", "_FILE_CONTENT_KEY"), F.lit(3))
+    for n in (2, 0, 1, 0):
+        change = store.change()
+        scheduled.merge_loads(change, ingest.filter(batch == n), buckets=16)
+        change.commit()
+    return scheduled.current_raw(store, f_sidecar(spark, sf_dir))
+
+
+def _runs(spark, sf_dir):
+    """A store after four scheduled runs over the orders' files: a third of them; all, of which some have new headers
+    and some of those new contents, once ended on the way; and all again."""
+    store = Store(spark, scratch_path(spark, "store"))
+    customer = F.regexp_extract("source_url", r"/(\d+)\.", 1).cast("long")
+    found = _landing_files(spark, sf_dir).withColumns(
+        {"file_name": F.element_at(F.split("target_path", "/"), -1), "c": customer, "seq": F.regexp_extract("target_path", r"f(\d+)\.csv$", 1).cast("long")}
+    )
+    found = found.withColumn("content_hash", F.sha2(F.concat("source_url", "file_name"), 256)).drop("ingested_at")
+    headers = {"etag": F.when(F.col("c") % 4 == 0, F.concat("etag", F.lit("x"))).otherwise(F.col("etag"))}
+    headers |= {"last_modified": F.when(F.col("c") % 4 != 0, F.col("last_modified"))}
+    headers |= {"content_hash": F.when(F.col("c") % 8 == 0, F.sha2("content_hash", 256)).otherwise(F.col("content_hash"))}
+    later = found.withColumns(headers)
+    rows = found.select("source_url", "file_name", F.explode(F.sequence(F.lit(1), (F.col("c") % 3 + 1).cast("int"))).alias("line"))
+
+    def run(name, files_, at, into=store):
+        return scheduled.scheduled_run(into, files_.drop("c", "seq"), rows, name, at, minimum_publication="19000101T000000")
+
+    run("run-1", found.filter(F.col("seq") % 3 == 0), "2024-01-01T00:00:00Z")
+    with contextlib.suppress(_Killed):
+        run("run-3", later, "2024-01-03T00:00:00Z", _Fragile(spark, store.path))
+    run("run-3", later, "2024-01-03T00:00:00Z")
+    run("run-4", later, "2024-01-04T00:00:00Z")
+    if run("run-3", later, "2024-01-05T00:00:00Z") is not None:
+        raise AssertionError("a run that was committed ran again")
+    return store
+
+
+class _Killed(Exception):
+    pass
+
+
+class _Fragile(Store):
+    """A store whose changes end between their second and third write."""
+
+    def change(self):
+        change, writes = super().change(), []
+        append = change.append
+
+        def dying(name, df):
+            if len(writes) == 2:
+                raise _Killed
+            writes.append(name)
+            return append(name, df)
+
+        change.append = dying
+        return change
+
+
+CTES["runs"] = """SELECT *, CAST(regexp_extract(source_url, '/(\d+)\.', 1) AS BIGINT) AS c, concat('f', seq, '.csv') AS file_name FROM f_discovered"""
+REQUIRES["runs"] = ["f_discovered"]
+CTES["decided"] = """SELECT *, seq % 3 = 0 AS before, c % 3 + 1 AS n,
+ CASE WHEN source_url IN (SELECT source_url FROM runs WHERE seq % 3 = 0) AND c % 4 <> 0 THEN 'source_unchanged' WHEN seq % 3 = 0 AND c % 8 <> 0 THEN 'content_unchanged' ELSE 'landed' END AS again FROM runs"""
+REQUIRES["decided"] = ["runs"]
+
+
+@query("scheduled_run", with_ctes("decided") + """SELECT 'run-1' AS run, 'landed' AS outcome, count(*) AS files, CAST(sum(n) AS BIGINT) AS rows FROM decided WHERE before
+UNION ALL SELECT 'run-3', again, count(*), CAST(sum(CASE WHEN again = 'landed' THEN n END) AS BIGINT) FROM decided GROUP BY again
+UNION ALL SELECT 'run-4', 'skipped', count(*), NULL FROM decided
+UNION ALL SELECT 'all', 'landing rows', NULL, CAST(sum(CASE WHEN before THEN n ELSE 0 END + CASE WHEN again = 'landed' THEN n ELSE 0 END) AS BIGINT) FROM decided
+UNION ALL SELECT 'all', 'metadata records', CAST(sum(CAST(before AS INTEGER) + CAST(again = 'landed' AS INTEGER)) AS BIGINT), NULL FROM decided""")
+def scheduled_run(spark, sf_dir):
+    """What each run did by its events, and what is visible after all."""
+    store = _runs(spark, sf_dir)
+    outcome = F.when(F.col("SKIP_REASON").isNull(), "landed").when(F.col("RUN_ID") == "run-4", "skipped").otherwise(F.col("SKIP_REASON"))
+    done = store.read(scheduled.EVENTS).groupBy(F.col("RUN_ID").alias("run"), outcome.alias("outcome")).agg(F.count("*").alias("files"), F.sum("NORMALIZED_ROW_COUNT").alias("rows"))
+    none, every = F.lit(None).cast("long"), F.lit("all").alias("run")
+    landed = store.read(scheduled.LANDING).agg(F.count("*").alias("rows")).select(every, F.lit("landing rows").alias("outcome"), none.alias("files"), "rows")
+    records = store.read(scheduled.SIDECAR).agg(F.count("*").alias("files")).select(every, F.lit("metadata records").alias("outcome"), "files", none.alias("rows"))
+    return done.unionByName(landed).unionByName(records)
+
+
+@query("scheduled_run_parity", with_ctes("decided") + """, l AS (SELECT sha256(concat(source_url, file_name)) AS k, n FROM decided WHERE before UNION ALL SELECT CASE WHEN c % 8 = 0 THEN sha256(sha256(concat(source_url, file_name))) ELSE sha256(concat(source_url, file_name)) END, n FROM decided WHERE again = 'landed')
+SELECT substring(k, 1, 16) AS load_id, n AS normalized_row_count, n AS loaded_row_count, true AS row_parity_pass FROM l""")
+def scheduled_run_parity(spark, sf_dir):
+    """Rows counted by the events of the runs against rows that are visible."""
+    store = _runs(spark, sf_dir)
+    counts = quality.agg_tagged_row_counts(store.read(scheduled.LANDING), F.lit("RAW_LANDING"))
+    return quality.row_parity(store.read(scheduled.EVENTS), counts).select("load_id", "normalized_row_count", "loaded_row_count", "row_parity_pass")
+
+
+@query("stream_ingest_table", _PAYLOAD_SQL)
+def stream_ingest_table(spark, sf_dir):
+    """The stream of landed files into a table of a store, in three runs of which the last finds nothing."""
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
+    store = Store(spark, scratch_path(spark, "store"))
+    stamped = _payload(spark, sf_dir).withColumn("downloaded_at", F.concat("Period", F.lit("01T000000")))
+    early = F.col("Period").cast("int") % 2 == 0
+    for part in (stamped.filter(early), stamped.filter(~early), None):
+        if part is not None:
+            sinks.sink_landing_partitions(part, landing)
+        streams.run_available(streams.stream_ingest_table(spark, landing, PAYLOAD, lambda: _listed_sidecar(spark, landing), store, "INGEST", checkpoint))
+    return _as_values(store.read("INGEST"))

@@ -545,18 +545,28 @@ def load_isolated(
 
 
 def load_tables(spark: SparkSession, tables: Mapping[str, Sequence[str]], **options) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Load every table's files by :func:`load_isolated`: the rows of each, and one (table_name, file_path, error) per
-    file that failed. A table whose folders hold no header at all, or are not there, is a failure of its paths."""
-    loaded, failures, absent = {}, [], []
+    """Read every table's files; a table that cannot be read becomes a failure row instead of stopping the rest."""
+    loaded, failures = {}, []
+    for name, paths in tables.items():
+        try:
+            loaded[name] = scan_csv_strings(spark, paths, **options)
+        except Exception as error:
+            failures.append((name, ",".join(paths), str(error)))
+    return loaded, spark.createDataFrame(failures, "table_name string, paths string, error string")
+
+
+def load_tables_isolated(spark: SparkSession, tables: Mapping[str, Sequence[str]], **options) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Load every table's files by :func:`load_isolated`: the rows of each, and all ledgers with their table_name. Folders
+    without any header, or that are not there, are one failed row of their paths."""
+    loaded, ledgers, absent = {}, [], []
     for name, paths in tables.items():
         try:
             loaded[name], ledger = load_isolated(spark, paths, **options)
+            ledgers.append(ledger.select(F.lit(name).alias("table_name"), "*"))
         except (FileNotFoundError, AnalysisException) as error:
-            absent.append((name, ",".join(paths), str(error)))
-            continue
-        failures.append(ledger.filter(F.col("outcome") == "failed").select(F.lit(name).alias("table_name"), "file_path", "error"))
-    none = spark.createDataFrame(absent, "table_name string, file_path string, error string")
-    return loaded, reduce(lambda a, b: a.unionByName(b), failures, none)
+            absent.append((name, ",".join(paths), 0, "failed", 0, str(error)))
+    schema = "table_name string, file_path string, bytes long, outcome string, row_count long, error string"
+    return loaded, reduce(lambda a, b: a.unionByName(b), ledgers, spark.createDataFrame(absent, schema))
 
 
 def scan_sidecar_json(spark: SparkSession, path: str, document_per_file: bool = False) -> DataFrame:

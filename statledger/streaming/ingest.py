@@ -21,6 +21,7 @@ from statledger.sources.files import (
     scan_csv_strings,
     sidecar_table,
 )
+from statledger.sources.versions import Store
 
 
 def stream_files(spark: SparkSession, root: str, pattern: str = "*.csv", max_files: int = 10_000) -> DataFrame:
@@ -79,6 +80,29 @@ def stream_ingest_csv(
     return start_batches(stream_files(spark, root), checkpoint, write, once)
 
 
+def stream_ingest_table(
+    spark: SparkSession, root: str, columns: Sequence[str], sidecar: Callable[[], DataFrame], store: Store, table: str, checkpoint: str, once: bool = True
+) -> StreamingQuery:
+    """The same into a table of ``store``: a batch's rows, and those it rejects (``<table>_REJECTED``), become visible
+    together, and the table's columns are kept in its document, so that reading it merges no footers. A batch that was
+    committed before a failure is told by its checkpoint and number and not loaded twice."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        paths = [row.path for row in batch.collect()]  # at most maxFilesPerTrigger
+        change = store.change()
+        done = change.tables.get(table, {}).get("batches", {})
+        if not paths or done.get(checkpoint, -1) >= batch_id:
+            return
+        rows = scan_csv_strings(spark, paths, columns, positions=True, corrupt=True)
+        loaded = load_metadata_columns(rows, sidecar(), root)
+        change.append(table, loaded.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
+        change.append(f"{table}_REJECTED", rows.filter(F.col(CORRUPT).isNotNull()).select(F.col(FILE_PATH).alias("file_path"), F.col(CORRUPT).alias("record")))
+        change.tables[table]["batches"] = done | {checkpoint: batch_id}
+        change.commit(batch=str(batch_id))
+
+    return start_batches(stream_files(spark, root), checkpoint, write, once)
+
+
 def read_ingest(spark: SparkSession, out: str) -> DataFrame:
     """The ingest table a stream has written so far, with every column any of its files had."""
     return spark.read.option("mergeSchema", True).parquet(out).drop("batch")
