@@ -95,6 +95,38 @@ def detect_encoding(spark, sf_dir):
     return found.groupBy(part.alias("lang")).agg(F.min("encoding").alias("encoding"))
 
 
+# Charsets that Spark writes, and what must be told of the files. Its UTF-32 has no mark.
+_WRITTEN = {
+    "ISO-8859-1": "cp1252", "UTF-8": "utf-8", "US-ASCII": "ascii", "UTF-16": "utf-16", "UTF-16LE": "utf-16le", "UTF-16BE": "utf-16be", "UTF-32": "utf-32be",
+}
+_FORGED = {"C1": "latin-1", "marked": "utf-32", "turned": "utf-32le", "turned-marked": "utf-32"}
+
+
+@query("detect_encoding_all", "SELECT DISTINCT concat(lang, '-', e.a) AS part, e.b AS encoding FROM documents, (VALUES "
+       + ", ".join(f"('{a}', '{b}')" for a, b in (_WRITTEN | _FORGED).items()) + ") e(a, b)")
+def detect_encoding_all(spark, sf_dir):
+    """Texts by language, landed in every encoding: as Spark writes them, with a character that windows-1252 has not,
+    with a mark in front, and with the bytes of each unit turned round."""
+    path = scratch_path(spark, "encodings")
+    docs = table(spark, sf_dir, "documents").select("text", "lang")
+
+    def land(charset, text, kind):
+        rows = docs.select(text.alias("text"), F.concat_ws("-", "lang", F.lit(kind)).alias("part"))
+        rows.write.partitionBy("part").option("encoding", charset).csv(f"{path}/{kind}")
+
+    for charset in _WRITTEN:
+        land(charset, F.regexp_replace("text", "[^\\x00-\\x7F]", "?") if charset == "US-ASCII" else F.concat("text", F.lit(" \u00e9")), charset)
+    land("ISO-8859-1", F.concat("text", F.lit("\u0081")), "C1")
+    for kind, mark, order, end in (("marked", "\ufeff", "$1$2$3$4", "\0\0\0\n"), ("turned", "", "$4$3$2$1", "\n\0\0\0"), ("turned-marked", "\ufeff", "$4$3$2$1", "\n\0\0\0")):
+        units = F.hex(F.encode(F.concat(F.lit(mark), "text"), "UTF-32"))
+        turned = F.unhex(F.regexp_replace(units, "(..)(..)(..)(..)", order)).cast("string")
+        rows = docs.select(turned.alias("value"), F.concat_ws("-", "lang", F.lit(kind)).alias("part"))
+        rows.write.partitionBy("part").option("lineSep", end).text(f"{path}/{kind}")
+    found = files.detect_encoding(spark, [path], ("ascii", *[e for e in files.ENCODINGS if e != "ascii"]))
+    part = F.regexp_extract("file_path", "part=([^/]*)/", 1)
+    return found.groupBy(part.alias("part")).agg(F.concat_ws("|", F.array_sort(F.collect_set("encoding"))).alias("encoding"))
+
+
 def _zip_parts(batches):
     for batch in batches:
         rows = []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import csv
 import io
 import zipfile
@@ -9,7 +10,9 @@ import zlib
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -199,27 +202,134 @@ def repair_cp1252(text_as_latin1: Column) -> Column:
     return F.translate(text_as_latin1, latin + undefined, windows + "\ufffd" * len(undefined))
 
 
+NARROW = ("utf-8", "utf-8-sig", "cp1252", "latin-1", "ascii")
+# Names of candidates of two and four bytes a unit, and Python's for them.
+WIDE = {"utf-16": "utf-16", "utf-16le": "utf-16-le", "utf-16be": "utf-16-be", "utf-32": "utf-32", "utf-32le": "utf-32-le", "utf-32be": "utf-32-be"}
+#: All encodings that can be told, in the order in which they are tried.
+ENCODINGS = ("utf-8", "cp1252", "latin-1", "ascii", *WIDE)
+
+
+class _WideText:
+    """Which wide encodings the bytes of one file are valid in, as they come."""
+
+    def __init__(self, size: int) -> None:
+        self.size, self.at, self.zeros, self.start = size, 0, [0, 0], b""
+        self.decoders = {name: codecs.getincrementaldecoder(codec)() for name, codec in WIDE.items()}
+
+    def _keep(self, name: str, data: bytes, final: bool = False) -> None:
+        try:
+            # A text has no U+0000; four bytes a unit read as two would be full of it.
+            if "\0" in self.decoders[name].decode(data, final):
+                del self.decoders[name]
+        except UnicodeError:
+            del self.decoders[name]
+
+    def feed(self, data: bytes) -> None:
+        data = data[: self.size - self.at]
+        self.start = (self.start + data)[:4]
+        for name in list(self.decoders):
+            self._keep(name, data)
+        zero = np.flatnonzero(np.frombuffer(data, np.uint8) == 0) + self.at
+        odd = int((zero & 1).sum())
+        self.zeros[1] += odd
+        self.zeros[0] += len(zero) - odd
+        self.at += len(data)
+
+    def valid(self) -> set[str]:
+        for name in list(self.decoders):
+            self._keep(name, b"", True)
+        marked = {
+            "utf-16": self.start[:2] in (codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE),
+            "utf-32": self.start in (codecs.BOM_UTF32_LE, codecs.BOM_UTF32_BE),
+            # Without a mark, the zero bytes of Latin letters, spaces and separators tell the order.
+            "utf-16le": self.zeros[1] >= self.zeros[0],
+            "utf-16be": self.zeros[0] >= self.zeros[1],
+        }
+        return {name for name in self.decoders if marked.get(name, True)}
+
+
+def _detect_wide(spark: SparkSession, paths: Sequence[str], candidates: Sequence[str]) -> DataFrame:
+    """(file_path, wide): the first wide candidate that all bytes of a file are valid in, or NULL.
+
+    Code units lie across line ends and must be counted from the first byte, so each file is one task here, which
+    decodes it piece by piece. A session of its own has the settings that keep files whole.
+    """
+    whole = spark.newSession()
+    whole.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 60))
+    cut = F.raise_error(F.lit("a file in UTF-16 or UTF-32 was read in parts")).cast("long")
+    lines = (
+        whole.read.option("lineSep", "\n")
+        .text(list(paths))
+        .select(
+            plain_path(F.col("_metadata.file_path")).alias("file_path"),
+            F.when(F.col("_metadata.file_block_start") > 0, cut).otherwise(F.col("_metadata.file_size")).alias("size"),
+            F.col("value").cast("binary").alias("line"),
+        )
+    )
+    wanted = [c for c in candidates if c in WIDE]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, text, done = None, None, []
+
+        def close() -> None:
+            if text:
+                valid = text.valid()
+                done.append((name, next((c for c in wanted if c in valid), None)))
+
+        for batch in batches:
+            for path, size, line in zip(*[batch.column(c).to_pylist() for c in ("file_path", "size", "line")]):
+                if path != name:
+                    close()
+                    name, text = path, _WideText(size)
+                text.feed(line + b"\n")
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], pa.string()) for k in (0, 1)], ["file_path", "wide"])
+
+    out = scratch_path(spark, "encodings")
+    lines.mapInArrow(run, "file_path string, wide string").write.parquet(out)
+    return spark.read.schema("file_path string, wide string").parquet(out)
+
+
 def detect_encoding(spark: SparkSession, paths: Sequence[str], candidates: Sequence[str] = ("utf-8", "cp1252", "latin-1")) -> DataFrame:
-    """(file_path, encoding): the first candidate that decodes every line of the file.
+    """(file_path, encoding): the first candidate that the whole file is valid in; ``ENCODINGS`` are known.
 
-    Bytes are checked line by line, so a file of any size is split over tasks. latin-1 decodes everything; what would
-    come after it in a longer list is never reached.
+    Encodings of one byte a unit are checked line by line, so a file of any size is split over tasks. latin-1 takes any
+    bytes; but a file with zero bytes, or a mark of UTF-16 or UTF-32, is tried first in the candidates of that kind, if
+    there are any: ``utf-16`` and ``utf-32`` with their mark, the others without one. Of UTF-16 without a mark the order
+    of bytes is that in which more zeros are high ones.
     """
+    unknown = [c for c in candidates if c not in NARROW and c not in WIDE]
+    if unknown:
+        raise ValueError(f"encodings that cannot be told: {unknown}; known are {[*NARROW, *WIDE]}")
     lines = (
         spark.read.option("recursiveFileLookup", True)
         .text(list(paths))
-        .select(plain_path(F.col("_metadata.file_path")).alias("file_path"), F.col("value"))
+        .select(plain_path(F.col("_metadata.file_path")).alias("file_path"), F.col("value"), F.monotonically_increasing_id().alias("n"))
     )
-    undefined = F.hex(F.col("value").cast("binary")).rlike("^(?:..)*?(?:" + "|".join(CP1252_UNDEFINED) + ")")
+    data = F.col("value").cast("binary")
+    undefined = F.hex(data).rlike("^(?:..)*?(?:" + "|".join(CP1252_UNDEFINED) + ")")
     tests = {
         "utf-8": ~F.is_valid_utf8("value"),
         "utf-8-sig": ~F.is_valid_utf8("value"),
         "cp1252": undefined,
         "latin-1": F.lit(False),
+        "ascii": F.octet_length("value") != F.length("value"),
     }
-    failed = lines.groupBy("file_path").agg(*[F.max(tests[c]).alias(c) for c in candidates])
-    chosen = F.coalesce(*[F.when(~F.col(f"`{c}`"), F.lit(c)) for c in candidates])
-    return failed.select("file_path", chosen.alias("encoding"))
+    narrow = [c for c in candidates if c in NARROW]
+    mark = F.min_by(F.hex(F.substring(data, 1, 4)), F.col("n"))
+    wide = (F.max(F.col("value").contains("\0")) | mark.rlike("^(FFFE|FEFF|0000FEFF)")).alias("__wide")
+    failed = lines.groupBy("file_path").agg(*[F.max(tests[c]).alias(c) for c in narrow], wide)
+    chosen = F.coalesce(*[F.when(~F.col(f"`{c}`"), F.lit(c)) for c in narrow]) if narrow else F.lit(None).cast("string")
+    if len(narrow) == len(candidates):
+        return failed.select("file_path", chosen.alias("encoding"))
+    out = scratch_path(spark, "encodings")
+    failed.select("file_path", "__wide", chosen.alias("narrow")).write.parquet(out)
+    told = spark.read.schema("file_path string, __wide boolean, narrow string").parquet(out)
+    suspects = [row.file_path for row in told.filter("__wide").select("file_path").collect()]
+    if not suspects:
+        return told.select("file_path", F.col("narrow").alias("encoding"))
+    found = _detect_wide(spark, suspects, candidates)
+    return told.join(found, "file_path", "left").select("file_path", F.coalesce("wide", "narrow").alias("encoding"))
 
 
 def _block_offsets(df: DataFrame) -> DataFrame:

@@ -76,6 +76,30 @@ def test_targets_fail_by_file_or_by_folder(spark, workdir):
     assert {(r.table_name, os.path.basename(r.file_path), r.outcome) for r in ledger.collect()} == {("T", "x.csv", "loaded"), ("T", "y.csv", "failed"), ("U", "missing", "failed")}
 
 
+def test_ten_encodings_are_told(spark, workdir):
+    import codecs
+
+    text = "id,name\n" + "".join(f"{i},Zürich „Ă{chr(0x10A)}\U0001d4d0“ {i}\n" for i in range(300))
+    latin = "id,name\n1,été\x81\n"
+    wanted = {
+        "utf-8": text.encode(), "cp1252": "a\n“é”\n".encode("cp1252"), "latin-1": latin.encode("latin-1"), "ascii": b"a,b\n1,2\n",
+        "utf-16": text.encode("utf-16"), "utf-16le": text.encode("utf-16-le"), "utf-16be": text.encode("utf-16-be"),
+        "utf-32": codecs.BOM_UTF32_BE + text.encode("utf-32-be"), "utf-32le": text.encode("utf-32-le"), "utf-32be": text.encode("utf-32-be"),
+    }
+    for name, data in wanted.items():
+        put(workdir, f"all/{name}.csv", data)
+    put(workdir, "all/utf-16 cut.csv", text.encode("utf-16-le")[:-1])  # half a unit: no encoding of two bytes
+    put(workdir, "all/utf-16be marked.csv", codecs.BOM_UTF16_BE + "é".encode("utf-16-be") + "\ud834\udd1e".encode("utf-16-be", "surrogatepass"))
+    put(workdir, "all/utf-16 lone.csv", codecs.BOM_UTF16_LE + "a\n\ud834b".encode("utf-16-le", "surrogatepass"))
+    found = files.detect_encoding(spark, [f"{workdir}/all"], ("ascii", *[e for e in files.ENCODINGS if e != "ascii"]))
+    got = {os.path.basename(r.file_path)[:-4]: r.encoding for r in found.collect()}
+    assert got == {name: name for name in wanted} | {"utf-16 cut": "cp1252", "utf-16be marked": "utf-16", "utf-16 lone": "cp1252"}
+    assert {r.encoding for r in files.detect_encoding(spark, [f"{workdir}/all/ascii.csv"], files.ENCODINGS).collect()} == {"utf-8"}
+    assert [r.encoding for r in files.detect_encoding(spark, [f"{workdir}/all/utf-8.csv"], ("utf-16", "ascii")).collect()] == [None]
+    with pytest.raises(ValueError, match="ebcdic"):
+        files.detect_encoding(spark, [workdir], ("utf-8", "ebcdic"))
+
+
 @pytest.fixture
 def store(spark, workdir):
     return Store(spark, f"{workdir}/store")
