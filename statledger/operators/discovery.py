@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -14,6 +14,7 @@ from statledger.functions.dates import extract_by_selectors, extract_page_public
 from statledger.functions.html import html_links, html_page_text
 from statledger.functions.urls import url_canonical, url_filename, url_path
 from statledger.operators.ordering import first_per_key, running_sum, top_per_key
+from statledger.session import scratch_path
 
 # Fixed value: what makes a link a file instead of another page.
 FILE_LINK = r"\.(csv|xlsx?|zip|xlsm|txt|json|xml|pdf|docx?|pptx?)(?:$|\?)"
@@ -198,6 +199,110 @@ def discover_files(
     )
 
 
+@dataclass(frozen=True)
+class PageRule:
+    """How the files of a source page are found: siblings of the page first, if wanted, then link steps."""
+
+    steps: Sequence[LinkStep]
+    publication: tuple[str, str] = ("link_text", "")
+    periods: Sequence[tuple[str, str]] = ()
+    siblings: bool = False
+    sibling_selector: str = "a[href]"
+    sibling_url: str | None = None
+    sibling_text: str | None = None
+    max_pages: int | None = None
+
+    def is_sibling(self) -> Column:
+        """Of a link with ``__url``: whether it leads to a page beside its own."""
+        if self.sibling_url or self.sibling_text:
+            wanted = text_predicate(F.col("__url"), self.sibling_url) & text_predicate(F.col("link_text"), self.sibling_text)
+        else:
+            wanted = looks_like_period_reference(F.col("__url")) | looks_like_period_reference(F.col("link_text"))
+        selected = link_selector_predicate(self.sibling_selector, F.col("href"))
+        return selected & ~is_file_link(F.col("__url")) & wanted & (F.col("__url") != url_canonical(F.col("page_url")))
+
+    def keeps(self, step: LinkStep) -> Column:
+        return (
+            link_selector_predicate(step.link_selector, F.col("href"))
+            & text_predicate(F.col("link_text"), step.text_filter)
+            & extension_predicate(F.col("link_url"), step.file_extensions)
+        )
+
+
+SIBLING = -1
+
+
+def labelled_links(links: DataFrame, rules: Mapping[str, PageRule]) -> DataFrame:
+    """Links with the (rule, step) that keep them, one row for each; step -1 is that of siblings. All rules are applied
+    to a link in one pass, and links that no rule keeps are left out."""
+    labels = []
+    for name, rule in rules.items():
+        named = [(SIBLING, rule.is_sibling())] if rule.siblings else []
+        for step, test in named + [(k, rule.keeps(step)) for k, step in enumerate(rule.steps)]:
+            labels.append(F.when(test, F.struct(F.lit(name).alias("rule"), F.lit(step).alias("step"))))
+    kept = links.withColumn("__url", url_canonical(F.col("link_url"))).withColumn("label", F.explode(F.array_compact(F.array(*labels))))
+    return kept.select("page_url", "position", "link_text", "link_url", F.col("__url").alias("canonical_url"), "label.rule", "label.step")
+
+
+def discover_targets(pages: DataFrame, seeds: DataFrame, rules: Mapping[str, PageRule], date_selectors: Sequence[str] = ()) -> DataFrame:
+    """Files of many targets at once: one row per (sub_dataset_id, file), the first in the order in which a target's
+    pages are gone through.
+
+    ``seeds``: sub_dataset_id, source_order, page_url and rule, the name of one of ``rules``; they may be as many as
+    there are targets and pages. From its seed a target goes to the siblings (in the order of their links, the page
+    itself first), and from there by the steps of the rule; (target, rule, page) travel together through the joins, a
+    page being followed once per target and seed, on its first trail. Links are extracted and labelled once, into a
+    table in the shared folder. Output: sub_dataset_id, source_order, page_url, source_url, link_text, publication_date,
+    subject_period_hint.
+    """
+    spark = pages.sparkSession
+    path = scratch_path(spark, "labelled-links")
+    labelled_links(html_links(pages), rules).write.partitionBy("step").parquet(path)
+    schema = "page_url string, position int, link_text string, link_url string, canonical_url string, rule string, step int"
+    links = spark.read.schema(schema).parquet(path)
+    who = ["sub_dataset_id", "source_order", "rule"]
+    trail = F.concat("trail", F.array(F.col("place").cast("long")))
+    own = seeds.select(*who, "page_url").distinct()
+    frontier = own.withColumn("trail", F.array(F.lit(0).cast("long")))
+    with_siblings = [name for name, rule in rules.items() if rule.siblings]
+    if with_siblings:
+        beside = (
+            own.join(links.filter(F.col("step") == SIBLING), ["page_url", "rule"])
+            .groupBy(*who, F.col("page_url").alias("seed_url"), F.col("canonical_url").alias("page_url"))
+            .agg(F.min("position").alias("position"))
+        )
+        # A page's siblings: bounded by its links.
+        order = Window.partitionBy(*who, "seed_url").orderBy("position", "page_url")
+        limits = [F.when(F.col("rule") == name, F.lit(rules[name].max_pages)) for name in with_siblings if rules[name].max_pages is not None]
+        ranked = beside.withColumn("n", F.row_number().over(order))
+        if limits:
+            ranked = ranked.filter(F.col("n") < F.coalesce(*limits, F.lit((1 << 31) - 1)))
+        frontier = frontier.unionByName(ranked.select(*who, "page_url", F.array(F.col("n").cast("long")).alias("trail")))
+    found = None
+    for step in range(max(len(rule.steps) for rule in rules.values())):
+        last = [name for name, rule in rules.items() if len(rule.steps) == step + 1]
+        first = frontier.groupBy(*who, "page_url").agg(F.min("trail").alias("trail"))
+        reached = first.join(links.filter(F.col("step") == step).withColumnRenamed("position", "place"), ["page_url", "rule"])
+        reached = reached.select(*who, "page_url", "link_text", "link_url", trail.alias("trail"))
+        done = reached.filter(F.col("rule").isin(last))
+        found = done if found is None else found.unionByName(done)
+        frontier = reached.filter(~F.col("rule").isin(last)).select(*who, F.col("link_url").alias("page_url"), "trail")
+    keyed = found.withColumn("__url", url_canonical(F.col("link_url")))
+    files = first_per_key(keyed, ["sub_dataset_id", "__url"], [F.col("source_order").asc(), F.col("trail").asc(), F.col("link_url").asc()])
+    # Only pages that files are on are read for what they state.
+    needed = pages.join(files.select(F.col("page_url").alias("url")).distinct(), "url", "left_semi")
+    described = files.join(page_facts(needed, date_selectors), "page_url", "left")
+    text, url = F.col("link_text"), F.col("link_url")
+    publication = [
+        F.when(F.col("rule") == name, publication_date_choice(F.col("page_publication"), text, url, *rule.publication)) for name, rule in rules.items()
+    ]
+    period = [F.when(F.col("rule") == name, subject_period_rules(rule.periods, text, url, F.col("page_text"), url_filename(url))) for name, rule in rules.items()]
+    return described.select(
+        "sub_dataset_id", "source_order", "page_url", url.alias("source_url"), "link_text",
+        F.coalesce(*publication).alias("publication_date"), F.coalesce(*period).alias("subject_period_hint"),
+    )
+
+
 def dedup_discovered(discovered: DataFrame, order: Sequence[str] = ("seq",)) -> DataFrame:
     """First occurrence of every (target, URL without trailing slash)."""
     keyed = discovered.withColumn("__url", url_canonical(F.col("source_url")))

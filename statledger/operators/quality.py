@@ -120,6 +120,46 @@ def column_profile(df: DataFrame, table_name: str, approximate: bool = False, me
     )
 
 
+def profile_sketches(rows: DataFrame, by: str = "_LOAD_ID", metadata_columns: Sequence[str] = tuple(METADATA_COLUMNS), lg_size: int = 14) -> DataFrame:
+    """(load, column_name, row_count, null_count, sketch): the profile of every load's payload columns, to be stored.
+
+    One pass and one row per load and column; no value is shuffled, only sketches of its distinct values (2^``lg_size``
+    registers, a standard error of 0.8 % at 14). Sketches of loads add up, see :func:`profile_of_sketches`.
+    """
+    skipped = {c.upper() for c in metadata_columns} | {by.upper()}
+    columns = [c for c in rows.columns if c.upper() not in skipped]
+    per_column = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.count(F.col(f"`{c}`")).alias("known"),
+            F.hll_sketch_agg(F.col(f"`{c}`").cast("string"), lg_size).alias("sketch"),
+        )
+        for c in columns
+    ]
+    counted = rows.groupBy(F.col(f"`{by}`").alias("load")).agg(F.count("*").alias("row_count"), F.array(*per_column).alias("columns"))
+    return counted.select("load", "row_count", F.explode("columns").alias("c")).select(
+        "load", "c.column_name", "row_count", (F.col("row_count") - F.col("c.known")).alias("null_count"), "c.sketch"
+    )
+
+
+def profile_of_sketches(sketches: DataFrame, table_name: str) -> DataFrame:
+    """The profile of a table as the union of its loads' sketches; columns as in :func:`column_profile`.
+
+    A load that is stored twice counts its rows twice, and its distinct values once.
+    """
+    whole = sketches.groupBy("column_name").agg(
+        F.sum("row_count").alias("row_count"), F.sum("null_count").alias("null_count"), F.hll_union_agg("sketch").alias("sketch")
+    )
+    return whole.select(
+        F.lit(table_name).alias("raw_table_name"),
+        "column_name",
+        "row_count",
+        "null_count",
+        F.when(F.col("row_count") > 0, F.col("null_count").cast("double") / F.col("row_count")).alias("null_pct"),
+        F.coalesce(F.hll_sketch_estimate("sketch"), F.lit(0).cast("long")).alias("distinct_value_count"),
+    )
+
+
 def check_profile_bounds(profile: DataFrame) -> DataFrame:
     """Profile rows that cannot be: null share outside [0, 1] or more distinct values than rows."""
     return profile.filter(

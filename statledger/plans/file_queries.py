@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import io
 import zipfile
+from functools import reduce
 
 import pandas as pd
 from pyspark.errors import PySparkException
@@ -716,7 +717,7 @@ class _Fragile(Store):
         return change
 
 
-CTES["runs"] = """SELECT *, CAST(regexp_extract(source_url, '/(\d+)\.', 1) AS BIGINT) AS c, concat('f', seq, '.csv') AS file_name FROM f_discovered"""
+CTES["runs"] = """SELECT *, CAST(regexp_extract(source_url, '/([0-9]+)[.]', 1) AS BIGINT) AS c, concat('f', seq, '.csv') AS file_name FROM f_discovered"""
 REQUIRES["runs"] = ["f_discovered"]
 CTES["decided"] = """SELECT *, seq % 3 = 0 AS before, c % 3 + 1 AS n,
  CASE WHEN source_url IN (SELECT source_url FROM runs WHERE seq % 3 = 0) AND c % 4 <> 0 THEN 'source_unchanged' WHEN seq % 3 = 0 AND c % 8 <> 0 THEN 'content_unchanged' ELSE 'landed' END AS again FROM runs"""
@@ -748,6 +749,27 @@ def scheduled_run_parity(spark, sf_dir):
     return quality.row_parity(store.read(scheduled.EVENTS), counts).select("load_id", "normalized_row_count", "loaded_row_count", "row_parity_pass")
 
 
+@query("observed_upload_parity", """SELECT o_orderstatus AS sub_dataset_id, count(*) AS raw_row_count, CAST(sum(strlen(concat(o_orderkey, ',', o_orderpriority)) + 1) AS BIGINT) AS source_bytes,
+ count(*) FILTER (o_orderkey % 10 <> 0) AS normalized_row_count, CAST(sum(strlen(concat(o_orderkey, ',', upper(o_orderpriority))) + 1) FILTER (o_orderkey % 10 <> 0) AS BIGINT) AS normalized_bytes,
+ count(*) FILTER (o_orderkey % 10 <> 0) AS loaded_row_count, true AS row_parity_pass FROM orders GROUP BY 1""")
+def observed_upload_parity(spark, sf_dir):
+    """Upload events from what was counted while files were normalised and written, against what is loaded of them."""
+    path = scratch_path(spark, "landing")
+    orders = table(spark, sf_dir, "orders")
+    events = []
+    for status in "FOP":
+        raw = orders.filter(F.col("o_orderstatus") == status).select("o_orderkey", "o_orderpriority")
+        tidy = lambda df: df.filter(F.col("o_orderkey") % 10 != 0).withColumn("o_orderpriority", F.upper("o_orderpriority"))
+        counts = sinks.write_counted(raw, tidy, lambda df, s=status: df.write.option("header", True).csv(f"{path}/{s}"))
+        events.append(sinks.upload_event(spark, counts, run_id="run", load_id=f"load-{status}", series_id="orders", sub_dataset_id=status, at="2024-01-01T00:00:00Z"))
+    staged = reduce(lambda a, b: a.unionByName(b), events)
+    rows = files.scan_csv_strings(spark, [path], positions=True)
+    counted = quality.agg_tagged_row_counts(rows.withColumn("_LOAD_ID", F.concat(F.lit("load-"), F.regexp_extract(files.FILE_PATH, "/([FOP])/[^/]*$", 1))), F.lit("RAW_ORDERS"))
+    parity = quality.row_parity(staged, counted).select("sub_dataset_id", "normalized_row_count", "loaded_row_count", "row_parity_pass")
+    told = staged.select(F.col("SUB_DATASET_ID").alias("sub_dataset_id"), F.col("RAW_ROW_COUNT").alias("raw_row_count"), F.col("SOURCE_BYTES").alias("source_bytes"), F.col("NORMALIZED_BYTES").alias("normalized_bytes"))
+    return told.join(parity, "sub_dataset_id")
+
+
 @query("stream_ingest_table", _PAYLOAD_SQL)
 def stream_ingest_table(spark, sf_dir):
     """The stream of landed files into a table of a store, in three runs of which the last finds nothing."""

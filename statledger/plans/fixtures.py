@@ -350,17 +350,18 @@ def with_ctes(*names: str) -> str:
 
 
 def f_site(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages that link on: each names the next page, a data file and its publication date."""
+    """Pages that link on: each names the next page (the last has none), a data file and its publication date."""
     pages = table(spark, sf_dir, "pages")
     following = pages.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("next_url"))
     month = F.element_at(F.array(*[F.lit(m) for m in SITE_MONTHS]), (F.col("page_id") % 12 + 1).cast("int"))
     year = (F.col("page_id") % 20 + 2001).cast("string")
     addition = F.concat(
         F.lit('<p>Published: '), (F.col("page_id") % 28 + 1), F.lit(" "), month, F.lit(" "), year,
-        F.lit('</p><a href="'), "next_url", F.lit('">Release '), year, F.lit('</a><a href="/files/'), F.lower(month), year,
+        F.lit("</p>"), F.coalesce(F.concat(F.lit('<a href="'), "next_url", F.lit('">Release '), year, F.lit("</a>")), F.lit("")),
+        F.lit('<a href="/files/'), F.lower(month), year,
         F.lit("-"), "page_id", F.when(F.col("page_id") % 3 == 0, ".zip").otherwise(".csv"), F.lit('">Data '), month, F.lit(" "), year, F.lit("</a>"),
     )
-    return pages.join(following, "page_id").select("page_id", "url", F.concat("html", addition).alias("html"))
+    return pages.join(following, "page_id", "left").select("page_id", "url", F.concat("html", addition).alias("html"))
 
 
 SITE_MONTHS = [m.capitalize() for m in MONTHS]
@@ -370,4 +371,4 @@ CTES["site"] = f"""
 SELECT p.page_id, p.url, n.url AS next_url, {_MONTH_LIST}[p.page_id % 12 + 1] AS mname, p.page_id % 12 + 1 AS m, p.page_id % 20 + 2001 AS y, p.page_id % 28 + 1 AS d,
        concat('/files/', lower({_MONTH_LIST}[p.page_id % 12 + 1]), p.page_id % 20 + 2001, '-', p.page_id, CASE WHEN p.page_id % 3 = 0 THEN '.zip' ELSE '.csv' END) AS file_href,
        regexp_extract(p.url, '^([a-z]+://[^/?#]*)', 1) AS origin, p.html
-FROM pages p JOIN pages n ON n.page_id = p.page_id + 1"""
+FROM pages p LEFT JOIN pages n ON n.page_id = p.page_id + 1"""

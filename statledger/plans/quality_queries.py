@@ -12,13 +12,15 @@ from statledger.plans.fixtures import (
 from statledger.plans.registry import query
 from statledger.plans.revision_queries import raw_view
 from statledger.schemas import EVENT_COLUMNS
+from statledger.session import scratch_path
+from statledger.sources.versions import Store
 
 # Links the site input adds to every page, in page order, and the older ones before them.
 CTES["site_links"] = """
 SELECT page_url, position, href, link_text, CASE WHEN href LIKE '/%' THEN concat(regexp_extract(page_url, '^([a-z]+://[^/?#]*)', 1), href) ELSE href END AS link_url FROM (
 SELECT l.page_url, l.position, l.href, l.link_text FROM links l JOIN site s ON s.url = l.page_url
-UNION ALL SELECT s.url, CAST(coalesce(n.k, 0) AS INTEGER), s.next_url, concat('Release ', s.y) FROM site s LEFT JOIN (SELECT page_url, count(*) AS k FROM anchors GROUP BY 1) n ON n.page_url = s.url
-UNION ALL SELECT s.url, CAST(coalesce(n.k, 0) + 1 AS INTEGER), s.file_href, concat('Data ', s.mname, ' ', s.y) FROM site s LEFT JOIN (SELECT page_url, count(*) AS k FROM anchors GROUP BY 1) n ON n.page_url = s.url)"""
+UNION ALL SELECT s.url, CAST(coalesce(n.k, 0) AS INTEGER), s.next_url, concat('Release ', s.y) FROM site s LEFT JOIN (SELECT page_url, count(*) AS k FROM anchors GROUP BY 1) n ON n.page_url = s.url WHERE s.next_url IS NOT NULL
+UNION ALL SELECT s.url, CAST(coalesce(n.k, 0) + CASE WHEN s.next_url IS NULL THEN 0 ELSE 1 END AS INTEGER), s.file_href, concat('Data ', s.mname, ' ', s.y) FROM site s LEFT JOIN (SELECT page_url, count(*) AS k FROM anchors GROUP BY 1) n ON n.page_url = s.url)"""
 REQUIRES["site_links"] = ["links", "site"]
 
 _RELEASE_STEP = discovery.LinkStep(text_filter=r"release \d{4}")
@@ -50,6 +52,38 @@ def discover_files(spark, sf_dir):
     return found.select("page_url", "source_url", "link_text", "publication_date", "subject_period_hint")
 
 
+_ZIP_STEP = discovery.LinkStep("a[href*='/files/']", None, ("zip",))
+_TARGET_RULES = {
+    "releases": discovery.PageRule([_RELEASE_STEP, _FILE_STEP], ("link_text", r"([a-z]+ \d{4})"), [("file_name", r"^([a-z]{3})[a-z]*(\d{4})-")]),
+    "archives": discovery.PageRule([_ZIP_STEP], ("link_text", r"([a-z]+ \d{4})"), [("link_text", r"([a-z]+ \d{4})")]),
+    "siblings": discovery.PageRule([_FILE_STEP], ("link_text", r"([a-z]+ \d{4})"), siblings=True, sibling_text="^release", max_pages=2),
+}
+_TARGET_SEEDS = """t AS (SELECT page_id, url, CASE page_id % 3 WHEN 0 THEN 'releases' WHEN 1 THEN 'archives' ELSE 'siblings' END AS rule, concat('t', page_id % 7) AS sub_dataset_id FROM site)"""
+
+
+@query("discover_targets", with_ctes("site_links") + ", " + _TARGET_SEEDS + """,
+r AS (SELECT *, regexp_matches(link_text, '(?i)release [0-9]{4}') AS release, href LIKE '%/files/%' AND regexp_matches(link_text, '(?i)data') AND regexp_matches(lower(link_url), '[.]csv$') AS file, href LIKE '%/files/%' AND regexp_matches(lower(link_url), '[.]zip$') AS zip,
+  regexp_replace(trim(link_url), '/+$', '') AS target FROM site_links),
+b AS (SELECT t.page_id, t.sub_dataset_id, t.url AS seed, r.target, min(r.position) AS position FROM t JOIN r ON r.page_url = t.url
+  WHERE t.rule = 'siblings' AND regexp_matches(r.link_text, '(?i)^release') AND r.target <> regexp_replace(t.url, '/+$', '') AND NOT regexp_matches(lower(r.target), '[.](csv|xlsx?|zip|xlsm|txt|json|xml|pdf|docx?|pptx?)($|[?])') GROUP BY 1, 2, 3, 4),
+f AS (
+  SELECT t.sub_dataset_id, t.rule, y.page_url, y.link_url, y.link_text FROM t JOIN r x ON x.page_url = t.url AND x.release JOIN r y ON y.page_url = x.link_url AND y.file WHERE t.rule = 'releases'
+  UNION ALL SELECT t.sub_dataset_id, t.rule, y.page_url, y.link_url, y.link_text FROM t JOIN r y ON y.page_url = t.url AND y.zip WHERE t.rule = 'archives'
+  UNION ALL SELECT t.sub_dataset_id, t.rule, y.page_url, y.link_url, y.link_text FROM t JOIN r y ON y.page_url = t.url AND y.file WHERE t.rule = 'siblings'
+  UNION ALL SELECT b.sub_dataset_id, 'siblings', y.page_url, y.link_url, y.link_text FROM (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY sub_dataset_id, seed ORDER BY position, target) = 1) b JOIN r y ON y.page_url = b.target AND y.file)
+SELECT sub_dataset_id, h.page_url, link_url AS source_url, link_text, concat(s.y, lpad(CAST(s.m AS VARCHAR), 2, '0'), lpad(CAST(s.d AS VARCHAR), 2, '0'), 'T000000') AS publication_date,
+  max(CASE WHEN rule <> 'siblings' THEN concat(s.y, lpad(CAST(s.m AS VARCHAR), 2, '0')) END) AS subject_period_hint FROM f h JOIN site s ON s.url = h.page_url GROUP BY ALL""")
+def discover_targets(spark, sf_dir):
+    """Every page is a source page of one of seven targets, under one of three rules."""
+    pages = f_site(spark, sf_dir)
+    n = F.col("page_id") % 3
+    rule = F.when(n == 0, "releases").when(n == 1, "archives").otherwise("siblings")
+    # Rules that give a period come first, so that it does not depend on the order of pages.
+    order = F.when(n == 2, 1).otherwise(0)
+    seeds = pages.select(F.concat(F.lit("t"), F.col("page_id") % 7).alias("sub_dataset_id"), order.alias("source_order"), F.col("url").alias("page_url"), rule.alias("rule"))
+    return discovery.discover_targets(pages, seeds, _TARGET_RULES).drop("source_order")
+
+
 @query("sibling_pages", with_ctes("site_links") + r""", seeds AS (SELECT DISTINCT url AS seed_url FROM site),
 c AS (SELECT s.seed_url, regexp_replace(trim(l.link_url), '/+$', '') AS page_url, l.position, l.link_text FROM site_links l JOIN seeds s ON s.seed_url = l.page_url),
 k AS (SELECT seed_url, page_url, min(position) AS position FROM c WHERE NOT regexp_matches(lower(page_url), '\.(csv|xlsx?|zip|xlsm|txt|json|xml|pdf|docx?|pptx?)($|\?)')
@@ -89,9 +123,9 @@ def route_sheet_rules(spark, sf_dir):
     return routing.route_sheet_rules(sheets, _SHEET_RULES)
 
 
-@query("unrouted_workbooks", with_ctes("f_cells") + """SELECT file FROM f_cells WHERE sheet <> 'Raw data 0' GROUP BY file HAVING count(CASE WHEN regexp_matches(sheet, 'data 2|data 4') THEN 1 END) = 0""")
+@query("unrouted_workbooks", with_ctes("f_cells") + """SELECT file FROM f_cells GROUP BY file HAVING count(CASE WHEN regexp_matches(sheet, 'data 2|data 4') THEN 1 END) = 0""")
 def unrouted_workbooks(spark, sf_dir):
-    sheets = f_cells(spark, sf_dir).filter(F.col("sheet") != "Raw data 0").select("file", "sheet").distinct()
+    sheets = f_cells(spark, sf_dir).select("file", "sheet").distinct()
     return routing.unrouted_workbooks(sheets, [routing.RouteRule("X", "x", ["data 2", "DATA 4"])])
 
 
@@ -155,16 +189,35 @@ def column_profile_wide(spark, sf_dir):
     return quality.column_profile(table(spark, sf_dir, "lineitem"), "LINEITEM")
 
 
-@query("column_profile_approximate", "SELECT * FROM (" + _profile_sql("(SELECT l_returnflag, l_linestatus, l_linenumber FROM lineitem)", ["l_returnflag", "l_linestatus", "l_linenumber"], "LINEITEM") + ")")
+def _within(profile, rows, error):
+    """A profile with ``within`` in place of its distinct counts: whether they are that near those of the rows."""
+    exact = quality.column_profile(rows, "LINEITEM").select("column_name", F.col("distinct_value_count").alias("exact"))
+    near = F.abs(F.col("distinct_value_count") - F.col("exact")) <= error * F.col("exact")
+    return profile.join(exact, "column_name").withColumn("within", near).drop("exact", "distinct_value_count")
+
+
+@query("column_profile_approximate", "SELECT raw_table_name, column_name, row_count, null_count, null_pct, true AS within FROM (" + _profile_sql("lineitem", _LINE_COLUMNS, "LINEITEM") + ")")
 def column_profile_approximate(spark, sf_dir):
-    df = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber")
-    return quality.column_profile(df, "LINEITEM", approximate=True)
+    """All columns; the sketch is within a fifth of the exact count (its standard error is a twentieth)."""
+    return _within(quality.column_profile(table(spark, sf_dir, "lineitem"), "LINEITEM", approximate=True), table(spark, sf_dir, "lineitem"), 0.2)
+
+
+@query("column_profile_sketches", "SELECT raw_table_name, column_name, row_count, null_count, null_pct, true AS within FROM (" + _profile_sql("lineitem", _LINE_COLUMNS, "LINEITEM") + ")")
+def column_profile_sketches(spark, sf_dir):
+    """The profile of a table from the sketches stored with its loads, which come in two versions of the store."""
+    store = Store(spark, scratch_path(spark, "store"))
+    lines = table(spark, sf_dir, "lineitem").withColumn("_LOAD_ID", F.concat("l_returnflag", "l_linestatus"))
+    for part in (F.col("l_linestatus") == "F", F.col("l_linestatus") != "F"):
+        change = store.change()
+        change.append("PROFILES", quality.profile_sketches(lines.filter(part)))
+        change.commit()
+    return _within(quality.profile_of_sketches(store.read("PROFILES"), "LINEITEM"), table(spark, sf_dir, "lineitem"), 0.05)
 
 
-@query("check_profile_bounds", with_ctes("dedup") + "SELECT * FROM (" + _profile_sql("dedup", ["Period", "OrderKey", "priorityClass"], "RAW_ORDERS") + ") WHERE null_pct > 0 AND column_name <> 'OrderKey'")
+@query("check_profile_bounds", with_ctes("dedup") + "SELECT * FROM (" + _profile_sql("dedup", ["Period", "OrderKey", "Org Code", "priorityClass", "c-d"], "RAW_ORDERS") + ") WHERE null_pct > 0")
 def check_profile_bounds(spark, sf_dir):
     """A profile whose null share was shifted out of bounds where there were NULLs."""
-    profile = quality.column_profile(raw_view(spark, sf_dir).select("Period", "OrderKey", "priorityClass"), "RAW_ORDERS")
+    profile = quality.column_profile(raw_view(spark, sf_dir), "RAW_ORDERS")
     shifted = profile.withColumn("null_pct", F.when(F.col("null_pct") > 0, F.col("null_pct") + 2).otherwise(F.col("null_pct")))
     return quality.check_profile_bounds(shifted).withColumn("null_pct", F.col("null_count") / F.col("row_count"))
 

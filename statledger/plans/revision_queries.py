@@ -167,12 +167,13 @@ def sidecar_index_join(spark, sf_dir):
     return joined.select("file_path", "_FILE_CONTENT_KEY", "_LOAD_ID", "_PUBLICATION_DATE")
 
 
-@query("files_without_sidecar", with_ctes("f_sidecar") + """, f AS (SELECT DISTINCT concat('landing/', "_SOURCE_FILE_PATH") AS path FROM f_ingest WHERE "Period" <> '199606'),
+@query("files_without_sidecar", with_ctes("f_sidecar") + """, f AS (SELECT DISTINCT concat('landing/', "_SOURCE_FILE_PATH", CASE WHEN "Period" = '199606' THEN '.moved' ELSE '' END) AS path FROM f_ingest),
 s AS (SELECT DISTINCT "_TARGET_PATH" AS path FROM f_sidecar)
 SELECT path, 'file_without_sidecar' AS problem FROM f WHERE path NOT IN (SELECT path FROM s)
 UNION ALL SELECT path, 'sidecar_without_file' FROM s WHERE path NOT IN (SELECT path FROM f)""")
 def files_without_sidecar(spark, sf_dir):
-    files = f_ingest(spark, sf_dir).filter(F.col("Period") != "199606").select(F.concat(F.lit("landing/"), "_SOURCE_FILE_PATH").alias("file_path"))
+    moved = F.when(F.col("Period") == "199606", ".moved").otherwise("")
+    files = f_ingest(spark, sf_dir).select(F.concat(F.lit("landing/"), "_SOURCE_FILE_PATH", moved).alias("file_path"))
     return changes.files_without_sidecar(files, f_sidecar(spark, sf_dir))
 
 
@@ -222,8 +223,8 @@ def filter_include_exclude(spark, sf_dir):
     )
 
 
-_NAMED = """, h AS (SELECT file, sheet, col, value AS column_name FROM f_cells WHERE "row" = 2 AND col >= 2)
-SELECT d.file, d.sheet, CAST(d."row" - 2 AS INTEGER) AS "row", CAST(d.col AS INTEGER) AS col, h.column_name, d.value FROM f_cells d LEFT JOIN h USING (file, sheet, col) WHERE d."row" > 2 AND d.col >= 2"""
+_NAMED = """SELECT file, sheet, CAST("row" - 2 AS INTEGER) AS "row", CAST(col AS INTEGER) AS col, max(CASE WHEN "row" = 2 THEN value END) OVER (PARTITION BY file, sheet, col) AS column_name, value
+FROM f_cells WHERE col >= 2 QUALIFY "row" > 2"""
 
 
 @query("sheet_start_cell", with_ctes("f_cells") + _NAMED)

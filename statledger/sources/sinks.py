@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Mapping
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from statledger.functions.dates import MIN_PLAUSIBLE_PUBLICATION, plausible_publication, publication_source_flag
 from statledger.functions.paths import load_id, partition_values, stage_relative_path
+from statledger.operators.telemetry import type_events
 from statledger.schemas import SIDECAR_COLUMNS
 
 
@@ -19,6 +23,31 @@ def sink_landing_partitions(df: DataFrame, path: str, downloaded_at: str = "down
     (writer.option("header", True).option("escape", '"') if format == "csv" else writer).format(format).save(path)
 
 
+def _size(df: DataFrame) -> Column:
+    """Bytes of a row as delimited text: its fields, a separator or line end behind each."""
+    fields = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns]
+    return reduce(lambda a, b: a + b, fields) + len(fields)
+
+
+def write_counted(raw: DataFrame, normalize: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame], None]) -> dict[str, int]:
+    """Write ``normalize(raw)`` and count rows and bytes on both sides while that is done: no second pass.
+
+    The counts are those of Spark's observations of the one job that ``write`` runs, complete when it has ended.
+    """
+    before, after = Observation(), Observation()
+    rows = F.count(F.lit(1))
+    source = raw.observe(before, rows.alias("raw_row_count"), F.coalesce(F.sum(_size(raw)), F.lit(0)).alias("source_bytes"))
+    tidy = normalize(source)
+    write(tidy.observe(after, rows.alias("normalized_row_count"), F.coalesce(F.sum(_size(tidy)), F.lit(0)).alias("normalized_bytes")))
+    return {**before.get, **after.get}
+
+
+def upload_event(spark: SparkSession, counts: Mapping[str, int], at: str, **values: str) -> DataFrame:
+    """One successful upload as a row of the event table: what :func:`write_counted` counted, and other columns by name."""
+    told = {"event_timestamp_utc": at, "stage": "UPLOAD", "status": "SUCCEEDED", "attempt_number": "1", **values, **{k: str(v) for k, v in counts.items()}}
+    return type_events(spark.createDataFrame([tuple(told.values())], ", ".join(f"{k} string" for k in told)))
+
+
 def join_array_text(values: Column) -> Column:
     """``a,b,c`` of an array."""
     return F.concat_ws(",", values)
