@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from statledger.llm.cluster import written
 from statledger.llm.textarrays import slices
 
 CHUNK_BYTES = 1 << 15
@@ -283,7 +284,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     Length and digest are those of the payload as read; a revisit has them from the response that it names. A digest
     that is not the declared one, or a response that is not there, raises an error.
     """
-    read = read_chunks(spark, path, data=False, only_last=True)
+    # One narrow row a record, written so that the archives are read once.
+    read = written(read_chunks(spark, path, data=False, only_last=True), "warc-records")
     total = (F.col("offset") + F.col("bytes")).alias("payload_bytes")
     wrong = F.raise_error(F.concat(F.lit("payload and digest differ: "), F.col("record_id"))).cast("string")
     digest = F.when(F.col("digest_so_far") == F.coalesce("declared_digest", "digest_so_far"), F.col("digest_so_far")).otherwise(wrong)
