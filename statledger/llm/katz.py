@@ -38,7 +38,7 @@ from statledger.llm.textarrays import BASE, NOT_WHITE, mix, slices, words
 #: Largest count with a Good-Turing discount.
 LARGEST = 5
 BLOCK_ROWS = 8192
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 SLICE_BYTES = 4 << 20
 _END, _BEGIN = np.uint64(0x0123456789ABCDEF), np.uint64(0xFEDCBA9876543210)
 _ANSWERS = "kind int, order int, bucket long, block long, keys binary, counts binary, first long, second long"
