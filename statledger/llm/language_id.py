@@ -27,6 +27,8 @@ ORDERS = (1, 2, 3)
 SAMPLE_PER_LANGUAGE = 400
 UNKNOWN = "und"
 SLICE_BYTES = 1 << 20
+#: Rows whose features are marked together: 16 MB of marks.
+_ROWS_AT_ONCE = 256
 _BUCKETS = 64
 
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], dtype=np.uint32)
@@ -104,12 +106,15 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(FEATURES + 1, dtype=np.int64)
+        seen = np.zeros((_ROWS_AT_ONCE, FEATURES), dtype=bool)
         for batch in slices(batches, max_bytes=SLICE_BYTES):
-            seen = np.zeros((batch.num_rows, FEATURES), dtype=bool)
             grams, _ = ngrams(batch.column("text"))
-            for text, feature in grams:
-                seen[text, feature] = True
-            total[:-1] += np.count_nonzero(seen, axis=0)
+            for begin in range(0, batch.num_rows, _ROWS_AT_ONCE):
+                seen[:] = False
+                for text, feature in grams:
+                    own = slice(*np.searchsorted(text, [begin, begin + _ROWS_AT_ONCE]))
+                    seen[text[own] - begin, feature[own]] = True
+                total[:-1] += np.count_nonzero(seen, axis=0)
             total[-1] += batch.num_rows
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["feature", "texts"])
@@ -139,7 +144,12 @@ def sample_features(docs: DataFrame, per_language: int) -> list[tuple[str, np.nd
     sample = docs.join(chosen, same).select("lang", "text", "__doc_id", "__version").dropDuplicates(["lang", "__doc_id", "__version"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("lang", pa.string()), ("feature", pa.list_(pa.int32())), ("share", pa.list_(pa.float32()))])
+        schema = pa.schema([("lang", pa.string()), ("feature", pa.binary()), ("share", pa.binary())])
+
+        def packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+            offsets = pa.py_buffer((ends * values.itemsize).astype(np.int32))
+            return pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, [None, offsets, pa.py_buffer(values)])
+
         for batch in slices(batches, max_bytes=SLICE_BYTES):
             grams, letters = ngrams(batch.column("text"))
             key = np.concatenate([t * FEATURES + f for t, f in grams])
@@ -149,14 +159,15 @@ def sample_features(docs: DataFrame, per_language: int) -> list[tuple[str, np.nd
             ends = np.searchsorted(text, np.arange(batch.num_rows + 1))
             arrays = [
                 batch.column("lang"),
-                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(feature, pa.int32())),
-                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(share, pa.float32())),
+                packed(feature.astype(np.int32), ends),
+                packed(share.astype(np.float32), ends),
             ]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema).filter(pa.array(letters > 0))
 
     rows = sample.select("lang", "text")
-    rows = rows.mapInArrow(run, "lang string, feature array<int>, share array<float>").collect()
-    found = [(r.lang, np.array(r.feature, dtype=np.int64), np.array(r.share, dtype=np.float64)) for r in rows]
+    # Numbers come packed: as lists they would be an object each on the driver.
+    rows = rows.mapInArrow(run, "lang string, feature binary, share binary").collect()
+    found = [(r.lang, np.frombuffer(r.feature, np.int32).astype(np.int64), np.frombuffer(r.share, np.float32).astype(np.float64)) for r in rows]
     return sorted(found, key=lambda x: (x[0], len(x[1]), x[2].sum(), x[1].tobytes(), x[2].tobytes()))
 
 
@@ -250,7 +261,7 @@ def predict(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
 def identify(docs: DataFrame, model: Model, keep: Sequence[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``keep``) with lang_pred and score of every whole text.
 
-    A text that is null or has no letter is ``und`` with score 0. Rows are judged one by one: copies get the same
+    A text that is null or has no letter is ``und`` with score 0, an empty table gives no rows. Rows are judged one by one: copies get the same
     answer, and a lang_pred or score that ``docs`` already has is replaced.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
