@@ -212,6 +212,23 @@ def test_repeats_of_one_turn_and_an_empty_table(spark):
     assert conversations.repair(turns.limit(0)).collect() == []
 
 
+# --- the pipeline on odd tables
+
+
+def test_pipeline_stages_on_an_empty_table_and_without_languages(spark, workdir):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    ship(spark).createDataFrame([("i1", "some words of a benchmark item that nobody else has")], "item_id string, text string").write.parquet(f"{workdir}/benchmark.parquet")
+    none = spark.createDataFrame([], schema)
+    for _, stage in corpus_pipeline.STAGES:
+        none = stage(spark, none, workdir)
+        assert none.collect() == []
+    rows = [(k, f"words of document number {k} " * 5 if k else None, None, "s", 10) for k in range(6)]
+    kept = dict(corpus_pipeline.STAGES)["language ID"](spark, spark.createDataFrame(rows, schema), workdir)
+    assert sorted(map(tuple, kept.collect())) == rows
+
+
 # --- 13: WARC
 
 
