@@ -27,6 +27,8 @@ from statledger.llm.textarrays import LETTER_OR_DIGIT, Words, slices, words
 WINDOW = 10
 #: Benchmark text per broadcast block.
 BLOCK_BYTES = 16 << 20
+#: Document text searched at once.
+SLICE_BYTES = 1 << 20
 
 
 @dataclass
@@ -148,7 +150,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_b
             arrow = to_arrow_schema(schema)
             names, tests = shared.value
             items = pa.array(names, arrow.field("matches").type.value_type.field("item_id").type)
-            for batch in slices(batches):
+            for batch in slices(batches, max_bytes=SLICE_BYTES):
                 counts, found = search(batch.column("text"), tests)
                 order = np.lexsort((found["at"], found["text"]))
                 found = {k: v[order] for k, v in found.items()}
