@@ -238,8 +238,13 @@ def verification_report(
     warnings: DataFrame,
     tables: Mapping[str, DataFrame],
     path: str = "relative_path",
+    path_sample: int = 0,
 ) -> DataFrame:
-    """One (metric, subject, value) table: file and sidecar counts, groups, drift, and rows and columns per table."""
+    """One (metric, subject, value) table: file and sidecar counts, groups, drift, and rows and columns per table.
+
+    With ``path_sample``, also the number of distinct CSV paths and that many of them in order, each with how often it is
+    listed. Null paths are none.
+    """
 
     columns = ["metric", "subject", "value"]
     csv = files.filter(F.col(path).endswith(".csv"))
@@ -265,6 +270,10 @@ def verification_report(
         totals.unpivot([], totals.columns, "metric", "value").withColumn("subject", F.lit("")),
         agg_file_counts(files, path).select(F.lit("csv_files").alias("metric"), group, F.col("csv_file_count").alias("value")),
     ]
+    if path_sample:
+        listed = csv.groupBy(F.col(path).alias("subject")).agg(F.count("*").alias("value"))
+        parts.append(listed.orderBy("subject").limit(path_sample).withColumn("metric", F.lit("csv_path_sample")))
+        parts.append(listed.agg(F.count("*").alias("value")).select(F.lit("csv_file_path_count").alias("metric"), F.lit("").alias("subject"), "value"))
     for name, df in sorted(tables.items()):
         size = df.agg(F.count("*").alias("table_rows")).withColumn("table_columns", F.lit(len(df.columns)).cast("long"))
         parts.append(size.unpivot([], size.columns, "metric", "value").withColumn("subject", F.lit(name)))

@@ -279,6 +279,27 @@ def scan_manual_drop(spark, sf_dir):
     return files.manual_candidates(listed, "orders", "all", r"^([a-z]{3})(\d{4})", rules).drop("link_text")
 
 
+@query("manual_drop_folder", """SELECT DISTINCT strftime(o_orderdate, '%b%Y') AS folder, strftime(o_orderdate, '%Y%m') AS subject_period_hint, 'orders' AS series_id, 'all' AS sub_dataset_id
+FROM orders WHERE o_orderstatus <> 'P'""")
+def manual_drop_folder(spark, sf_dir):
+    """Files dropped by hand into one folder a month, listed from there; notes and other targets are not candidates."""
+    path = scratch_path(spark, "manual")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("line"), "o_orderstatus", F.date_format("o_orderdate", "MMMyyyy").alias("drop")
+    )
+    noted = F.col("o_orderstatus") == "P"
+    for folder, dropped, form in [
+        ("orders/all", orders.filter(~noted), "csv"),
+        ("orders/all/notes", orders.filter(noted), "text"),
+        ("orders/other", orders.filter(noted), "csv"),
+    ]:
+        dropped.select("line", "drop").repartition("drop").write.partitionBy("drop").format(form).save(f"{path}/{folder}")
+    listed = files.scan_manual_drop(spark, path, "orders", "all")
+    found = files.manual_candidates(listed, "orders", "all", r"^([a-z]{3})(\d{4})", [("url_segment", r"/drop=([a-z]{3}\d{4})/")])
+    folder = F.regexp_extract("source_url", "/drop=([^/]*)/", 1).alias("folder")
+    return found.select(folder, "subject_period_hint", "series_id", "sub_dataset_id").distinct()
+
+
 def _land(spark, sf_dir, path):
     """Land the ingest payload by month of the order."""
     stamped = _payload(spark, sf_dir).withColumn("downloaded_at", F.concat("Period", F.lit("01T000000")))

@@ -336,6 +336,17 @@ def verification_report(spark, sf_dir):
     return quality.verification_report(files, f_sidecar(spark, sf_dir), drift_warnings(spark, sf_dir), tables)
 
 
+@query("verification_report_paths", with_ctes("f_ingest", "f_sidecar") + """, p AS (SELECT "_SOURCE_FILE_PATH" AS path, count(*) AS n FROM f_ingest GROUP BY 1)
+SELECT 'csv_file_count' AS metric, '' AS subject, CAST(sum(n) AS BIGINT) AS value FROM p UNION ALL SELECT 'csv_file_path_count', '', count(*) FROM p
+UNION ALL SELECT * FROM (SELECT 'csv_path_sample', path, n FROM p ORDER BY path LIMIT 25)""")
+def verification_report_paths(spark, sf_dir):
+    """The report's counts of CSV paths, listed once per loaded row, and its first 25."""
+    listed = f_ingest(spark, sf_dir).select(F.col("_SOURCE_FILE_PATH").alias("relative_path"))
+    none = listed.limit(0)
+    report = quality.verification_report(listed, f_sidecar(spark, sf_dir), none, {}, path_sample=25)
+    return report.filter(F.col("metric").isin("csv_file_count", "csv_file_path_count", "csv_path_sample"))
+
+
 @query("schema_evolve_union", """SELECT o_orderkey AS id, o_orderstatus AS "Status", CAST(NULL AS VARCHAR) AS priority FROM orders WHERE o_orderkey % 2 = 0
 UNION ALL SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 2 <> 0""")
 def schema_evolve_union(spark, sf_dir):

@@ -344,6 +344,17 @@ def test_file_counts_and_report(spark):
     values = {(r.metric, r.subject): r.value for r in report.collect()}
     assert values[("csv_file_count", "")] == 1 and values[("sidecar_source_url_count", "")] == 1
     assert values[("sidecar_without_csv_possible", "")] == 1 and values[("table_rows", "T")] == 2 and values[("table_columns", "T")] == 1
+    assert not any(metric.startswith("csv_path") for metric, _ in values)
+
+
+def test_report_lists_paths(spark):
+    files = spark.createDataFrame([("s/a/c.csv",), ("s/a/b.csv",), ("s/a/b.csv",), ("s/a/d.csv",), ("s/a/d.txt",), (None,)], "relative_path string")
+    sidecar = spark.createDataFrame([], "_SOURCE_FILE_PATH string")
+    report = quality.verification_report(files, sidecar, files.limit(0), {}, path_sample=2)
+    paths = {(r.metric, r.subject): r.value for r in report.collect() if "path" in r.metric}
+    assert paths == {("csv_file_path_count", ""): 3, ("csv_path_sample", "s/a/b.csv"): 2, ("csv_path_sample", "s/a/c.csv"): 1}
+    empty = quality.verification_report(files.limit(0), sidecar, files.limit(0), {}, path_sample=2)
+    assert [(r.metric, r.value) for r in empty.collect() if "path" in r.metric] == [("csv_file_path_count", 0)]
 
 
 def test_inventory(spark):
