@@ -124,10 +124,30 @@ b as (
 ),
 bs as (select doc_id, level, n, sum(c) as size from b group by all),
 i as (select doc_id, level, b.n, t, license, sum(least(c, tb.n)) as common from b join tb using (k) group by all),
-m as (
-  select doc_id, license, max(2 * common / (bs.size + ts.size)::double) as dice
-  from i join bs using (doc_id, level, n) join ts using (t) where 2 * common / (bs.size + ts.size)::double >= {least} group by all
-)
+h as (
+  select doc_id, t, license, k, i as place, tb.n as times, row_number() over (partition by doc_id, t, k order by i) as nth
+  from (select doc_id, i, array_to_string(w[i : i + 1], ' ') as k from w, lateral (select unnest(range(1, len(w))) as i) where level = 3)
+  join tb using (k)
+),
+e as (
+  select h.doc_id, h.t, h.license, bs.size as n, ts.size as size,
+    greatest(coalesce(f.place + 1, 1), h.place - ts.size + 1) as low, least(h.place, greatest(bs.size - ts.size + 1, 1)) as high
+  from h left join h f on h.doc_id = f.doc_id and h.t = f.t and h.k = f.k and f.nth = h.nth - h.times
+  join ts on h.t = ts.t join bs on h.doc_id = bs.doc_id and bs.level = 3
+),
+v as (
+  select doc_id, t, license, n, size, low as place, 1 as step from e where low <= high
+  union all select doc_id, t, license, n, size, high + 1, -1 from e where low <= high
+),
+x as (
+  select doc_id, license, n, size, sum(sum(step)) over (partition by doc_id, t order by place) as common
+  from v group by doc_id, t, license, n, size, place
+),
+a as (
+  select doc_id, license, 2 * common / (bs.size + ts.size)::double as dice from i join bs using (doc_id, level, n) join ts using (t)
+  union all select doc_id, license, 2 * common / (least(n, size) + size)::double from x
+),
+m as (select doc_id, license, max(dice) as dice from a where dice >= {least} group by all)
 select doc_id, count(license)::bigint as n_licenses, coalesce(string_agg(license, ',' order by license), '') as licenses,
   coalesce(max(dice), 0.0)::double as best_dice
 from documents left join m using (doc_id) group by doc_id

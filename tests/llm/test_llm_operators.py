@@ -400,11 +400,60 @@ def test_licences_by_dice(docs, nothing, spark):
     ]
     got = {r.doc_id: {x["license"]: x.dice for x in r.licenses} for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1] == {"MIT": 1.0} and got[2] == {"MIT": 1.0} and got[6] == {"proprietary": 1.0} and got[5] == {"MIT": 1.0}
-    assert 0.9 < got[3]["MIT"] < 1 and all(got[i] == {} for i in (4, 7, 8, 9, 10))
+    assert 0.9 < got[3]["MIT"] < 1 and all(got[i] == {} for i in (4, 7, 8, 9))
+    assert got[10] == {"CC-BY-NC-4.0": 1.0}
     assert licenses.scan(docs).filter("size(licenses) > 0").count() == 0 and licenses.scan(docs).count() == docs.count()
     assert licenses.scan(nothing).count() == 0
 
 
+def test_licences_wherever_they_stand(spark):
+    text = {n: t for n, t in licenses.TEMPLATES if len(t) > 200}
+    mit = text["MIT"]
+    cut = [mit.index("The above"), mit.index("THE SOFTWARE IS")]
+    paragraphs = ["Copyright (c) 2020 Some One", mit[: cut[0]], mit[cut[0] : cut[1]], mit[cut[1] :]]
+    code = "\n".join(f"def step_{i}(value):\n    return value * {i}" for i in range(60))
+    lines = lambda t: [" ".join(t.split()[i : i + 9]) for i in range(0, len(t.split()), 9)]
+    rows = [
+        "\n\n".join([*paragraphs, code]),
+        "\n".join(["# " + x for x in lines(mit)] + [code]),
+        "/*\n" + "\n".join([" * " + x for x in lines(text["BSD-3-Clause"])]) + "\n */\n" + code,
+        code + "\nThis project is licensed under the MIT License.",
+        "// SPDX-License-Identifier: Apache-2.0\n" + code,
+        code + "\n\n" + text["ISC"].replace("THE AUTHOR ", "SOME ONE ") + "\n\n" + code,
+        "END OF TERMS\n" + text["GPL-2.0"] + "\n" + code,
+        code,
+    ]
+    found = licenses.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()
+    got = {r.doc_id: {x["license"]: x.dice for x in r.licenses} for r in found}
+    assert [max(got[i], key=got[i].get) for i in range(7)] == ["MIT", "MIT", "BSD-3-Clause", "MIT", "Apache-2.0", "ISC", "GPL-2.0"]
+    assert [got[i][n] for i, n in ((0, "MIT"), (1, "MIT"), (2, "BSD-3-Clause"), (3, "MIT"), (4, "Apache-2.0"), (6, "GPL-2.0"))] == [1.0] * 6
+    assert 0.9 < got[5]["ISC"] < 1 and got[7] == {} and got[0] == {"MIT": 1.0}
+
+
+def test_licence_windows_against_brute_force():
+    rng = random.Random(7)
+    some = lambda n: " ".join(rng.choice("abcd") for _ in range(n))
+    templates = [(f"L{i}", some(n)) for i, n in enumerate((2, 3, 5, 8, 13, 30))]
+    texts = [some(n) for n in (1, 2, 3, 7, 12, 40, 90)] + [some(20) + " " + t + " x " + some(15) for _, t in templates]
+    pairs = lambda t: list(zip(t.split(), t.split()[1:], strict=False))
+    want = {}
+    for i, text in enumerate(texts):
+        for name, template in templates:
+            a, b = pairs(text), pairs(template)
+            size = min(len(a), len(b))
+            for start in range(len(a) - size + 1 if a else 0):
+                common = sum((Counter(a[start : start + size]) & Counter(b)).values())
+                dice = 2 * common / (size + len(b))
+                if dice >= 0.6:
+                    want[i, name] = max(dice, want.get((i, name), 0))
+    known = licenses.bigrams(templates)
+    own = licenses.words(pa.array(texts), licenses.LETTER_OR_DIGIT)
+    at, value = own.windows(2)
+    near = np.flatnonzero(np.isin(value, known.known))
+    found = licenses.windows(own.text[at], near, np.searchsorted(known.known, value[near]), known, 0.6)
+    assert {(int(t), known.names[k]): d for t, k, d in zip(*found, strict=True)} == pytest.approx(want) and len(want) > 20
+
+
 # --- 8: URLs
 
 
