@@ -34,12 +34,16 @@ s as (
   select *, (sum(gap + size) over (partition by doc_id, kind_no order by i))::bigint as stop from m
 ),
 k as (select *, stop - size as start, kind || ':' || (stop - size) || ':' || stop as span from s where length(val) >= least),
-o as (select val, count(distinct coalesce(source, '')) as owners from k group by val),
+o as (
+  select val, count(distinct coalesce(source, '')) <= {secret_scan.MAX_OWNERS}
+    or count(distinct (coalesce(source, ''), coalesce(doc_id::varchar, ''))) <= {secret_scan.MAX_REPOSITORIES} as live
+  from k group by val
+),
 r as (
   select doc_id, {counted},
-    count(*) filter (owners <= 1)::bigint as n_live,
+    count(*) filter (live)::bigint as n_live,
     sha256(coalesce(string_agg(span, ',' order by start, kind_no) filter (kind_no < {base}), '')) as base_sha256,
-    string_agg(span, ',' order by start, kind_no) filter (kind_no < {base} or owners <= 1) as spans
+    string_agg(span, ',' order by start, kind_no) filter (kind_no < {base} or live) as spans
   from k join o using (val) group by doc_id
 )
 select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
@@ -79,18 +83,21 @@ with p as (
     coalesce(regexp_extract(url, {_quoted(pattern)}, 2), '') as path from pages
 ),
 j as (select *, {case(lambda r: r.text)} as rule, {case(lambda r: r.action)} as action from p),
-u as (select distinct url, action, host || path as subject from j where url is not null and host || path <> ''),
+u as (
+  select distinct url, action, host || path as subject, substr(md5(url), 1, 1) in ({", ".join(map(_quoted, url_filter.HELD_OUT))}) as held
+  from j where url is not null and host || path <> ''
+),
 g as (
-  select url, action, substr(repeat(chr(2), {context}) || subject, i, {context + 1}) as gram
+  select url, action, held, substr(repeat(chr(2), {context}) || subject, i, {context + 1}) as gram
   from u, lateral (select unnest(range(1, length(subject) + 1)) as i)
 ),
-n as (select gram, count(*) filter (action = 'allow') as a, count(*) filter (action = 'block') as r from g group by gram),
+n as (select gram, count(*) filter (action = 'allow' and not held) as a, count(*) filter (action = 'block' and not held) as r from g group by gram),
 {", ".join(parts)},
 l as (select gram, ln({chance["a"]}) - ln({chance["r"]}) as log_ratio from n {" ".join(joins)}),
-s as (select url, any_value(action) as action, avg(log_ratio) as score from g join l using (gram) group by url),
+s as (select url, any_value(action) as action, any_value(held) as held, avg(log_ratio) as score from g join l using (gram) group by url),
 q as (
   select avg(score) filter (action = 'allow') as ma, avg(score) filter (action = 'block') as mb,
-    stddev_pop(score) filter (action = 'allow') as sa, stddev_pop(score) filter (action = 'block') as sb from s
+    stddev_pop(score) filter (action = 'allow') as sa, stddev_pop(score) filter (action = 'block') as sb from s where held
 )
 select page_id, host, path, rule,
   coalesce(j.action, case when score < (select (ma * sb + mb * sa) / (sa + sb) from q) then 'block' else 'allow' end) as verdict

@@ -134,7 +134,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_secret_scan", sql=oracles.secret_scan_sql())
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secrets in every document, and how many of them only one source has."""
+    """Secrets in every document, and how many of them are not widely copied."""
     docs = table(spark, sf_dir, "documents")
     found = secret_scan.report(docs, secret_scan.scan(docs))
     return found.select(

@@ -1,7 +1,10 @@
 """Secret scan by corpus-wide ownership: whose is a candidate, and how widely is it copied?
 
 Candidates are found by pattern in every text. Their values are hashed and counted over the whole corpus by distinct
-repositories and owners. A value of one owner looks live; a value that several owners have is a published example.
+repositories and owners. A value is a published example only if both more than ``MAX_OWNERS`` owners and more than
+``MAX_REPOSITORIES`` repositories have it; any other looks live, such as a key that a few owners pasted, or one that a
+single owner repeats in many places. Where a repository is a document and an owner its source, the first count is
+never the smaller one.
 DataFrame functions only. Only candidates are shuffled, never texts; counts are aggregated before each shuffle, so a
 value in a third of all rows is one row per task.
 """
@@ -16,6 +19,10 @@ from pyspark.sql import functions as F
 from statledger.llm.cluster import written
 
 
+#: The one rule of op4 and the pipeline: a value that no more owners, or no more repositories, have looks live.
+MAX_OWNERS, MAX_REPOSITORIES = 5, 20
+
+
 @dataclass(frozen=True)
 class Kind:
     """``pattern`` finds candidates from left to right; group ``value`` of each is the secret, kept from ``least`` characters."""
@@ -128,9 +135,9 @@ def scan(
     docs: DataFrame,
     repository: str = "doc_id",
     owner: str = "source",
-    max_owners: int = 1,
+    max_owners: int = MAX_OWNERS,
     kinds: tuple[Kind, ...] = KINDS,
-    max_repositories: int = 0,
+    max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """All candidate spans with n_repositories, n_owners and live (at most ``max_owners`` owners, or at most
     ``max_repositories`` repositories).

@@ -1,8 +1,8 @@
 """URL filter: rules by host and path, and for the rest a character language-model ratio.
 
 Two smoothed variable-order Markov models are learnt, from accepted and from rejected URLs. A URL's score is the
-difference of their log-likelihoods per character, against a threshold calibrated on the learnt URLs. DataFrame
-functions only. The models are tables over distinct character n-grams, whose number does not follow that of URLs;
+difference of their log-likelihoods per character. The threshold is calibrated on judged URLs that the models did not
+learn from, a fixed share by the URL's digest. DataFrame functions only. The models are tables over distinct character n-grams, whose number does not follow that of URLs;
 n-grams are counted in each task before they are shuffled. Counts and scores are written to the shared folder, as each is
 needed more than once.
 """
@@ -21,6 +21,8 @@ from statledger.llm.cluster import written
 START = "\u0002"
 #: Characters of context of the longest order.
 CONTEXT = 3
+#: First digits of the MD5 of judged URLs that are held out of the models, for the threshold: 3 of 16.
+HELD_OUT = "012"
 #: Size of the alphabet that the lowest order is smoothed with.
 ALPHABET = 256
 
@@ -85,19 +87,21 @@ def log_ratios(counts: DataFrame) -> DataFrame:
     return out.select("gram", (F.log(chance["a"]) - F.log(chance["r"])).alias("log_ratio"))
 
 
-def score_urls(judged: DataFrame) -> DataFrame:
-    """Distinct url of ``judged`` with action and score, the log ratio per character (0 for empty subjects).
+def score_urls(judged: DataFrame, held_out: Sequence[str] = ()) -> DataFrame:
+    """Distinct url of ``judged`` with action, held and score, the log ratio per character; none for empty subjects.
 
-    ``judged`` has url, host, path, action (allow, block or null).
+    ``judged`` has url, host, path, action (allow, block or null). URLs whose MD5 begins with a digit of ``held_out`` are
+    held, and teach nothing.
     """
     subject = F.concat("host", "path")
     urls = judged.filter("url is not null").select("url", "action", subject.alias("subject")).dropDuplicates(["url"])
-    each = grams(urls)
+    each = grams(urls.withColumn("held", F.substring(F.md5("url"), 1, 1).isin(*held_out) if held_out else F.lit(False)))
+    taught = F.when(~F.col("held"), F.col("action"))
     counts = each.groupBy("gram").agg(
-        F.count(F.when(F.col("action") == "allow", 1)).alias("a"), F.count(F.when(F.col("action") == "block", 1)).alias("r")
+        F.count(F.when(taught == "allow", 1)).alias("a"), F.count(F.when(taught == "block", 1)).alias("r")
     )
     per_url = each.join(log_ratios(written(counts, "url-grams")), "gram").groupBy("url").agg(
-        F.first("action").alias("action"), F.avg("log_ratio").alias("score")
+        F.first("action").alias("action"), F.first("held").alias("held"), F.avg("log_ratio").alias("score")
     )
     return per_url
 
@@ -105,9 +109,9 @@ def score_urls(judged: DataFrame) -> DataFrame:
 def threshold(scores: DataFrame) -> float:
     """The score as far from the accepted URLs' mean as from the rejected ones', in standard deviations.
 
-    Without URLs of one kind there is no telling: minus infinity, so that everything is accepted.
+    Only held URLs count. Without such URLs of one kind there is no telling: minus infinity, so that everything is accepted.
     """
-    row = scores.agg(
+    row = scores.filter("held").agg(
         *[F.avg(F.when(F.col("action") == k, F.col("score"))).alias(f"m_{k}") for k in ("allow", "block")],
         *[F.stddev_pop(F.when(F.col("action") == k, F.col("score"))).alias(f"s_{k}") for k in ("allow", "block")],
     ).first()
@@ -123,7 +127,8 @@ def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """``page_id``, host, path, rule (of the longest that fits), score and verdict of every row of ``pages``.
 
     A null URL, or one without ``://``, has an empty host and path, no score, and is allowed; so is one whose score
-    reaches the threshold. Copies of a URL get the same verdict. Other columns are ignored.
+    reaches the threshold. Copies of a URL get the same verdict, URLs of any length are judged whole, and an empty table
+    gives no rows. Other columns are ignored.
     """
     host, path = host_and_path()
     judged = (
@@ -131,7 +136,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         .withColumns({"host": host, "path": path})
         .withColumns({"rule": first_rule(rules, lambda r: r.text), "action": first_rule(rules, lambda r: r.action)})
     )
-    scores = written(score_urls(judged), "url-scores")
+    scores = written(score_urls(judged, HELD_OUT), "url-scores")
     limit = threshold(scores)
     scores = scores.select(F.col("url").alias("__url"), "score")
     by_model = F.when(F.col("score") < limit, F.lit("block")).otherwise(F.lit("allow"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 import re
@@ -261,7 +262,7 @@ def test_spans_and_ownership(spark):
         (4, None, None, None), (5, "", "a", 0), (None, f"{hexa}", None, 1), (3, f"{key} {jwt} gh{'p'}_{'q' * 36}", "a", 5),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
-    spans = secret_scan.scan(docs)
+    spans = secret_scan.scan(docs, max_owners=1, max_repositories=0)
     got = {r.doc_id: r for r in secret_scan.report(docs, spans).collect()}
     patterns = {k.name: (re.compile(k.pattern, re.A), k.value, k.least) for k in secret_scan.KINDS}
     shared = {key, hexa}  # of two owners
@@ -287,6 +288,19 @@ def test_pipeline_keeps_only_widely_published_values(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     stage = dict(corpus_pipeline.STAGES)["secrets"]
     assert {r.text for r in stage(spark, docs, "").collect()} == {"x [SECRET] y", f"x {keys['D']} y"}
+    # The operator's own rule is the same, on both sides of each count.
+    assert (corpus_pipeline.MAX_OWNERS, corpus_pipeline.MAX_REPOSITORIES) == (secret_scan.MAX_OWNERS, secret_scan.MAX_REPOSITORIES)
+    found = secret_scan.report(docs, secret_scan.scan(docs))
+    assert {r.doc_id // 100: r["max(n_live)"] for r in found.groupBy("doc_id").max("n_live").collect()} == {0: 1, 1: 1, 2: 1, 3: 0}
+
+
+def test_added_spans_are_listed_unless_widely_published(spark):
+    tokens = {c: "ghp_" + c * 36 for c in "ABC"}
+    copies = {"A": (21, 6), "B": (20, 6), "C": (21, 5)}  # documents and sources: only the first has more of both
+    rows = [(100 * n + i, tokens[c], f"s{i % s}") for n, (c, (d, s)) in enumerate(copies.items()) for i in range(d)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id // 100: r.spans for r in secret_scan.report(docs, secret_scan.scan(docs)).collect()}
+    assert got == {0: "", 1: "github:0:40", 2: "github:0:40"}
 
 
 def test_secrets_of_odd_tables(docs, nothing):
@@ -474,6 +488,13 @@ def test_url_rules_and_model(spark):
     ]
     assert [g[3] for g in got[130:]] == ["allow"] * 30 + ["block"] * 30
     assert url_filter.judge(pages.limit(0), RULES).count() == 0
+    # Held URLs teach nothing: what only they have says nothing either way.
+    held = [u for u in urls if u and hashlib.md5(u.encode()).hexdigest()[0] in url_filter.HELD_OUT]
+    judged = pages.filter(F.col("url").isin(held)).select("url", F.lit("qq").alias("host"), F.lit("").alias("path"), F.lit("allow").alias("action"))
+    scores = url_filter.score_urls(judged, url_filter.HELD_OUT).collect()
+    assert len(scores) == len(set(held)) > 20 and all(r.held and r.score == 0 for r in scores)
+    long = spark.createDataFrame([(1, "http://x.org/" + "a" * 8_000, "h"), (2, "http://y.com/" + "b" * 8_000, "h")], pages.schema)
+    assert [r.rule for r in url_filter.judge(long, RULES).orderBy("page_id").collect()] == ["org/", None]
     assert {r.verdict for r in url_filter.judge(pages, RULES[:1]).collect()} == {"allow"}
 
 
