@@ -223,8 +223,9 @@ def filter_include_exclude(spark, sf_dir):
     )
 
 
-_NAMED = """SELECT file, sheet, CAST("row" - 2 AS INTEGER) AS "row", CAST(col AS INTEGER) AS col, max(CASE WHEN "row" = 2 THEN value END) OVER (PARTITION BY file, sheet, col) AS column_name, value
-FROM f_cells WHERE col >= 2 QUALIFY "row" > 2"""
+_NAMED = """SELECT d.file, d.sheet, CAST(d."row" - 2 AS INTEGER) AS "row", CAST(d.col AS INTEGER) AS col, h.value AS column_name, d.value
+FROM f_cells d LEFT JOIN (SELECT file, sheet, col, value FROM f_cells WHERE "row" = 2) h ON d.file = h.file AND d.sheet = h.sheet AND d.col = h.col
+WHERE d.col >= 2 AND d."row" > 2"""
 
 
 @query("sheet_start_cell", with_ctes("f_cells") + _NAMED)
