@@ -111,9 +111,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_quality_rules")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of every document, and whether they and the tokeniser's fit keep it."""
-    judged = quality_rules.judge(table(ship(spark), sf_dir, "documents"), public_path(PIECE_TOKENIZER))
+    vocabularies = [public_path(PIECE_TOKENIZER), public_path(WORD_TOKENIZER)]
+    judged = quality_rules.judge(table(ship(spark), sf_dir, "documents"), vocabularies)
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return judged.select("doc_id", *base, "base_failed", "kept", *quality_rules.FERTILITY)
+    return judged.select("doc_id", *base, "base_failed", "kept", *quality_rules.fertility(len(vocabularies)))
 
 
 URL_RULES = (

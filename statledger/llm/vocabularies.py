@@ -54,6 +54,10 @@ class Vocabulary:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         if suffix:
             self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        # Of a vocabulary over bytes: one byte of a character that has several.
+        single = [i for token, i in vocabulary.items() if len(t := token.removesuffix(suffix or "")) == 1 and ord(t) > 0x7F]
+        self.is_byte = np.zeros(len(self.ends), dtype=bool)
+        self.is_byte[single] = True
         self.words, self.pieces = Memo(), Memo()
 
     def _raw(self, texts: list[str]) -> list[bytes]:

@@ -600,7 +600,7 @@ def test_fertility_bands_reject_what_does_not_fit(spark):
     rows = [(i, prose(rng, "en", 100), "en") for i in range(80)]
     rows += [(900, " ".join("".join(chr(rng.randrange(0x12000, 0x12300)) for _ in range(5)) for _ in range(30)), "en")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    bands = quality_rules.Bands(least=1, quartiles=3)
+    bands = quality_rules.Bands(prior=0, quartiles=3)
     got = {r.doc_id: r for r in quality_rules.judge(docs, PIECES, bands).collect()}
     assert all(got[i].kept for i in range(80)) and got[900].byte_share > 0.5
     same = quality_rules.judge(docs.withColumn("lang", F.lit(None).cast("string")), PIECES, bands)
@@ -616,6 +616,23 @@ def test_small_classes_meet_wider_bands(spark):
     assert {r.doc_id for r in judged.filter("in_bands").collect()} == {*range(80), 903}
 
 
+def test_shipped_bands_reject_each_kind_of_misfit(spark):
+    rng = random.Random(4)
+    rows = [(i, prose(rng, "en", 100 + i), "en") for i in range(160)] + [(200 + i, prose(rng, "de", 100 + i), "de") for i in range(160)]
+    some = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    misfits = [
+        (900, " ".join(some("áéíóúñçãõàèù", 6) for _ in range(120)), "en"),  # few characters a token
+        (901, " ".join(some("qxzjkvw", 8) for _ in range(120)), "de"),
+        (902, " ".join(["stone"] * 150), "en"),  # no entropy
+        (903, " ".join(some([chr(c) for c in range(0x12000, 0x12300)], 5) for _ in range(60)), "de"),  # bytes
+    ]
+    docs = spark.createDataFrame(rows + misfits, "doc_id long, text string, lang string")
+    judged = quality_rules.judge(docs, [PIECES, IDS])
+    assert {r.doc_id for r in judged.filter("not in_bands").collect()} == {900, 901, 902, 903}
+    for name in quality_rules.fertility(2):
+        assert judged.filter(f"{name} is null").count() == 0
+
+
 # --- the pipeline
 
 
