@@ -16,6 +16,8 @@ from statledger.schemas import EVENT_NOT_NULL_COLUMNS, METADATA_COLUMNS
 # Fixed value: the one RAW table that holds run events instead of published rows.
 EVENTS_TABLE = "RAW_FUNCTION_APP_EVENTS"
 DRIFT_THRESHOLD = 0.20
+#: Parts that a table's headers are dealt over to be compared.
+DRIFT_SLICES = 64
 
 LOADED_COUNTS_SCHEMA = T.StructType(
     [
@@ -180,8 +182,16 @@ def drift_ratio(known: Column, actual: Column) -> Column:
 
 
 def set_jaccard_drift(headers: DataFrame, known: DataFrame, on: str = "table_name") -> DataFrame:
-    """Add known_columns and drift_ratio to headers (table, actual_columns); tables without a known list drop out."""
-    return headers.join(known, on, "inner").withColumn(
+    """Add known_columns and drift_ratio to headers (table, actual_columns); tables without a known list drop out.
+
+    A table's headers are dealt over ``DRIFT_SLICES`` parts by their contents, and its known list goes to each, so that
+    no task reads all headers of a table.
+    """
+    # Rows are dealt by values that can be hashed, so that a repeated task deals them alike.
+    hashed = [F.col(f"`{f.name}`") for f in headers.schema if not any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))]
+    dealt = headers.withColumn("__slice", F.pmod(F.xxhash64(*hashed), F.lit(DRIFT_SLICES)))
+    slices = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(DRIFT_SLICES - 1).cast("long")))
+    return dealt.join(known.withColumn("__slice", slices), [on, "__slice"], "inner").drop("__slice").withColumn(
         "drift_ratio", drift_ratio(F.col("known_columns"), F.col("actual_columns"))
     )
 

@@ -156,6 +156,22 @@ def test_evolve_and_match(spark):
     assert shape.match_columns_by_name(new, ["A", "B"]).columns == ["A", "B", "c"]
 
 
+def test_headers_of_one_table_are_compared_by_many_tasks(spark):
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        headers = spark.range(200).select(F.lit("t").alias("table_name"), F.array(F.lit("a"), F.col("id").cast("string")).alias("actual_columns"))
+        known = spark.createDataFrame([("t", ["a"]), ("other", ["b"])], "table_name string, known_columns array<string>")
+        got = quality.set_jaccard_drift(headers, known).select("drift_ratio", F.spark_partition_id().alias("task")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [r.drift_ratio for r in got] == [0.5] * 200
+    assert len({r.task for r in got}) > 1
+
+
 def test_drift_is_jaccard_distance(spark):
     rng = random.Random(6)
     letters = "abcdefgh"
