@@ -13,6 +13,9 @@ from statledger.functions.paths import load_id, partition_values, stage_relative
 from statledger.operators.telemetry import type_events
 from statledger.schemas import SIDECAR_COLUMNS
 
+#: Lines of one file of a metadata dataset.
+RECORDS_PER_FILE = 250_000
+
 
 def sink_landing_partitions(df: DataFrame, path: str, downloaded_at: str = "downloaded_at", format: str = "csv") -> None:
     """Write below ``download_year=/download_month=/downloaded_at=``; rows of one partition are brought together by key
@@ -102,8 +105,12 @@ def sidecar_records(
 
 
 def sink_sidecar(records: DataFrame, path: str, mode: str = "append") -> None:
-    """One JSON line per landed file in a metadata dataset (whose name must not start with ``_``)."""
-    records.write.mode(mode).json(path)
+    """One JSON line per landed file in a metadata dataset (whose name must not start with ``_``).
+
+    The lines repeat their keys and most of their text, so they are gzipped; a gzipped file is read by one task, so none
+    has more than ``RECORDS_PER_FILE`` lines.
+    """
+    records.write.mode(mode).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).json(path)
 
 
 def sink_telemetry(events: DataFrame, path: str) -> None:

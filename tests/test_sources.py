@@ -112,6 +112,15 @@ def test_manual_drop(spark, workdir):
     assert got == {"March-2026-data.csv": ("20260301T000000", "202603"), "2026-02-01.XLSX": ("20260201T000000", None)}
 
 
+def test_metadata_datasets_are_small(spark, workdir):
+    rows = spark.range(2000).select(F.lit("1.0").alias("_CONTRACT_VERSION"), F.sha2(F.col("id").cast("string"), 256).alias("_FILE_CONTENT_KEY"))
+    sinks.sink_sidecar(rows.coalesce(1), f"{workdir}/sidecar")
+    written = sum(os.path.getsize(os.path.join(workdir, "sidecar", n)) for n in os.listdir(f"{workdir}/sidecar") if n.startswith("part-"))
+    assert written < 2000 * 64
+    got = files.scan_sidecar_json(spark, f"{workdir}/sidecar")
+    assert sorted(r[0] for r in got.select("_FILE_CONTENT_KEY").collect()) == sorted(r[1] for r in rows.collect())
+
+
 def test_sidecar_documents(spark, workdir):
     put(workdir, "a.json", json.dumps({"_CONTRACT_VERSION": "1", "_FILE_SCOPE_DURATION_VALUE": "12", "_FILE_SCOPE_FISCAL_YEAR_START_MONTH": "", "period_coverage": {"breakdown_granularity": ["m"]}}, indent=2))
     put(workdir, "b.json", "{ not json")
