@@ -107,13 +107,17 @@ _FORGED = {"C1": "latin-1", "marked": "utf-32", "turned": "utf-32le", "turned-ma
        + ", ".join(f"('{a}', '{b}')" for a, b in (_WRITTEN | _FORGED).items()) + ") e(a, b)")
 def detect_encoding_all(spark, sf_dir):
     """Texts by language, landed in every encoding: as Spark writes them, with a character that windows-1252 has not,
-    with a mark in front, and with the bytes of each unit turned round."""
+    with a mark in front, and with the bytes of each unit turned round.
+
+    Eleven copies of the texts, half of them in two or four bytes a character, are landed gzipped, in files that are
+    small enough for one task each."""
+    packed = {"compression": "gzip", "maxRecordsPerFile": 10_000}
     path = scratch_path(spark, "encodings")
     docs = table(spark, sf_dir, "documents").select("text", "lang")
 
     def land(charset, text, kind):
         rows = docs.select(text.alias("text"), F.concat_ws("-", "lang", F.lit(kind)).alias("part"))
-        rows.write.partitionBy("part").option("encoding", charset).csv(f"{path}/{kind}")
+        rows.write.partitionBy("part").options(**packed).option("encoding", charset).csv(f"{path}/{kind}")
 
     for charset in _WRITTEN:
         land(charset, F.regexp_replace("text", "[^\\x00-\\x7F]", "?") if charset == "US-ASCII" else F.concat("text", F.lit(" \u00e9")), charset)
@@ -122,7 +126,7 @@ def detect_encoding_all(spark, sf_dir):
         units = F.hex(F.encode(F.concat(F.lit(mark), "text"), "UTF-32"))
         turned = F.unhex(F.regexp_replace(units, "(..)(..)(..)(..)", order)).cast("string")
         rows = docs.select(turned.alias("value"), F.concat_ws("-", "lang", F.lit(kind)).alias("part"))
-        rows.write.partitionBy("part").option("lineSep", end).text(f"{path}/{kind}")
+        rows.write.partitionBy("part").options(**packed).option("lineSep", end).text(f"{path}/{kind}")
     found = files.detect_encoding(spark, [path], ("ascii", *[e for e in files.ENCODINGS if e != "ascii"]))
     part = F.regexp_extract("file_path", "part=([^/]*)/", 1)
     return found.groupBy(part.alias("part")).agg(F.concat_ws("|", F.array_sort(F.collect_set("encoding"))).alias("encoding"))

@@ -208,12 +208,19 @@ WIDE = {"utf-16": "utf-16", "utf-16le": "utf-16-le", "utf-16be": "utf-16-be", "u
 #: All encodings that can be told, in the order in which they are tried.
 ENCODINGS = ("utf-8", "cp1252", "latin-1", "ascii", *WIDE)
 
+# Names of files that the readers decompress; their size is not that of their text.
+COMPRESSED = "\\.(gz|bz2|deflate|zst|lz4|snappy)$"
+
 
 class _WideText:
-    """Which wide encodings the bytes of one file are valid in, as they come."""
+    """Which wide encodings the bytes of one file are valid in, as they come.
+
+    A reader of lines does not say whether the last line is ended. The file's ``size`` does; it is None for compressed
+    files, of which a last line end counts if it fills a unit.
+    """
 
-    def __init__(self, size: int) -> None:
-        self.size, self.at, self.zeros, self.start = size, 0, [0, 0], b""
+    def __init__(self, size: int | None) -> None:
+        self.size, self.at, self.zeros, self.start, self.held = size, 0, [0, 0], b"", b""
         self.decoders = {name: codecs.getincrementaldecoder(codec)() for name, codec in WIDE.items()}
 
     def _keep(self, name: str, data: bytes, final: bool = False) -> None:
@@ -224,8 +231,14 @@ class _WideText:
         except UnicodeError:
             del self.decoders[name]
 
-    def feed(self, data: bytes) -> None:
-        data = data[: self.size - self.at]
+    def feed(self, line: bytes) -> None:
+        if self.size is None:
+            data, self.held = self.held + line, b"\n"
+        else:
+            data = (line + b"\n")[: self.size - self.at]
+        self._take(data)
+
+    def _take(self, data: bytes) -> None:
         self.start = (self.start + data)[:4]
         for name in list(self.decoders):
             self._keep(name, data)
@@ -236,6 +249,8 @@ class _WideText:
         self.at += len(data)
 
     def valid(self) -> set[str]:
+        if self.at % 2:
+            self._take(self.held)
         for name in list(self.decoders):
             self._keep(name, b"", True)
         marked = {
@@ -262,7 +277,9 @@ def _detect_wide(spark: SparkSession, paths: Sequence[str], candidates: Sequence
         .text(list(paths))
         .select(
             plain_path(F.col("_metadata.file_path")).alias("file_path"),
-            F.when(F.col("_metadata.file_block_start") > 0, cut).otherwise(F.col("_metadata.file_size")).alias("size"),
+            F.when(F.col("_metadata.file_block_start") > 0, cut)
+            .when(~F.lower("_metadata.file_name").rlike(COMPRESSED), F.col("_metadata.file_size"))
+            .alias("size"),
             F.col("value").cast("binary").alias("line"),
         )
     )
@@ -281,7 +298,7 @@ def _detect_wide(spark: SparkSession, paths: Sequence[str], candidates: Sequence
                 if path != name:
                     close()
                     name, text = path, _WideText(size)
-                text.feed(line + b"\n")
+                text.feed(line)
         close()
         yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], pa.string()) for k in (0, 1)], ["file_path", "wide"])
 
@@ -296,7 +313,8 @@ def detect_encoding(spark: SparkSession, paths: Sequence[str], candidates: Seque
     Encodings of one byte a unit are checked line by line, so a file of any size is split over tasks. latin-1 takes any
     bytes; but a file with zero bytes, or a mark of UTF-16 or UTF-32, is tried first in the candidates of that kind, if
     there are any: ``utf-16`` and ``utf-32`` with their mark, the others without one. Of UTF-16 without a mark the order
-    of bytes is that in which more zeros are high ones.
+    of bytes is that in which more zeros are high ones. Compressed files (by their suffix) are told by what they hold,
+    each in one task.
     """
     unknown = [c for c in candidates if c not in NARROW and c not in WIDE]
     if unknown:

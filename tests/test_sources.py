@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import io
 import json
 import os
@@ -121,6 +122,19 @@ def test_metadata_datasets_are_small(spark, workdir):
     assert sorted(r[0] for r in got.select("_FILE_CONTENT_KEY").collect()) == sorted(r[1] for r in rows.collect())
 
 
+def test_encodings_of_compressed_files(spark, workdir):
+    texts = {
+        "le": ("ab\ncd\n".encode("utf-16-le"), "utf-16le"), "be": ("ab\ncd\n".encode("utf-16-be"), "utf-16be"),
+        "open": ("ab\ncd".encode("utf-16-le"), "utf-16le"), "le32": ("ab\ncd\n".encode("utf-32-le"), "utf-32le"),
+        "be32": ("ab\ncd\n".encode("utf-32-be"), "utf-32be"), "marked": ("ab\n".encode("utf-16"), "utf-16"), "utf8": ("é\n".encode(), "utf-8"),
+    }
+    for name, (content, _) in texts.items():
+        put(workdir, f"{name}.csv.gz", gzip.compress(content))
+        put(workdir, f"{name}.csv", content)
+    found = {os.path.basename(r.file_path): r.encoding for r in files.detect_encoding(spark, [workdir], files.ENCODINGS).collect()}
+    assert found == {name + end: told for name, (_, told) in texts.items() for end in (".csv", ".csv.gz")}
+
+
 def test_sidecar_documents(spark, workdir):
     put(workdir, "a.json", json.dumps({"_CONTRACT_VERSION": "1", "_FILE_SCOPE_DURATION_VALUE": "12", "_FILE_SCOPE_FISCAL_YEAR_START_MONTH": "", "period_coverage": {"breakdown_granularity": ["m"]}}, indent=2))
     put(workdir, "b.json", "{ not json")
