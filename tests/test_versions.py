@@ -217,6 +217,26 @@ def test_a_run_killed_between_two_writes_leaves_nothing(spark, store, monkeypatc
     assert [tuple(r) for r in skipped] == [("UPLOAD", "SKIPPED", "content_unchanged", 10)]
 
 
+def test_runs_write_hashes_small_and_skip_by_file(spark, store):
+    none = spark.createDataFrame([], "source_url string, file_name string, id long")
+    first = discovered(spark, 3)
+    assert scheduled.scheduled_run(store, first, none, "r1", "2024-01-01T00:00:00Z") == 1
+    folders = [f for t in store.contents().values() for fs in t["folders"].values() for f in fs]
+    names = [n for f in folders for n in store._names(f"{store.path}/{f}") if n.endswith(".parquet")]
+    assert names and all(n.endswith(".zstd.parquet") for n in names)
+    # The same headers; new headers and the same contents; new contents; a file without a name; one that comes twice.
+    odd = F.when(F.col("source_url") == "u2", "No Hash").when(F.col("source_url") == "u3", F.lit(None)).otherwise(F.col("content_hash"))
+    later = discovered(spark, 6, "x").withColumn("content_hash", odd)
+    later = later.withColumn("file_name", F.when(F.col("source_url") != "u5", F.col("file_name")))
+    later = first.filter("source_url = 'u0'").unionAll(later.filter("source_url <> 'u0'")).unionAll(later.filter("source_url = 'u4'"))
+    found = scheduled.decide(later, store.read(scheduled.SIDECAR)).select("source_url", "content_hash", "skip_reason").collect()
+    told = sorted(((r.source_url, r.skip_reason) for r in found), key=str)
+    assert told == [("u0", "source_unchanged"), ("u1", "content_unchanged"), ("u2", None), ("u3", None), *[("u4", None)] * 8, ("u5", "source_unchanged")]
+    assert {r.content_hash for r in found if r.source_url in ("u2", "u3")} == {"No Hash", None}
+    counted = store.read(scheduled.EVENTS).filter("SKIP_REASON IS NULL").select("NORMALIZED_ROW_COUNT").collect()
+    assert [r[0] for r in counted] == [0, 0, 0]
+
+
 def test_a_stream_into_a_table_repeats_no_batch(spark, store, workdir):
     landing = f"{workdir}/landing"
     put(landing, "downloaded_at=1/a.csv", "a,b\n1,2\n3,4,5\n")
