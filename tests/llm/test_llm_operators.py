@@ -391,6 +391,26 @@ def test_token_files_round_trip(docs, nothing, workdir, segment):
     assert token_files.read_token_files(docs.sparkSession, f"{workdir}/none").count() == 0
 
 
+def test_a_word_is_looked_up_without_a_table_of_all_words_held(monkeypatch):
+    from statledger.llm import vocabularies
+
+    def nothing(*args, **kwargs):
+        raise AssertionError("all words held were gone through")
+
+    texts = pa.array(["house house12, été! Σίσυφος", None, "", "house 12.. river", "x\u200by été", " "])
+    plain = [x for s in texts.to_pylist() for x in whole_ids(s)]
+    encoder = vocabularies.Vocabulary(IDS)
+    with monkeypatch.context() as m:
+        m.setattr(vocabularies.pc, "index_in", nothing)
+        for _ in range(2):
+            assert encoder.encode(texts)[0].tolist() == plain
+    # Different words of one hash keep their own ids.
+    encoder = vocabularies.Vocabulary(IDS)
+    monkeypatch.setattr(vocabularies, "_hashes", lambda strings: np.full(len(strings), 7, np.uint64))
+    for _ in range(2):
+        assert encoder.encode(texts)[0].tolist() == plain
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_vocabulary_gives_the_tokenizers_ids(name):
     encoder = vocabulary(public_path(name))
