@@ -8,7 +8,7 @@ classes of similarity s meet in a tree with chance s, so in one of ten trees wit
 Classes that are already connected need no comparison, so a node whose classes are all connected is done. A node with at
 most ``exhaustive`` unconnected pairs per class is compared pair by pair. In another, all classes are first compared with
 a few of them, the pivots, which connects dense groups; what is left unconnected is compared in full, in pairs of blocks
-of bounded size. A pair of blocks is one task's work and gives only the links that connect something in it, so pairs
+of bounded size: first all by their sketches, then by their full sets those that have another like them in the node. A pair of blocks is one task's work and gives only the links that connect something in it, so pairs
 are never rows there. Its work still grows with the square of the unconnected classes of a node, in numpy.
 
 Pairs first pass exact bounds on sizes and an estimate from sketches, then are confirmed on full sets of 64-bit shingle
@@ -24,7 +24,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,8 @@ from statledger.llm.cluster import written
 from statledger.llm.textarrays import NOT_WHITE, Words, mix, slices, sums_by_text, words
 
 SLICE_BYTES = 1 << 20
+#: Blocks of full sets in a block of sketches.
+SKETCH_BLOCKS = 4
 
 
 @dataclass(frozen=True)
@@ -283,12 +285,14 @@ def _connected(docs: DataFrame, classes: DataFrame, rule: Join) -> DataFrame:
         large = F.col("large")
         pairs = written(_pairs(active, large, rule), "pairs")
         like = written(_like(pairs, classes, rule), "pairs")
+        nodes = active.filter(large).select("rep", "n", "tree", "path")
         if sets is None:
-            # Only classes that met others can need their sets, in this round or later.
+            # Only classes like another of their node can need their sets, in this round or later.
+            alike = written(_alike(active.filter(large), classes, rule), "alike")
             met = like.select(F.col("a").alias("__met")).unionAll(like.select("b"))
-            sets = made(met.unionAll(active.filter(large).select("rep")))
+            sets = made(met.unionAll(alike.select("rep")))
         found.append(written(_confirmed(like, sets, rule), "confirmed"))
-        nodes = active.filter(large).select("rep", "n", "tree", "path")
+        nodes = nodes.join(alike, ["path", "rep"], "left_semi")
         if not nodes.limit(1).count():
             break
         # What is known to be connected so far saves comparisons later; it need not be all that is.
@@ -297,14 +301,54 @@ def _connected(docs: DataFrame, classes: DataFrame, rule: Join) -> DataFrame:
     return components(reduce(DataFrame.unionAll, found))
 
 
+def _possible(rule: Join, label: np.ndarray, n: np.ndarray, tokens: np.ndarray, sketch: np.ndarray, u: int, some: np.ndarray) -> np.ndarray:
+    """Those of ``some`` that may be linked with u, are not connected with it, and meet it in no earlier tree."""
+    some = some[label[some] != label[u]]
+    some = some[100 * np.minimum(n[some], n[u]) >= rule.percent * np.maximum(n[some], n[u])]
+    # A pair is compared in the first tree in which it meets.
+    some = some[~(tokens[some] == tokens[u]).any(axis=1)]
+    return some[(sketch[some] == sketch[u]).sum(axis=1) >= rule.agreeing]
+
+
+def _in_blocks(rows: DataFrame, blocks: Column) -> DataFrame:
+    """Rows with block, and one and two of each pair of blocks of their node that theirs is in."""
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("rep", F.lit("block")), blocks).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return rows.withColumns({"one": F.least("block", "other"), "two": F.greatest("block", "other")}).drop("other", "blocks")
+
+
+def _alike(active: DataFrame, classes: DataFrame, rule: Join) -> DataFrame:
+    """path and rep of the classes that have another in their node with which a link is possible, by sizes and sketches.
+
+    The others have no links there. Blocks are larger than those of full sets, whose rows have many times the bytes.
+    """
+    rows = active.select("rep", "n", "tree", "path", "component", F.ceil(F.col("blocks") / SKETCH_BLOCKS).cast("int").alias("blocks"))
+    rows = rows.join(classes.select("rep", F.slice("tokens", 1, rule.trees).alias("tokens"), "sketch"), "rep")
+    out = T.StructType([active.schema["path"], active.schema["rep"]])
+
+    def run(group: pa.Table) -> pa.Table:
+        one, two, tree = (group.column(c)[0].as_py() for c in ("one", "two", "tree"))
+        count = group.num_rows
+        block, n = group.column("block").to_numpy(), group.column("n").to_numpy()
+        label = rep_codes(group.column("component"))
+        tokens = group.column("tokens").combine_chunks().flatten().to_numpy().reshape(count, -1)[:, :tree]
+        sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(count, -1)
+        left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
+        found = np.zeros(count, dtype=bool)
+        for number, u in enumerate(left.tolist()):
+            some = _possible(rule, label, n, tokens, sketch, u, left[number + 1 :] if one == two else right)
+            found[some] = True
+            found[u] |= len(some) > 0
+        return group.select(["path", "rep"]).filter(pa.array(found))
+
+    return _in_blocks(rows, F.col("blocks")).groupBy("path", "one", "two").applyInArrow(run, out).distinct()
+
+
 def _compared(active: DataFrame, classes: DataFrame, sets: DataFrame, rule: Join) -> DataFrame:
     """Links (a, b) that connect all linked classes of every node: each pair of blocks of a node gives a forest of its own."""
-    block = F.pmod(F.xxhash64("rep", F.lit("block")), F.col("blocks")).cast("int")
-    rows = active.select("rep", "n", "tree", "path", "component", "blocks", block.alias("block"))
+    rows = active.select("rep", "n", "tree", "path", "component", "blocks")
     rows = rows.join(classes.select("rep", F.slice("tokens", 1, rule.trees).alias("tokens"), "sketch"), "rep").join(sets, "rep")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    rows = rows.select("rep", "n", "tree", "path", "component", "block", "tokens", "sketch", "shingles", other)
-    rows = rows.withColumns({"one": F.least("block", "other"), "two": F.greatest("block", "other")}).drop("other")
+    rows = _in_blocks(rows, F.col("blocks"))
     kind = classes.schema["rep"].dataType
     links = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
 
@@ -327,12 +371,7 @@ def _compared(active: DataFrame, classes: DataFrame, sets: DataFrame, rule: Join
         right = np.flatnonzero(block == two)
         found: list[tuple[int, int]] = []
         for number, u in enumerate(left.tolist()):
-            some = left[number + 1 :] if one == two else right
-            some = some[label[some] != label[u]]
-            some = some[100 * np.minimum(n[some], n[u]) >= rule.percent * np.maximum(n[some], n[u])]
-            # A pair is compared in the first tree in which it meets.
-            some = some[~(tokens[some] == tokens[u]).any(axis=1)]
-            some = some[(sketch[some] == sketch[u]).sum(axis=1) >= rule.agreeing]
+            some = _possible(rule, label, n, tokens, sketch, u, left[number + 1 :] if one == two else right)
             if not len(some):
                 continue
             mark[value[first[u] : first[u + 1]]] = True
