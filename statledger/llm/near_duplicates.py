@@ -12,7 +12,8 @@ of bounded size: first all by their sketches, then by their full sets those that
 are never rows there. Its work still grows with the square of the unconnected classes of a node, in numpy.
 
 Pairs first pass exact bounds on sizes and an estimate from sketches, then are confirmed on full sets of 64-bit shingle
-hashes, which are made once and only for classes that met others. Pairs are never expanded among copies. Connected
+hashes, which are made once and only for classes that met others: a bitmap of their ids, of bounded size, keeps the other texts
+out of the shuffle. Pairs are never expanded among copies. Connected
 components are found by passing on the smallest id and jumping along pointers, over confirmed links only.
 """
 
@@ -34,6 +35,9 @@ from statledger.llm.textarrays import NOT_WHITE, Words, mix, slices, sums_by_tex
 SLICE_BYTES = 1 << 20
 #: Blocks of full sets in a block of sketches.
 SKETCH_BLOCKS = 4
+#: Bits that tell before a shuffle which rows may be wanted (4 MB at most, whatever the input), and those of one bitmap.
+FILTER_BITS = 1 << 25
+BITMAP_BITS = 1 << 15
 
 
 @dataclass(frozen=True)
@@ -142,6 +146,19 @@ def full_sets(docs: DataFrame, rule: Join) -> DataFrame:
     return source.mapInArrow(run, schema)
 
 
+def _may_be_in(rows: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+    """The rows whose ``name`` is in ``wanted``, and a few others: those whose hash shares a bit with a wanted one's.
+
+    Nothing is shuffled but the bits. More wanted values than bits let more rows pass, and lose none.
+    """
+    place = F.pmod(F.xxhash64(name), F.lit(FILTER_BITS))
+    bitmap, bit = F.floor(place / BITMAP_BITS).cast("int"), (place % BITMAP_BITS)
+    bits = wanted.select(bitmap.alias("__bitmap"), bit.alias("bit")).groupBy("__bitmap").agg(F.bitmap_construct_agg("bit").alias("__bits"))
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    near = rows.join(F.broadcast(bits), bitmap == F.col("__bitmap"))
+    return near.filter(F.getbit(byte, (bit % 8).cast("int")) == 1).select(rows.columns)
+
+
 def _like(pairs: DataFrame, classes: DataFrame, rule: Join) -> DataFrame:
     """Pairs whose sketches agree often enough."""
 
@@ -248,8 +265,11 @@ def _connected(docs: DataFrame, classes: DataFrame, rule: Join) -> DataFrame:
     labels, sets, found = none, None, []
 
     def made(met: DataFrame) -> DataFrame:
-        texts = docs.select("doc_id", "text").join(met.distinct(), F.col("doc_id") == F.col("__met"), "left_semi")
-        return written(full_sets(texts, rule).withColumnRenamed("doc_id", "rep").dropDuplicates(["rep"]), "sets")
+        met = written(met.distinct(), "met")
+        texts = _may_be_in(docs.select("doc_id", "text"), met.select(F.col("__met").alias("doc_id")), "doc_id")
+        # One row of each id, while the texts lie by id: the sets are not moved for it.
+        texts = texts.join(met, F.col("doc_id") == F.col("__met"), "left_semi").dropDuplicates(["doc_id"])
+        return written(full_sets(texts, rule).withColumnRenamed("doc_id", "rep"), "sets")
 
     for number in range(rule.depth + 1):
         rows = nodes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")

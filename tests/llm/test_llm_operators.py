@@ -199,6 +199,32 @@ def test_large_groups_of_near_copies_are_one_component(spark):
     assert {r.doc_id: r.component_id for r in got.collect()} == want
 
 
+def test_texts_that_met_no_other_are_not_shuffled(spark, monkeypatch):
+    rows = [(i, f"w{i // 40} " + " ".join(f"t{i}-{k}" for k in range(9))) for i in range(4000)] + [(None, "one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = df.filter("doc_id % 50 = 0").select("doc_id")
+    near = near_duplicates._may_be_in(df, wanted, "doc_id").select("doc_id").collect()
+    assert {r.doc_id for r in near} >= {*range(0, 4000, 50)} and len(near) < 90
+    # Fewer bits than values: others pass too, and none is lost.
+    with monkeypatch.context() as m:
+        m.setattr(near_duplicates, "FILTER_BITS", 64)
+        near = near_duplicates._may_be_in(df, wanted, "doc_id").select("doc_id").collect()
+        assert {r.doc_id for r in near} >= {*range(0, 4000, 50)}
+    moved, full_sets = [], near_duplicates.full_sets
+
+    def watched(texts, rule):
+        moved.append(texts._jdf.queryExecution().optimizedPlan().toString())
+        return full_sets(texts, rule)
+
+    monkeypatch.setattr(near_duplicates, "full_sets", watched)
+    text = " ".join(f"c{k}" for k in range(60))
+    copies = spark.createDataFrame([*rows, (5000, text), (5001, text + " more")], df.schema)
+    got = {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(copies).collect()}
+    assert got[5001] == 5000 and got[0] == 0
+    semi, bits = moved[0].index("LeftSemi"), moved[0].index("bitmap_construct_agg")
+    assert semi < bits, "all texts are shuffled to be joined"
+
+
 @pytest.mark.parametrize("rule", [near_duplicates.Join(), near_duplicates.Join(block=300)])
 def test_variants_are_linked_by_their_original_only(spark, rule):
     """3,000 variants, each about 0.85 like the original and 0.72 like each other: recall of the links by brute force."""
