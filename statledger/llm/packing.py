@@ -6,7 +6,8 @@ of shorter tiers that fit, and the last gap with the beginning of a piece that i
 left over of one batch joins the next, and at the end of a partition becomes sequences of powers of two. Sequences are
 then dealt to step groups of about equal work.
 
-A partition of the input is packed by itself: no rows move, and a task holds one batch of texts.
+A partition of the input is packed by itself: no rows move, and a task holds the token ids of one batch of texts, which
+are tokenised and given out in smaller slices.
 """
 
 from __future__ import annotations
@@ -23,11 +24,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statledger.llm.textarrays import slices
-from statledger.llm.vocabularies import vocabulary
+from statledger.llm.vocabularies import Vocabulary, vocabulary
 
 TIERS = (4096, 2048, 1024, 512)
 STEP_TOKENS = 16 * 4096
 BATCH_BYTES = 16 << 20
+#: Text tokenised at once, and ids given out at once. They bound a task's memory and do not change what is packed.
+SLICE_BYTES = 1 << 20
 
 # (length, document number, start in the document); lengths come first, so that a sorted list is sorted by length.
 Piece = tuple[int, int, int]
@@ -114,6 +117,19 @@ def step_groups(lengths: Sequence[int], step_tokens: int) -> list[int]:
     return out
 
 
+def _encoded(encoder: Vocabulary, texts: pa.RecordBatch, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, each with its end id, and the offset at which each text's begin (and the last's end)."""
+    parts, begins = [], [np.zeros(1, np.int64)]
+    for part in slices([texts], max_bytes=SLICE_BYTES):
+        ids, offsets = encoder.encode(part.column("text"))
+        count = part.num_rows
+        ended = np.full(len(ids) + count, end_id, dtype=np.uint32)
+        ended[np.arange(len(ids)) + np.repeat(np.arange(count), np.diff(offsets))] = ids
+        parts.append(ended)
+        begins.append(begins[-1][-1] + offsets[1:] + np.arange(1, count + 1))
+    return np.concatenate(parts), np.concatenate(begins)
+
+
 def _packed(
     batches: Iterator[pa.RecordBatch], path: str, end_id: int, tiers: Sequence[int], step_tokens: int, schema: pa.Schema
 ) -> Iterator[pa.RecordBatch]:
@@ -126,7 +142,12 @@ def _packed(
         nonlocal sequences, steps
         lengths = [sum(p[0] for p in window) for window in full]
         groups = step_groups(lengths, step_tokens)
-        rows = []
+        rows, held = [], 0
+
+        def given() -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True)) or [[] for _ in schema]
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
         for n, window in enumerate(full):
             offset = 0
             for length, document, start in window:
@@ -135,17 +156,17 @@ def _packed(
                     + (first_id + sequences + n, offset, lengths[n], first_id + steps + groups[n])
                 )
                 offset += length
+            held += 4 * offset
+            if held >= SLICE_BYTES:
+                yield given()
+                rows, held = [], 0
+        yield given()
         sequences += len(full)
         steps += max(groups, default=-1) + 1
-        columns = list(zip(*rows, strict=True)) or [[] for _ in schema]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     for batch in slices(batches, max_bytes=BATCH_BYTES):
-        ids, offsets = encoder.encode(batch.column("text"))
         count = batch.num_rows
-        ended = np.full(len(ids) + count, end_id, dtype=np.uint32)
-        ended[np.arange(len(ids)) + np.repeat(np.arange(count), np.diff(offsets))] = ids
-        begins = offsets + np.arange(count + 1)
+        ended, begins = _encoded(encoder, batch, end_id)
         names = batch.column("doc_id").to_pylist() + [c[1] for c in carried]
         totals = np.diff(begins).tolist() + [c[2] for c in carried]
         begin = begins.tolist()
@@ -168,10 +189,10 @@ def _packed(
             (piece, names[piece[1]], totals[piece[1]], np.frombuffer(ids_of(piece[1], piece[2], piece[0]), np.uint32))
             for piece in left
         ]
-        yield emit(packer.full, names, totals, ids_of)
+        yield from emit(packer.full, names, totals, ids_of)
     packer = Packer(tiers)
     packer.finish([(c[0][0], n, c[0][2]) for n, c in enumerate(carried)])
-    yield emit(
+    yield from emit(
         packer.full,
         [c[1] for c in carried],
         [c[2] for c in carried],

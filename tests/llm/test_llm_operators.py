@@ -599,6 +599,41 @@ def test_packing_keeps_every_token(docs, nothing):
         packing.pack_documents(docs, IDS, 2, tiers=(100,))
 
 
+def test_packing_holds_slices_of_text_and_of_pieces(monkeypatch):
+    """Texts are tokenised and pieces given out a slice at a time, and packed as they were in one slice."""
+    encoder, seen = vocabulary(IDS), []
+
+    class Watched:
+        def encode(self, texts):
+            seen.append(sum(len((t or "").encode()) for t in texts.to_pylist()))
+            return encoder.encode(texts)
+
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 3)
+
+    rng = random.Random(4)
+    texts = [None, "", *(prose(rng, "en", rng.randint(1, 900)) for _ in range(300))]
+    rows = pa.RecordBatch.from_pydict({"doc_id": [*range(len(texts))], "text": texts})
+    long = pa.int64()
+    schema = pa.schema([("doc_id", long), ("start", long), ("length", long), ("ids", pa.binary()), ("doc_tokens", long)])
+    for name in ("sequence_id", "offset", "sequence_tokens", "step_group"):
+        schema = schema.append(pa.field(name, long))
+    monkeypatch.setattr(packing, "TaskContext", Task)
+    monkeypatch.setattr(packing, "vocabulary", lambda path: Watched())
+    monkeypatch.setattr(packing, "BATCH_BYTES", 1 << 19)
+    found = {}
+    for size in (1 << 30, 1 << 15):
+        monkeypatch.setattr(packing, "SLICE_BYTES", size)
+        seen.clear()
+        given = [*packing._packed(iter([rows]), IDS, 2, packing.TIERS, 65_536, schema)]
+        found[size] = pa.Table.from_batches(given).to_pylist()
+    assert max(seen) <= 1 << 15 and len(seen) > 20
+    assert max(sum(map(len, g.column("ids").to_pylist())) for g in given) < (1 << 15) + 4 * 4096
+    assert found[1 << 30] == found[1 << 15]
+    check_packed([type("Piece", (), r) for r in found[1 << 15]], [type("Row", (), r) for r in rows.to_pylist()], 2)
+
+
 def test_step_groups_are_balanced():
     rng = random.Random(2)
     lengths = [rng.choice([4096, 2048, 1024, 512]) for _ in range(400)]
