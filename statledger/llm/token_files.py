@@ -1,7 +1,7 @@
 """Token-id files: every document's ids in ascending order of doc_id, written by a context-mixing range coder.
 
 Format. A Parquet table whose rows are segments: part and segment (their order is the order of documents), doc_ids and
-n_tokens of whole documents, and ids, the blocks of :mod:`range_coder`. A segment can be read by itself.
+n_tokens of whole documents, and ids, the frames of :mod:`range_coder`. A segment can be read by itself.
 
 Texts are range-partitioned by doc_id and sorted within partitions, the one shuffle. Each task tokenises and codes its
 range a segment at a time; a segment ends with the document that reaches ``SEGMENT_IDS``.
@@ -22,7 +22,7 @@ from statledger.llm import range_coder
 from statledger.llm.textarrays import slices
 from statledger.llm.vocabularies import vocabulary
 
-SEGMENT_IDS = 2_000_000
+SEGMENT_IDS = 4_000_000
 BATCH_BYTES = 8 << 20
 
 
@@ -55,7 +55,9 @@ def write_token_files(
         names, sizes, held, total = [], [], [], 0
 
         def closed() -> pa.RecordBatch:
-            coded = range_coder.encode(np.concatenate(held))
+            ids = np.concatenate(held)
+            held.clear()
+            coded = range_coder.encode(ids)
             columns = [[part], [segment], [pa.concat_arrays(names).to_pylist()], [np.concatenate(sizes)], [coded]]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
@@ -128,4 +130,5 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(arrays, schema.names)
 
     rows = files.select("part", "segment", "doc_ids", "n_tokens", "ids").mapInArrow(run, schema)
-    return rows.join(starts, ["part", "segment"]).select("doc_id", (F.col("first") + F.col("at")).alias("start"), "n_tokens", "ids")
+    # Three numbers for each segment go to the executors; the ids stay where they are read.
+    return rows.join(F.broadcast(starts), ["part", "segment"]).select("doc_id", (F.col("first") + F.col("at")).alias("start"), "n_tokens", "ids")
