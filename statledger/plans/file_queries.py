@@ -5,9 +5,11 @@ from __future__ import annotations
 import contextlib
 import io
 import zipfile
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -110,23 +112,37 @@ def detect_encoding_all(spark, sf_dir):
     with a mark in front, and with the bytes of each unit turned round.
 
     Eleven copies of the texts, half of them in two or four bytes a character, are landed gzipped, in files that are
-    small enough for one task each."""
-    packed = {"compression": "gzip", "maxRecordsPerFile": 10_000}
+    small enough for one task each, side by side: a table that is read in few parts is landed by few tasks at a time.
+    Higher levels of gzip take up to five times the time for a seventh less."""
+    packed = {"compression": "gzip", "zlib.compress.level": "TWO", "maxRecordsPerFile": 10_000}
     path = scratch_path(spark, "encodings")
     docs = table(spark, sf_dir, "documents").select("text", "lang")
+    # A session in which UTF-32LE can be named: the units of UTF-32, turned round.
+    any_charset = spark.newSession()
+    any_charset.conf.set("spark.sql.legacy.javaCharsets", "true")
+    forged = table(any_charset, sf_dir, "documents").select("text", "lang")
 
     def land(charset, text, kind):
         rows = docs.select(text.alias("text"), F.concat_ws("-", "lang", F.lit(kind)).alias("part"))
         rows.write.partitionBy("part").options(**packed).option("encoding", charset).csv(f"{path}/{kind}")
 
-    for charset in _WRITTEN:
-        land(charset, F.regexp_replace("text", "[^\\x00-\\x7F]", "?") if charset == "US-ASCII" else F.concat("text", F.lit(" \u00e9")), charset)
-    land("ISO-8859-1", F.concat("text", F.lit("\u0081")), "C1")
-    for kind, mark, order, end in (("marked", "\ufeff", "$1$2$3$4", "\0\0\0\n"), ("turned", "", "$4$3$2$1", "\n\0\0\0"), ("turned-marked", "\ufeff", "$4$3$2$1", "\n\0\0\0")):
-        units = F.hex(F.encode(F.concat(F.lit(mark), "text"), "UTF-32"))
-        turned = F.unhex(F.regexp_replace(units, "(..)(..)(..)(..)", order)).cast("string")
-        rows = docs.select(turned.alias("value"), F.concat_ws("-", "lang", F.lit(kind)).alias("part"))
+    def forge(kind, mark, charset, end):
+        units = F.encode(F.concat(F.lit(mark), "text"), charset).cast("string")
+        rows = forged.select(units.alias("value"), F.concat_ws("-", "lang", F.lit(kind)).alias("part"))
         rows.write.partitionBy("part").options(**packed).option("lineSep", end).text(f"{path}/{kind}")
+
+    landings = [
+        (land, charset, F.regexp_replace("text", "[^\\x00-\\x7F]", "?") if charset == "US-ASCII" else F.concat("text", F.lit(" \u00e9")), charset)
+        for charset in _WRITTEN
+    ]
+    landings.append((land, "ISO-8859-1", F.concat("text", F.lit("\u0081")), "C1"))
+    for kind, mark, charset, end in (("marked", "\ufeff", "UTF-32", "\0\0\0\n"), ("turned", "", "UTF-32LE", "\n\0\0\0"), ("turned-marked", "\ufeff", "UTF-32LE", "\n\0\0\0")):
+        landings.append((forge, kind, mark, charset, end))
+    # Where threads are not pinned to ones of the JVM, there is nothing to hand on, and the session is given back.
+    own = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(landings)) as pool:
+        for landing in [pool.submit(write if own is spark else own(write), *values) for write, *values in landings]:
+            landing.result()
     found = files.detect_encoding(spark, [path], ("ascii", *[e for e in files.ENCODINGS if e != "ascii"]))
     part = F.regexp_extract("file_path", "part=([^/]*)/", 1)
     return found.groupBy(part.alias("part")).agg(F.concat_ws("|", F.array_sort(F.collect_set("encoding"))).alias("encoding"))

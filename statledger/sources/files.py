@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import codecs
 import csv
+import gzip
 import io
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -211,6 +214,40 @@ ENCODINGS = ("utf-8", "cp1252", "latin-1", "ascii", *WIDE)
 # Names of files that the readers decompress; their size is not that of their text.
 COMPRESSED = "\\.(gz|bz2|deflate|zst|lz4|snappy)$"
 
+#: Bytes up to which a gzipped file is one value of a task, which inflates it in pieces; larger ones are read by lines.
+GZIP_VALUE = 64 << 20
+_PIECE = 1 << 20
+
+
+class _NarrowText:
+    """Which encodings of one byte a unit the bytes of one file are valid in, as they come, and whether they may be of a
+    wide one."""
+
+    def __init__(self) -> None:
+        self.size, self.wide, self.ascii, self.undefined = 0, False, True, False
+        self.utf8 = codecs.getincrementaldecoder("utf-8")()
+
+    def feed(self, data: bytes) -> None:
+        self.wide = self.wide or b"\0" in data or (not self.size and data.startswith((codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE)))
+        self.size += len(data)
+        if self.ascii and data.isascii():
+            return
+        self.ascii = False
+        self.undefined = self.undefined or any(int(h, 16) in data for h in CP1252_UNDEFINED)
+        self._keep(data)
+
+    def _keep(self, data: bytes, final: bool = False) -> None:
+        try:
+            if self.utf8:
+                self.utf8.decode(data, final)
+        except UnicodeError:
+            self.utf8 = None
+
+    def valid(self) -> set[str]:
+        self._keep(b"", True)
+        told = {"utf-8": self.utf8, "utf-8-sig": self.utf8, "cp1252": not self.undefined, "latin-1": True, "ascii": self.ascii}
+        return {name for name, holds in told.items() if holds}
+
 
 class _WideText:
     """Which wide encodings the bytes of one file are valid in, as they come.
@@ -231,26 +268,29 @@ class _WideText:
         except UnicodeError:
             del self.decoders[name]
 
-    def feed(self, line: bytes) -> None:
+    def feed(self, data: bytes) -> None:
+        """The next bytes; a line end behind the last line is among them."""
         if self.size is None:
-            data, self.held = self.held + line, b"\n"
+            data, self.held = self.held + data.removesuffix(b"\n"), data[-1:] if data.endswith(b"\n") else b""
         else:
-            data = (line + b"\n")[: self.size - self.at]
-        self._take(data)
+            data = data[: self.size - self.at]
+        for start in range(0, len(data), _PIECE):
+            self._take(data[start : start + _PIECE])
 
     def _take(self, data: bytes) -> None:
-        self.start = (self.start + data)[:4]
+        if self.at < 4:
+            self.start = (self.start + data)[:4]
         for name in list(self.decoders):
             self._keep(name, data)
-        zero = np.flatnonzero(np.frombuffer(data, np.uint8) == 0) + self.at
-        odd = int((zero & 1).sum())
-        self.zeros[1] += odd
-        self.zeros[0] += len(zero) - odd
+        if "utf-16le" in self.decoders or "utf-16be" in self.decoders:
+            zero, even = np.frombuffer(data, np.uint8) == 0, self.at % 2
+            self.zeros[0] += np.count_nonzero(zero[even::2])
+            self.zeros[1] += np.count_nonzero(zero[1 - even :: 2])
         self.at += len(data)
 
     def valid(self) -> set[str]:
-        if self.at % 2:
-            self._take(self.held)
+        if self.size is None and self.at % 2:
+            self._take(b"\n")
         for name in list(self.decoders):
             self._keep(name, b"", True)
         marked = {
@@ -276,7 +316,7 @@ def _detect_wide(spark: SparkSession, paths: Sequence[str], candidates: Sequence
         whole.read.option("lineSep", "\n")
         .text(list(paths))
         .select(
-            plain_path(F.col("_metadata.file_path")).alias("file_path"),
+            F.col("_metadata.file_path").alias("file_path"),
             F.when(F.col("_metadata.file_block_start") > 0, cut)
             .when(~F.lower("_metadata.file_name").rlike(COMPRESSED), F.col("_metadata.file_size"))
             .alias("size"),
@@ -294,19 +334,63 @@ def _detect_wide(spark: SparkSession, paths: Sequence[str], candidates: Sequence
                 done.append((name, next((c for c in wanted if c in valid), None)))
 
         for batch in batches:
-            for path, size, line in zip(*[batch.column(c).to_pylist() for c in ("file_path", "size", "line")]):
+            rows = zip(*[batch.column(c).to_pylist() for c in ("file_path", "size", "line")])
+            for (path, size), group in groupby(rows, itemgetter(0, 1)):
                 if path != name:
                     close()
                     name, text = path, _WideText(size)
-                text.feed(line)
+                text.feed(b"".join(line + b"\n" for _, _, line in group))
         close()
         yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], pa.string()) for k in (0, 1)], ["file_path", "wide"])
 
     out = scratch_path(spark, "encodings")
-    lines.mapInArrow(run, "file_path string, wide string").write.parquet(out)
+    found = lines.mapInArrow(run, "file_path string, wide string")
+    found.select(plain_path(F.col("file_path")).alias("file_path"), "wide").write.parquet(out)
     return spark.read.schema("file_path string, wide string").parquet(out)
 
 
+def _inflated(content: bytes) -> Iterator[bytes]:
+    """A gzipped file's bytes, without the mark of UTF-8 that readers of lines take off."""
+    with gzip.GzipFile(fileobj=io.BytesIO(content)) as file:
+        yield file.read(_PIECE).removeprefix(codecs.BOM_UTF8)
+        while piece := file.read(_PIECE):
+            yield piece
+
+
+def _detect_gzipped(files: DataFrame, candidates: Sequence[str]) -> DataFrame:
+    """(file_path, narrow, wide): the first candidate of each kind that all bytes of a gzipped file are valid in, or NULL.
+    Wide ones are tried where there are zero bytes or a mark. As with lines, an empty file gives no row.
+
+    ``files``: file_path, content. A file is inflated once, or, if its first zero byte comes late, twice.
+    """
+    kinds = [[c for c in candidates if c in kind] for kind in (NARROW, WIDE)]
+
+    def told(content: bytes) -> list[str | None] | None:
+        narrow, wide = _NarrowText(), None
+        for piece in _inflated(content):
+            first = not narrow.size
+            narrow.feed(piece)
+            if first and narrow.wide:
+                wide = _WideText(None)
+            if wide:
+                wide.feed(piece)
+        if not narrow.size:
+            return None
+        if narrow.wide and not wide:
+            wide = _WideText(None)
+            for piece in _inflated(content):
+                wide.feed(piece)
+        valid = narrow.valid(), wide.valid() if wide else ()
+        return [next((c for c in kind if c in held), None) for kind, held in zip(kinds, valid)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = [(path.as_py(), *found) for path, content in zip(batch.column("file_path"), batch.column("content")) if (found := told(content.as_py()))]
+            yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], pa.string()) for k in range(3)], ["file_path", "narrow", "wide"])
+
+    return files.mapInArrow(run, "file_path string, narrow string, wide string")
+
+
 def detect_encoding(spark: SparkSession, paths: Sequence[str], candidates: Sequence[str] = ("utf-8", "cp1252", "latin-1")) -> DataFrame:
     """(file_path, encoding): the first candidate that the whole file is valid in; ``ENCODINGS`` are known.
 
@@ -314,34 +398,43 @@ def detect_encoding(spark: SparkSession, paths: Sequence[str], candidates: Seque
     bytes; but a file with zero bytes, or a mark of UTF-16 or UTF-32, is tried first in the candidates of that kind, if
     there are any: ``utf-16`` and ``utf-32`` with their mark, the others without one. Of UTF-16 without a mark the order
     of bytes is that in which more zeros are high ones. Compressed files (by their suffix) are told by what they hold,
-    each in one task.
+    each in one task; where wide encodings are candidates, gzipped ones of up to ``GZIP_VALUE`` bytes are read once for all.
     """
     unknown = [c for c in candidates if c not in NARROW and c not in WIDE]
     if unknown:
         raise ValueError(f"encodings that cannot be told: {unknown}; known are {[*NARROW, *WIDE]}")
-    lines = (
-        spark.read.option("recursiveFileLookup", True)
-        .text(list(paths))
-        .select(plain_path(F.col("_metadata.file_path")).alias("file_path"), F.col("value"), F.monotonically_increasing_id().alias("n"))
-    )
+    narrow = [c for c in candidates if c in NARROW]
+    only_narrow = len(narrow) == len(candidates)
+    path = F.col("_metadata.file_path").alias("file_path")
+    # Spark applies these conditions to its list of files, before it reads any.
+    as_values = F.col("_metadata.file_name").endswith(".gz") & (F.col("_metadata.file_size") <= GZIP_VALUE)
+    lines = spark.read.option("recursiveFileLookup", True).text(list(paths))
+    lines = (lines if only_narrow else lines.filter(~as_values)).select(path, F.col("value"), F.monotonically_increasing_id().alias("n"))
     data = F.col("value").cast("binary")
-    undefined = F.hex(data).rlike("^(?:..)*?(?:" + "|".join(CP1252_UNDEFINED) + ")")
+    # As ISO-8859-1 each byte is a character, and those beyond ASCII take two bytes of UTF-8.
+    latin = F.decode(data, "ISO-8859-1")
+    beyond = F.octet_length(latin) != F.octet_length("value")
+    undefined = reduce(lambda a, b: a | b, [latin.contains(chr(int(h, 16))) for h in CP1252_UNDEFINED])
     tests = {
         "utf-8": ~F.is_valid_utf8("value"),
         "utf-8-sig": ~F.is_valid_utf8("value"),
-        "cp1252": undefined,
+        "cp1252": F.when(beyond, undefined).otherwise(False),
         "latin-1": F.lit(False),
-        "ascii": F.octet_length("value") != F.length("value"),
+        "ascii": beyond,
     }
-    narrow = [c for c in candidates if c in NARROW]
-    mark = F.min_by(F.hex(F.substring(data, 1, 4)), F.col("n"))
-    wide = (F.max(F.col("value").contains("\0")) | mark.rlike("^(FFFE|FEFF|0000FEFF)")).alias("__wide")
-    failed = lines.groupBy("file_path").agg(*[F.max(tests[c]).alias(c) for c in narrow], wide)
+    # Not as text, for which Spark would sort all lines by file.
+    marked = F.substring(data, 1, 2).isin(F.lit(codecs.BOM_UTF16_LE), F.lit(codecs.BOM_UTF16_BE))
+    wide = (F.max(F.col("value").contains("\0")) | F.min_by(marked, F.col("n"))).alias("__wide")
+    failed = lines.groupBy("file_path").agg(*[F.max(tests[c]).alias(c) for c in narrow], wide).withColumn("file_path", plain_path(F.col("file_path")))
     chosen = F.coalesce(*[F.when(~F.col(f"`{c}`"), F.lit(c)) for c in narrow]) if narrow else F.lit(None).cast("string")
-    if len(narrow) == len(candidates):
+    if only_narrow:
         return failed.select("file_path", chosen.alias("encoding"))
     out = scratch_path(spark, "encodings")
-    failed.select("file_path", "__wide", chosen.alias("narrow")).write.parquet(out)
+    values = spark.read.option("recursiveFileLookup", True).format("binaryFile").load(list(paths)).filter(as_values).select(path, "content")
+    gzipped = _detect_gzipped(values, candidates).select(
+        plain_path(F.col("file_path")).alias("file_path"), F.lit(False).alias("__wide"), F.coalesce("wide", "narrow").alias("narrow")
+    )
+    failed.select("file_path", "__wide", chosen.alias("narrow")).union(gzipped).write.parquet(out)
     told = spark.read.schema("file_path string, __wide boolean, narrow string").parquet(out)
     suspects = [row.file_path for row in told.filter("__wide").select("file_path").collect()]
     if not suspects:

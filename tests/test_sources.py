@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import codecs
 import gzip
 import io
 import json
@@ -135,6 +136,42 @@ def test_encodings_of_compressed_files(spark, workdir):
     assert found == {name + end: told for name, (_, told) in texts.items() for end in (".csv", ".csv.gz")}
 
 
+def test_gzipped_files_are_told_in_one_reading(spark, workdir, monkeypatch):
+    late = b"x" * (3 << 20)
+    texts = {
+        "plain": (b"ab\n", "ascii"), "c1": (b"ab\x81\n", "latin-1"), "high": (b"ab\x93\n", "cp1252"), "utf8": ("\u00e9\n".encode() * 400_000, "utf-8"),
+        "bom": (codecs.BOM_UTF8 + b"ab\n", "ascii"), "bom only": (codecs.BOM_UTF8, None), "empty": (b"", None), "line end": (b"\n", "ascii"),
+        "cut": (late + b"\xc3", "cp1252"), "late": (late + b"\0\0", "ascii"), "late high": (late + b"\x81a\0\0", "latin-1"),
+        "late wide": (late.decode().replace("x", "\u4e2d").encode("utf-16-le") + b"a\0", "utf-16le"), "odd": ("ab\n".encode("utf-16-le") + b"a", "utf-16le"),
+        "marked": (codecs.BOM_UTF16_BE + "\u4e00\n".encode("utf-16-be"), "utf-16"), "lone": (codecs.BOM_UTF16_LE + b"\x34\xd8a\0", "cp1252"),
+        "le32": (("ab\n\U0001d4d0" * 200_000).encode("utf-32-le"), "utf-32le"), "be32": (codecs.BOM_UTF32_BE + "ab\n\u010a".encode("utf-32-be"), "utf-32"),
+    }
+    for name, (content, _) in texts.items():
+        half = len(content) // 2
+        put(workdir, f"p/{name}.csv.gz", gzip.compress(content[:half]) + gzip.compress(content[half:]))
+
+    def told():
+        found = files.detect_encoding(spark, [workdir], ("ascii", *[e for e in files.ENCODINGS if e != "ascii"]))
+        return {os.path.basename(r.file_path)[:-7]: r.encoding for r in found.collect()}
+
+    wanted = {name: encoding for name, (_, encoding) in texts.items() if encoding}
+    with monkeypatch.context() as without:
+        without.setattr(files, "_detect_wide", None)
+        assert told() == wanted
+    monkeypatch.setattr(files, "GZIP_VALUE", 0)  # the same by lines
+    assert told() == wanted
+
+
+def test_wide_text_in_pieces():
+    for content in ("ab\n\u010a\n".encode("utf-16-le"), "ab\u4e00\n".encode("utf-16-be"), "ab\n".encode("utf-16"), "ab\n".encode("utf-32-be"), b"ab\n", b"a\0b", b"a\n\n"):
+        for size in (None, len(content)):
+            whole, pieces = files._WideText(size), files._WideText(size)
+            whole.feed(content)
+            for at in range(0, len(content), 3):
+                pieces.feed(content[at : at + 3])
+            assert whole.valid() == pieces.valid() and whole.zeros == pieces.zeros
+
+
 def test_sidecar_documents(spark, workdir):
     put(workdir, "a.json", json.dumps({"_CONTRACT_VERSION": "1", "_FILE_SCOPE_DURATION_VALUE": "12", "_FILE_SCOPE_FISCAL_YEAR_START_MONTH": "", "period_coverage": {"breakdown_granularity": ["m"]}}, indent=2))
     put(workdir, "b.json", "{ not json")
