@@ -116,11 +116,12 @@ def detect_encoding_all(spark, sf_dir):
     Higher levels of gzip take up to five times the time for a seventh less."""
     packed = {"compression": "gzip", "zlib.compress.level": "TWO", "maxRecordsPerFile": 10_000}
     path = scratch_path(spark, "encodings")
-    docs = table(spark, sf_dir, "documents").select("text", "lang")
-    # A session in which UTF-32LE can be named: the units of UTF-32, turned round.
-    any_charset = spark.newSession()
-    any_charset.conf.set("spark.sql.legacy.javaCharsets", "true")
-    forged = table(any_charset, sf_dir, "documents").select("text", "lang")
+    # A session in which UTF-32LE can be named, the units of UTF-32 turned round, and in which a task keeps a file open for
+    # each of up to 16 parts: its texts need not be sorted by part.
+    landing = spark.newSession()
+    landing.conf.set("spark.sql.legacy.javaCharsets", "true")
+    landing.conf.set("spark.sql.maxConcurrentOutputFileWriters", "16")
+    docs = table(landing, sf_dir, "documents").select("text", "lang")
 
     def land(charset, text, kind):
         rows = docs.select(text.alias("text"), F.concat_ws("-", "lang", F.lit(kind)).alias("part"))
@@ -128,7 +129,7 @@ def detect_encoding_all(spark, sf_dir):
 
     def forge(kind, mark, charset, end):
         units = F.encode(F.concat(F.lit(mark), "text"), charset).cast("string")
-        rows = forged.select(units.alias("value"), F.concat_ws("-", "lang", F.lit(kind)).alias("part"))
+        rows = docs.select(units.alias("value"), F.concat_ws("-", "lang", F.lit(kind)).alias("part"))
         rows.write.partitionBy("part").options(**packed).option("lineSep", end).text(f"{path}/{kind}")
 
     landings = [
@@ -141,8 +142,8 @@ def detect_encoding_all(spark, sf_dir):
     # Where threads are not pinned to ones of the JVM, there is nothing to hand on, and the session is given back.
     own = inheritable_thread_target(spark)
     with ThreadPoolExecutor(len(landings)) as pool:
-        for landing in [pool.submit(write if own is spark else own(write), *values) for write, *values in landings]:
-            landing.result()
+        for landed in [pool.submit(write if own is spark else own(write), *values) for write, *values in landings]:
+            landed.result()
     found = files.detect_encoding(spark, [path], ("ascii", *[e for e in files.ENCODINGS if e != "ascii"]))
     part = F.regexp_extract("file_path", "part=([^/]*)/", 1)
     return found.groupBy(part.alias("part")).agg(F.concat_ws("|", F.array_sort(F.collect_set("encoding"))).alias("encoding"))
