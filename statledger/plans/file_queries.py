@@ -113,7 +113,7 @@ def detect_encoding_all(spark, sf_dir):
 
     Eleven copies of the texts, half of them in two or four bytes a character, are landed gzipped, in files that are
     small enough for one task each, side by side: a table that is read in few parts is landed by few tasks at a time.
-    Higher levels of gzip take up to five times the time for a seventh less."""
+    Higher levels of gzip compress in up to five times the time, to a seventh less."""
     packed = {"compression": "gzip", "zlib.compress.level": "TWO", "maxRecordsPerFile": 10_000}
     path = scratch_path(spark, "encodings")
     # A session in which UTF-32LE can be named, the units of UTF-32 turned round, and in which a task keeps a file open for
